@@ -42,9 +42,8 @@ def _block_function(pdf: pd.DataFrame, block_rows: int, max_bytes: int, max_rows
     """exit offset and start count of one block for each entry offset."""
     pdf = pdf.sort_values("offset")
     own = int((pdf["offset"] < block_rows).sum())
-    jump = _next_starts(pdf["size"].to_numpy(), max_bytes, max_rows)
-    exits = np.empty(own, dtype=np.int64)
-    starts = np.empty(own, dtype=np.int64)
+    jump = _next_starts(pdf["size"].to_numpy(), max_bytes, max_rows).tolist()
+    exits, starts = [0] * own, [0] * own
     for i in range(own - 1, -1, -1):
         j = jump[i]
         inside = j < own
@@ -56,8 +55,8 @@ def _block_function(pdf: pd.DataFrame, block_rows: int, max_bytes: int, max_rows
     return pd.DataFrame(
         {
             "block": [pdf["block"].iloc[0]],
-            "exits": [exits[:width].tolist() + list(past)],
-            "starts": [starts[:width].tolist() + [0] * (max_rows - width)],
+            "exits": [exits[:width] + list(past)],
+            "starts": [starts[:width] + [0] * (max_rows - width)],
         }
     )
 
@@ -145,7 +144,7 @@ def pack_positions(
     def label(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         left = left.sort_values("offset")
         own = left[left["offset"] < block_rows]
-        jump = _next_starts(left["size"].to_numpy(), max_bytes, max_rows)
+        jump = _next_starts(left["size"].to_numpy(), max_bytes, max_rows).tolist()
         begins = np.zeros(len(own), dtype=np.int64)
         at = int(right["entry"].iloc[0])
         while at < len(own):
