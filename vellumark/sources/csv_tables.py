@@ -53,11 +53,6 @@ def read_csv_folder(
     }
 
 
-def with_source_file(df: DataFrame) -> DataFrame:
-    """Add `source_path` to a frame read from files."""
-    return df.select("*", F.col("_metadata.file_path").alias("source_path"))
-
-
 def valid_rows(df: DataFrame, raw: str | None = None, width: int | None = None) -> DataFrame:
     """Drop rows that are entirely empty and, given the raw line, rows shorter than the header."""
     cells = [F.coalesce(F.col(c), F.lit("")) for c in df.columns if c != raw and c not in SOURCE_ORDER]
