@@ -112,7 +112,7 @@ def payloads(fragments: DataFrame, packed: DataFrame, record: str, holding: str,
 
 def counted_records(payload: Column, child: str = "Record") -> Column:
     """Number of record elements in a payload document, whatever its namespace."""
-    return F.size(F.xpath(payload, F.lit(f'//*[local-name()="{child}"]/*[1]/..')))
+    return F.xpath_long(payload, F.lit(f'count(//*[local-name()="{child}"])'))
 
 
 def descriptor_xml(

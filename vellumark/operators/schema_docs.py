@@ -188,15 +188,16 @@ def json_schema_rows(documents: DataFrame, child: str = "Record", always_string:
             F.from_json(F.col("props")[F.col("name")], _NODE).alias("node"),
         )
         fields = stored(fields, "schema-level")
-        is_object = (F.col("node.type") == "object") & F.col("node.properties").isNotNull()
-        is_array = (F.col("node.type") == "array") & F.col("node.items").isNotNull()
+        forced = F.col("name").isin(*always_string) if always_string else F.lit(False)
+        is_object = ~forced & (F.col("node.type") == "object") & F.col("node.properties").isNotNull()
+        is_array = ~forced & (F.col("node.type") == "array") & F.col("node.items").isNotNull()
         is_checksum = (F.col("name") == "checksum") & F.col("node.xsd_extension_attributes").isNotNull()
         kind = (
             F.when(is_object, "object").when(is_checksum, "checksum").when(is_array, "array").otherwise("scalar")
         )
         item = F.col("node.items")
         typed = (
-            F.when(F.col("name").isin(*always_string) if always_string else F.lit(False), "xs:string")
+            F.when(forced, "xs:string")
             .when(is_array, _xsd_type(item["type"], item["format"]))
             .otherwise(_xsd_type(F.col("node.type"), F.col("node.format")))
         )
