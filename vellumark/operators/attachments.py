@@ -141,3 +141,38 @@ def descriptor_xml(
         element("page_count", F.lit("0")),
         F.lit("</sip>"),
     )
+
+
+RECORD_JSON = (
+    "{meta}, Attachments struct<Attachment: array<struct<mimetype: string, Size: bigint, EASFile: string, "
+    "checksum: string, FilePath: string>>>"
+)
+
+
+def write_records_json(
+    df: DataFrame, record: str, meta_columns: Sequence[str], matched: DataFrame, folder: str, path: str
+) -> str:
+    """Records with nested attachments, one JSON object per line.
+
+    As one line per record the payload can be read in splits; the content name
+    of an attachment is its digest, as in the attachment source.
+    """
+    digest = F.lower(F.hex(F.unbase64("checksum")))
+    entry = F.struct(
+        "slot",
+        "mimetype",
+        F.coalesce("size", F.lit(0)).alias("Size"),
+        F.concat(F.lit("ea_"), digest).alias("EASFile"),
+        "checksum",
+        F.concat(F.lit(folder + "/"), "name").alias("FilePath"),
+    )
+    attached = matched.groupBy(record).agg(F.array_sort(F.collect_list(entry)).alias("_a"))
+    inner = F.transform(
+        "_a",
+        lambda a: F.struct(*[a[c].alias(c) for c in ("mimetype", "Size", "EASFile", "checksum", "FilePath")]),
+    )
+    nested = F.struct(F.coalesce(inner, F.array().cast(
+        "array<struct<mimetype:string,Size:bigint,EASFile:string,checksum:string,FilePath:string>>"
+    )).alias("Attachment"))
+    df.join(attached, record, "left").select(*meta_columns, nested.alias("Attachments")).write.json(path)
+    return path

@@ -18,6 +18,7 @@ from vellumark.session import stored
 TERM = r"\p{L}+"
 DAY_PATTERN = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
 NAME_PATTERN = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)+"
+WORD_PATTERN = r"[\p{L}0-9_]+"
 # Personal data by kind.
 PII_PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
@@ -91,22 +92,19 @@ def summaries(df: DataFrame, key: str = "doc_id", text: str = "text", top: int =
     )
 
 
+def _matches(text: Column, kind: str, pattern: str) -> Column:
+    """Array of (kind, value) for every match."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.transform(found, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+
+
 def entities(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, kind, value, occurrences: dates, capitalised names, and listed places."""
     body = F.col(text)
     found = F.concat(
-        F.transform(
-            F.regexp_extract_all(body, F.lit(DAY_PATTERN), F.lit(0)),
-            lambda v: F.struct(F.lit("date").alias("kind"), v.alias("value")),
-        ),
-        F.transform(
-            F.regexp_extract_all(body, F.lit(NAME_PATTERN), F.lit(0)),
-            lambda v: F.struct(F.lit("name").alias("kind"), v.alias("value")),
-        ),
-        F.transform(
-            F.regexp_extract_all(body, F.lit(r"[\p{L}0-9_]+"), F.lit(0)),
-            lambda v: F.struct(F.lit("word").alias("kind"), v.alias("value")),
-        ),
+        _matches(body, "date", DAY_PATTERN),
+        _matches(body, "name", NAME_PATTERN),
+        _matches(body, "word", WORD_PATTERN),
     )
     counted = (
         df.select(key, F.explode(found).alias("e"))
@@ -132,15 +130,7 @@ def luhn_valid(number: Column) -> Column:
 
 def personal_data(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, kind, value, occurrences; card numbers must pass the check digit. Map-only up to the count."""
-    found = F.concat(
-        *[
-            F.transform(
-                F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)),
-                lambda v, k=kind: F.struct(F.lit(k).alias("kind"), v.alias("value")),
-            )
-            for kind, pattern in PII_PATTERNS.items()
-        ]
-    )
+    found = F.concat(*[_matches(F.col(text), kind, pattern) for kind, pattern in PII_PATTERNS.items()])
     values = df.select(key, F.explode(found).alias("e")).select(key, "e.kind", "e.value")
     return (
         values.filter((F.col("kind") != "card") | luhn_valid(F.col("value")))
@@ -157,14 +147,12 @@ def intents(
 ) -> DataFrame:
     """key, intent, score: the purpose with most cue words, equal ones by name. Map-only."""
     counted = df.withColumn("_t", terms(F.col(text)))
-    scores = F.array(
-        *[
-            F.struct(
-                (-F.size(F.filter("_t", lambda t, w=words: t.isin(*w)))).alias("minus"), F.lit(name).alias("name")
-            )
-            for name, words in cues.items()
-        ]
-    )
+
+    def score(name: str, words: Sequence[str]) -> Column:
+        hits = F.size(F.filter("_t", lambda t: t.isin(*words)))
+        return F.struct((-hits).alias("minus"), F.lit(name).alias("name"))
+
+    scores = F.array(*[score(name, words) for name, words in cues.items()])
     best = F.array_min(scores)
     return counted.withColumn("_b", best).select(
         key,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellumark.operators.skew import join_unique
+from vellumark.operators.skew import hot_keys, join_unique
 
 
 def export_routes(requests: DataFrame, routes: DataFrame, key: str = "table_name") -> DataFrame:
@@ -58,7 +58,8 @@ def resolve_paths(requests: DataFrame, paths: dict[str, DataFrame]) -> DataFrame
     missed = found.filter(F.col("href").isNull()).drop("href")
     known_schema = paths["schema"].select("application", "schema_name", F.lit(True).alias("_schema"))
     known_app = paths["application"].withColumn("_app", F.lit(True))
-    walked = join_unique(join_unique(missed, known_schema, ["application", "schema_name"]), known_app, "application")
+    with_schema = join_unique(missed, known_schema, ["application", "schema_name"])
+    walked = join_unique(with_schema, known_app, "application", hot=hot_keys(missed, ["application"]))
     level = F.when(F.col("_schema"), "table").when(F.col("_app"), "schema").otherwise("application")
     hits = found.filter(F.col("href").isNotNull()).withColumn("not_found", F.lit(None).cast("string"))
     return hits.unionByName(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellumark.functions.values import fill_unknown
-from vellumark.operators.skew import join_unique
+from vellumark.operators.skew import hot_keys, join_unique
 from vellumark.session import stored
 
 FEATURES = ("version", "document_status", "retention_policies", "sensitivity_labels")
@@ -45,13 +45,14 @@ def rarity_outliers(
 ) -> DataFrame:
     """Documents with the rarest values, by the sum of -ln(share of each value)."""
     filled, combinations = _combinations(df, features)
+    combinations = stored(combinations, "combinations")
     total = combinations.agg(F.sum("n")).scalar()
     scored = combinations
     for c in features:
         seen = combinations.groupBy(c).agg((-F.log(F.sum("n") / total)).alias(f"_s_{c}"))
-        scored = join_unique(scored, seen, c, "inner")
+        scored = join_unique(scored, seen, c, "inner", hot=hot_keys(combinations, [c]))
     score = F.round(sum((F.col(f"_s_{c}") for c in features), F.lit(0.0)), 6)
-    scored = scored.withColumn("score", score).drop(*[f"_s_{c}" for c in features])
+    scored = stored(scored.withColumn("score", score).select(*features, "n", "score"), "rarity-scores")
     return join_unique(filled, _flag(scored, share), list(features), "inner")
 
 

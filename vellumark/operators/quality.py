@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vellumark.sources.csv_tables import list_names
+
 
 def user_rules() -> dict[str, Column]:
     """Constraints of a user table. As in SQL, a rule that is unknown holds."""
@@ -56,3 +58,15 @@ def validate_records(df: DataFrame, xml: str, xsd_path: str, schema: str) -> Dat
     }
     parsed = F.from_xml(F.col(xml), f"{schema}, _corrupt string", options)
     return df.withColumn("_parsed", parsed).withColumn("valid", F.col("_parsed._corrupt").isNull()).drop("_parsed")
+
+
+def write_record_xsd(spark: SparkSession, types: Mapping[str, str], folder: str, record: str = "Record") -> str:
+    """XSD of a flat record with the given XSD types; returns the path of its file."""
+    fields = "".join(f'<xs:element name="{name}" type="{kind}"/>' for name, kind in types.items())
+    text = (
+        '<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema">'
+        f'<xs:element name="{record}"><xs:complexType><xs:sequence>{fields}</xs:sequence></xs:complexType>'
+        "</xs:element></xs:schema>"
+    )
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(folder)
+    return f"{folder}/{list_names(spark, folder, '.txt')[0]}"

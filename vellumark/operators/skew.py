@@ -23,16 +23,19 @@ def join_unique(
     keys: Sequence[str] | str,
     how: str = "left",
     salts: int = 32,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join on keys that are unique in `right`, whatever their spread in `left`.
 
     Rows of a hot key get one of `salts` salts and the matching right rows are
     repeated once per salt, so a hot key is spread over many tasks. The set of
     hot keys has at most HOT_SHARE rows, hence the broadcast. Null keys do not
-    match, as in a plain join.
+    match, as in a plain join. Finding the hot keys reads `left` once more;
+    where `left` is itself a long chain, pass those of its source as `hot`.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    hot = F.broadcast(hot_keys(left, keys).withColumn("_hot", F.lit(True)))
+    found = hot_keys(left, keys) if hot is None else hot.select(*keys).limit(HOT_SHARE)
+    hot = F.broadcast(found.withColumn("_hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
     null_key = F.lit(False)
     for k in keys:

@@ -22,7 +22,7 @@ _local_root: str | None = None
 def build_session(app: str = "vellumark", cores: int | str = "*", **extra: str) -> SparkSession:
     """Local session with the settings the library is tested with."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for key, value in {**SETTINGS, "spark.ui.enabled": "false", **extra}.items():
+    for key, value in {**SETTINGS, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
