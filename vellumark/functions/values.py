@@ -63,7 +63,7 @@ def split_paths(cell: Column) -> Column:
         .when(F.contains(cell, F.lit("|")), F.split(cell, r"\|"))
         .otherwise(F.array(cell))
     )
-    kept = F.filter(F.transform(parts, F.trim), lambda p: p != "")
+    kept = F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: p != "")
     return F.coalesce(kept, F.array().cast("array<string>"))
 
 

@@ -99,6 +99,7 @@ def infer_xsd(df: DataFrame, table: str) -> DataFrame:
         {
             "name": F.when(is_last, F.col("name")).otherwise(reserved_suffix(F.col("name"))),
             "type": F.when(is_last, "attachment").otherwise(F.col("type")),
+            "type_length": F.when(is_last, "64").otherwise(F.col("type_length")),
         }
     )
 
