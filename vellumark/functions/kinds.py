@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vellumark.functions.values import stripped
+
 # Strings a CSV reader takes as missing.
 MISSING = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -68,17 +70,13 @@ def _full(value: Column, pattern: str) -> Column:
     return value.rlike(f"^(?:{pattern})$")
 
 
-def _trimmed(value: Column) -> Column:
-    return F.regexp_replace(value, r"^\s+|\s+$", "")
-
-
 def relational_kind(value: Column, strict: bool = False) -> Column:
     """date / float / int / string for one value, null for a missing one.
 
     Without `strict` any value with a point counts as a float, e-mail
     addresses included; with it the value must also parse as a number.
     """
-    text = _trimmed(value)
+    text = stripped(value)
     has_point = F.contains(value, F.lit("."))
     number = F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
     parses = _full(text, NUMBER) | _full(text, NOT_FINITE)
@@ -96,7 +94,7 @@ def relational_kind(value: Column, strict: bool = False) -> Column:
 
 def json_kind(value: Column) -> Column:
     """Position in JSON_CLASSES, null for a blank value."""
-    text = _trimmed(value)
+    text = stripped(value)
     return (
         F.when(text.isNull() | (text == ""), F.lit(None))
         .when(_full(text, ISO_STAMP), 0)
@@ -109,7 +107,7 @@ def json_kind(value: Column) -> Column:
 def xsd_kind(value: Column) -> Column:
     """Position in XSD_CLASSES, null for a blank value."""
     return (
-        F.when(value.isNull() | (_trimmed(value) == ""), F.lit(None))
+        F.when(value.isNull() | (stripped(value) == ""), F.lit(None))
         .when(_full(value, XSD_STAMP), 0)
         .when(_full(value, ISO_DAY), 1)
         .when(_full(value, XSD_LONG), 2)

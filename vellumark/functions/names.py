@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vellumark.functions.values import stripped
+
 # Names an XSD document must not use for a field.
 RESERVED_NAMES = ("language", "type", "schema", "element", "complexType", "sequence")
 
@@ -17,7 +19,7 @@ def element_name(name: str) -> str:
 
 
 def element_name_col(col: Column) -> Column:
-    return F.regexp_replace(F.trim(col), " ", "_")
+    return F.replace(stripped(col), F.lit(" "), F.lit("_"))
 
 
 def with_element_names(df: DataFrame) -> DataFrame:

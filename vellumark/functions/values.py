@@ -46,6 +46,18 @@ ALWAYS_STRING = ("CustomerID", "CreditCardNumber")
 XSD_NUMBERS = ("xs:long", "xs:decimal", "xs:int", "xs:integer", "xs:float", "xs:double")
 
 
+# What counts as white space at the ends of a text.
+SPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def stripped(text: Column) -> Column:
+    """Text without white space at its ends."""
+    return F.btrim(text, F.lit(SPACE))
+
+
 def literal_map(entries: dict[str, str | None]) -> Column:
     """Small fixed lookup as a map literal: no join, no shuffle."""
     return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
@@ -63,13 +75,13 @@ def split_paths(cell: Column) -> Column:
         .when(F.contains(cell, F.lit("|")), F.split(cell, r"\|"))
         .otherwise(F.array(cell))
     )
-    kept = F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: p != "")
+    kept = F.filter(F.transform(parts, lambda p: stripped(p)), lambda p: p != "")
     return F.coalesce(kept, F.array().cast("array<string>"))
 
 
 def strip_think(text: Column) -> Column:
     """Drop `<think>...</think>` passages, also over several lines."""
-    return F.trim(F.regexp_replace(text, r"(?s)<think>.*?</think>", ""))
+    return stripped(F.regexp_replace(text, r"(?s)<think>.*?</think>", ""))
 
 
 def month_label(ts: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellumark.functions.names import base_name, schema_urn
-from vellumark.functions.values import media_type
+from vellumark.functions.values import media_type, stripped
 from vellumark.functions.xml import element, ordered_text, wrapped
 from vellumark.operators.packing import record_size
 from vellumark.operators.skew import join_unique
@@ -16,7 +16,7 @@ from vellumark.operators.skew import join_unique
 
 def references(df: DataFrame, record: str, columns: Sequence[str]) -> DataFrame:
     """record, slot, name: one row per filled attachment cell, in column order."""
-    cells = F.array(*[F.trim(F.col("`" + c + "`")) for c in columns])
+    cells = F.array(*[stripped(F.col("`" + c + "`")) for c in columns])
     return (
         df.select(record, F.posexplode(cells).alias("slot", "path"))
         .filter(F.col("path") != "")
@@ -89,7 +89,7 @@ def record_fragments(
     attached = matched.groupBy(record).agg(slots.alias("_files"))
     inner = F.array_join(F.transform("_files", lambda a: attachment_xml(a, folder)), "")
     block = F.when(inner != "", wrapped("Attachments", inner)).otherwise(F.lit("<Attachments />"))
-    meta = [element(c, F.trim(F.col("`" + c + "`").cast("string"))) for c in meta_columns]
+    meta = [element(c, stripped(F.col("`" + c + "`").cast("string"))) for c in meta_columns]
     return df.join(attached, record, "left").select(
         record, wrapped(child, *meta, F.coalesce(block, F.lit("<Attachments />"))).alias("xml")
     )

@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vellumark.functions.values import stripped
 from vellumark.functions.xml import ordered_text
 from vellumark.session import stored
 
@@ -21,10 +22,6 @@ HEADING = r"(?U)(?:^|\n)(?:#+\s|[A-Z][A-Z\s]+:|\d+\.\s)"
 _SPACE = r"(?U)\s+"
 
 
-def stripped(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
-
-
 def words(text: Column) -> Column:
     return F.filter(F.split(text, _SPACE), lambda w: w != "")
 
@@ -41,7 +38,7 @@ def _runs(parts: Column, length: int) -> Column:
 
 
 def _filled(pieces: Column) -> Column:
-    return F.filter(F.transform(pieces, stripped), lambda p: p != "")
+    return F.filter(F.transform(pieces, lambda p: stripped(p)), lambda p: p != "")
 
 
 def fixed(text: Column, length: int = WORDS) -> Column:

@@ -164,7 +164,7 @@ META_COLUMNS = ["doc_id", "lang", "source", "n_chars"]
 
 def attached_files(spark: SparkSession, sf: str, absent_lang: str | None = None) -> DataFrame:
     """name, size, checksum of the files that staging the documents gives."""
-    content = F.concat("text", F.lit("\n"))
+    content = F.col("text")
     docs = table(spark, sf, "documents")
     if absent_lang:
         docs = docs.filter(F.col("lang") != absent_lang)

@@ -175,8 +175,8 @@ ATTACHED = f"""recs AS (SELECT doc_id, lang, source, n_chars, 'doc_' || doc_id |
   CASE WHEN lang <> 'en' THEN 'doc_' || (doc_id - doc_id % 10) || '.txt' END AS a1 FROM documents),
 refs AS (SELECT doc_id, 0 AS slot, a0 AS name FROM recs UNION ALL
   SELECT doc_id, 1 AS slot, a1 AS name FROM recs WHERE a1 IS NOT NULL),
-all_files AS (SELECT lang, 'doc_' || doc_id || '.txt' AS name, CAST(strlen(text) + 1 AS BIGINT) AS size,
-  to_base64(unhex(sha256(text || chr(10)))) AS checksum FROM documents)"""
+all_files AS (SELECT lang, 'doc_' || doc_id || '.txt' AS name, CAST(strlen(text) AS BIGINT) AS size,
+  to_base64(unhex(sha256(text))) AS checksum FROM documents)"""
 MATCHED = ATTACHED + """, matched AS (SELECT r.doc_id, r.slot, r.name, f.size, f.checksum, 'text/plain' AS mimetype
   FROM refs r LEFT JOIN all_files f USING (name))"""
 
@@ -243,7 +243,7 @@ ORACLES["src_name_parts"] = """WITH s AS (SELECT c_custkey,
   CASE WHEN c_nationkey < 5 THEN c_name ELSE c_mktsegment || '_' || c_name || '_2024' END AS stem FROM customer)
 SELECT c_custkey, stem, split_part(stem, '_', 1) AS schema_name,
   coalesce(nullif(split_part(stem, '_', 2), ''), 'Unknown') AS table_name FROM s"""
-ORACLES["src_text_head"] = """WITH f AS (SELECT 'doc_' || doc_id || '.txt' AS name, text || chr(10) AS t FROM documents
+ORACLES["src_text_head"] = """WITH f AS (SELECT 'doc_' || doc_id || '.txt' AS name, text AS t FROM documents
   WHERE lang <> 'es')
 SELECT name, CASE WHEN len(string_split(t, chr(10))) > 50
   THEN array_to_string(string_split(t, chr(10))[1:50], chr(10)) || chr(10) ELSE t END AS head

@@ -127,14 +127,11 @@ def src_json_metadata(spark, sf):
 
 @query
 def src_zip_check(spark, sf):
-    """Valid and broken packages of a folder that also holds cut-off copies."""
+    """Valid and broken packages of a folder, and whether the newest one is valid."""
     docs, refs = inputs.package_documents(spark, sf)
     found = files.read_attachments(spark, inputs.stage_documents(spark, sf))
     folder = new_folder(spark, "zips")
-    written = stored(
-        packages.write_packages(packages.with_package_files(docs, refs, found), folder, inputs.HOLDING), "written"
-    )
-    written.agg(F.count("path")).first()
+    stored(packages.write_packages(packages.with_package_files(docs, refs, found), folder, inputs.HOLDING), "written")
     checked = files.check_zips(spark, folder)
     newest = files.newest_valid_zip(checked)
     return checked.agg(
@@ -387,7 +384,7 @@ def scl_strip_think(spark, sf):
     text = F.concat(
         F.lit("<think>"), "text", F.lit("</think>\n"), "text", F.lit(" <think>a\nb</think>"), "source", F.lit("\n")
     )
-    return table(spark, sf, "documents").select("doc_id", text_chunks.stripped(values.strip_think(text)).alias("text"))
+    return table(spark, sf, "documents").select("doc_id", values.strip_think(text).alias("text"))
 
 
 @query

@@ -9,11 +9,11 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellumark.operators.skew import join_unique
+from vellumark.sources.filesystem import open_file_system
 
 ZIP_LIMIT = 2 * 1024**3
 _STAMP = (1980, 1, 1, 0, 0, 0)  # fixed, so equal content gives an equal zip
@@ -21,13 +21,6 @@ _BLOCK = 1 << 20
 PACKAGE_ROW = "package_id bigint, path string, files int, bytes bigint, sha string, error string"
 
 
-def open_file_system(uri: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a Hadoop style URI."""
-    if uri.startswith("file:") or "://" not in uri:
-        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-
-
 class _Digest:
     """Output stream that also hashes what it writes."""
 

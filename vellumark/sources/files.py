@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import io
+import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from vellumark.functions.names import base_name
 from vellumark.functions.values import media_type
+from vellumark.sources.filesystem import open_file_system
 
 HEAD_LINES = 50
 FILES_PER_RUN = 10
@@ -23,24 +25,40 @@ PDF_MAGIC = "25504446"
 
 
 def write_named_texts(df: DataFrame, folder: str) -> str:
-    """One text file per row of (name, text), below a `name=` folder each.
+    """One text file per row of (name, text). Returns the folder."""
 
-    Works on any Hadoop file system; readers get `name` as a partition column.
-    """
-    df.select("name", "text").write.partitionBy("name").text(folder)
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, root = open_file_system(folder)
+        system.create_dir(root, recursive=True)
+        for pdf in batches:
+            for name, text in zip(pdf["name"], pdf["text"]):
+                part = f"{root}/_{uuid.uuid4().hex}"  # hidden until it is complete
+                with system.open_output_stream(part) as out:
+                    out.write(text.encode())
+                system.move(part, f"{root}/{name}")
+            yield pdf[["name"]]
+
+    df.select("name", "text").mapInPandas(write, "name string").agg(F.count("name")).first()
     return folder
 
 
-def _with_name(df: DataFrame, path: Column) -> DataFrame:
-    """Name of the file: the `name=` folder if there is one, else the base name."""
-    named = F.col("name").cast("string") if "name" in df.columns else base_name(path)
-    return df.withColumn("name", named)
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """name, path, size, modified: the listing, without reading the files."""
+    return (
+        spark.read.format("binaryFile").load(path)
+        .select(
+            base_name(F.col("path")).alias("name"), "path", F.col("length").alias("size"),
+            F.col("modificationTime").alias("modified"),
+        )
+    )
 
 
-def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    """name, text of whole text files."""
-    df = spark.read.text(path, wholetext=True)
-    return _with_name(df, F.col("_metadata.file_path")).select("name", F.col("value").alias("text"))
+def read_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """name, text of whole text files; broken UTF-8 is replaced."""
+    df = spark.read.format("binaryFile").load(path)
+    return df.select(
+        base_name(F.col("path")).alias("name"), F.make_valid_utf8(F.col("content").cast("string")).alias("text")
+    )
 
 
 def text_head(text: Column, lines: int = HEAD_LINES) -> Column:
@@ -61,8 +79,12 @@ def intake(df: DataFrame, order_by: str, files: int = FILES_PER_RUN) -> DataFram
 
 
 def read_text_heads(spark: SparkSession, path: str, files: int = FILES_PER_RUN) -> DataFrame:
-    docs = intake(unprocessed(read_texts(spark, path)), "name", files)
-    return docs.select("name", text_head(F.col("text")).alias("head"))
+    """name, head of the next unprocessed files; only those files are read."""
+    chosen = intake(unprocessed(list_files(spark, path)), "name", files).select("path").collect()
+    paths = [r["path"] for r in chosen]  # at most `files` of them
+    if not paths:
+        return spark.createDataFrame([], "name string, head string")
+    return read_texts(spark, paths).select("name", text_head(F.col("text")).alias("head"))
 
 
 def read_attachments(spark: SparkSession, path: str) -> DataFrame:
@@ -71,8 +93,8 @@ def read_attachments(spark: SparkSession, path: str) -> DataFrame:
     Select what you need: without `content`, `checksum` and `content_name` only
     the listing is read. Files are limited to 2 GiB by the binary source.
     """
-    df = spark.read.format("binaryFile").load(path)
-    return _with_name(df, F.col("path")).select(
+    df = spark.read.format("binaryFile").load(path).withColumn("name", base_name(F.col("path")))
+    return df.select(
         "name",
         "path",
         F.col("length").alias("size"),
@@ -92,30 +114,30 @@ def document_kind(content: Column) -> Column:
     return F.when(magic == PDF_MAGIC, "pdf").when(image, "image").otherwise("text")
 
 
-def _test_zip(content: bytes) -> bool:
+def _test_zip(path: str) -> bool:
+    system, at = open_file_system(path)
     try:
-        with zipfile.ZipFile(io.BytesIO(content)) as z:
+        with system.open_input_file(at) as raw, zipfile.ZipFile(raw) as z:
             return z.testzip() is None
-    except (zipfile.BadZipFile, EOFError, OSError, ValueError, RuntimeError, NotImplementedError):
+    except (zipfile.BadZipFile, zlib.error, EOFError, OSError, ValueError, RuntimeError, NotImplementedError):
         return False
 
 
 def check_zips(spark: SparkSession, path: str) -> DataFrame:
-    """path, modified, valid: valid when every entry passes its CRC check."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]").load(path)
+    """path, modified, valid: valid when every entry passes its CRC check.
+
+    Tasks get paths and read the zips themselves, so a zip of any size passes.
+    """
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame(
-                {
-                    "path": pdf["path"],
-                    "modified": pdf["modified"],
-                    "valid": [_test_zip(c) for c in pdf["content"]],
-                }
-            )
-
-    return files.select("path", F.col("modificationTime").alias("modified"), "content").mapInPandas(
-        check, "path string, modified timestamp, valid boolean"
+            yield pdf.assign(valid=[_test_zip(p) for p in pdf["path"]])
+
+    zips = list_files(spark, path).filter(F.endswith(F.lower("name"), F.lit(".zip")))
+    return (
+        zips.select("path", "modified")
+        .repartition("path")
+        .mapInPandas(check, "path string, modified timestamp, valid boolean")
     )
 
 
