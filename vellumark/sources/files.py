@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyarrow import NativeFile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumark.functions.names import base_name
 from vellumark.functions.values import media_type
-from vellumark.sources.filesystem import open_file_system
+from vellumark.session import stored
+from vellumark.sources.filesystem import list_folder, open_file_system
 
 HEAD_LINES = 50
 FILES_PER_RUN = 10
 PROCESSED_MARK = "_Processed"
+TASK_BYTES = 256 << 20  # bytes and files one task reads
+TASK_FILES = 1000
+OPENED_BATCH = 100  # files whose content a task holds before passing it on
+BLOCK = 1 << 20
 
 # Leading bytes (hex) of image formats.
 IMAGE_MAGIC = ("89504E47", "FFD8FF", "47494638", "49492A00", "4D4D002A", "424D")
@@ -42,23 +49,68 @@ def write_named_texts(df: DataFrame, folder: str) -> str:
     return folder
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """name, path, size, modified: the listing, without reading the files."""
-    return (
-        spark.read.format("binaryFile").load(path)
-        .select(
-            base_name(F.col("path")).alias("name"), "path", F.col("length").alias("size"),
-            F.col("modificationTime").alias("modified"),
-        )
-    )
+LISTING = "name string, path string, size bigint, modified timestamp"
 
 
-def read_texts(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """name, text of whole text files; broken UTF-8 is replaced."""
-    df = spark.read.format("binaryFile").load(path)
-    return df.select(
-        base_name(F.col("path")).alias("name"), F.make_valid_utf8(F.col("content").cast("string")).alias("text")
-    )
+def list_files(spark: SparkSession, *folders: str) -> DataFrame:
+    """name, path, size, modified of the files directly in the folders, a task per folder.
+
+    Unlike Spark's file sources this keeps empty files. The listing is written
+    down, so that every later step sees the same files.
+    """
+    wanted = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(len(folders), "folder")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for folder in pdf["folder"]:
+                yield from list_folder(folder)
+
+    return stored(wanted.mapInPandas(run, LISTING), "listing")
+
+
+def spread(files: DataFrame) -> DataFrame:
+    """A listing over as many tasks as its bytes and number of files ask for."""
+    whole = files.agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).first()
+    tasks = max((whole["bytes"] or 0) // TASK_BYTES, whole["n"] // TASK_FILES, 1)
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return files.repartition(int(min(max(tasks, cores), max(whole["n"], 1))), "path")
+
+
+def _with_each(files: DataFrame, column: str, read: Callable[[NativeFile], str]) -> DataFrame:
+    """Add a string column computed from every opened file; files are read in blocks."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for at in range(0, len(pdf), OPENED_BATCH):
+                some = pdf.iloc[at : at + OPENED_BATCH]
+                out = []
+                for path in some["path"]:
+                    system, inner = open_file_system(path)
+                    with system.open_input_stream(inner) as data:
+                        out.append(read(data))
+                yield some.assign(**{column: out})
+
+    return spread(files).mapInPandas(run, f"{LISTING}, {column} string")
+
+
+def _text_of(data: NativeFile) -> str:
+    return data.read().decode("utf-8", errors="ignore")
+
+
+def _digest_of(data: NativeFile) -> str:
+    sha = hashlib.sha256()
+    while block := data.read(BLOCK):
+        sha.update(block)
+    return sha.hexdigest()
+
+
+def _magic_of(data: NativeFile) -> str:
+    return data.read(4).hex().upper()
+
+
+def read_texts(files: DataFrame) -> DataFrame:
+    """Add `text` to a listing; bytes that are not UTF-8 are left out."""
+    return _with_each(files, "text", _text_of)
 
 
 def text_head(text: Column, lines: int = HEAD_LINES) -> Column:
@@ -78,40 +130,34 @@ def intake(df: DataFrame, order_by: str, files: int = FILES_PER_RUN) -> DataFram
     return df.orderBy(order_by).limit(files)
 
 
-def read_text_heads(spark: SparkSession, path: str, files: int = FILES_PER_RUN) -> DataFrame:
+def read_text_heads(spark: SparkSession, folder: str, files: int = FILES_PER_RUN) -> DataFrame:
     """name, head of the next unprocessed files; only those files are read."""
-    chosen = intake(unprocessed(list_files(spark, path)), "name", files).select("path").collect()
-    paths = [r["path"] for r in chosen]  # at most `files` of them
-    if not paths:
-        return spark.createDataFrame([], "name string, head string")
-    return read_texts(spark, paths).select("name", text_head(F.col("text")).alias("head"))
+    chosen = intake(unprocessed(list_files(spark, folder)), "name", files)
+    return read_texts(chosen).select("name", text_head(F.col("text")).alias("head"))
 
 
-def read_attachments(spark: SparkSession, path: str) -> DataFrame:
-    """name, path, size, checksum, content_name, mimetype, content of binary files.
+def attachments(files: DataFrame) -> DataFrame:
+    """Add checksum, content_name and mimetype to a listing.
 
-    Select what you need: without `content`, `checksum` and `content_name` only
-    the listing is read. Files are limited to 2 GiB by the binary source.
+    Files are digested in blocks, so their size is not limited.
     """
-    df = spark.read.format("binaryFile").load(path).withColumn("name", base_name(F.col("path")))
-    return df.select(
-        "name",
-        "path",
-        F.col("length").alias("size"),
-        F.base64(F.unhex(F.sha2("content", 256))).alias("checksum"),
-        F.concat(F.lit("ea_"), F.sha2("content", 256)).alias("content_name"),
+    digest = F.col("sha256")
+    return _with_each(files, "sha256", _digest_of).select(
+        *files.columns,
+        F.base64(F.unhex(digest)).alias("checksum"),
+        F.concat(F.lit("ea_"), digest).alias("content_name"),
         media_type(F.col("name")).alias("mimetype"),
-        "content",
     )
 
 
-def document_kind(content: Column) -> Column:
-    """pdf, image or text, by the leading bytes."""
-    magic = F.hex(F.substring(content, 1, 4))
+def document_kinds(files: DataFrame) -> DataFrame:
+    """Add `kind`, pdf, image or text, by the leading bytes; no more is read."""
+    magic = F.col("magic")
     image = F.lit(False)
     for m in IMAGE_MAGIC:
         image = image | F.startswith(magic, F.lit(m))
-    return F.when(magic == PDF_MAGIC, "pdf").when(image, "image").otherwise("text")
+    kind = F.when(magic == PDF_MAGIC, "pdf").when(image, "image").otherwise("text")
+    return _with_each(files, "magic", _magic_of).withColumn("kind", kind).drop("magic")
 
 
 def _test_zip(path: str) -> bool:
@@ -123,20 +169,17 @@ def _test_zip(path: str) -> bool:
         return False
 
 
-def check_zips(spark: SparkSession, path: str) -> DataFrame:
-    """path, modified, valid: valid when every entry passes its CRC check.
-
-    Tasks get paths and read the zips themselves, so a zip of any size passes.
-    """
+def check_zips(files: DataFrame) -> DataFrame:
+    """path, modified, valid of the zips in a listing: valid when every entry passes its CRC check."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pdf.assign(valid=[_test_zip(p) for p in pdf["path"]])
 
-    zips = list_files(spark, path).filter(F.endswith(F.lower("name"), F.lit(".zip")))
+    zips = files.filter(F.endswith(F.lower("name"), F.lit(".zip")))
     return (
-        zips.select("path", "modified")
-        .repartition("path")
+        spread(zips)
+        .select("path", "modified")
         .mapInPandas(check, "path string, modified timestamp, valid boolean")
     )
 

@@ -1,12 +1,38 @@
-"""Opening files from tasks, on any file system Arrow knows."""
+"""Opening and listing files from tasks, on any file system Arrow knows."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyarrow import fs
 
+LISTING_BATCH = 10_000
+
 
 def open_file_system(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a Hadoop style URI."""
     if uri.startswith("file:") or "://" not in uri:
         return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+
+
+def list_folder(uri: str) -> Iterator[pd.DataFrame]:
+    """name, path, size, modified of the files directly in a folder, empty ones included."""
+    uri = uri.rstrip("/")
+    system, root = open_file_system(uri)
+    prefix = uri.replace("s3a://", "s3://", 1).removesuffix(root) if "://" in uri else ""
+    found = [
+        f for f in system.get_file_info(fs.FileSelector(root))
+        if f.type == fs.FileType.File and not f.base_name.startswith(("_", "."))
+    ]
+    for at in range(0, len(found), LISTING_BATCH):
+        some = found[at : at + LISTING_BATCH]
+        yield pd.DataFrame(
+            {
+                "name": [f.base_name for f in some],
+                "path": [prefix + f.path for f in some],
+                "size": [f.size for f in some],
+                "modified": pd.to_datetime([f.mtime_ns // 1000 for f in some], unit="us", utc=True).as_unit("us"),
+            }
+        )
