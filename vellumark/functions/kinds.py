@@ -82,10 +82,15 @@ def relational_kind(value: Column, strict: bool = False) -> Column:
     parses = _full(text, NUMBER) | _full(text, NOT_FINITE)
     fraction = _full(text, NOT_FINITE) | F.isnan(number) | (F.abs(number) == float("inf")) | (F.rint(number) != number)
     is_float = (parses & (has_point | fraction)) if strict else (has_point | (parses & fraction))
-    dated = value.rlike("[-/:]") & _full(text, DATE)
+    marked = F.contains(value, F.lit("-")) | F.contains(value, F.lit("/")) | F.contains(value, F.lit(":"))
+    dated = marked & _full(text, DATE)
+    # Whole numbers come first, they need no more tests; beyond 300 digits one
+    # may leave the range of floating point and then counts as a float.
+    whole = _full(text, INTEGER) & (F.length(text) <= 300)
     return (
         F.when(value.isNull() | value.isin(*MISSING), F.lit(None))
         .when(dated, "date")
+        .when(whole, "int")
         .when(is_float, "float")
         .when(_full(text, INTEGER), "int")
         .otherwise("string")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,11 @@ def stripped(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACE))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value computed once, also where body uses it in a loop."""
+    return F.element_at(F.transform(F.array(value), lambda v: body(v)), 1)
+
+
 def literal_map(entries: dict[str, str | None]) -> Column:
     """Small fixed lookup as a map literal: no join, no shuffle."""
     return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])

@@ -28,5 +28,5 @@ def wrapped(name: str, *inner: Column) -> Column:
 
 def ordered_text(order: Column, text: Column, sep: str = "") -> Column:
     """Aggregate: the texts of a group joined in the given order."""
-    pairs = F.array_sort(F.collect_list(F.struct(order.alias("k"), text.alias("v"))))
+    pairs = F.sort_array(F.collect_list(F.struct(order.alias("k"), text.alias("v"))))
     return F.array_join(F.transform(pairs, lambda p: p["v"]), sep)

@@ -85,7 +85,7 @@ def record_fragments(
     df: DataFrame, record: str, meta_columns: Sequence[str], matched: DataFrame, folder: str, child: str = "Record"
 ) -> DataFrame:
     """record, xml: metadata values, stripped, then the attachments in column order."""
-    slots = F.array_sort(F.collect_list(F.struct("slot", "name", "mimetype", "size", "checksum")))
+    slots = F.sort_array(F.collect_list(F.struct("slot", "name", "mimetype", "size", "checksum")))
     attached = matched.groupBy(record).agg(slots.alias("_files"))
     inner = F.array_join(F.transform("_files", lambda a: attachment_xml(a, folder)), "")
     block = F.when(inner != "", wrapped("Attachments", inner)).otherwise(F.lit("<Attachments />"))
@@ -166,7 +166,7 @@ def write_records_json(
         "checksum",
         F.concat(F.lit(folder + "/"), "name").alias("FilePath"),
     )
-    attached = matched.groupBy(record).agg(F.array_sort(F.collect_list(entry)).alias("_a"))
+    attached = matched.groupBy(record).agg(F.sort_array(F.collect_list(entry)).alias("_a"))
     inner = F.transform(
         "_a",
         lambda a: F.struct(*[a[c].alias(c) for c in ("mimetype", "Size", "EASFile", "checksum", "FilePath")]),

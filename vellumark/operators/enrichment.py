@@ -10,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vellumark.functions.values import let
 from vellumark.operators.skew import join_unique
 from vellumark.operators.text_chunks import sentences
 from vellumark.session import stored
@@ -42,25 +43,50 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
+def _counted(found: Column) -> Column:
+    """Array of (term, n) of an array of terms: equal ones are neighbours once sorted."""
+
+    def runs(t: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(0), F.size(t) - 1), lambda i: (i == 0) | (F.get(t, i) != F.get(t, i - 1))
+        )
+        return let(
+            starts,
+            lambda s: F.transform(
+                s,
+                lambda i, k: F.struct(
+                    F.get(t, i).alias("term"),
+                    (F.coalesce(F.get(s, k + 1), F.size(t)) - i).cast("bigint").alias("n"),
+                ),
+            ),
+        )
+
+    return let(F.sort_array(found), lambda t: F.when(F.size(t) > 0, runs(t)))
+
+
 def term_counts(df: DataFrame, key: Sequence[str], text: str = "text") -> DataFrame:
-    """key, term, n."""
-    return (
-        df.select(*key, F.explode(terms(F.col(text))).alias("term"))
-        .groupBy(*key, "term")
-        .agg(F.count("*").alias("n"))
-    )
+    """key, term, n, one row per key and term. Counted within each row, so nothing is shuffled."""
+    return df.select(*key, F.explode(_counted(terms(F.col(text)))).alias("t")).select(*key, "t.term", "t.n")
 
 
-def inverse_frequency(counts: DataFrame, key: str) -> DataFrame:
-    """term, idf = ln(documents / documents with the term)."""
-    total = counts.agg(F.count_distinct(key)).scalar()
-    return counts.groupBy("term").agg(F.count("*").alias("df")).select("term", F.log(total / F.col("df")).alias("idf"))
+def inverse_frequency(counts: DataFrame, total: Column) -> DataFrame:
+    """term, idf = ln(documents / documents with the term), of rows (document, term).
+
+    Written down, so that its size decides how it is joined.
+    """
+    per_term = counts.groupBy("term").agg(F.count("*").alias("df"))
+    return stored(per_term.select("term", F.log(total / F.col("df")).alias("idf")), "idf")
+
+
+def with_terms(df: DataFrame, text: str = "text") -> Column:
+    """Number of texts that have any term."""
+    return df.agg(F.count_if(F.col(text).rlike(TERM))).scalar()
 
 
 def keywords(df: DataFrame, key: str = "doc_id", text: str = "text", top: int = 10) -> DataFrame:
     """key, rank, term, score: the terms of highest TF-IDF, equal ones by term."""
     counts = term_counts(df, [key], text)
-    weighted = join_unique(counts, inverse_frequency(counts, key), "term", "inner")
+    weighted = join_unique(counts, inverse_frequency(counts, with_terms(df, text)), "term", "inner")
     score = F.round(F.col("n") * F.col("idf"), 6)
     best = Window.partitionBy(key).orderBy(F.desc("score"), "term")
     return (
@@ -75,15 +101,15 @@ def summaries(df: DataFrame, key: str = "doc_id", text: str = "text", top: int =
     """key, summary: the sentences of highest TF-IDF, in text order."""
     parts = df.select(key, F.posexplode(sentences(F.col(text))).alias("at", "sentence"))
     counts = term_counts(parts, [key, "at"], "sentence")
-    per_document = counts.select(key, "term").distinct()
-    weighted = join_unique(counts, inverse_frequency(per_document, key), "term", "inner")
+    idf = inverse_frequency(term_counts(df, [key], text), with_terms(df, text))
+    weighted = join_unique(counts, idf, "term", "inner")
     scored = weighted.groupBy(key, "at").agg(F.round(F.sum(F.col("n") * F.col("idf")), 6).alias("score"))
     best = Window.partitionBy(key).orderBy(F.desc("score"), "at")
     chosen = (
         scored.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= top)
         .groupBy(key)
-        .agg(F.array_sort(F.collect_list("at")).alias("ats"))
+        .agg(F.sort_array(F.collect_list("at")).alias("ats"))
     )
     # One shuffle of the texts, to meet their few sentence numbers.
     cut = sentences(F.col(text))
@@ -172,19 +198,20 @@ def alternates(
     alternate is usual in. Each (place, term) meets a fixed number of usual
     terms, so the join is linear in its input.
     """
-    t = F.col("_t")
-    inner = F.sequence(F.lit(1), F.size(t) - 2)
-    triples = F.transform(
-        F.when(F.size(t) >= 3, inner),
-        lambda i: F.struct(
-            F.concat_ws(" ", F.get(t, i - 1), F.get(t, i + 1)).alias("place"), F.get(t, i).alias("term")
-        ),
-    )
-    used = (
-        df.withColumn("_t", terms(F.col(text)))
-        .select(F.explode(triples).alias("p"))
+
+    def triples(t: Column) -> Column:
+        return F.transform(
+            F.when(F.size(t) >= 3, F.sequence(F.lit(1), F.size(t) - 2)),
+            lambda i: F.struct(
+                F.concat_ws(" ", F.get(t, i - 1), F.get(t, i + 1)).alias("place"), F.get(t, i).alias("term")
+            ),
+        )
+
+    used = stored(
+        df.select(F.explode(let(terms(F.col(text)), triples)).alias("p"))
         .groupBy("p.place", "p.term")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n")),
+        "places",
     )
     by_count = Window.partitionBy("place").orderBy(F.desc("n"), "term")
     usual = (
@@ -193,6 +220,8 @@ def alternates(
         .groupBy("place")
         .agg(F.collect_list(F.struct(F.col("term").alias("alternate"), F.col("n").alias("m"))).alias("usual"))
     )
+    # A place with one term offers no alternate.
+    usual = stored(usual.filter(F.size("usual") > 1), "usual")
     met = (
         join_unique(used, usual, "place", "inner")
         .select("term", "n", F.explode("usual").alias("u"))
@@ -213,9 +242,9 @@ def synonyms(
     asked = keywords(df, key, text).select(key, "term")
     found = alternates(df, key, text, fillers, top)
     lists = found.groupBy("term").agg(
-        F.array_sort(F.collect_list(F.struct("rank", "alternate", "score"))).alias("a")
+        F.sort_array(F.collect_list(F.struct("rank", "alternate", "score"))).alias("a")
     )
-    return join_unique(asked, lists, "term", "inner").select(key, "term", F.explode("a").alias("x")).select(
+    return join_unique(asked, stored(lists, "alternates"), "term", "inner").select(key, "term", F.explode("a").alias("x")).select(
         key, "term", "x.rank", "x.alternate", "x.score"
     )
 

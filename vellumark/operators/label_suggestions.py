@@ -37,7 +37,7 @@ def suggest_labels(
         *[F.struct(F.lit(i).alias("_id"), F.lit(v).alias("_label"), F.lit(by).alias("_by")) for i, v, by in overall]
     )
     strangers = F.filter(others, lambda o: o["_by"] != F.col("_by"))
-    near = F.array_sort(
+    near = F.sort_array(
         F.concat(
             F.transform(
                 F.coalesce("own", F.array().cast(own.schema["own"].dataType)),

@@ -29,7 +29,7 @@ def metadata_json(
     catalogue: DataFrame, application: str, schema: str, default_schema: str, locale: str = "en-US"
 ) -> DataFrame:
     """document: the metadata JSON of an application, tables in name order."""
-    columns = F.array_sort(
+    columns = F.sort_array(
         F.collect_list(F.struct("ordinal", "name", "type", F.col("type_length").alias("typeLength")))
     )
     tables = catalogue.groupBy("table_name").agg(
@@ -40,7 +40,7 @@ def metadata_json(
         F.transform("c", lambda c: F.struct(c["name"], c["type"], c["typeLength"])).alias("columns"),
         "record_count",
     )
-    whole = tables.agg(F.array_sort(F.collect_list(F.struct("table_name", entry.alias("t")))).alias("t"))
+    whole = tables.agg(F.sort_array(F.collect_list(F.struct("table_name", entry.alias("t")))).alias("t"))
     settings = {
         "schema_name": schema, "default_schema": default_schema, "locale": locale, "application_name": application,
     }

@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellumark.functions.values import stripped
+from vellumark.functions.values import let, stripped
 from vellumark.functions.xml import ordered_text
 from vellumark.session import stored
 
@@ -32,9 +32,12 @@ def sentences(text: Column) -> Column:
 
 def _runs(parts: Column, length: int) -> Column:
     """Consecutive runs of an array, each joined by one space."""
-    starts = F.when(F.size(parts) > 0, F.sequence(F.lit(1), F.size(parts), F.lit(length)))
-    runs = F.transform(starts, lambda i: F.array_join(F.slice(parts, i, length), " "))
-    return F.coalesce(runs, F.array().cast("array<string>"))
+
+    def cut(p: Column) -> Column:
+        starts = F.when(F.size(p) > 0, F.sequence(F.lit(1), F.size(p), F.lit(length)))
+        return F.transform(starts, lambda i: F.array_join(F.slice(p, i, length), " "))
+
+    return F.coalesce(let(parts, cut), F.array().cast("array<string>"))
 
 
 def _filled(pieces: Column) -> Column:
@@ -103,5 +106,5 @@ def semantic(
     grouped = scored.groupBy(key, topic.alias("topic")).agg(
         F.min("at").alias("first"), ordered_text(F.col("at"), F.col("text"), "\n\n").alias("text")
     )
-    per_text = grouped.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("first", "text"))).alias("c"))
+    per_text = grouped.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("first", "text"))).alias("c"))
     return per_text.select(key, F.posexplode(F.transform("c", lambda c: c["text"])).alias("chunk_no", "text"))

@@ -12,7 +12,7 @@ from vellumark.operators import attachments as att
 from vellumark.operators import packing
 from vellumark.operators.inference import catalogue, infer_json, infer_relational, infer_xsd
 from vellumark.operators.row_numbers import assign_chunks
-from vellumark.operators.skew import join_unique
+from vellumark.operators.skew import balanced, join_unique
 from vellumark.session import new_folder, stored
 from vellumark.sinks.xml_chunks import chunk_documents
 from vellumark.sources.csv_tables import read_csv_folder, write_csv
@@ -31,6 +31,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents, over all cores where they are few."""
+    return balanced(table(spark, sf, "documents"), "doc_id")
+
+
 def documents_meta(spark: SparkSession, sf: str) -> DataFrame:
     """Metadata of documents: labels give sensitivity, orders give dates."""
     docs = table(spark, sf, "documents")
@@ -179,7 +184,7 @@ def stage_documents(
     spark: SparkSession, sf: str, text: Column | None = None, name: Column | None = None
 ) -> str:
     """Every document as a file of its own."""
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf)
     named = docs.select(
         (file_name(F.col("doc_id")) if name is None else name).alias("name"),
         (F.col("text") if text is None else text).alias("text"),
@@ -222,7 +227,7 @@ def with_descriptor(docs: DataFrame) -> DataFrame:
 def structured_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with headings and blank lines between their lines."""
     body = F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n1. "))
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf).select(
         "doc_id", F.concat(F.lit("# "), "lang", F.lit("\nPART TWO: "), body).alias("text")
     )
 
@@ -244,7 +249,7 @@ def users(spark: SparkSession, sf: str) -> DataFrame:
 
 def order_notes(spark: SparkSession, sf: str) -> DataFrame:
     """A sentence per order that names a date and places."""
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = balanced(table(spark, sf, "orders"), "o_orderkey").select("o_orderkey", "o_custkey", "o_orderdate")
     customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey")
     places = table(spark, sf, "nation").join(
         table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")

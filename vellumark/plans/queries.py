@@ -220,7 +220,7 @@ def sink_pdi_json(spark, sf):
 @query
 def sink_enrich_append(spark, sf):
     path = new_folder(spark, "enrichment")
-    found = enrichment.intents(table(spark, sf, "documents")).select(
+    found = enrichment.intents(inputs.texts(spark, sf)).select(
         inputs.file_name(F.col("doc_id")).alias("filename"), "intent"
     )
     stamp = F.lit("2025-07-09 12:00:00").cast("timestamp")
@@ -384,7 +384,7 @@ def scl_strip_think(spark, sf):
     text = F.concat(
         F.lit("<think>"), "text", F.lit("</think>\n"), "text", F.lit(" <think>a\nb</think>"), "source", F.lit("\n")
     )
-    return table(spark, sf, "documents").select("doc_id", values.strip_think(text).alias("text"))
+    return inputs.texts(spark, sf).select("doc_id", values.strip_think(text).alias("text"))
 
 
 @query
@@ -769,12 +769,12 @@ def pkg_summary(spark, sf):
 
 @query
 def chunk_fixed(spark, sf):
-    return text_chunks.chunks(table(spark, sf, "documents"), "fixed")
+    return text_chunks.chunks(inputs.texts(spark, sf), "fixed")
 
 
 @query
 def chunk_sentence(spark, sf):
-    return text_chunks.chunks(table(spark, sf, "documents"), "sentence")
+    return text_chunks.chunks(inputs.texts(spark, sf), "sentence")
 
 
 @query
@@ -786,7 +786,7 @@ def chunk_heading(spark, sf):
 def chunk_hybrid(spark, sf):
     """Texts with headings, and the same texts as one line under one heading."""
     texts = inputs.structured_texts(spark, sf)
-    flat = table(spark, sf, "documents").select(
+    flat = inputs.texts(spark, sf).select(
         (-F.col("doc_id") - 1).alias("doc_id"), F.concat(F.lit("# "), F.translate("text", "\n", " ")).alias("text")
     )
     return text_chunks.chunks(texts.unionByName(flat), "hybrid")
@@ -807,7 +807,7 @@ def chunk_semantic(spark, sf):
 
 @query
 def vec_embed(spark, sf):
-    chunks = text_chunks.chunks(table(spark, sf, "documents"), "fixed")
+    chunks = text_chunks.chunks(inputs.texts(spark, sf), "fixed")
     return vectors.embed(chunks).select("doc_id", "chunk_no", "vector")
 
 
@@ -830,7 +830,7 @@ def vec_cosine_topk(spark, sf):
     vecs = table(spark, sf, "embeddings")
     at = vecs.select("label", F.posexplode("embedding").alias("at", "x"))
     means = at.groupBy("label", "at").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    centres = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("at", "m"))).alias("v"))
+    centres = means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("at", "m"))).alias("v"))
     centres = centres.select("label", F.transform("v", lambda p: p["m"]).alias("vector"))
     return vectors.cosine_topk(vecs, centres, 10, "vec_id", "embedding", "label", "vector")
 
@@ -840,38 +840,38 @@ def vec_cosine_topk(spark, sf):
 
 @query
 def enr_summary(spark, sf):
-    return enrichment.summaries(table(spark, sf, "documents"))
+    return enrichment.summaries(inputs.texts(spark, sf))
 
 
 @query
 def enr_keywords(spark, sf):
-    return enrichment.keywords(table(spark, sf, "documents"))
+    return enrichment.keywords(inputs.texts(spark, sf))
 
 
 @query
 def enr_topic(spark, sf):
-    return enrichment.topics(table(spark, sf, "documents"))
+    return enrichment.topics(inputs.texts(spark, sf))
 
 
 @query
 def enr_entities(spark, sf):
-    docs = table(spark, sf, "documents").select((-F.col("doc_id") - 1).alias("doc_id"), "text")
+    docs = inputs.texts(spark, sf).select((-F.col("doc_id") - 1).alias("doc_id"), "text")
     return enrichment.entities(docs.unionByName(inputs.order_notes(spark, sf)), inputs.gazetteer(spark, sf))
 
 
 @query
 def enr_pii(spark, sf):
-    return enrichment.personal_data(table(spark, sf, "documents"))
+    return enrichment.personal_data(inputs.texts(spark, sf))
 
 
 @query
 def enr_intent(spark, sf):
-    return enrichment.intents(table(spark, sf, "documents"))
+    return enrichment.intents(inputs.texts(spark, sf))
 
 
 @query
 def enr_synonyms(spark, sf):
-    return enrichment.synonyms(table(spark, sf, "documents"))
+    return enrichment.synonyms(inputs.texts(spark, sf))
 
 
 @query

@@ -115,7 +115,7 @@ def report_document(df: DataFrame, limit: int = REPORT_LIMIT) -> DataFrame:
     """
     if df.limit(limit + 1).count() > limit:
         return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("report"))
-    rows = F.array_sort(F.collect_list(F.struct(*df.columns)))
+    rows = F.sort_array(F.collect_list(F.struct(*df.columns)))
     lists = df.agg(rows.alias("r")).select(*[F.col(f"r.{c}").alias(c) for c in df.columns])
     return lists.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("report"))
 
