@@ -11,6 +11,9 @@ from vellumark.functions.values import stripped
 
 # Names an XSD document must not use for a field.
 RESERVED_NAMES = ("language", "type", "schema", "element", "complexType", "sequence")
+# Name space of payload documents and its version.
+URN_START = "urn:eas-samples:en:xsd:"
+SCHEMA_VERSION = "1.0"
 
 
 def element_name(name: str) -> str:
@@ -49,6 +52,12 @@ def name_parts(stem: Column) -> tuple[Column, Column]:
     return F.get(parts, 0), F.coalesce(F.get(parts, 1), F.lit("Unknown"))
 
 
+def name_parts_text(stem: str) -> tuple[str, str]:
+    """The same for a name the driver holds."""
+    parts = stem.split("_")
+    return parts[0], parts[1] if len(parts) > 1 else "Unknown"
+
+
 def attachment_columns(columns: Iterable[str]) -> tuple[list[str], list[str]]:
     """(metadata columns, attachment columns): the name contains "attachment"."""
     names = list(columns)
@@ -69,7 +78,11 @@ def attachment_column(columns: Iterable[str], preferred: str = "") -> str | None
 
 
 def schema_urn(holding: Column) -> Column:
-    return F.concat(F.lit("urn:eas-samples:en:xsd:"), F.lower(holding), F.lit(".1.0"))
+    return F.concat(F.lit(URN_START), F.lower(holding), F.lit(f".{SCHEMA_VERSION}"))
+
+
+def schema_urn_text(holding: str, version: str = SCHEMA_VERSION) -> str:
+    return f"{URN_START}{holding.lower()}.{version}"
 
 
 def uuid_shaped(*parts: Column) -> Column:

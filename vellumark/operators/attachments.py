@@ -7,12 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellumark.functions.names import base_name, schema_urn
+from vellumark.functions.names import base_name, schema_urn, schema_urn_text
 from vellumark.functions.values import media_type, stripped
 from vellumark.functions.xml import element, ordered_text, wrapped
 from vellumark.operators.packing import record_size
 from vellumark.operators.skew import join_unique
 
+# Name space of descriptors.
+DESCRIPTOR_SPACE = "urn:x-emc:ia:schema:sip:1.0"
+
 
 def references(df: DataFrame, record: str, columns: Sequence[str]) -> DataFrame:
     """record, slot, name: one row per filled attachment cell, in column order."""
@@ -100,7 +103,7 @@ def payloads(fragments: DataFrame, packed: DataFrame, record: str, holding: str,
 
     A package has at most its bounded number of records, so a task holds few.
     """
-    urn = f"urn:eas-samples:en:xsd:{holding.lower()}.1.0"
+    urn = schema_urn_text(holding)
     placed = fragments.join(packed.select(record, "position", "package_id"), record)
     return placed.groupBy("package_id").agg(
         F.count("*").alias("aiu_count"),
@@ -132,7 +135,7 @@ def descriptor_xml(
         element("application", application),
     )
     return F.concat(
-        F.lit('<sip xmlns="urn:x-emc:ia:schema:sip:1.0">'),
+        F.lit(f'<sip xmlns="{DESCRIPTOR_SPACE}">'),
         dss,
         element("production_date", timestamp),
         element("seqno", F.lit("1")),

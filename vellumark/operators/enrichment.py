@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellumark.functions.values import let
+from vellumark.functions.xml import ordered_text
 from vellumark.operators.skew import join_unique
 from vellumark.operators.text_chunks import sentences
 from vellumark.session import stored
@@ -250,12 +251,21 @@ def synonyms(
 
 
 def topics(
-    df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 10, iterations: int = 10, seed: int = 42
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    k: int = 10,
+    iterations: int = 10,
+    seed: int = 42,
+    min_documents: int = 2,
 ) -> DataFrame:
-    """key, topic, label: the main topic of each document, named by its three strongest terms."""
+    """key, topic, label: the main topic of each document, named by its three strongest terms.
+
+    The model counts terms of at least `min_documents` documents.
+    """
     tokens = df.select(key, terms(F.col(text)).alias("all"))
     kept = StopWordsRemover(inputCol="all", outputCol="words").transform(tokens)
-    vocabulary = CountVectorizer(inputCol="words", outputCol="features", minDF=2.0).fit(kept)
+    vocabulary = CountVectorizer(inputCol="words", outputCol="features", minDF=float(min_documents)).fit(kept)
     counted = stored(vocabulary.transform(kept).select(key, "features"), "topic-terms")
     model = LDA(k=k, seed=seed, maxIter=iterations).fit(counted)
     labels = [
@@ -265,3 +275,31 @@ def topics(
     topic = (F.array_position("p", F.array_max("p")) - 1).cast("int")
     named = F.array(*[F.lit(x) for x in labels])
     return scored.select(key, topic.alias("topic")).withColumn("label", F.get(named, F.col("topic")))
+
+
+def _listed(found: DataFrame, key: str, column: str, order: Column, entry: Column, sep: str) -> DataFrame:
+    """The entries of each document as one text; a document has few of them."""
+    return found.groupBy(key).agg(ordered_text(order, entry, sep).alias(column))
+
+
+def enrich(
+    df: DataFrame, gazetteer: DataFrame, key: str = "filename", text: str = "text", min_documents: int = 2
+) -> DataFrame:
+    """One row per document with all enrichments as texts, "" where nothing was found."""
+    kind_value = F.concat_ws(": ", "kind", "value")
+    parts = [
+        summaries(df, key, text),
+        _listed(keywords(df, key, text), key, "keywords", F.col("rank"), F.col("term"), ", "),
+        topics(df, key, text, min_documents=min_documents).select(key, F.col("label").alias("topic")),
+        _listed(entities(df, gazetteer, key, text), key, "named_entities", kind_value, kind_value, "; "),
+        _listed(personal_data(df, key, text), key, "pii_entities", kind_value, kind_value, "; "),
+        intents(df, key, text).select(key, "intent"),
+    ]
+    alternate = _listed(
+        synonyms(df, key, text).withColumn("_o", F.struct("term", "rank")), key, "synonyms", F.col("_o"),
+        F.concat_ws(": ", "term", "alternate"), "; ",
+    )
+    out = df.select(key)
+    for part in [*parts, alternate]:
+        out = out.join(part, key, "left")
+    return out.fillna("")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellumark.functions import kinds
-from vellumark.functions.names import reserved_suffix
+from vellumark.functions.names import attachment_column, reserved_suffix
 from vellumark.operators.row_numbers import SOURCE_ORDER
 
 CATALOGUE = ("table_name", "ordinal", "name", "type", "type_length", "record_count")
@@ -104,6 +104,16 @@ def infer_xsd(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def mark_attachments(catalogue: DataFrame, tables: Mapping[str, DataFrame], preferred: str = "") -> DataFrame:
+    """Give the attachment column of each table the type `attachment`."""
+    chosen = {t: attachment_column(_value_columns(df), preferred) for t, df in tables.items()}
+    is_attachment = F.lit(False)
+    for t, c in chosen.items():
+        if c is not None:
+            is_attachment = is_attachment | ((F.col("table_name") == t) & (F.col("name") == c))
+    return catalogue.withColumn("type", F.when(is_attachment, "attachment").otherwise(F.col("type")))
+
+
 def catalogue(tables: Mapping[str, DataFrame], infer: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """Catalogue rows of many tables in one job."""
     return reduce(DataFrame.unionByName, [infer(df, name) for name, df in tables.items()])

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vellumark.functions.names import SCHEMA_VERSION, schema_urn_text
 from vellumark.functions.values import XSD_NUMBERS
 from vellumark.functions.xml import element, escape_text, ordered_text, wrapped
 from vellumark.session import stored
@@ -267,10 +268,10 @@ def _field_xsd(depth: int, children: Column) -> Column:
     )
 
 
-def _xsd_document(fields: Column, holding: str, root: str, child: str, version: str = "1.0") -> Column:
+def _xsd_document(fields: Column, holding: str, root: str, child: str, version: str = SCHEMA_VERSION) -> Column:
     head = [
         '<xs:schema elementFormDefault="qualified"',
-        f'  targetNamespace="urn:eas-samples:en:xsd:{holding.lower()}.{version}"',
+        f'  targetNamespace="{schema_urn_text(holding, version)}"',
         f'  version="{version}" xmlns:xs="http://www.w3.org/2001/XMLSchema">',
         f'  <xs:element name="{root}">',
         "    <xs:complexType>",

@@ -119,16 +119,22 @@ def csv_folder(spark: SparkSession, sf: str) -> str:
     return folder
 
 
-def csv_catalogue(spark: SparkSession, sf: str, flavour: str) -> DataFrame:
-    """Catalogue of the exported folder: relational, strict, json or xsd flavour."""
+FLAVOURS = {
+    "relational": infer_relational,
+    "strict": lambda df, name: infer_relational(df, name, strict=True),
+    "json": infer_json,
+    "xsd": infer_xsd,
+}
+
+
+def csv_catalogues(spark: SparkSession, sf: str, *flavours: str) -> list[DataFrame]:
+    """Catalogues of one exported folder, one per flavour of types."""
     tables = read_csv_folder(spark, csv_folder(spark, sf), with_order=True)
-    infer = {
-        "relational": infer_relational,
-        "strict": lambda df, name: infer_relational(df, name, strict=True),
-        "json": infer_json,
-        "xsd": infer_xsd,
-    }[flavour]
-    return stored(catalogue(tables, infer), "catalogue")
+    return [stored(catalogue(tables, FLAVOURS[f]), "catalogue") for f in flavours]
+
+
+def csv_catalogue(spark: SparkSession, sf: str, flavour: str) -> DataFrame:
+    return csv_catalogues(spark, sf, flavour)[0]
 
 
 def order_documents(spark: SparkSession, sf: str) -> DataFrame:

@@ -568,8 +568,8 @@ def agg_duplicates(spark, sf):
 
 @query
 def agg_infer_relational(spark, sf):
-    lax = inputs.csv_catalogue(spark, sf, "relational").withColumn("mode", F.lit("lax"))
-    return lax.unionByName(inputs.csv_catalogue(spark, sf, "strict").withColumn("mode", F.lit("strict")))
+    lax, strict = inputs.csv_catalogues(spark, sf, "relational", "strict")
+    return lax.withColumn("mode", F.lit("lax")).unionByName(strict.withColumn("mode", F.lit("strict")))
 
 
 @query
@@ -717,23 +717,23 @@ def doc_metadata_xml(spark, sf):
     return schema_docs.metadata_xml(inputs.csv_catalogue(spark, sf, "relational"), "SAP", "SAP")
 
 
-def _json_schemas(spark, sf):
-    catalogue = inputs.csv_catalogue(spark, sf, "json")
+def _json_schemas(catalogue):
     kind = F.when(F.col("name") == "attachment", "attachment").otherwise(F.col("type"))
     return schema_docs.json_schemas(catalogue.withColumn("type", kind))
 
 
 @query
 def doc_json_schema(spark, sf):
-    return _json_schemas(spark, sf)
+    return _json_schemas(inputs.csv_catalogue(spark, sf, "json"))
 
 
 @query
 def doc_xsd(spark, sf):
     """Both ways to an XSD: from inferred types, and from the JSON schemas."""
-    direct = schema_docs.xsd_from_catalogue(inputs.csv_catalogue(spark, sf, "xsd"), inputs.HOLDING)
+    by_xsd, by_json = inputs.csv_catalogues(spark, sf, "xsd", "json")
+    direct = schema_docs.xsd_from_catalogue(by_xsd, inputs.HOLDING)
     converted = schema_docs.xsd_from_json_schemas(
-        _json_schemas(spark, sf), inputs.HOLDING, always_string=values.ALWAYS_STRING
+        _json_schemas(by_json), inputs.HOLDING, always_string=values.ALWAYS_STRING
     )
     return direct.withColumn("origin", F.lit("types")).unionByName(converted.withColumn("origin", F.lit("json")))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -32,14 +31,21 @@ def shared_root(spark: SparkSession) -> str:
     global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
-        return root.rstrip("/")
+        return qualified(spark, root)
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="vellumark-")
+        _local_root = qualified(spark, tempfile.mkdtemp(prefix="vellumark-"))
     return _local_root
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, so that Spark and the tasks mean the same one."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(where).toString().rstrip("/")
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """Unused folder name below the shared root. Nothing is created yet."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
@@ -54,8 +60,3 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def as_uri(path: str) -> str:
-    """Path as a file-system URI; bare paths are taken as files."""
-    return path if "://" in path or path.startswith("file:") else "file://" + os.path.abspath(path)

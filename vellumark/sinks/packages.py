@@ -13,8 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellumark.operators.skew import join_unique
-from vellumark.sources.filesystem import open_file_system
+from vellumark.sources.filesystem import open_file_system, publish
 
+# Names of the two documents in a package.
+PAYLOAD_NAME = "eas_pdi.xml"
+DESCRIPTOR_NAME = "eas_sip.xml"
 ZIP_LIMIT = 2 * 1024**3
 _STAMP = (1980, 1, 1, 0, 0, 0)  # fixed, so equal content gives an equal zip
 _BLOCK = 1 << 20
@@ -38,9 +41,11 @@ class _Digest:
 
 def _write_package(package, folder: str, holding: str, limit: int) -> dict:
     """Write one zip; attachments are streamed from where they lie."""
-    texts = [("eas_pdi.xml", package.payload), ("eas_sip.xml", package.descriptor)]
-    total = sum(len(t.encode()) for _, t in texts) + sum(int(a["size"] or 0) for a in package.files)
     row = {"package_id": package.package_id, "path": None, "files": 0, "bytes": 0, "sha": None, "error": None}
+    if package.payload is None:
+        return {**row, "error": "no records"}
+    texts = [(PAYLOAD_NAME, package.payload), (DESCRIPTOR_NAME, package.descriptor)]
+    total = sum(len(t.encode()) for _, t in texts) + sum(int(a["size"] or 0) for a in package.files)
     absent = sorted(a["name"] for a in package.files if a["path"] is None)
     if absent:
         return {**row, "error": "missing attachment: " + ", ".join(absent)}
@@ -50,7 +55,7 @@ def _write_package(package, folder: str, holding: str, limit: int) -> dict:
     system, root = open_file_system(folder)
     system.create_dir(root, recursive=True)
     target = f"{root}/{holding}_{package.package_id}-{token}.zip"
-    part = f"{target}.{uuid.uuid4().hex}"  # a repeated task never meets a half written file
+    part = f"{root}/_{uuid.uuid4().hex}"  # hidden until it is complete
     with system.open_output_stream(part) as raw:
         out = _Digest(raw)
         with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
@@ -62,7 +67,7 @@ def _write_package(package, folder: str, holding: str, limit: int) -> dict:
                 source, path = open_file_system(a["path"])
                 with source.open_input_stream(path) as data, z.open(info, "w") as entry:
                     shutil.copyfileobj(data, entry, _BLOCK)
-    system.move(part, target)
+    publish(system, part, target)
     row.update(path=target, files=len(texts) + len(package.files), bytes=out.size, sha=out.sha.hexdigest())
     return row
 

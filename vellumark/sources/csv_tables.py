@@ -53,9 +53,15 @@ def read_csv_folder(
     }
 
 
-def valid_rows(df: DataFrame, raw: str | None = None, width: int | None = None) -> DataFrame:
-    """Drop rows that are entirely empty and, given the raw line, rows shorter than the header."""
-    cells = [F.coalesce(F.col(c), F.lit("")) for c in df.columns if c != raw and c not in SOURCE_ORDER]
+def valid_rows(
+    df: DataFrame, raw: str | None = None, width: int | None = None, ignore: tuple[str, ...] = ()
+) -> DataFrame:
+    """Drop rows that are entirely empty and, given the raw line, rows shorter than the header.
+
+    Without the raw line a short row looks like one that ends in empty cells, and stays.
+    """
+    skipped = {raw, *SOURCE_ORDER, *ignore}
+    cells = [F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in df.columns if c not in skipped]
     kept = df.filter(F.length(F.concat(*cells)) > 0)
     if raw is None:
         return kept

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from vellumark.functions.names import base_name
 from vellumark.functions.values import media_type
 from vellumark.session import stored
-from vellumark.sources.filesystem import list_folder, open_file_system
+from vellumark.sources.filesystem import list_folder, open_file_system, publish
 
 HEAD_LINES = 50
 FILES_PER_RUN = 10
@@ -42,7 +42,7 @@ def write_named_texts(df: DataFrame, folder: str) -> str:
                 part = f"{root}/_{uuid.uuid4().hex}"  # hidden until it is complete
                 with system.open_output_stream(part) as out:
                     out.write(text.encode())
-                system.move(part, f"{root}/{name}")
+                publish(system, part, f"{root}/{name}")
             yield pdf[["name"]]
 
     df.select("name", "text").mapInPandas(write, "name string").agg(F.count("name")).first()
@@ -136,6 +136,22 @@ def read_text_heads(spark: SparkSession, folder: str, files: int = FILES_PER_RUN
     return read_texts(chosen).select("name", text_head(F.col("text")).alias("head"))
 
 
+def mark_processed(files: DataFrame) -> DataFrame:
+    """Rename the text files of a listing so that later runs skip them; returns the new names."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            renamed = []
+            for path in pdf["path"]:
+                system, inner = open_file_system(path)
+                target = inner.removesuffix(".txt") + PROCESSED_MARK + ".txt"
+                publish(system, inner, target)
+                renamed.append(target.rsplit("/", 1)[1])
+            yield pdf[["path"]].assign(name=renamed)
+
+    return stored(spread(files).select("path").mapInPandas(run, "path string, name string"), "processed")
+
+
 def attachments(files: DataFrame) -> DataFrame:
     """Add checksum, content_name and mimetype to a listing.
 

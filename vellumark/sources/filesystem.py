@@ -17,6 +17,17 @@ def open_file_system(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
+def publish(system: fs.FileSystem, part: str, target: str) -> None:
+    """Give a finished file its name; one that is there already, from a repeated task, stays."""
+    try:
+        system.move(part, target)
+    except OSError:
+        if system.get_file_info(target).type != fs.FileType.File:
+            raise
+        if system.get_file_info(part).type == fs.FileType.File:
+            system.delete_file(part)
+
+
 def list_folder(uri: str) -> Iterator[pd.DataFrame]:
     """name, path, size, modified of the files directly in a folder, empty ones included."""
     uri = uri.rstrip("/")
