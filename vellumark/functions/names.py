@@ -7,14 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vellumark.functions.formats import RESERVED_NAMES, SCHEMA_VERSION, URN_START
 from vellumark.functions.values import stripped
 
-# Names an XSD document must not use for a field.
-RESERVED_NAMES = ("language", "type", "schema", "element", "complexType", "sequence")
-# Name space of payload documents and its version.
-URN_START = "urn:eas-samples:en:xsd:"
-SCHEMA_VERSION = "1.0"
-
 
 def element_name(name: str) -> str:
     """Column name as an XML element name."""

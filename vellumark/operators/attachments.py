@@ -7,15 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vellumark.functions.formats import DESCRIPTOR_SPACE
 from vellumark.functions.names import base_name, schema_urn, schema_urn_text
 from vellumark.functions.values import media_type, stripped
 from vellumark.functions.xml import element, ordered_text, wrapped
 from vellumark.operators.packing import record_size
 from vellumark.operators.skew import join_unique
 
-# Name space of descriptors.
-DESCRIPTOR_SPACE = "urn:x-emc:ia:schema:sip:1.0"
-
 
 def references(df: DataFrame, record: str, columns: Sequence[str]) -> DataFrame:
     """record, slot, name: one row per filled attachment cell, in column order."""

@@ -10,21 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellumark.functions.names import SCHEMA_VERSION, schema_urn_text
+from vellumark.functions.formats import (
+    ATTACHMENTS_JSON,
+    DRAFT,
+    SCHEMA_VERSION,
+    XSD_ATTACHMENTS,
+    XSD_HEAD,
+    XSD_TAIL,
+)
+from vellumark.functions.names import schema_urn_text
 from vellumark.functions.values import XSD_NUMBERS
 from vellumark.functions.xml import element, escape_text, ordered_text, wrapped
 from vellumark.session import stored
 
-# The fields of an attachment, in order, with their XSD types.
-ATTACHMENT_FIELDS = (
-    ("mimetype", "xs:string"),
-    ("Size", "xs:long"),
-    ("EASFile", "xs:string"),
-    ("checksum", "checksum"),
-    ("FilePath", "xs:string"),
-)
-DRAFT = "http://json-schema.org/draft-07/schema#"
-
 
 def metadata_json(
     catalogue: DataFrame, application: str, schema: str, default_schema: str, locale: str = "en-US"
@@ -111,15 +109,6 @@ def _quoted(text: Column) -> Column:
     return F.substring(listed, F.lit(2), F.length(listed) - 2)
 
 
-_ATTACHMENT_SCHEMA = (
-    '{"type":"object","properties":{"Attachment":{"type":"object","properties":{'
-    '"Size":{"type":"number"},"EASFile":{"type":"string"},"FilePath":{"type":"string"},'
-    '"checksum":{"type":"string","xsd_extension_attributes":{"encoding":"xs:string","algorithm":"xs:string"}},'
-    '"mimetype":{"type":"string"}},'
-    '"xsd_sequence":["mimetype","Size","EASFile","checksum","FilePath"]}},"xsd_sequence":["Attachment"]}'
-)
-
-
 def json_schemas(catalogue: DataFrame, root: str = "Records", child: str = "Record") -> DataFrame:
     """table_name, document: a draft-07 schema per table from json-flavour types.
 
@@ -127,7 +116,7 @@ def json_schemas(catalogue: DataFrame, root: str = "Records", child: str = "Reco
     """
     kind = F.col("type")
     prop = (
-        F.when(kind == "attachment", F.lit(_ATTACHMENT_SCHEMA))
+        F.when(kind == "attachment", F.lit(ATTACHMENTS_JSON))
         .when(kind == "number", F.lit('{"type":"number"}'))
         .when(kind.isin("date", "date-time"), F.concat(F.lit('{"type":"string","format":"'), kind, F.lit('"}')))
         .otherwise(F.lit('{"type":"string"}'))
@@ -268,28 +257,9 @@ def _field_xsd(depth: int, children: Column) -> Column:
     )
 
 
-def _xsd_document(fields: Column, holding: str, root: str, child: str, version: str = SCHEMA_VERSION) -> Column:
-    head = [
-        '<xs:schema elementFormDefault="qualified"',
-        f'  targetNamespace="{schema_urn_text(holding, version)}"',
-        f'  version="{version}" xmlns:xs="http://www.w3.org/2001/XMLSchema">',
-        f'  <xs:element name="{root}">',
-        "    <xs:complexType>",
-        '      <xs:sequence maxOccurs="unbounded">',
-        f'        <xs:element name="{child}" >',
-        "          <xs:complexType>",
-        "            <xs:sequence>",
-    ]
-    tail = [
-        "            </xs:sequence>",
-        "          </xs:complexType>",
-        "        </xs:element>",
-        "      </xs:sequence>",
-        "    </xs:complexType>",
-        "  </xs:element>",
-        "</xs:schema>",
-    ]
-    return F.concat(F.lit("\n".join(head) + "\n"), F.coalesce(fields, F.lit("")), F.lit("\n".join(tail)))
+def _xsd_document(fields: Column, holding: str, root: str, child: str) -> Column:
+    head = XSD_HEAD.format(urn=schema_urn_text(holding), version=SCHEMA_VERSION, root=root, child=child)
+    return F.concat(F.lit(head), F.coalesce(fields, F.lit("")), F.lit(XSD_TAIL))
 
 
 def xsd_from_json_schemas(
@@ -317,33 +287,6 @@ def xsd_from_json_schemas(
     return inner.select("table_name", _xsd_document(F.col("children"), holding, root, child).alias("xsd"))
 
 
-def _attachments_block() -> str:
-    """XSD of the optional attachments of a record."""
-    pad = " " * 14
-    lines = [
-        '<xs:element name="Attachments" minOccurs="0">',
-        "  <xs:complexType>",
-        '    <xs:sequence maxOccurs="unbounded" minOccurs="0">',
-        '      <xs:element name="Attachment">',
-        "        <xs:complexType>",
-        "          <xs:sequence>",
-    ]
-    for name, kind in ATTACHMENT_FIELDS:
-        if kind != "checksum":
-            lines.append(f'            <xs:element name="{name}" type="{kind}" minOccurs="0"/>')
-            continue
-        lines.append(f'            <xs:element name="{name}" minOccurs="0">')
-        lines += ["              <xs:complexType>", "                <xs:simpleContent>"]
-        lines.append('                  <xs:extension base="xs:string">')
-        for attribute in ("algorithm", "encoding"):
-            lines.append(f'                    <xs:attribute name="{attribute}" type="xs:string" use="required"/>')
-        lines += ["                  </xs:extension>", "                </xs:simpleContent>"]
-        lines += ["              </xs:complexType>", "            </xs:element>"]
-    lines += ["          </xs:sequence>", "        </xs:complexType>", "      </xs:element>"]
-    lines += list(_CLOSE_FIELDS)
-    return "".join(pad + line + "\n" for line in lines)
-
-
 def xsd_from_catalogue(catalogue: DataFrame, holding: str, root: str = "Records", child: str = "Record") -> DataFrame:
     """table_name, xsd: from xsd-flavour types; the attachment column becomes the block."""
     line = _lines(
@@ -352,7 +295,7 @@ def xsd_from_catalogue(catalogue: DataFrame, holding: str, root: str = "Records"
             F.lit('<xs:element name="'), escape_text(F.col("name")), F.lit('" type="'), F.col("type"), F.lit('"/>')
         ),
     )
-    text = F.when(F.col("type") == "attachment", F.lit(_attachments_block())).otherwise(line)
+    text = F.when(F.col("type") == "attachment", F.lit(XSD_ATTACHMENTS)).otherwise(line)
     grouped = (
         catalogue.withColumn("_x", text)
         .groupBy("table_name")

@@ -6,10 +6,19 @@ Queries that fit or train a model have none; tests check their properties.
 from __future__ import annotations
 
 from vellumark.functions import kinds
-from vellumark.functions.names import RESERVED_NAMES
+from vellumark.functions.formats import (
+    ATTACHMENTS_JSON,
+    DESCRIPTOR_SPACE,
+    DRAFT,
+    RESERVED_NAMES,
+    SCHEMA_VERSION,
+    URN_START,
+    XSD_ATTACHMENTS,
+    XSD_HEAD,
+    XSD_TAIL,
+)
 from vellumark.functions.values import TYPE_NAMES
 from vellumark.operators import enrichment
-from vellumark.operators.schema_docs import ATTACHMENT_FIELDS, DRAFT
 from vellumark.plans.inputs import (
     APPLICATION,
     CHUNK,
@@ -216,7 +225,7 @@ PAYLOADS = PACKED + f""", attached AS (SELECT doc_id, string_agg({_ATTACHMENT},
 fragments AS (SELECT doc_id, '<Record>' || {_META} || '<Attachments>' || a || '</Attachments></Record>' AS x
   FROM recs JOIN attached USING (doc_id)),
 payloads AS (SELECT package_id, count(*) AS aiu_count,
-  '<Records xmlns="urn:eas-samples:en:xsd:{HOLDING.lower()}.1.0">' || string_agg(x, '' ORDER BY position)
+  '<Records xmlns="{URN_START}{HOLDING.lower()}.1.0">' || string_agg(x, '' ORDER BY position)
   || '</Records>' AS payload FROM fragments JOIN packed USING (doc_id) GROUP BY package_id)"""
 
 USERS = """users AS (SELECT c_custkey AS id,
@@ -402,7 +411,7 @@ FROM meta WHERE document_type IS NOT NULL AND creator IS NOT NULL"""
 ORACLES["prj_run_metrics_view"] = """SELECT event_id AS id, event_type AS "ProcessName",
   'run-' || event_id AS "InstanceId", strftime(ts, '%Y-%m-%d %H:%M:%S') AS execution_date,
   user_id AS records_processed, CASE WHEN event_type = 'error' THEN user_id ELSE 0 END AS records_failed FROM events"""
-ORACLES["scl_ids"] = f"""SELECT doc_id, 'urn:eas-samples:en:xsd:' || lower(source) || '.1.0' AS urn,
+ORACLES["scl_ids"] = f"""SELECT doc_id, '{URN_START}' || lower(source) || '.1.0' AS urn,
   {number_of('source', 'CAST(doc_id AS VARCHAR)')} AS package_number,
   {uuid_of('source', 'CAST(doc_id AS VARCHAR)', 'text')} AS point_id FROM documents"""
 
@@ -559,13 +568,7 @@ SELECT '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>' || chr(10)
   || '<name>SAP</name><tableCount>' || count(*) || '</tableCount><tableMetadataList>'
   || string_agg(x, '' ORDER BY table_name)
   || '</tableMetadataList></schemaMetadata></schemaMetadataList></metadata>' AS document FROM t"""
-_ATTACHMENT_JSON = (
-    '{"type":"object","properties":{"Attachment":{"type":"object","properties":{"Size":{"type":"number"},'
-    '"EASFile":{"type":"string"},"FilePath":{"type":"string"},"checksum":{"type":"string",'
-    '"xsd_extension_attributes":{"encoding":"xs:string","algorithm":"xs:string"}},"mimetype":{"type":"string"}},'
-    '"xsd_sequence":["mimetype","Size","EASFile","checksum","FilePath"]}},"xsd_sequence":["Attachment"]}'
-)
-_PROPERTY = f"""to_json(name) || ':' || CASE WHEN name = 'attachment' THEN '{_ATTACHMENT_JSON}'
+_PROPERTY = f"""to_json(name) || ':' || CASE WHEN name = 'attachment' THEN '{ATTACHMENTS_JSON}'
   WHEN type = 'number' THEN '{{"type":"number"}}'
   WHEN type IN ('date', 'date-time') THEN '{{"type":"string","format":"' || type || '"}}'
   ELSE '{{"type":"string"}}' END"""
@@ -575,80 +578,48 @@ ORACLES["doc_json_schema"] = f"""WITH {JSON_CATALOGUE} SELECT table_name,
   || string_agg(CAST(to_json(name) AS VARCHAR), ',' ORDER BY ordinal) || ']}}}},"xsd_sequence":["Record"]}}' AS document
 FROM catalogue GROUP BY table_name"""
 
-_HEAD = f"""<xs:schema elementFormDefault="qualified"
-  targetNamespace="urn:eas-samples:en:xsd:{HOLDING.lower()}.1.0"
-  version="1.0" xmlns:xs="http://www.w3.org/2001/XMLSchema">
-  <xs:element name="Records">
-    <xs:complexType>
-      <xs:sequence maxOccurs="unbounded">
-        <xs:element name="Record" >
-          <xs:complexType>
-            <xs:sequence>
+_HEAD = XSD_HEAD.format(urn=f"{URN_START}{HOLDING.lower()}.{SCHEMA_VERSION}", version="1.0", root="Records", child="Record")
+# A column called attachment, as its JSON schema renders.
+_NESTED = """\
+              <xs:element name="attachment">
+                <xs:complexType>
+                  <xs:sequence>
+                    <xs:element name="Attachment">
+                      <xs:complexType>
+                        <xs:sequence>
+                          <xs:element name="mimetype" type="xs:string"/>
+                          <xs:element name="Size" type="xs:decimal"/>
+                          <xs:element name="EASFile" type="xs:string"/>
+                          <xs:element name="checksum" minOccurs="0">
+                            <xs:complexType>
+                              <xs:simpleContent>
+                                <xs:extension base="xs:string">
+                                  <xs:attribute name="encoding" type="xs:string" use="required"/>
+                                  <xs:attribute name="algorithm" type="xs:string" use="required"/>
+                                </xs:extension>
+                              </xs:simpleContent>
+                            </xs:complexType>
+                          </xs:element>
+                          <xs:element name="FilePath" type="xs:string"/>
+                        </xs:sequence>
+                      </xs:complexType>
+                    </xs:element>
+                  </xs:sequence>
+                </xs:complexType>
+              </xs:element>
 """
-_TAIL = """            </xs:sequence>
-          </xs:complexType>
-        </xs:element>
-      </xs:sequence>
-    </xs:complexType>
-  </xs:element>
-</xs:schema>"""
-
-
-def _checksum(pad: str, attributes: tuple[str, ...]) -> str:
-    inner = "".join(
-        f'{pad}        <xs:attribute name="{a}" type="xs:string" use="required"/>\n' for a in attributes
-    )
-    return (
-        f'{pad}<xs:element name="checksum" minOccurs="0">\n{pad}  <xs:complexType>\n{pad}    <xs:simpleContent>\n'
-        f'{pad}      <xs:extension base="xs:string">\n{inner}{pad}      </xs:extension>\n'
-        f"{pad}    </xs:simpleContent>\n{pad}  </xs:complexType>\n{pad}</xs:element>\n"
-    )
-
-
-_MANY = ' maxOccurs="unbounded" minOccurs="0"'
-
-
-def _container(pad: str, head: str, body: str) -> str:
-    return (
-        f"{pad}{head}\n{pad}  <xs:complexType>\n{pad}    <xs:sequence{'' if 'minOccurs' not in head else _MANY}>\n"
-        f"{body}{pad}    </xs:sequence>\n{pad}  </xs:complexType>\n{pad}</xs:element>\n"
-    )
-
-
-def _attachment_fields(pad: str, optional: bool) -> str:
-    out = ""
-    for name, kind in ATTACHMENT_FIELDS:
-        if kind == "checksum":
-            out += _checksum(pad, ("algorithm", "encoding") if optional else ("encoding", "algorithm"))
-        elif optional:
-            out += f'{pad}<xs:element name="{name}" type="{kind}" minOccurs="0"/>\n'
-        else:
-            shown = "xs:decimal" if name == "Size" else "xs:string"
-            out += f'{pad}<xs:element name="{name}" type="{shown}"/>\n'
-    return out
-
-
-_P14, _P20, _P26 = " " * 14, " " * 20, " " * 26
-_BLOCK = _container(
-    _P14, '<xs:element name="Attachments" minOccurs="0">',
-    _container(_P20, '<xs:element name="Attachment">', _attachment_fields(_P26, True)),
-)
-_NESTED = _container(
-    _P14, '<xs:element name="attachment">',
-    _container(_P20, '<xs:element name="Attachment">', _attachment_fields(_P26, False)),
-)
 
 
 def xsd_text(catalogue_name: str, type_expr: str, attachment: str, is_attachment: str) -> str:
-    line = f"""CASE WHEN {is_attachment} THEN {quoted(attachment)} ELSE '{_P14}<xs:element name="' || name
+    line = f"""CASE WHEN {is_attachment} THEN {quoted(attachment)} ELSE '{' ' * 14}<xs:element name="' || name
   || '" type="' || {type_expr} || '"/>' || chr(10) END"""
-    return f"""SELECT table_name, {quoted(_HEAD)} || string_agg({line}, '' ORDER BY ordinal) || {quoted(_TAIL)} AS xsd
+    return f"""SELECT table_name, {quoted(_HEAD)} || string_agg({line}, '' ORDER BY ordinal) || {quoted(XSD_TAIL)} AS xsd
 FROM {catalogue_name} GROUP BY table_name"""
 
 
 _JSON_XSD = "CASE type WHEN 'number' THEN 'xs:decimal' WHEN 'date' THEN 'xs:date' WHEN 'date-time' THEN 'xs:dateTime' ELSE 'xs:string' END"
 ORACLES["doc_xsd"] = f"""SELECT *, 'types' AS origin FROM (WITH {XSD_CATALOGUE}
-  {xsd_text('xsd_catalogue', 'type', _BLOCK, "type = 'attachment'")})
+  {xsd_text('xsd_catalogue', 'type', XSD_ATTACHMENTS, "type = 'attachment'")})
 UNION ALL SELECT *, 'json' AS origin FROM (WITH {JSON_CATALOGUE}
   {xsd_text('catalogue', _JSON_XSD, _NESTED, "name = 'attachment'")})"""
 ORACLES["doc_xsd_columns"] = f"""WITH {XSD_CATALOGUE} SELECT table_name, ordinal,
@@ -664,8 +635,8 @@ ORACLES["pkg_payload_xml"] = f"WITH RECURSIVE {PAYLOADS} SELECT package_id, payl
 _ID = number_of(f"'{HOLDING}'", "CAST(package_id AS VARCHAR)")
 ORACLES["pkg_descriptor"] = f"""WITH RECURSIVE {PACKED}, n AS (SELECT package_id, count(*) AS aiu_count, {_ID} AS id
   FROM packed GROUP BY package_id)
-SELECT package_id, id, aiu_count, '<sip xmlns="urn:x-emc:ia:schema:sip:1.0"><dss><holding>{HOLDING}</holding><id>'
-  || id || '</id><pdi_schema>urn:eas-samples:en:xsd:{HOLDING.lower()}.1.0</pdi_schema>'
+SELECT package_id, id, aiu_count, '<sip xmlns="{DESCRIPTOR_SPACE}"><dss><holding>{HOLDING}</holding><id>'
+  || id || '</id><pdi_schema>{URN_START}{HOLDING.lower()}.1.0</pdi_schema>'
   || '<production_date>{STAMP}</production_date><base_retention_date>{STAMP}</base_retention_date>'
   || '<producer>{APPLICATION}</producer><entity>{APPLICATION}</entity><priority>0</priority>'
   || '<application>{APPLICATION}</application></dss><production_date>{STAMP}</production_date><seqno>1</seqno>'

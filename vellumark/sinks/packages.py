@@ -12,12 +12,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vellumark.functions.formats import DESCRIPTOR_NAME, PAYLOAD_NAME
 from vellumark.operators.skew import join_unique
 from vellumark.sources.filesystem import open_file_system, publish
 
-# Names of the two documents in a package.
-PAYLOAD_NAME = "eas_pdi.xml"
-DESCRIPTOR_NAME = "eas_sip.xml"
 ZIP_LIMIT = 2 * 1024**3
 _STAMP = (1980, 1, 1, 0, 0, 0)  # fixed, so equal content gives an equal zip
 _BLOCK = 1 << 20
