@@ -119,6 +119,13 @@ def summaries(df: DataFrame, key: str = "doc_id", text: str = "text", top: int =
     )
 
 
+def _counted_rows(df: DataFrame, key: str, found: Column) -> DataFrame:
+    """key, kind, value, occurrences of an array of (kind, value), counted within the row."""
+    return df.select(key, F.explode(_counted(found)).alias("c")).select(
+        key, "c.term.kind", "c.term.value", F.col("c.n").alias("occurrences")
+    )
+
+
 def _matches(text: Column, kind: str, pattern: str) -> Column:
     """Array of (kind, value) for every match."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -128,19 +135,11 @@ def _matches(text: Column, kind: str, pattern: str) -> Column:
 def entities(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, kind, value, occurrences: dates, capitalised names, and listed places."""
     body = F.col(text)
-    found = F.concat(
-        _matches(body, "date", DAY_PATTERN),
-        _matches(body, "name", NAME_PATTERN),
-        _matches(body, "word", WORD_PATTERN),
-    )
-    counted = (
-        df.select(key, F.explode(found).alias("e"))
-        .groupBy(key, "e.kind", "e.value")
-        .agg(F.count("*").alias("occurrences"))
-    )
-    words = counted.filter("kind = 'word'").drop("kind")
-    places = words.join(gazetteer.select(F.col("name").alias("value")).distinct(), "value")
-    return counted.filter("kind <> 'word'").unionByName(places.withColumn("kind", F.lit("place")))
+    found = F.concat(_matches(body, "date", DAY_PATTERN), _matches(body, "name", NAME_PATTERN))
+    listed = gazetteer.select(F.col("name").alias("value")).distinct()
+    words = _counted_rows(df, key, _matches(body, "place", WORD_PATTERN))
+    places = join_unique(words, listed, "value", "left_semi")
+    return _counted_rows(df, key, found).unionByName(places)
 
 
 def luhn_valid(number: Column) -> Column:
@@ -156,14 +155,10 @@ def luhn_valid(number: Column) -> Column:
 
 
 def personal_data(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, kind, value, occurrences; card numbers must pass the check digit. Map-only up to the count."""
+    """key, kind, value, occurrences; card numbers must pass the check digit. Map-only."""
     found = F.concat(*[_matches(F.col(text), kind, pattern) for kind, pattern in PII_PATTERNS.items()])
-    values = df.select(key, F.explode(found).alias("e")).select(key, "e.kind", "e.value")
-    return (
-        values.filter((F.col("kind") != "card") | luhn_valid(F.col("value")))
-        .groupBy(key, "kind", "value")
-        .agg(F.count("*").alias("occurrences"))
-    )
+    kept = F.filter(found, lambda e: (e["kind"] != "card") | luhn_valid(e["value"]))
+    return _counted_rows(df, key, kept)
 
 
 def intents(

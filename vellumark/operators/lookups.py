@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellumark.operators.skew import hot_keys, join_unique
+from vellumark.session import stored
 
 
 def export_routes(requests: DataFrame, routes: DataFrame, key: str = "table_name") -> DataFrame:
@@ -54,7 +55,7 @@ def resolve_paths(requests: DataFrame, paths: dict[str, DataFrame]) -> DataFrame
     The full path is looked up first; only misses ask how far the walk got.
     """
     full = ["application", "schema_name", "table_name"]
-    found = requests.select(*full).distinct().join(paths["table"], full, "left")
+    found = stored(requests.select(*full).distinct().join(paths["table"], full, "left"), "paths")
     missed = found.filter(F.col("href").isNull()).drop("href")
     known_schema = paths["schema"].select("application", "schema_name", F.lit(True).alias("_schema"))
     known_app = paths["application"].withColumn("_app", F.lit(True))

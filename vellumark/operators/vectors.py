@@ -70,9 +70,8 @@ def upsert_points(new: DataFrame, collection: str, version: str, previous: str |
 def quantize_int8(df: DataFrame, vector: str = "vector") -> DataFrame:
     """Add `code` (array of tinyint) and `max_error`: the collection's range in 256 steps."""
     wide = F.transform(vector, lambda x: x.cast("double"))
-    low = df.agg(F.min(F.array_min(wide))).scalar()
-    high = df.agg(F.max(F.array_max(wide))).scalar()
-    ranged = df.withColumns({"_v": wide, "_low": low, "_high": high})
+    span = df.agg(F.struct(F.min(F.array_min(wide)).alias("low"), F.max(F.array_max(wide)).alias("high"))).scalar()
+    ranged = df.withColumns({"_v": wide, "_low": span["low"], "_high": span["high"]})
     step = F.when(F.col("_high") > F.col("_low"), (F.col("_high") - F.col("_low")) / 255).otherwise(F.lit(1.0))
     coded = ranged.withColumn("_step", step).withColumn(
         "code",
