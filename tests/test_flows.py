@@ -94,9 +94,15 @@ def test_report_metadata(spark, tmp_path):
     summary = flows.report_metadata(df, str(tmp_path / "r"), "2020-01-02 00:00:00").first()
     assert len(summary.analyses) == 11
     ages = json.loads(spark.read.text(summary.analyses.document_age).first()[0])
-    assert ages["age_bin"][0] == "0-1" and sum(ages["count"]) == 30
+    assert ages["age_bins"][0] == "0-1" and sum(ages["counts"]) == 30
+    complete = json.loads(spark.read.text(summary.analyses.metadata_completeness).first()[0])
+    assert complete["creator"] == 100.0 and set(complete) == {"document_type", "creator", "retention_policy"}
+    months = json.loads(spark.read.text(summary.analyses.monthly_growth).first()[0])
+    assert months[0] == {"month": "2000-01", "new_docs": 6, "cumulative_total": 6}
+    labels = json.loads(spark.read.text(summary.analyses.sensitivity_label_recommendations).first()[0])
+    assert set(labels) == {r[0] for r in rows if r[4] is None}
     status = json.loads(spark.read.text(summary.analyses.document_status).first()[0])
-    assert status == {"label": ["final"], "count": [120], "percentage": [100.0]}
+    assert status == {"labels": ["final"], "counts": [120], "percentages": [100.0]}
 
 
 def test_prepare_and_enrich(spark, tmp_path):

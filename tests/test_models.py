@@ -56,6 +56,8 @@ def test_label_suggestions(spark, seed):
 
 
 def test_label_suggestions_need_three(spark):
+    none = spark.createDataFrame([(2, None, "u")], "doc_id int, sensitivity_labels string, modifier string")
+    assert label_suggestions.suggest_labels(none, "doc_id").count() == 0
     df = spark.createDataFrame([(1, "x", "u"), (2, None, "u")], "doc_id int, sensitivity_labels string, modifier string")
     with pytest.raises(ValueError):
         label_suggestions.suggest_labels(df, "doc_id")

@@ -84,6 +84,10 @@ def test_metrics_are_unique(spark, tmp_path):
     path = str(tmp_path / "m")
     ledger.append_metrics(run, path)
     assert ledger.append_metrics(run, path).count() == 1
+    more = run.withColumn("run_id", F.explode(F.array(F.lit("r0"), F.lit("r1"), F.lit("r2")))).drop("records_failed")
+    rows = ledger.append_metrics(more, path).orderBy("id").collect()
+    assert [(r.id, r.run_id, r.records_failed) for r in rows] == [(1, "r1", 2), (2, "r0", 0), (3, "r2", 0)]
+    assert all(r.recorded_at and r.reserved5 is None for r in rows)
 
 
 def test_upsert_modes(spark):
@@ -116,8 +120,11 @@ def test_replace_load_switches_all_tables(spark, tmp_path):
 def test_reports(spark, tmp_path):
     small = spark.createDataFrame([("x", 1), (None, 2)], "label string, count long")
     assert tables.report_document(small).first()[0] == '{"label":[null,"x"],"count":[2,1]}'
+    assert tables.report_document(small, "records").first()[0] == '[{"label":null,"count":2},{"label":"x","count":1}]'
+    assert tables.report_document(small.filter("count = 1"), "mapping").first()[0] == '{"x":1}'
+    assert tables.report_document(small.filter("count = 1"), "object").first()[0] == '{"label":"x","count":1}'
     assert tables.report_document(small, limit=1).count() == 2
-    summary = tables.write_reports({"one": small}, str(tmp_path), "2025-01-01T00:00:00").first()
+    summary = tables.write_reports({"one": tables.report_document(small)}, str(tmp_path), "2025-01-01T00:00:00").first()
     assert summary.analyses.one.endswith("/one")
     assert not tables.dump_csv(spark.range(0), str(tmp_path / "none"))
 

@@ -16,19 +16,19 @@ from vellumark.operators.skew import join_unique
 
 
 def references(df: DataFrame, record: str, columns: Sequence[str]) -> DataFrame:
-    """record, slot, name: one row per filled attachment cell, in column order."""
+    """record, slot, name, path: one row per filled attachment cell, in column order."""
     cells = F.array(*[stripped(F.col("`" + c + "`")) for c in columns])
     return (
         df.select(record, F.posexplode(cells).alias("slot", "path"))
         .filter(F.col("path") != "")
-        .select(record, "slot", base_name(F.col("path")).alias("name"))
+        .select(record, "slot", base_name(F.col("path")).alias("name"), "path")
     )
 
 
 def path_references(df: DataFrame, record: str, paths: Column) -> DataFrame:
     """The same for one column that holds an array of paths."""
     return df.select(record, F.posexplode(paths).alias("slot", "path")).select(
-        record, "slot", base_name(F.col("path")).alias("name")
+        record, "slot", base_name(F.col("path")).alias("name"), "path"
     )
 
 
@@ -151,7 +151,7 @@ RECORD_JSON = (
 
 
 def write_records_json(
-    df: DataFrame, record: str, meta_columns: Sequence[str], matched: DataFrame, folder: str, path: str
+    df: DataFrame, record: str, meta_columns: Sequence[str], matched: DataFrame, path: str
 ) -> str:
     """Records with nested attachments, one JSON object per line.
 
@@ -165,7 +165,7 @@ def write_records_json(
         F.coalesce("size", F.lit(0)).alias("Size"),
         F.concat(F.lit("ea_"), digest).alias("EASFile"),
         "checksum",
-        F.concat(F.lit(folder + "/"), "name").alias("FilePath"),
+        F.col("path").alias("FilePath"),
     )
     attached = matched.groupBy(record).agg(F.sort_array(F.collect_list(entry)).alias("_a"))
     inner = F.transform(

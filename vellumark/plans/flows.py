@@ -103,7 +103,7 @@ def build_packages(
     listing = sources.list_files(spark, folder)
     refs = att.references(rows, "position", attached) if attached else None
     if refs is None:
-        refs = spark.createDataFrame([], "position bigint, slot int, name string")
+        refs = spark.createDataFrame([], "position bigint, slot int, name string, path string")
     # Only files that records refer to are digested.
     used = listing.join(refs.select("name").distinct(), "name", "left_semi")
     files = stored(sources.attachments(used), "attachments")
@@ -124,7 +124,8 @@ def build_packages(
     return stored(packages.write_packages(with_files, out, holding), "packages")
 
 
-REPORT_COMPLETENESS = ("document_type", "creator", "retention_policies")
+# Columns of the completeness report and their names in it.
+REPORT_COMPLETENESS = {"document_type": "document_type", "creator": "creator", "retention_policies": "retention_policy"}
 
 
 def report_metadata(documents: DataFrame, out: str, as_of: str, key: str = "filename") -> DataFrame:
@@ -132,19 +133,28 @@ def report_metadata(documents: DataFrame, out: str, as_of: str, key: str = "file
     documents = stored(documents, "documents")
     spark = documents.sparkSession
     unusual = outliers.forest_outliers(documents, key).select("filename", "creator", "last_modified")
-    suggested = label_suggestions.suggest_labels(documents, key)
+    suggested = label_suggestions.suggest_labels(documents, key).groupBy(key).agg(F.max("suggestion").alias("label"))
+    ages = aggregates.age_bins(spark, aggregates.age_counts(documents, "creation_date", as_of))
+    complete = aggregates.completeness(documents, list(REPORT_COMPLETENESS)).groupBy().pivot(
+        "column", list(REPORT_COMPLETENESS)
+    ).agg(F.first("complete")).withColumnsRenamed(REPORT_COMPLETENESS)
+    months = aggregates.monthly_volume(documents, "creation_date")
+    repeated = aggregates.duplicates(documents, ["folder_path", "filename"])
+    by_label = aggregates.shares(documents, "sensitivity_labels")
     reports = {
-        "document_types": aggregates.shares(documents, "document_type"),
-        "document_age": aggregates.age_bins(spark, aggregates.age_counts(documents, "creation_date", as_of)),
-        "monthly_growth": aggregates.monthly_volume(documents, "creation_date"),
-        "metadata_completeness": aggregates.completeness(documents, REPORT_COMPLETENESS),
-        "classification": aggregates.shares(documents, "sensitivity_labels", ordered=False),
-        "duplicate_analysis": aggregates.duplicates(documents, ["folder_path", "filename"]),
-        "document_status": aggregates.shares(documents, "document_status"),
-        "sensitivity_labels": aggregates.shares(documents, "sensitivity_labels"),
-        "retention_policies": aggregates.shares(documents, "retention_policies"),
-        "outlier_documents": unusual,
-        "sensitivity_label_recommendations": suggested,
+        "document_types": tables.shares_document(aggregates.shares(documents, "document_type")),
+        "document_age": tables.report_document(
+            ages.select(F.col("age_bin").alias("age_bins"), F.col("count").alias("counts"))
+        ),
+        "monthly_growth": tables.report_document(months, "records"),
+        "metadata_completeness": tables.report_document(complete, "object"),
+        "classification": tables.shares_document(by_label),
+        "duplicate_analysis": tables.report_document(repeated, "object"),
+        "document_status": tables.shares_document(aggregates.shares(documents, "document_status")),
+        "sensitivity_labels": tables.shares_document(by_label),
+        "retention_policies": tables.shares_document(aggregates.shares(documents, "retention_policies")),
+        "outlier_documents": tables.report_document(unusual, "records"),
+        "sensitivity_label_recommendations": tables.report_document(suggested, "mapping"),
     }
     return tables.write_reports(reports, out, as_of)
 

@@ -182,12 +182,12 @@ docs AS (SELECT chunk_id, rows, CAST(strlen(payload) AS BIGINT) AS bytes, sha256
 
 ATTACHED = f"""recs AS (SELECT doc_id, lang, source, n_chars, 'doc_' || doc_id || '.txt' AS a0,
   CASE WHEN lang <> 'en' THEN 'doc_' || (doc_id - doc_id % 10) || '.txt' END AS a1 FROM documents),
-refs AS (SELECT doc_id, 0 AS slot, a0 AS name FROM recs UNION ALL
-  SELECT doc_id, 1 AS slot, a1 AS name FROM recs WHERE a1 IS NOT NULL),
+refs AS (SELECT doc_id, 0 AS slot, a0 AS name, '{FOLDER}/' || a0 AS path FROM recs UNION ALL
+  SELECT doc_id, 1 AS slot, a1 AS name, '{FOLDER}/shared/' || a1 AS path FROM recs WHERE a1 IS NOT NULL),
 all_files AS (SELECT lang, 'doc_' || doc_id || '.txt' AS name, CAST(strlen(text) AS BIGINT) AS size,
   to_base64(unhex(sha256(text))) AS checksum FROM documents)"""
-MATCHED = ATTACHED + """, matched AS (SELECT r.doc_id, r.slot, r.name, f.size, f.checksum, 'text/plain' AS mimetype
-  FROM refs r LEFT JOIN all_files f USING (name))"""
+MATCHED = ATTACHED + """, matched AS (SELECT r.doc_id, r.slot, r.name, r.path, f.size, f.checksum,
+  'text/plain' AS mimetype FROM refs r LEFT JOIN all_files f USING (name))"""
 
 
 def greedy(sizes: str) -> str:
@@ -282,12 +282,12 @@ SELECT CAST(0 AS BIGINT) AS batch_id, chunk_id, rows, bytes, sha, CASE WHEN digi
 UNION ALL SELECT 0, chunk_id, rows, bytes, sha, 201, 1 FROM docs WHERE digit < 4"""
 _TOTALS = """CAST(sum(rows) AS BIGINT) AS {0}, CAST(coalesce(sum(rows) FILTER (WHERE digit >= 4), 0) AS BIGINT) AS {1},
   CAST(coalesce(sum(rows) FILTER (WHERE digit < 4), 0) AS BIGINT) AS {2}"""
-ORACLES["sink_run_metrics"] = f"""WITH {ORDER_DOCS} SELECT 'archive_orders' AS dag_id, 'run-1' AS run_id,
+ORACLES["sink_run_metrics"] = f"""WITH {ORDER_DOCS} SELECT CAST(1 AS BIGINT) AS id, 'archive_orders' AS dag_id, 'run-1' AS run_id,
   {_TOTALS.format('records_processed', 'records_successful', 'records_failed')} FROM docs"""
 ORACLES["sink_json_report"] = f"WITH {META} " + " UNION ALL ".join(
-    f"""SELECT '{analysis}' AS analysis, CAST(to_json(struct_pack(label := list(label ORDER BY label NULLS FIRST),
-  count := list(count ORDER BY label NULLS FIRST), percentage := list(percentage ORDER BY label NULLS FIRST)))
-  AS VARCHAR) AS report FROM ({shares('meta', column)})"""
+    f"""SELECT '{analysis}' AS analysis, CAST(to_json(struct_pack(labels := list(label ORDER BY count DESC, label NULLS FIRST),
+  counts := list(count ORDER BY count DESC, label NULLS FIRST),
+  percentages := list(percentage ORDER BY count DESC, label NULLS FIRST))) AS VARCHAR) AS report FROM ({shares('meta', column)})"""
     for analysis, column in (
         ("document_types", "document_type"),
         ("document_status", "document_status"),
@@ -300,7 +300,7 @@ ORACLES["sink_csv_dump"] = f"""WITH {META} SELECT CAST(doc_id AS VARCHAR) AS doc
 ORACLES["sink_pdi_json"] = f"""WITH {MATCHED} SELECT m.doc_id, r.lang,
   CAST(row_number() OVER (PARTITION BY m.doc_id ORDER BY m.slot) - 1 AS INTEGER) AS slot, m.mimetype,
   coalesce(m.size, 0) AS "Size", 'ea_' || lower(hex(from_base64(m.checksum))) AS "EASFile", m.checksum,
-  '{FOLDER}/' || m.name AS "FilePath" FROM matched m JOIN recs r USING (doc_id)"""
+  m.path AS "FilePath" FROM matched m JOIN recs r USING (doc_id)"""
 
 _TERMS = rf"regexp_extract_all(lower(text), '{enrichment.TERM}')"
 _HITS = ", ".join(
@@ -421,7 +421,7 @@ AGES = """ages AS (SELECT date_diff('day', o_orderdate, TIMESTAMP '2001-08-02 00
   count(*) AS count FROM orders GROUP BY 1)"""
 ORACLES["join_age_bins"] = f"""WITH {AGES} SELECT y AS age_years, y || '-' || (y + 1) AS age_bin,
   coalesce(count, 0) AS count FROM range(6) r(y) LEFT JOIN ages ON age_years = y"""
-ORACLES["join_attachments"] = f"""WITH {ATTACHED} SELECT r.doc_id, r.slot, r.name, f.size, f.checksum,
+ORACLES["join_attachments"] = f"""WITH {ATTACHED} SELECT r.doc_id, r.slot, r.name, r.path, f.size, f.checksum,
   'text/plain' AS mimetype FROM refs r LEFT JOIN all_files f ON f.name = r.name AND f.lang <> 'es'"""
 ORACLES["join_missing_attachments"] = f"""WITH {ATTACHED} SELECT DISTINCT name FROM refs
 WHERE name NOT IN (SELECT name FROM all_files WHERE lang <> 'es')"""

@@ -174,18 +174,20 @@ def sink_run_metrics(spark, sf):
     run = ledgers.run_metrics(totals, "archive_orders", "run-1", "2025-07-09 10:00:00+00")
     path = new_folder(spark, "metrics")
     ledgers.append_metrics(run, path)
-    return ledgers.append_metrics(run, path).drop("execution_date", "notes")
+    table_ = ledgers.append_metrics(run, path)
+    return table_.select("id", "dag_id", "run_id", "records_processed", "records_successful", "records_failed")
 
 
 @query
 def sink_json_report(spark, sf):
     meta = stored(inputs.documents_meta(spark, sf), "meta")
-    reports = {
-        "document_types": aggregates.shares(meta, "document_type"),
-        "document_status": aggregates.shares(meta, "document_status"),
-        "sensitivity_labels": aggregates.shares(meta, "sensitivity_labels"),
-        "retention_policies": aggregates.shares(meta, "retention_policies"),
+    columns = {
+        "document_types": "document_type",
+        "document_status": "document_status",
+        "sensitivity_labels": "sensitivity_labels",
+        "retention_policies": "retention_policies",
     }
+    reports = {name: tables.shares_document(aggregates.shares(meta, c)) for name, c in columns.items()}
     root = new_folder(spark, "reports")
     tables.write_reports(reports, root, inputs.STAMP)
     out = None
@@ -210,7 +212,7 @@ def sink_pdi_json(spark, sf):
     """Records with nested attachments, written as JSON lines and read back flat."""
     rows, matched, _ = inputs.packed_records(spark, sf)
     path = new_folder(spark, "pdi-json")
-    att.write_records_json(rows, "doc_id", inputs.META_COLUMNS, matched, inputs.FOLDER, path)
+    att.write_records_json(rows, "doc_id", inputs.META_COLUMNS, matched, path)
     back = spark.read.schema(att.RECORD_JSON.format(meta="doc_id bigint, lang string")).json(path)
     return back.select("doc_id", "lang", F.posexplode("Attachments.Attachment").alias("slot", "a")).select(
         "doc_id", "lang", "slot", "a.mimetype", "a.Size", "a.EASFile", "a.checksum", "a.FilePath"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -13,8 +13,9 @@ DELIVERED = 201
 ATTEMPTS = 3  # one delivery and two retries
 LEDGER = "batch_id bigint, chunk_id bigint, rows bigint, bytes bigint, sha string, status int, attempt int"
 METRICS = (
-    "dag_id string, run_id string, execution_date timestamp, records_processed bigint, "
-    "records_successful bigint, records_failed bigint, notes string"
+    "id bigint, dag_id string, run_id string, execution_date timestamp, records_processed bigint, "
+    "records_successful bigint, records_failed bigint, notes string, reserved1 string, reserved2 string, "
+    "reserved3 string, reserved4 string, reserved5 string, recorded_at timestamp"
 )
 
 Transport = Callable[[str, int], int]  # (payload, attempt) -> status
@@ -94,17 +95,36 @@ def run_metrics(
 
 
 def append_metrics(runs: DataFrame, path: str) -> DataFrame:
-    """Append runs whose (dag_id, run_id) is not there yet; returns the table."""
+    """Append runs whose (dag_id, run_id) is not there yet; returns the table.
+
+    Ids go on from the highest one; missing counts are 0, other columns null,
+    and the rows are stamped with the time of writing.
+    """
     spark = runs.sparkSession
-    known = read_or_empty(spark, path, METRICS).select("dag_id", "run_id")
-    fresh = runs.dropDuplicates(["dag_id", "run_id"]).join(known, ["dag_id", "run_id"], "left_anti")
-    names = [f.split()[0] for f in METRICS.split(", ")]
-    fresh.select(*names).write.mode("append").parquet(path)
+    table = read_or_empty(spark, path, METRICS)
+    highest = table.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+    fresh = runs.dropDuplicates(["dag_id", "run_id"]).join(
+        table.select("dag_id", "run_id"), ["dag_id", "run_id"], "left_anti"
+    )
+    numbered = fresh.withColumns(
+        {
+            # One row per run: the window sees the few runs being recorded.
+            "id": F.row_number().over(Window.orderBy("execution_date", "dag_id", "run_id")) + highest,
+            "recorded_at": F.current_timestamp(),
+        }
+    )
+    columns = []
+    for field in METRICS.split(", "):
+        name, kind = field.split()
+        value = F.col(name) if name in numbered.columns else F.lit(None)
+        counted = F.coalesce(value, F.lit(0)) if name.startswith("records_") else value
+        columns.append(counted.cast(kind).alias(name))
+    numbered.select(*columns).write.mode("append").parquet(path)
     return spark.read.schema(METRICS).parquet(path)
 
 
 def run_metrics_view(metrics: DataFrame) -> DataFrame:
-    """The columns shown to operators, with a stable id in recording order."""
+    """The columns shown to operators."""
     return metrics.select(
         "id",
         F.col("dag_id").alias("ProcessName"),

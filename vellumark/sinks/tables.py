@@ -107,25 +107,46 @@ def dump_csv(df: DataFrame, path: str) -> bool:
 REPORT_LIMIT = 10_000
 
 
-def report_document(df: DataFrame, limit: int = REPORT_LIMIT) -> DataFrame:
-    """One JSON text with a list per column, rows in the given column order.
+def report_document(
+    df: DataFrame, form: str = "lists", order_by: Sequence[Column] = (), limit: int = REPORT_LIMIT
+) -> DataFrame:
+    """`report`: the rows of a small result as one JSON text.
 
-    Meant for small reports: the number of rows is checked first, and a longer
-    report stays a JSON object per row.
+    lists: an object with a list per column; records: a list of objects;
+    object: the only row; mapping: from the first column to the second. Rows go
+    by `order_by`, else by their columns. The number of rows is checked first,
+    and a longer result stays a JSON object per row.
     """
-    if df.limit(limit + 1).count() > limit:
-        return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("report"))
-    rows = F.sort_array(F.collect_list(F.struct(*df.columns)))
-    lists = df.agg(rows.alias("r")).select(*[F.col(f"r.{c}").alias(c) for c in df.columns])
-    return lists.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("report"))
+    keep_nulls = {"ignoreNullFields": "false"}
+    if form == "object" or df.limit(limit + 1).count() > limit:
+        return df.select(F.to_json(F.struct(*df.columns), keep_nulls).alias("report"))
+    row = F.struct(*df.columns)
+    order = F.struct(*order_by) if order_by else row
+    pairs = F.sort_array(F.collect_list(F.struct(order.alias("o"), row.alias("r"))))
+    one = df.agg(F.transform(pairs, lambda p: p["r"]).alias("r"))
+    if form == "records":
+        body = F.col("r")
+    elif form == "mapping":
+        body = F.map_from_entries("r")
+    else:
+        body = F.struct(*[F.col(f"r.{c}").alias(c) for c in df.columns])
+    return one.select(F.to_json(body, keep_nulls).alias("report"))
+
+
+def shares_document(shares: DataFrame) -> DataFrame:
+    """Report of `aggregates.shares`, the most frequent value first."""
+    named = shares.select(
+        F.col("label").alias("labels"), F.col("count").alias("counts"), F.col("percentage").alias("percentages")
+    )
+    return report_document(named, order_by=[-F.col("counts"), F.col("labels")])
 
 
-def write_reports(reports: Mapping[str, DataFrame], root: str, timestamp: str) -> DataFrame:
+def write_reports(documents: Mapping[str, DataFrame], root: str, timestamp: str) -> DataFrame:
     """One JSON report per analysis and a summary that lists where each is."""
-    spark = next(iter(reports.values())).sparkSession
-    for name, df in reports.items():
-        report_document(df).write.mode("overwrite").text(f"{root}/{name}")
-    paths = F.struct(*[F.lit(f"{root}/{name}").alias(name) for name in reports])
+    spark = next(iter(documents.values())).sparkSession
+    for name, document in documents.items():
+        document.write.mode("overwrite").text(f"{root}/{name}")
+    paths = F.struct(*[F.lit(f"{root}/{name}").alias(name) for name in documents])
     summary = spark.range(1).select(F.lit(timestamp).alias("timestamp"), paths.alias("analyses"))
     summary.write.mode("overwrite").json(f"{root}/summary_report")
     return spark.read.schema(summary.schema).json(f"{root}/summary_report")
