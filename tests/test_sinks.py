@@ -5,6 +5,7 @@ import xml.etree.ElementTree as ET
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from vellumark.operators.inference import infer_relational
 from vellumark.operators.row_numbers import assign_chunks
 from vellumark.session import new_folder
 from vellumark.sinks import ledger, tables
@@ -155,3 +156,21 @@ def test_stream_export_resumes(spark, tmp_path):
 
 def test_folder_names_are_unused(spark):
     assert new_folder(spark, "a") != new_folder(spark, "a")
+
+
+def test_source_order_of_a_split_file(spark, tmp_path):
+    path = tmp_path / "one.csv"
+    path.write_text("id,v\n" + "".join(f"{i},{'x' * (i % 37)}\n" for i in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "30000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = read_csv_strings(spark, str(path), multi_line=False, with_order=True)
+        assert df.rdd.getNumPartitions() > 5
+        rows = assign_chunks(df, None, 999).orderBy("position").collect()
+        kinds = infer_relational(df.withColumn("m", F.when(F.col("id") == "12345", "x").otherwise("2020-01-01")), "t")
+        assert {r["name"]: r.type for r in kinds.collect()} == {"id": "INT", "v": "VARCHAR", "m": "DATE"}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [int(r.id) for r in rows] == list(range(20_000))
+    assert [r.chunk_id for r in rows] == [i // 999 for i in range(20_000)]

@@ -35,8 +35,9 @@ def number_rows(df: DataFrame, order_by: Sequence[str] | None = None, label: str
     sizes = written.groupBy(*piece).agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
     before = Window.orderBy(*piece).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
-    # As a written table its size is known, so it is broadcast where it is small.
-    starts = stored(starts, "starts")
+    # A row per range partition, of which the session sets the number; a row per
+    # file block grows with the data, so its written size decides about the join.
+    starts = F.broadcast(starts) if order_by else stored(starts, "starts")
     return (
         written.join(starts, piece)
         .withColumn("position", F.col("_start") + F.col("_at") - F.col("_first"))
