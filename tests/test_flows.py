@@ -30,7 +30,7 @@ def test_archive_table(spark, tmp_path):
     path = write_rows(tmp_path / "S_T.csv", [["id", "a b"], *[[i, f"v\n{i}"] for i in range(7)]])
     def run(run_id, transport):
         return flows.archive_table(
-            spark, path, "S", "T", transport, str(tmp_path / "w"), "d", run_id, "2025-07-09 10:00:00+00", 2
+            spark, path, transport, str(tmp_path / "w"), "d", run_id, "2025-07-09 10:00:00+00", chunk_rows=2
         )
     ledger, metrics = run("r1", refuses_second)
     assert {r.chunk_id: (r.rows, r.status, r.attempt) for r in ledger.collect()} == {

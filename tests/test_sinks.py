@@ -174,3 +174,18 @@ def test_source_order_of_a_split_file(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert [int(r.id) for r in rows] == list(range(20_000))
     assert [r.chunk_id for r in rows] == [i // 999 for i in range(20_000)]
+
+
+def test_finished_files_are_archived(spark, tmp_path):
+    src, archive = str(tmp_path / "in"), tmp_path / "done"
+
+    def run():
+        stream = csv_stream(spark, src, ["id"], 1, archive=str(archive))
+        return take_files(stream, str(tmp_path / "cp"), str(tmp_path / "out"))
+
+    for at in (0, 10):
+        part = spark.range(at, at + 10).select(F.col("id").cast("string")).coalesce(1)
+        part.write.mode("append").options(header="true").csv(src)
+        assert run().count() == at + 10
+    # A file goes to the archive with a batch after its own.
+    assert len([p for p in archive.rglob("*.csv")]) >= 1

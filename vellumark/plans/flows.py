@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumark.functions.names import attachment_columns, ten_digit_id
+from vellumark.functions.names import attachment_columns, name_parts_text, ten_digit_id
 from vellumark.operators import (
     aggregates,
     enrichment,
@@ -30,21 +30,25 @@ from vellumark.sources.csv_tables import read_csv_folder, read_csv_strings, vali
 def archive_table(
     spark: SparkSession,
     csv: str,
-    schema: str,
-    table: str,
     transport: ledgers.Transport,
     work: str,
     dag_id: str,
     run_id: str,
     execution_date: str,
+    schema: str | None = None,
+    table: str | None = None,
     chunk_rows: int = CHUNK_ROWS,
     multi_line: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """CSV table to XML chunks, delivery and run metrics; returns (ledger, metrics).
 
+    Schema and table are taken from a `SCHEMA_TABLE.csv` name where not given.
     Run again with the same `work` folder after a failure, it sends only what
     was not accepted.
     """
+    stem = csv.rstrip("/").rsplit("/", 1)[-1].removesuffix(".csv")
+    named_schema, named_table = name_parts_text(stem)
+    schema, table = schema or named_schema, table or named_table
     rows = read_csv_strings(spark, csv, multi_line, with_order=True)
     documents = stored(chunk_documents(assign_chunks(rows, None, chunk_rows), schema, table), "chunk-documents")
     ledger = ledgers.deliver(documents, f"{work}/ledger", transport)
