@@ -240,7 +240,8 @@ def synonyms(
     lists = found.groupBy("term").agg(
         F.sort_array(F.collect_list(F.struct("rank", "alternate", "score"))).alias("a")
     )
-    return join_unique(asked, stored(lists, "alternates"), "term", "inner").select(key, "term", F.explode("a").alias("x")).select(
+    met = join_unique(asked, stored(lists, "alternates"), "term", "inner")
+    return met.select(key, "term", F.explode("a").alias("x")).select(
         key, "term", "x.rank", "x.alternate", "x.score"
     )
 

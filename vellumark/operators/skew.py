@@ -49,11 +49,12 @@ def join_unique(
 ) -> DataFrame:
     """Join on keys that are unique in `right`, whatever their spread in `left`.
 
-    A `right` below the broadcast threshold is broadcast. Beyond it, rows of a hot key get one of `salts` salts and the matching right rows are
-    repeated once per salt, so a hot key is spread over many tasks. The set of
-    hot keys has at most HOT_SHARE rows, hence the broadcast. Null keys do not
-    match, as in a plain join. Finding the hot keys reads `left` once more;
-    where `left` is itself a long chain, pass those of its source as `hot`.
+    A `right` below the broadcast threshold is broadcast. Beyond it, rows of a
+    hot key get one of `salts` salts and the matching right rows are repeated
+    once per salt, so a hot key is spread over many tasks. The set of hot keys
+    has at most HOT_SHARE rows, hence the broadcast. Null keys do not match, as
+    in a plain join. Finding the hot keys reads `left` once more; where `left`
+    is itself a long chain, pass those of its source as `hot`.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if how in ("left", "inner", "left_anti", "left_semi") and fits_broadcast(right):

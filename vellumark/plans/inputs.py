@@ -47,7 +47,7 @@ def documents_meta(spark: SparkSession, sf: str) -> DataFrame:
         .join(dates, "doc_id", "left")
         .select(
             "doc_id",
-            F.concat(F.substring(F.sha2("text", 256), 1, 12), F.lit(".txt")).alias("filename"),
+            F.concat(F.sha2("text", 256), F.lit(".txt")).alias("filename"),
             F.concat(F.lit("/"), "source").alias("folder_path"),
             F.nullif("lang", F.lit("es")).alias("document_type"),
             F.when(size < 500, "draft").when(size < 3000, "review").otherwise("final").alias("document_status"),

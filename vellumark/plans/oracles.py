@@ -61,7 +61,7 @@ def number_of(*parts: str) -> str:
 
 
 META = """meta AS (
-  SELECT d.doc_id, substr(sha256(d.text), 1, 12) || '.txt' AS filename, '/' || d.source AS folder_path,
+  SELECT d.doc_id, sha256(d.text) || '.txt' AS filename, '/' || d.source AS folder_path,
     nullif(d.lang, 'es') AS document_type,
     CASE WHEN n_chars < 500 THEN 'draft' WHEN n_chars < 3000 THEN 'review' ELSE 'final' END AS document_status,
     CASE WHEN l.toxic = 1 THEN 'restricted' WHEN l.quality = 1 THEN 'public' WHEN l.quality = 0 THEN 'internal' END
@@ -297,10 +297,11 @@ ORACLES["sink_json_report"] = f"WITH {META} " + " UNION ALL ".join(
 )
 ORACLES["sink_csv_dump"] = f"""WITH {META} SELECT CAST(doc_id AS VARCHAR) AS doc_id, filename, folder_path,
   document_type, sensitivity_labels, version FROM meta"""
-ORACLES["sink_pdi_json"] = f"""WITH {MATCHED} SELECT m.doc_id, r.lang,
-  CAST(row_number() OVER (PARTITION BY m.doc_id ORDER BY m.slot) - 1 AS INTEGER) AS slot, m.mimetype,
-  coalesce(m.size, 0) AS "Size", 'ea_' || lower(hex(from_base64(m.checksum))) AS "EASFile", m.checksum,
-  m.path AS "FilePath" FROM matched m JOIN recs r USING (doc_id)"""
+ORACLES["sink_pdi_json"] = f"""WITH {ATTACHED} SELECT m.doc_id, r.lang,
+  CAST(row_number() OVER (PARTITION BY m.doc_id ORDER BY m.slot) - 1 AS INTEGER) AS slot, 'text/plain' AS mimetype,
+  coalesce(f.size, 0) AS "Size", 'ea_' || lower(hex(from_base64(f.checksum))) AS "EASFile", f.checksum,
+  m.path AS "FilePath"
+FROM refs m JOIN recs r USING (doc_id) LEFT JOIN all_files f ON f.name = m.name AND f.lang <> 'es'"""
 
 _TERMS = rf"regexp_extract_all(lower(text), '{enrichment.TERM}')"
 _HITS = ", ".join(

@@ -210,7 +210,10 @@ def sink_csv_dump(spark, sf):
 @query
 def sink_pdi_json(spark, sf):
     """Records with nested attachments, written as JSON lines and read back flat."""
-    rows, matched, _ = inputs.packed_records(spark, sf)
+    rows = inputs.records(spark, sf)
+    cell = F.concat_ws("; ", "attachment", "second_attachment")
+    refs = att.path_references(rows, "doc_id", values.split_paths(cell))
+    matched = att.with_files(refs, inputs.attached_files(spark, sf, absent_lang="es"))
     path = new_folder(spark, "pdi-json")
     att.write_records_json(rows, "doc_id", inputs.META_COLUMNS, matched, path)
     back = spark.read.schema(att.RECORD_JSON.format(meta="doc_id bigint, lang string")).json(path)
@@ -226,8 +229,7 @@ def sink_enrich_append(spark, sf):
         inputs.file_name(F.col("doc_id")).alias("filename"), "intent"
     )
     stamp = F.lit("2025-07-09 12:00:00").cast("timestamp")
-    tables.append_enrichment(found, path, created_at=stamp)
-    out = tables.append_enrichment(found.limit(0), path, created_at=stamp)
+    out = tables.append_enrichment(found, path, created_at=stamp)
     return out.withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"))
 
 

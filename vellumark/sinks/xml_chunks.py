@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellumark.functions.names import element_name
+from vellumark.functions.names import element_name, with_element_names
 from vellumark.functions.xml import element, ordered_text, wrapped
 
 _NOT_DATA = ("position", "chunk_id")
@@ -42,8 +42,9 @@ def chunk_documents(chunked: DataFrame, schema: str, table: str) -> DataFrame:
 
 def write_rows_xml(df: DataFrame, path: str, schema: str, table: str) -> str:
     """Bulk variant: every part file is a document of its own, no shuffle."""
-    named = df.select([F.coalesce(F.col(c).cast("string"), F.lit("")).alias(element_name(c)) for c in df.columns])
-    named.write.format("xml").options(rootTag=table, rowTag="ROW", declaration="").save(path)
+    named = with_element_names(df)
+    filled = named.select([F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in named.columns])
+    filled.write.format("xml").options(rootTag=table, rowTag="ROW", declaration="").save(path)
     return path
 
 

@@ -13,7 +13,6 @@ from pyarrow import NativeFile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumark.functions.names import base_name
 from vellumark.functions.values import media_type
 from vellumark.session import stored
 from vellumark.sources.filesystem import list_folder, open_file_system, publish
