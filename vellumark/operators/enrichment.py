@@ -135,11 +135,15 @@ def _matches(text: Column, kind: str, pattern: str) -> Column:
 def entities(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, kind, value, occurrences: dates, capitalised names, and listed places."""
     body = F.col(text)
-    found = F.concat(_matches(body, "date", DAY_PATTERN), _matches(body, "name", NAME_PATTERN))
-    listed = gazetteer.select(F.col("name").alias("value")).distinct()
-    words = _counted_rows(df, key, _matches(body, "place", WORD_PATTERN))
-    places = join_unique(words, listed, "value", "left_semi")
-    return _counted_rows(df, key, found).unionByName(places)
+    found = F.concat(
+        _matches(body, "date", DAY_PATTERN),
+        _matches(body, "name", NAME_PATTERN),
+        _matches(body, "place", WORD_PATTERN),
+    )
+    listed = gazetteer.select(F.col("name").alias("value")).distinct().withColumn("_listed", F.lit(True))
+    known = join_unique(_counted_rows(df, key, found), listed, "value", "left")
+    kept = known.filter((F.col("kind") != "place") | F.col("_listed"))
+    return kept.select(key, "kind", "value", "occurrences")
 
 
 def luhn_valid(number: Column) -> Column:

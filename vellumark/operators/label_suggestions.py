@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellumark.operators.skew import join_unique
+from vellumark.session import stored
 
 NEIGHBOURS = 3
 
@@ -56,4 +57,6 @@ def suggest_labels(
         lambda v: F.struct((-F.size(F.filter(votes, lambda x: x == v))).alias("minus"), v.alias("v")),
     )
     suggestions = asked.select("_by", F.array_min(tally)["v"].alias("suggestion"))
+    # A row per modifier; once written, its size decides how it is joined.
+    suggestions = stored(suggestions, "suggestions")
     return join_unique(candidates, suggestions, "_by", "inner").select(key, "suggestion")

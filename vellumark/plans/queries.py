@@ -892,7 +892,7 @@ def ml_rarity_outliers(spark, sf):
 
 @query
 def ml_knn_label(spark, sf):
-    return label_suggestions.suggest_labels(inputs.documents_meta(spark, sf), "doc_id")
+    return label_suggestions.suggest_labels(stored(inputs.documents_meta(spark, sf), "meta"), "doc_id")
 
 
 # Streaming
