@@ -51,6 +51,14 @@ def test_packing_equals_sequential(spark, seed, n, max_bytes, max_rows, block, f
     assert [r.package_id for r in got.orderBy("id").collect()] == greedy(sizes, max_bytes, max_rows)
 
 
+def test_packing_levels_shrink_for_long_packages(spark, monkeypatch):
+    monkeypatch.setattr(packing, "COMPOSED_ENTRIES", 60)
+    sizes = [(i * 7) % 13 for i in range(400)]
+    df = spark.createDataFrame(list(enumerate(sizes)), "id long, size long")
+    got = packing.pack_greedy(df, ["id"], "size", 90, 20, 20)
+    assert [r.package_id for r in got.orderBy("id").collect()] == greedy(sizes, 90, 20)
+
+
 def test_join_unique_spreads_a_hot_key(spark):
     left = spark.range(3000).select(
         "id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id")).alias("k")

@@ -27,6 +27,10 @@ def accepting(payload, attempt):
     return 201
 
 
+def unreachable(payload, attempt):
+    raise ConnectionError("no route")
+
+
 def people(spark):
     rows = [("1", "a & b", "x<y"), ("2", None, ""), ("3", "é\n", '"q"'), ("4", "z", "w"), ("5", "v", "u")]
     return spark.createDataFrame(rows, "id string, `full name` string, note string")
@@ -68,6 +72,8 @@ def test_source_order_of_many_files(spark, tmp_path):
 
 def test_ledger_is_resumable(spark, tmp_path):
     docs = chunk_documents(assign_chunks(spark.range(400).selectExpr("id", "id * 7 AS v"), ["id"], 10), "S", "T")
+    nothing = ledger.deliver(docs, str(tmp_path / "none"), unreachable)
+    assert {(r.status, r.attempt) for r in nothing.collect()} == {(0, 3)}
     path = str(tmp_path / "ledger")
     first = ledger.deliver(docs, path, flaky).collect()
     assert len(first) == 40

@@ -23,6 +23,7 @@ PACKAGE_KB = 102_400
 RECORD_OVERHEAD = 2048  # bytes of XML assumed per record
 BLOCK_ROWS = 100_000
 FAN_IN = 1000  # blocks composed by one task per level
+COMPOSED_ENTRIES = 4_000_000  # entry offsets such a task holds
 
 
 def record_size(attachment_bytes):
@@ -123,6 +124,7 @@ def pack_positions(
 ) -> DataFrame:
     """position, package_id for rows (position 0..n-1, size)."""
     block_rows = max(block_rows, max_rows)
+    fan_in = max(2, min(fan_in, COMPOSED_ENTRIES // max_rows))
     block = F.expr(f"position div {block_rows}")
     offset = F.col("position") % block_rows
     # A block also sees the first rows of the next one, to close its last package.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 DELIVERED = 201
+NO_ANSWER = 0  # status of a transport that raised
 ATTEMPTS = 3  # one delivery and two retries
 LEDGER = "batch_id bigint, chunk_id bigint, rows bigint, bytes bigint, sha string, status int, attempt int"
 METRICS = (
@@ -48,7 +49,10 @@ def attempt_delivery(documents: DataFrame, transport: Transport, attempts: int =
             outcomes = []
             for payload in pdf["payload"]:
                 for attempt in range(1, attempts + 1):
-                    status = transport(payload, attempt)
+                    try:
+                        status = transport(payload, attempt)
+                    except Exception:  # the caller's transport; the chunk stays undelivered
+                        status = NO_ANSWER
                     if status == DELIVERED:
                         break
                 outcomes.append((status, attempt))
