@@ -4,10 +4,12 @@ import random
 import sys
 import zipfile
 
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from vellumark.plans import flows
+from vellumark.session import shared_root
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -125,3 +127,27 @@ def test_prepare_and_enrich(spark, tmp_path):
     assert row.summary and row.keywords and row.topic and row.created_at
     assert sorted(r.filename for r in run().collect())[3:] == ["d3.txt", "p.txt"]
     assert sorted(p.name for p in docs.iterdir())[0] == "d0_Processed.txt"
+
+
+def test_enrichment_of_an_empty_folder(spark, tmp_path):
+    (tmp_path / "docs").mkdir()
+    places = spark.createDataFrame([("x",)], "name string")
+    assert flows.enrich_documents(spark, str(tmp_path / "docs"), str(tmp_path / "e"), places).count() == 0
+    (tmp_path / "docs" / "a.txt").write_text("")
+    row = flows.enrich_documents(spark, str(tmp_path / "docs"), str(tmp_path / "e"), places).first()
+    assert (row.filename, row.summary, row.topic, row.intent) == ("a.txt", "", "", "unknown")
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_root(Session())

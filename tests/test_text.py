@@ -170,3 +170,12 @@ def test_scalars(spark):
     assert [r.t is not None for r in rows] == [True, True, False, False]
     text = spark.createDataFrame([("<think>a\nb</think> x <think></think>y",)], "t string")
     assert text.select(values.strip_think(F.col("t")).alias("t")).first().t == "x y"
+
+
+def test_texts_without_terms(spark):
+    df = spark.createDataFrame([(1, "the and\n\nof"), (2, "")], "doc_id int, text string")
+    assert [(r.topic, r.label) for r in enrichment.topics(df).collect()] == [(None, "")] * 2
+    assert [(r.doc_id, r.text) for r in text_chunks.chunks(df, "semantic").collect()] == [(1, "the and\n\nof")]
+    unshared = spark.createDataFrame([(1, "alpha"), (2, "beta")], "doc_id int, text string")
+    assert enrichment.topics(unshared).filter("topic IS NULL").count() == 2
+    assert enrichment.keywords(df.filter("doc_id = 2")).count() == 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer, StopWordsRemover
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from vellumark.functions.values import let
 from vellumark.functions.xml import ordered_text
 from vellumark.operators.skew import join_unique
-from vellumark.operators.text_chunks import sentences
+from vellumark.operators.text_chunks import fit_vocabulary, sentences
 from vellumark.session import stored
 
 # What counts as a term, a date, a spanning name.
@@ -265,7 +265,9 @@ def topics(
     """
     tokens = df.select(key, terms(F.col(text)).alias("all"))
     kept = StopWordsRemover(inputCol="all", outputCol="words").transform(tokens)
-    vocabulary = CountVectorizer(inputCol="words", outputCol="features", minDF=float(min_documents)).fit(kept)
+    vocabulary = fit_vocabulary(kept, min_documents)
+    if vocabulary is None:
+        return df.select(key, F.lit(None).cast("int").alias("topic"), F.lit("").alias("label"))
     counted = stored(vocabulary.transform(kept).select(key, "features"), "topic-terms")
     model = LDA(k=k, seed=seed, maxIter=iterations).fit(counted)
     labels = [

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer, RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, RegexTokenizer, StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,6 +86,14 @@ def chunks(df: DataFrame, strategy: str = "paragraph", key: str = "doc_id", text
     return df.select(key, F.posexplode(cut(F.col(text))).alias("chunk_no", "text"))
 
 
+def fit_vocabulary(df: DataFrame, min_documents: int = 1) -> CountVectorizerModel | None:
+    """Term counts over the column `words` into `features`; None where no term is left to count."""
+    if df.filter(F.size("words") > 0).isEmpty():
+        return None
+    model = CountVectorizer(inputCol="words", outputCol="features", minDF=float(min_documents)).fit(df)
+    return model if model.vocabulary else None
+
+
 def semantic(
     df: DataFrame, key: str = "doc_id", text: str = "text", topics: int = 3, iterations: int = 10, seed: int = 42
 ) -> DataFrame:
@@ -98,11 +106,14 @@ def semantic(
     )
     words_of = RegexTokenizer(inputCol="text", outputCol="all", pattern=r"(?U)\W+", minTokenLength=2)
     kept = StopWordsRemover(inputCol="all", outputCol="words").transform(words_of.transform(paragraphs))
-    counted = CountVectorizer(inputCol="words", outputCol="features").fit(kept).transform(kept)
-    counted = stored(counted.select(key, "at", "text", "features"), "paragraphs")
-    model = LDA(k=topics, seed=seed, maxIter=iterations).fit(counted)
-    scored = model.transform(counted).withColumn("p", vector_to_array("topicDistribution"))
-    topic = F.array_position(F.col("p"), F.array_max("p"))
+    vocabulary = fit_vocabulary(kept)
+    if vocabulary is None:
+        scored, topic = paragraphs, F.lit(1)
+    else:
+        counted = stored(vocabulary.transform(kept).select(key, "at", "text", "features"), "paragraphs")
+        model = LDA(k=topics, seed=seed, maxIter=iterations).fit(counted)
+        scored = model.transform(counted).withColumn("p", vector_to_array("topicDistribution"))
+        topic = F.array_position(F.col("p"), F.array_max("p"))
     grouped = scored.groupBy(key, topic.alias("topic")).agg(
         F.min("at").alias("first"), ordered_text(F.col("at"), F.col("text"), "\n\n").alias("text")
     )

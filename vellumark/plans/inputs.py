@@ -92,7 +92,9 @@ def export_tables(spark: SparkSession, sf: str) -> dict[str, tuple[DataFrame, st
     )
     documents = table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"), "text", "lang",
-        F.date_format(F.timestamp_seconds("doc_id"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("seen"),
+        F.date_format(
+            F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs="doc_id"), "yyyy-MM-dd'T'HH:mm:ss'Z'"
+        ).alias("seen"),
         F.concat("source", F.lit(".txt")).alias("attachment"),
     )
     return {
