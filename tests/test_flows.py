@@ -64,9 +64,9 @@ def test_build_packages(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for i in range(6):
         (tmp_path / "in" / f"f{i}.txt").write_text("x" * 100 * i)
-    rows = [["CustomerID", "Attachment", "second attachment"]]
-    rows += [[i, f"/old/f{i}.txt", "f0.txt" if i % 2 else ""] for i in range(6)]
-    rows.insert(3, ["", "", ""])
+    rows = [["CustomerID", "Attachment", "second attachment", "position"]]
+    rows += [[i, f"/old/f{i}.txt", "f0.txt" if i % 2 else "", "p"] for i in range(6)]
+    rows.insert(3, ["", "", "", ""])
     path = write_rows(tmp_path / "r.csv", rows)
     def run(out):
         made = flows.build_packages(
@@ -78,7 +78,7 @@ def test_build_packages(spark, tmp_path):
     with zipfile.ZipFile(made[0].path) as z:
         payload = z.read("eas_pdi.xml").decode()
         assert payload.count("<Record>") == 2 and "<aiu_count>2</aiu_count>" in z.read("eas_sip.xml").decode()
-    write_rows(tmp_path / "r.csv", [*rows, ["9", "gone.txt", ""]])
+    write_rows(tmp_path / "r.csv", [*rows, ["9", "gone.txt", "", ""]])
     assert [r.error for r in run("zips2")][-1] == "missing attachment: gone.txt"
 
 

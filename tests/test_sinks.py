@@ -2,6 +2,7 @@ import hashlib
 import sys
 import xml.etree.ElementTree as ET
 
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ def people(spark):
 
 
 def test_chunk_xml_equals_element_tree(spark):
-    docs = chunk_documents(assign_chunks(people(spark), ["id"], 2), "S", "T").orderBy("chunk_id").collect()
+    docs = chunk_documents(people(spark), "S", "T", [F.col("id")], 2).orderBy("chunk_id").collect()
     assert [d.rows for d in docs] == [2, 2, 1]
     rows = people(spark).collect()
     for d in docs:
@@ -53,7 +54,7 @@ def test_chunk_xml_equals_element_tree(spark):
 
 
 def test_chunk_rows_read_back(spark):
-    docs = chunk_documents(assign_chunks(people(spark), ["id"], 2), "S", "T")
+    docs = chunk_documents(people(spark), "S", "T", [F.col("id")], 2)
     back = read_chunk_rows(docs, ["id", "full name", "note"]).orderBy("chunk_id", "n")
     assert [r.full_name for r in back.collect()][:2] == ["a & b", ""]
 
@@ -71,7 +72,7 @@ def test_source_order_of_many_files(spark, tmp_path):
 
 
 def test_ledger_is_resumable(spark, tmp_path):
-    docs = chunk_documents(assign_chunks(spark.range(400).selectExpr("id", "id * 7 AS v"), ["id"], 10), "S", "T")
+    docs = chunk_documents(spark.range(400).selectExpr("id", "id * 7 AS v"), "S", "T", [F.col("id")], 10)
     nothing = ledger.deliver(docs, str(tmp_path / "none"), unreachable)
     assert {(r.status, r.attempt) for r in nothing.collect()} == {(0, 3)}
     path = str(tmp_path / "ledger")
@@ -195,3 +196,11 @@ def test_finished_files_are_archived(spark, tmp_path):
         assert run().count() == at + 10
     # A file goes to the archive with a batch after its own.
     assert len([p for p in archive.rglob("*.csv")]) >= 1
+
+
+def test_columns_may_have_any_name(spark):
+    df = spark.createDataFrame([(1, "a", "b", "c")], "k int, position string, `chunk_id` string, `x.y` string")
+    payload = chunk_documents(df, "S", "T", [F.col("k")], 5).first().payload
+    assert payload == "<S><T><ROW><k>1</k><position>a</position><chunk_id>b</chunk_id><x.y>c</x.y></ROW></T></S>"
+    with pytest.raises(ValueError):
+        assign_chunks(df, ["k"], 5)

@@ -14,12 +14,16 @@ SOURCE_ORDER = ("_file", "_block", "_line")  # columns added by the CSV source
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition above these
 
 
-def number_rows(df: DataFrame, order_by: Sequence[str] | None = None, label: str = "numbered") -> DataFrame:
-    """Add `position`, 0..n-1, in key order or, without keys, in source order.
+def number_rows(
+    df: DataFrame, order_by: Sequence[str] | None = None, label: str = "numbered", name: str = "position"
+) -> DataFrame:
+    """Add `position` (or `name`), 0..n-1, in key order or, without keys, in source order.
 
     One range shuffle (none for source order), one written table, then a count
     per piece; only the counts, one row per piece, meet in a single task.
     """
+    if name.lower() in (c.lower() for c in df.columns):
+        raise ValueError(f"there is a column {name} already")
     if order_by:
         ranged = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
         piece = ["_piece"]
@@ -40,7 +44,7 @@ def number_rows(df: DataFrame, order_by: Sequence[str] | None = None, label: str
     starts = F.broadcast(starts) if order_by else stored(starts, "starts")
     return (
         written.join(starts, piece)
-        .withColumn("position", F.col("_start") + F.col("_at") - F.col("_first"))
+        .withColumn(name, F.col("_start") + F.col("_at") - F.col("_first"))
         .drop("_start", "_first", "_at", *piece)
     )
 

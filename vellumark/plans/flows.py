@@ -18,7 +18,7 @@ from vellumark.operators import (
 )
 from vellumark.operators import attachments as att
 from vellumark.operators.inference import catalogue, infer_json, infer_relational, infer_xsd, mark_attachments
-from vellumark.operators.row_numbers import CHUNK_ROWS, SOURCE_ORDER, assign_chunks, number_rows
+from vellumark.operators.row_numbers import CHUNK_ROWS, number_rows
 from vellumark.session import stored
 from vellumark.sinks import ledger as ledgers
 from vellumark.sinks import packages, tables
@@ -50,7 +50,7 @@ def archive_table(
     named_schema, named_table = name_parts_text(stem)
     schema, table = schema or named_schema, table or named_table
     rows = read_csv_strings(spark, csv, multi_line, with_order=True)
-    documents = stored(chunk_documents(assign_chunks(rows, None, chunk_rows), schema, table), "chunk-documents")
+    documents = stored(chunk_documents(rows, schema, table, None, chunk_rows), "chunk-documents")
     ledger = ledgers.deliver(documents, f"{work}/ledger", transport)
     totals = aggregates.delivery_totals(ledger)
     run = ledgers.run_metrics(totals, dag_id, run_id, execution_date)
@@ -101,30 +101,31 @@ def build_packages(
     root: str = "Records",
 ) -> DataFrame:
     """CSV records and their attachments to zip packages; a row, with an error if there is one, per package."""
-    rows = stored(number_rows(read_csv_strings(spark, csv, with_order=True)), "records")
-    columns = [c for c in rows.columns if c not in (*SOURCE_ORDER, "position")]
+    record = "_position"
+    rows = stored(number_rows(read_csv_strings(spark, csv, with_order=True), name=record), "records")
+    columns = [c for c in rows.columns if c != record]
     meta, attached = attachment_columns(columns)
     listing = sources.list_files(spark, folder)
-    refs = att.references(rows, "position", attached) if attached else None
-    if refs is None:
-        refs = spark.createDataFrame([], "position bigint, slot int, name string, path string")
+    if attached:
+        refs = att.references(rows, record, attached)
+    else:
+        refs = spark.createDataFrame([], f"{record} bigint, slot int, name string, path string")
     # Only files that records refer to are digested.
     used = listing.join(refs.select("name").distinct(), "name", "left_semi")
     files = stored(sources.attachments(used), "attachments")
     matched = stored(att.with_files(refs, files), "matched")
-    sizes = att.record_sizes(rows, "position", matched).withColumnRenamed("position", "record")
-    packed = packing.pack_greedy(sizes, ["record"], "size", max_kb * 1024, records)
-    packed = stored(packed.drop("position").withColumnRenamed("record", "position"), "packed")
-    kept = valid_rows(rows.select(*columns, "position"), ignore=("position",))
-    fragments = att.record_fragments(kept, "position", meta, matched, folder.rstrip("/"), child)
-    docs = att.payloads(fragments, packed, "position", holding, root)
+    sizes = att.record_sizes(rows, record, matched)
+    packed = stored(packing.pack_greedy(sizes, [record], "size", max_kb * 1024, records), "packed")
+    kept = valid_rows(rows, ignore=(record,))
+    fragments = att.record_fragments(kept, record, meta, matched, folder.rstrip("/"), child)
+    docs = att.payloads(fragments, packed, record, holding, root)
     package = ten_digit_id(F.lit(holding), F.col("package_id").cast("string"))
     described = docs.withColumn(
         "descriptor",
         att.descriptor_xml(F.lit(holding), package, F.lit(application), F.lit(timestamp), F.col("aiu_count")),
     )
     whole = packed.select("package_id").distinct().join(described, "package_id", "left")
-    with_files = packages.with_package_files(whole, att.package_files(matched, packed, "position"), files)
+    with_files = packages.with_package_files(whole, att.package_files(matched, packed, record), files)
     return stored(packages.write_packages(with_files, out, holding), "packages")
 
 

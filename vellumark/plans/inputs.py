@@ -11,7 +11,6 @@ from vellumark.functions.names import ten_digit_id
 from vellumark.operators import attachments as att
 from vellumark.operators import packing
 from vellumark.operators.inference import catalogue, infer_json, infer_relational, infer_xsd
-from vellumark.operators.row_numbers import assign_chunks
 from vellumark.operators.skew import balanced, join_unique
 from vellumark.session import new_folder, stored
 from vellumark.sinks.xml_chunks import chunk_documents
@@ -141,9 +140,8 @@ def csv_catalogue(spark: SparkSession, sf: str, flavour: str) -> DataFrame:
 
 def order_documents(spark: SparkSession, sf: str) -> DataFrame:
     """XML documents of the order chunks, keyed for delivery."""
-    rows = orders_text(spark, sf).withColumn("_key", F.col("o_orderkey").cast("bigint"))
-    chunked = assign_chunks(rows, ["_key"], CHUNK).drop("_key")
-    return stored(chunk_documents(chunked, "SALES", "orders"), "order-documents")
+    key = F.col("o_orderkey").cast("bigint")
+    return stored(chunk_documents(orders_text(spark, sf), "SALES", "orders", [key], CHUNK), "order-documents")
 
 
 def flaky_transport(payload: str, attempt: int) -> int:

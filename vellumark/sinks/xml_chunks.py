@@ -2,28 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellumark.functions.names import element_name, with_element_names
 from vellumark.functions.xml import element, ordered_text, wrapped
+from vellumark.operators.row_numbers import CHUNK_ROWS, SOURCE_ORDER, assign_chunks
 
-_NOT_DATA = ("position", "chunk_id")
-
-
-def row_xml(columns: list[str]):
+def row_xml(columns: list[str]) -> Column:
     """One ROW element; missing values give empty elements."""
-    return wrapped("ROW", *[element(element_name(c), F.col("`" + c + "`")) for c in columns])
+    return wrapped("ROW", *[element(element_name(c), F.col("`" + c.replace("`", "``") + "`")) for c in columns])
 
 
-def chunk_documents(chunked: DataFrame, schema: str, table: str) -> DataFrame:
-    """chunk_id, rows, bytes, sha, payload: one document per chunk.
+def chunk_documents(
+    df: DataFrame,
+    schema: str,
+    table: str,
+    order_by: Sequence[Column] | None = None,
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """chunk_id, rows, bytes, sha, payload: one document per chunk of rows.
 
-    A task holds one chunk at a time, whose length is the chunk size.
+    Rows are rendered first, so their columns may have any name. Without
+    `order_by` they keep the order of their source. A task holds one chunk at a
+    time, whose length is the chunk size.
     """
-    columns = [c for c in chunked.columns if c not in _NOT_DATA]
-    rows = chunked.select("chunk_id", "position", row_xml(columns).alias("row"))
-    documents = rows.groupBy("chunk_id").agg(
+    row = row_xml([c for c in df.columns if c not in SOURCE_ORDER]).alias("row")
+    if order_by:
+        keys = [f"k{i}" for i in range(len(order_by))]
+        rendered = df.select(row, *[c.alias(k) for c, k in zip(order_by, keys)])
+    else:
+        keys, rendered = None, df.select(row, *SOURCE_ORDER)
+    documents = assign_chunks(rendered, keys, chunk_rows).groupBy("chunk_id").agg(
         F.count("*").alias("rows"),
         F.concat(
             F.lit(f"<{schema}><{table}>"),

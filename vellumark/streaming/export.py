@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellumark.operators.row_numbers import CHUNK_ROWS, assign_chunks
+from vellumark.operators.row_numbers import CHUNK_ROWS
 from vellumark.sinks.ledger import LEDGER, Transport, deliver
 from vellumark.sinks.xml_chunks import chunk_documents
 from vellumark.streaming.intake import run_available
@@ -28,7 +28,7 @@ def export_stream(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("_line", F.monotonically_increasing_id())
-        documents = chunk_documents(assign_chunks(rows, None, chunk_rows), schema, table)
+        documents = chunk_documents(rows, schema, table, None, chunk_rows)
         deliver(documents, ledger_path, transport, batch_id)
 
     run_available(stream, checkpoint, each)
