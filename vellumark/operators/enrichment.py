@@ -268,7 +268,8 @@ def topics(
     vocabulary = fit_vocabulary(kept, min_documents)
     if vocabulary is None:
         return df.select(key, F.lit(None).cast("int").alias("topic"), F.lit("").alias("label"))
-    counted = stored(vocabulary.transform(kept).select(key, "features"), "topic-terms")
+    # The model draws its batches by place, so rows are put in a fixed one.
+    counted = stored(vocabulary.transform(kept).select(key, "features").sortWithinPartitions(key), "topic-terms")
     model = LDA(k=k, seed=seed, maxIter=iterations).fit(counted)
     labels = [
         " ".join(vocabulary.vocabulary[i] for i in row["termIndices"]) for row in model.describeTopics(3).collect()

@@ -91,7 +91,10 @@ def fit_vocabulary(df: DataFrame, min_documents: int = 1) -> CountVectorizerMode
     if df.filter(F.size("words") > 0).isEmpty():
         return None
     model = CountVectorizer(inputCol="words", outputCol="features", minDF=float(min_documents)).fit(df)
-    return model if model.vocabulary else None
+    if not model.vocabulary:
+        return None
+    # Fitting leaves equally frequent terms in any order; in name order a rerun gives the same model.
+    return CountVectorizerModel.from_vocabulary(sorted(model.vocabulary), inputCol="words", outputCol="features")
 
 
 def semantic(
@@ -110,7 +113,9 @@ def semantic(
     if vocabulary is None:
         scored, topic = paragraphs, F.lit(1)
     else:
-        counted = stored(vocabulary.transform(kept).select(key, "at", "text", "features"), "paragraphs")
+        counted = vocabulary.transform(kept).select(key, "at", "text", "features")
+        # The model draws its batches by place, so rows are put in a fixed one.
+        counted = stored(counted.sortWithinPartitions(key, "at"), "paragraphs")
         model = LDA(k=topics, seed=seed, maxIter=iterations).fit(counted)
         scored = model.transform(counted).withColumn("p", vector_to_array("topicDistribution"))
         topic = F.array_position(F.col("p"), F.array_max("p"))
