@@ -10,6 +10,9 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tools")]
 
 from compare import differences, open_tables  # noqa: E402
 
+from vellumark.plans.oracles import ORACLES  # noqa: E402
+from vellumark.plans.queries import QUERIES  # noqa: E402
+
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
@@ -22,7 +25,8 @@ def db():
 
 
 def test_only_models_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == MODELS
+    assert set(QUERIES) - set(ORACLES) == MODELS
+    assert set(QUERIES) <= set(queries())
     assert set(oracle_sql()) <= set(queries())
 
 
@@ -30,7 +34,7 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
     rows, bad = differences(queries()[name](spark, DATA), db, oracle_sql().get(name))
     assert not bad and rows > 0
