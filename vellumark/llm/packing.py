@@ -110,7 +110,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, shard_pieces: int =
         return frame.assign(sequence_id=sequence * shards + frame["shard"], offset=offset).drop(columns="shard")
 
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInPandas(pack, PIECES + ", sequence_id bigint, offset bigint")
+    # a stated number of partitions, as adaptive execution would join the shards, which are small and slow to pack
+    return dealt.repartition(shards, "shard").groupBy("shard").applyInPandas(pack, PIECES + ", sequence_id bigint, offset bigint")
 
 
 def pack_documents(

@@ -4,25 +4,50 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellumark.llm import chunked_bpe, packing, rans
+from vellumark.llm import chunked_bpe, extraction, fingerprints, packing, quality, rans, rules, toxicity
 from vellumark.llm.scan import table
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunked_bpe.round_trip_digests(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_token_digests(rans.write_token_files(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
+    "op2_toxicity": op2_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_html_extraction": op6_html_extraction,
     "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op9_quality": op9_quality,
     "op10_token_files": op10_token_files,
 }
 

@@ -220,6 +220,12 @@ def write_token_files(
     )
 
 
+def _files(manifest: DataFrame) -> DataFrame:
+    """The files dealt over tasks; a stated number of partitions, as adaptive execution would join these few rows."""
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return manifest.select("path", "start").repartition(tasks, "path")
+
+
 def _decoded(batches):
     """doc_ids, places of the documents before, their bounds and ids, file by file."""
     for batch in batches:
@@ -246,8 +252,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    files = manifest.select("path", "start").repartition("path")
-    return files.mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids array<int>")
+    return _files(manifest).mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids array<int>")
 
 
 def read_token_digests(manifest: DataFrame) -> DataFrame:
@@ -262,5 +267,4 @@ def read_token_digests(manifest: DataFrame) -> DataFrame:
                 names=["doc_id", "start", "n_tokens", "ids_crc32"],
             )
 
-    files = manifest.select("path", "start").repartition("path")
-    return files.mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return _files(manifest).mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

@@ -56,6 +56,12 @@ def slices(array: pa.StringArray, limit: int = SLICE_BYTES) -> Iterator[tuple[in
         at = end
 
 
+def per_text(mask: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """How many positions of each text are marked."""
+    sums = np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])
+    return sums[bounds[1:]] - sums[bounds[:-1]]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread every bit of 64-bit values over all bits."""
     x = x ^ (x >> np.uint64(30))
@@ -76,11 +82,14 @@ def _powers(n: int) -> None:
             globals()[name] = np.cumprod(steps, dtype=np.uint64)
 
 
-def word_spans(body: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Begins and ends of the words `[^\\x20\\x09-\\x0D]+`; a word never reaches over a text's bounds."""
+def word_spans(body: np.ndarray, bounds: np.ndarray, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the words `[^\\x20\\x09-\\x0D]+`, or of the runs of bytes that are not in `gaps`.
+
+    A word never reaches over a text's bounds.
+    """
     if not len(body):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    solid = ~_SPACE[body]
+    solid = ~gaps[body]
     begin, end = solid.copy(), solid.copy()
     begin[1:] &= ~solid[:-1]
     end[:-1] &= ~solid[1:]
