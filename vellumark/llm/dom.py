@@ -194,7 +194,7 @@ def features(page: Page) -> np.ndarray:
             bad, good, off_word[i], main_word[i], off[i], main[i], min(e.depth, 12),
             np.log1p(chars[i]), np.log1p(chars[i] / (1 + tags[i])), links[i] / (1 + chars[i]), np.log1p(own[i]),
             100 * marks[i] / (20 + chars[i]), inputs[i], items[i] / (1 + tags[i]),
-            (i - brothers[0]) / (1 + brothers[-1] - brothers[0]), min(len(brothers), 20), min(len(same), 20),
-            max(chars[i] / (1 + chars[p]), 0.05), max(chars[i] / (1 + total), 0.05), min(first[i], total) / (1 + total),
+            min((i - brothers[0]) / (1 + brothers[-1] - brothers[0]), 0.5), min(len(brothers), 20), min(len(same), 20),
+            max(chars[i] / (1 + chars[p]), 0.05), max(chars[i] / (1 + total), 0.05), min(first[i] / (1 + total), 0.3),
         )
     return rows

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellumark.llm import chunked_bpe, extraction, fingerprints, packing, quality, rans, rules, toxicity
+from vellumark.llm import chunked_bpe, extraction, fingerprints, jaccard, packing, quality, rans, rules, substrings, toxicity
 from vellumark.llm.scan import table
 
 
@@ -16,6 +16,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_documents(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,10 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunked_bpe.round_trip_digests(table(spark, sf_dir, "documents"))
 
@@ -43,9 +51,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_toxicity": op2_toxicity,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_rules": op5_quality_rules,
     "op6_html_extraction": op6_html_extraction,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_quality": op9_quality,
     "op10_token_files": op10_token_files,

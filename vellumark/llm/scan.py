@@ -116,6 +116,13 @@ def span_hashes(body: np.ndarray, begins: np.ndarray, ends: np.ndarray, lower: b
     return out
 
 
+def run_hashes(hashes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each run `begins`:`ends` of word hashes, the same wherever the run stands."""
+    _powers(len(hashes) + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _POWERS[: len(hashes)], dtype=np.uint64)])
+    return mix((sums[ends] - sums[begins]) * _INVERSE[begins] + (ends - begins).astype(np.uint64))
+
+
 def windows(hashes: np.ndarray, owners: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each run of `size` words inside one text, and the index of its first word."""
     n = len(hashes) - size + 1
@@ -197,8 +204,8 @@ def may_contain(bits: np.ndarray, words: np.ndarray, places: np.ndarray) -> np.n
     return hit
 
 
-def filtered(df: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
-    """Rows whose `column` may be in the filter. Python sees the key's three positions only."""
+def filtered(df: DataFrame, column: str, bits: np.ndarray, inside: bool = True) -> DataFrame:
+    """Rows whose `column` may be in the filter, or those where it is not. Python sees the key's positions only."""
     shared = df.sparkSession.sparkContext.broadcast(bits)
     places = _filter_bits(F.col(column), len(bits))
 
@@ -207,6 +214,7 @@ def filtered(df: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
         import pandas as pd
 
         words = np.stack([x.to_numpy(dtype=np.int64) for x in (w1, w2, w3)], axis=1)
-        return pd.Series(may_contain(shared.value, words, np.stack([x.to_numpy() for x in (b1, b2, b3)], axis=1)))
+        found = may_contain(shared.value, words, np.stack([x.to_numpy() for x in (b1, b2, b3)], axis=1))
+        return pd.Series(found if inside else ~found)
 
     return df.where(hit(*[x for pair in places for x in pair]))
