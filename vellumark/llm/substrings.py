@@ -23,8 +23,9 @@ from vellumark.llm.scan import (
 from vellumark.session import stored
 
 CHUNK_WORDS = 5  # mean words of a chunk
-RUN_WORDS = 18  # least words of a run of chunks that is compared
-REMOVE_WORDS = 30  # least words that are cut out together
+RUN_WORDS = 16  # least words of a run of chunks that is compared
+REMOVE_WORDS = 24  # least words that are cut out together
+MOST_WORDS = 16  # a chunk without a cut ends here, as in one word repeated over and over
 WINDOW = 32  # bytes behind a rolling hash
 
 _FOLDED = _GEAR.copy()
@@ -55,6 +56,10 @@ def runs(array: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     first_word = np.ones(len(begins), bool)
     first_word[1:] = of[1:] != of[:-1]
     cuts = np.flatnonzero(cut | first_word)
+    wide = np.diff(np.append(cuts, len(begins)))
+    more = (wide - 1) // MOST_WORDS
+    inside = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
+    cuts = np.union1d(cuts, np.repeat(cuts, more) + inside * MOST_WORDS)
     last_word = np.searchsorted(of, of[cuts], "right")  # one behind the text's last word
     borders = np.union1d(cuts, np.append(np.flatnonzero(first_word), len(begins)))
     till = borders[np.minimum(np.searchsorted(borders, cuts + RUN_WORDS), len(borders) - 1)]
@@ -93,15 +98,18 @@ def document_runs(docs: DataFrame) -> DataFrame:
     return source.mapInArrow(run, RUNS)
 
 
-def marked_runs(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, begin, end of every run that an earlier document, or the text itself earlier, has too."""
+def marked_runs(docs: DataFrame, within: bool = False) -> DataFrame:
+    """doc_id, text_key, begin, end of every run that a document with a smaller id has too.
+
+    `within` adds those that the text itself has before.
+    """
     firsts = document_runs(docs).where(~F.col("again")).groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     firsts = stored(firsts.where("first < last").select("digest", "first"), "repeated-runs")
     bits = key_filter(firsts, "digest", 1 << 20)
     every = document_runs(docs)
-    mine = filtered(every.where(~F.col("again")), "digest", bits).join(firsts, "digest").where(F.col("doc_id") > F.col("first"))
     place = ["doc_id", "text_key", "begin", "end"]
-    return mine.select(*place).unionByName(every.where("again").select(*place))
+    mine = filtered(every, "digest", bits).join(firsts, "digest").where(F.col("doc_id") > F.col("first")).select(*place)
+    return mine.unionByName(every.where("again").select(*place)) if within else mine
 
 
 def cut_out(text: str, spans: list) -> tuple[str, int]:
@@ -129,14 +137,15 @@ def _words(body: bytes) -> list[bytes]:
     return [w for w in body.translate(_BLANKS).split(b" ") if w]
 
 
-def dedup(docs: DataFrame, counted: str | None = "removed_words") -> DataFrame:
+def dedup(docs: DataFrame, counted: str | None = "removed_words", within: bool = False) -> DataFrame:
     """All columns and rows, `text` without repeated passages, `n_chars` (if there is one) as it is then.
 
-    `counted` names a further column, the words cut out. Null texts stay null;
+    `counted` names a further column, the words cut out; `within` also cuts what
+    a text has said itself before. Null texts stay null;
     rows without doc_id stay as they are; rows with the same doc_id are one
     document and not compared with each other. An empty table gives no rows.
     """
-    spans = marked_runs(docs).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))  # of one text
+    spans = marked_runs(docs, within).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))  # of one text
     spans = stored(spans, "spans").withColumnsRenamed({"doc_id": "_id", "text_key": "_key", "spans": "_spans"})
     bits = key_filter(spans, "_id")
 
