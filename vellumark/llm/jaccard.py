@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellumark.llm.components import components
-from vellumark.llm.scan import filtered, in_slices, key_filter, mix, shingles, string_array
+from vellumark.llm.scan import filtered, id_hash, in_slices, key_filter, may_contain, mix, shingles, string_array, without_removed
 from vellumark.session import stored
 
 LATE_TOKENS = 100_000  # shingles known as frequent; they only move to the end of the orders
@@ -69,29 +69,53 @@ def _prefixes(
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(chosen.view(np.int64)))
 
 
-def document_sets(docs: DataFrame, size: int, percent: int, lower: bool) -> DataFrame:
-    """doc_id, n (shingles), key (digest of the set, null if empty), and the prefixes p1, p2 under both orders."""
-    late = docs.sparkSession.sparkContext.broadcast(_frequent(docs, size, lower))  # at most LATE_TOKENS
+def _map_parts(docs: DataFrame, schema: str, work) -> DataFrame:
+    """`work` makes columns of each slice of texts; doc_id goes along."""
+    names = [field.split()[0] for field in schema.split(", ")]
 
     def run(batches):
         for batch in batches:
             at = 0
-            for part in in_slices(string_array(batch.column("text")), lambda a: a):
-                made, bounds = shingles(part, size, lower)
-                keys = [hashlib.blake2b(made[a:b].tobytes(), digest_size=16).digest() if b > a else None for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(at, len(part)).cast(pa.int64()), pa.array(np.diff(bounds)), pa.array(keys, pa.binary()),
-                     *(_prefixes(made, bounds, percent, late.value, s) for s in SALTS)],
-                    names=["doc_id", "n", "key", "p1", "p2"],
-                )
-                at += len(part)
+            for columns, n in in_slices(string_array(batch.column("text")), lambda a: (work(a), len(a))):
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, n).cast(pa.int64()), *columns], names=names)
+                at += n
+
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, n bigint, key binary, p1 array<bigint>, p2 array<bigint>")
 
+def document_keys(docs: DataFrame, size: int, lower: bool) -> DataFrame:
+    """doc_id, n (shingles) and key, a digest of the set, null if it is empty."""
+
+    def work(texts):
+        made, bounds = shingles(texts, size, lower)
+        keys = [
+            hashlib.blake2b(made[a:b].tobytes(), digest_size=16).digest() if b > a else None
+            for a, b in zip(bounds[:-1], bounds[1:], strict=True)
+        ]
+        return [pa.array(np.diff(bounds)), pa.array(keys, pa.binary())]
+
+    return _map_parts(docs, "doc_id bigint, n bigint, key binary", work)
+
+
+def document_prefixes(docs: DataFrame, size: int, percent: int, lower: bool) -> DataFrame:
+    """doc_id, n and the set's prefixes p1, p2 under both orders."""
+    late = docs.sparkSession.sparkContext.broadcast(_frequent(docs, size, lower))  # at most LATE_TOKENS
+
+    def work(texts):
+        made, bounds = shingles(texts, size, lower)
+        return [pa.array(np.diff(bounds)), *(_prefixes(made, bounds, percent, late.value, s) for s in SALTS)]
+
+    return _map_parts(docs, "doc_id bigint, n bigint, p1 array<bigint>, p2 array<bigint>", work)
+
+
+def _whole_sets(docs: DataFrame, bits: np.ndarray, size: int, lower: bool) -> DataFrame:
+    """doc_id and tokens of the documents that may be in the filter."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
 
-def _whole_sets(docs: DataFrame, size: int, lower: bool) -> DataFrame:
     def run(batches):
         for batch in batches:
+            hit = may_contain(shared.value, batch.column("id_hash").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
+            batch = batch.filter(pa.array(hit))
             at = 0
             for part in in_slices(string_array(batch.column("text")), lambda a: a):
                 made, bounds = shingles(part, size, lower)
@@ -102,7 +126,25 @@ def _whole_sets(docs: DataFrame, size: int, lower: bool) -> DataFrame:
                 )
                 at += len(part)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, tokens array<bigint>")
+    return docs.select("doc_id", id_hash().alias("id_hash"), "text").mapInArrow(run, "doc_id bigint, tokens array<bigint>")
+
+
+def _shared_postings(sets: DataFrame, bits: np.ndarray) -> DataFrame:
+    """token, doc_id, n of the first order's prefix tokens that may be in the filter."""
+    shared = sets.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("p1")
+            tokens = lists.flatten().to_numpy(zero_copy_only=False)
+            of = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            hit = may_contain(shared.value, tokens.view(np.uint64))
+            rows = pa.array(of[hit])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(tokens[hit]), batch.column("doc_id").take(rows), batch.column("n").take(rows)], names=["token", "doc_id", "n"]
+            )
+
+    return sets.select("doc_id", "n", "p1").mapInArrow(run, "token bigint, doc_id bigint, n bigint")
 
 
 def _sizes_fit(n: Column, m: Column, percent: int) -> Column:
@@ -110,15 +152,15 @@ def _sizes_fit(n: Column, m: Column, percent: int) -> Column:
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, size: int, percent: int, lower: bool) -> DataFrame:
-    """The pairs (a, b) that meet under the second order too and whose whole sets are alike."""
+    """The pairs (a, b) of fitting sizes that meet under the second order too and whose whole sets are alike."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
-    second = filtered(sets.select("doc_id", "p2"), "doc_id", key_filter(ids, "doc_id"))
-    a, b = second.select(F.col("doc_id").alias("a"), F.col("p2").alias("pa")), second.select(F.col("doc_id").alias("b"), F.col("p2").alias("pb"))
-    pairs = stored(pairs.join(a, "a").join(b, "b").where(F.arrays_overlap("pa", "pb")).select("a", "b").distinct(), "candidates")
+    second = filtered(sets.select("doc_id", "n", "p2"), id_hash(), key_filter(ids, id_hash()))
+    a, b = (second.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("p2").alias(f"p{c}")) for c in "ab")
+    meet = _sizes_fit(F.col("na"), F.col("nb"), percent) & F.arrays_overlap("pa", "pb")
+    pairs = stored(pairs.join(a, "a").join(b, "b").where(meet).select("a", "b").distinct(), "candidates")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
-    whole = _whole_sets(filtered(docs.select("doc_id", "text"), "doc_id", key_filter(ids, "doc_id")), size, lower)
-    whole = stored(whole, "sets")
-    a, b = whole.select(F.col("doc_id").alias("a"), F.col("tokens").alias("sa")), whole.select(F.col("doc_id").alias("b"), F.col("tokens").alias("sb"))
+    whole = stored(_whole_sets(docs, key_filter(ids, id_hash()), size, lower), "sets")
+    a, b = (whole.select(F.col("doc_id").alias(c), F.col("tokens").alias(f"s{c}")) for c in "ab")
     common = F.size(F.array_intersect("sa", "sb"))
     alike = 100 * common >= percent * (F.size("sa") + F.size("sb") - common)
     return pairs.join(a, "a").join(b, "b").where(alike).select("a", "b")
@@ -133,56 +175,52 @@ def link_documents(docs: DataFrame, size: int = 5, percent: int = 80, lower: boo
     are one document. A row without doc_id gets its twin's component, or null,
     and links nothing. An empty table gives no rows; other columns are not read.
     """
-    sets = stored(document_sets(docs, size, percent, lower), "prefixes")
-    known = sets.where(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    keys = stored(document_keys(docs, size, lower), "keys")
+    known = keys.where(F.col("key").isNotNull() & F.col("doc_id").isNotNull())
     classes = stored(known.groupBy("key").agg(F.min("doc_id").alias("first")), "classes")
-    firsts = classes.select(F.col("first").alias("doc_id")).distinct()
-    postings = known.select("doc_id", "n", "p1").join(firsts, "doc_id", "left_semi")
-    postings = postings.select("doc_id", "n", F.explode("p1").alias("token"))
-    buckets = postings.groupBy("token").agg(F.min(F.struct("doc_id", "n")).alias("head"), F.count("*").alias("many")).where("many > 1")
-    shared = stored(
-        postings.join(buckets.select("token", F.col("head.doc_id").alias("head"), F.col("head.n").alias("head_n")), "token"), "buckets"
-    )
-    pairs = shared.where((F.col("head") != F.col("doc_id")) & _sizes_fit(F.col("n"), F.col("head_n"), percent))
-    pairs = stored(pairs.select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
-    links = stored(_linked(pairs, docs, sets, size, percent, lower), "links")
+    copies = known.join(classes, "key").where(F.col("doc_id") != F.col("first")).select("doc_id")
+    firsts = classes.select(F.col("first").alias("doc_id"))
+    copies = stored(copies.distinct().join(firsts, "doc_id", "left_anti"), "copies")
+    single = without_removed(docs.where(F.col("doc_id").isNotNull()), copies)  # a document of each class
+    sets = stored(document_prefixes(single, size, percent, lower), "prefixes")
+    postings = sets.select("doc_id", F.explode("p1").alias("token"))
+    buckets = postings.groupBy("token").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last")).where("head < last")
+    buckets = stored(buckets.select("token", "head"), "buckets")
+    shared = _shared_postings(sets, key_filter(buckets, F.col("token")))
+    shared = stored(shared.join(buckets, "token"), "postings")
+    pairs = shared.where("head != doc_id").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
+    pairs = stored(pairs, "pairs")
+    links = stored(_linked(pairs, single, sets, size, percent, lower), "links")
     found = components(links)
     placed = shared.select("token", "doc_id", "n").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     placed = stored(placed.withColumn("component", F.coalesce("component", "doc_id")), "placed")
     mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     rest = stored(placed.join(mixed.select("token"), "token", "left_semi"), "mixed")
-    x = rest.select("token", *[F.col(c).alias(f"{c}_a") for c in ("doc_id", "n", "component")])
-    y = rest.select("token", *[F.col(c).alias(f"{c}_b") for c in ("doc_id", "n", "component")])
+    x, y = (rest.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("doc_id", "n", "component")]) for k in "ab")
     across = x.join(y, "token").where(
         (F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("component_a") != F.col("component_b"))
         & _sizes_fit(F.col("n_a"), F.col("n_b"), percent)
     )
     across = across.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
     across = stored(across.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    more = stored(_linked(across, docs, sets, size, percent, lower), "links")
-    if more.take(1):
-        found = components(links.unionByName(more))
-    rows = sets.select("doc_id", "n", "key").join(classes, "key", "left").join(found, F.col("first") == F.col("id"), "left")
+    if across.take(1):
+        more = stored(_linked(across, single, sets, size, percent, lower), "links")
+        found = components(links.unionByName(more)) if more.take(1) else found
+    rows = keys.join(classes, "key", "left").join(found, F.col("first") == F.col("id"), "left")
     return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "first", "doc_id").alias("component_id"))
 
 
-def without_removed(docs: DataFrame, removed: DataFrame) -> DataFrame:
-    """Rows whose doc_id is not in `removed` (doc_id); texts of rows that cannot be are not shuffled."""
-    bits = key_filter(removed, "doc_id")
-    clear = filtered(docs, "doc_id", bits, inside=False)
-    return clear.unionByName(filtered(docs, "doc_id", bits).join(removed.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns))
-
-
 def one_of_each_group(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The documents without those that link, over any steps, to one with a smaller id.
 
     Of rows with the same doc_id one stays. Rows without words, and rows
     without doc_id, stay.
     """
-    made = link_documents(docs, size, percent)
+    made = stored(link_documents(docs, size, percent), "components")
     removed = made.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    kept = without_removed(docs, stored(removed, "removed"))
-    twice = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id")
+    kept = without_removed(docs, removed)
+    twice = made.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id")
     twice = stored(twice, "repeated-ids")
     if not twice.take(1):
         return kept

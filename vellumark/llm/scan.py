@@ -6,12 +6,13 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20  # texts are scanned in slices of about this size
+SLICE_BYTES = 1 << 20  # texts are scanned in slices of about this size
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -168,53 +169,60 @@ def in_slices(array: pa.StringArray, work: Callable[[pa.StringArray], object]) -
 
 
 # Membership filters: a fixed number of bits, so they can go to every task whatever the table's size. Beyond their
-# capacity they only let more rows through.
+# capacity they only let more rows through. Keys are 64-bit hashes; two runs of 26 bits of each name two places.
 
-FILTER_WORDS = 1 << 19  # longs of one filter, 4 MB
+FILTER_WORDS = 1 << 20  # longs of a filter, 8 MB
 
 
-def _filter_bits(key: Column, words: int) -> list[tuple[Column, Column]]:
-    out = []
-    for salt in (1, 2, 3):
-        h = F.xxhash64(key, F.lit(salt))
-        out.append((F.pmod(F.shiftright(h, 8), F.lit(words)).cast("int"), F.pmod(h, F.lit(64)).cast("int")))
+def _filter_places(key: Column) -> list[tuple[Column, Column]]:
+    runs = (key, F.shiftrightunsigned(key, 26))
+    return [(F.shiftrightunsigned(k, 6).bitwiseAND(F.lit(FILTER_WORDS - 1)).cast("int"), k.bitwiseAND(F.lit(63)).cast("int")) for k in runs]
+
+
+def key_filter(keys: DataFrame, hashed: Column) -> np.ndarray:
+    """Bits of all values of `hashed`, a 64-bit hash; the driver gets FILTER_WORDS longs, packed, however many keys there are."""
+    def packed(batches):
+        for batch in batches:
+            made = [batch.column(c).to_numpy(zero_copy_only=False).tobytes() for c in ("w", "bits")]
+            yield pa.RecordBatch.from_arrays([pa.array([m], pa.binary()) for m in made], names=["w", "bits"])
+
+    places = F.explode(F.array(*[F.struct(w.alias("w"), b.alias("b")) for w, b in _filter_places(F.col("_hash"))]))
+    words = keys.select(hashed.alias("_hash")).where("_hash is not null").select(places.alias("p"))
+    words = words.groupBy(F.col("p.w").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, p.b)")).alias("bits"))
+    out = np.zeros(FILTER_WORDS, np.int64)
+    for row in words.mapInArrow(packed, "w binary, bits binary").collect():
+        out[np.frombuffer(row["w"], np.int32)] = np.frombuffer(row["bits"], np.int64)
     return out
 
 
-def key_filter(keys: DataFrame, column: str, words: int = FILTER_WORDS) -> np.ndarray:
-    """Bits of all values of `column`; the driver holds `words` longs, however many keys there are."""
-    pairs = F.explode(F.array(*[F.struct(w.alias("w"), b.alias("b")) for w, b in _filter_bits(F.col(column), words)]))
-    rows = (
-        keys.where(F.col(column).isNotNull())
-        .select(pairs.alias("p"))
-        .groupBy("p.w")
-        .agg(F.bit_or(F.expr("shiftleft(1L, p.b)")).alias("bits"))
-        .toPandas()
-    )
-    bits = np.zeros(words, np.int64)
-    bits[rows["w"].to_numpy(dtype=np.int64)] = rows["bits"].to_numpy(dtype=np.int64)
-    return bits
-
-
-def may_contain(bits: np.ndarray, words: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """True where all bits are set; `words` and `places` have a row of three for each key."""
-    hit = np.ones(len(words), bool)
-    for k in range(words.shape[1]):
-        hit &= (bits[words[:, k]] >> places[:, k].astype(np.int64)) & 1 == 1
+def may_contain(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """True for each 64-bit hash that may be in the filter."""
+    hit = np.ones(len(keys), bool)
+    for run in (keys, keys >> np.uint64(26)):
+        word = ((run >> np.uint64(6)) & np.uint64(FILTER_WORDS - 1)).astype(np.int64)
+        hit &= (bits[word].view(np.uint64) >> (run & np.uint64(63))) & np.uint64(1) == 1
     return hit
 
 
-def filtered(df: DataFrame, column: str, bits: np.ndarray, inside: bool = True) -> DataFrame:
-    """Rows whose `column` may be in the filter, or those where it is not. Python sees the key's positions only."""
+def filtered(df: DataFrame, hashed: Column, bits: np.ndarray, inside: bool = True) -> DataFrame:
+    """Rows whose hash may be in the filter, or those where it is not. Python sees the hashes only."""
     shared = df.sparkSession.sparkContext.broadcast(bits)
-    places = _filter_bits(F.col(column), len(bits))
 
     @F.pandas_udf("boolean")
-    def hit(w1, b1, w2, b2, w3, b3):
-        import pandas as pd
-
-        words = np.stack([x.to_numpy(dtype=np.int64) for x in (w1, w2, w3)], axis=1)
-        found = may_contain(shared.value, words, np.stack([x.to_numpy() for x in (b1, b2, b3)], axis=1))
+    def hit(keys: pd.Series) -> pd.Series:
+        found = may_contain(shared.value, keys.to_numpy(dtype=np.int64).view(np.uint64))
         return pd.Series(found if inside else ~found)
 
-    return df.where(hit(*[x for pair in places for x in pair]))
+    return df.where(hit(hashed))
+
+
+def id_hash(column: str = "doc_id") -> Column:
+    return F.xxhash64(column)
+
+
+def without_removed(docs: DataFrame, removed: DataFrame) -> DataFrame:
+    """Rows whose doc_id is not in `removed` (doc_id); texts of rows that cannot be are not shuffled."""
+    bits = key_filter(removed, id_hash())
+    clear = filtered(docs, id_hash(), bits, inside=False)
+    some = filtered(docs, id_hash(), bits).join(removed.select("doc_id").distinct(), "doc_id", "left_anti")
+    return clear.unionByName(some.select(*docs.columns))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from vellumark.llm.chunked_bpe import _GEAR
 from vellumark.llm.scan import (
-    _SPACE, filtered, in_slices, key_filter, run_hashes, span_hashes, string_array, text_bytes, word_spans,
+    _SPACE, filtered, id_hash, in_slices, key_filter, may_contain, run_hashes, span_hashes, string_array, text_bytes, word_spans,
 )
 from vellumark.session import stored
 
@@ -75,8 +75,12 @@ def runs(array: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 RUNS = "doc_id bigint, text_key bigint, digest bigint, begin int, end int, again boolean"
 
 
-def document_runs(docs: DataFrame) -> DataFrame:
-    """A row for each run of each document; `again`: the same run stands earlier in the text."""
+def document_runs(docs: DataFrame, only: np.ndarray | None = None, within: bool = False) -> DataFrame:
+    """A row for each run of each document; `again`: the same run stands earlier in the text.
+
+    With a filter `only`, the runs that may be in it, and those again if `within`.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(only)
 
     def run(batches):
         for batch in batches:
@@ -86,10 +90,12 @@ def document_runs(docs: DataFrame) -> DataFrame:
                 order = np.lexsort((begin, digest, text))
                 again = np.zeros(len(text), bool)
                 again[order[1:]] = (digest[order[1:]] == digest[order[:-1]]) & (text[order[1:]] == text[order[:-1]])
-                rows = pa.array(text + at)
+                wanted = ~again if shared.value is None else may_contain(shared.value, digest) | again & within
+                rows = pa.array((text + at)[wanted])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(rows).cast(pa.int64()), batch.column("text_key").take(rows), pa.array(digest.view(np.int64)),
-                     pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(again)],
+                    [batch.column("doc_id").take(rows).cast(pa.int64()), batch.column("text_key").take(rows),
+                     pa.array(digest[wanted].view(np.int64)), pa.array(begin[wanted].astype(np.int32)),
+                     pa.array(end[wanted].astype(np.int32)), pa.array(again[wanted])],
                     names=["doc_id", "text_key", "digest", "begin", "end", "again"],
                 )
                 at += len(part)
@@ -103,12 +109,11 @@ def marked_runs(docs: DataFrame, within: bool = False) -> DataFrame:
 
     `within` adds those that the text itself has before.
     """
-    firsts = document_runs(docs).where(~F.col("again")).groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    firsts = document_runs(docs).groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     firsts = stored(firsts.where("first < last").select("digest", "first"), "repeated-runs")
-    bits = key_filter(firsts, "digest", 1 << 20)
-    every = document_runs(docs)
+    every = document_runs(docs, key_filter(firsts, F.col("digest")), within)
     place = ["doc_id", "text_key", "begin", "end"]
-    mine = filtered(every, "digest", bits).join(firsts, "digest").where(F.col("doc_id") > F.col("first")).select(*place)
+    mine = every.join(firsts, "digest").where(F.col("doc_id") > F.col("first")).select(*place)
     return mine.unionByName(every.where("again").select(*place)) if within else mine
 
 
@@ -147,14 +152,14 @@ def dedup(docs: DataFrame, counted: str | None = "removed_words", within: bool =
     """
     spans = marked_runs(docs, within).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))  # of one text
     spans = stored(spans, "spans").withColumnsRenamed({"doc_id": "_id", "text_key": "_key", "spans": "_spans"})
-    bits = key_filter(spans, "_id")
+    bits = key_filter(spans, id_hash("_id"))
 
     @F.pandas_udf("text string, words bigint")
     def apply(text: pd.Series, found: pd.Series) -> pd.DataFrame:
         done = [cut_out(t, s) if t is not None and s is not None else (t, 0) for t, s in zip(text, found, strict=True)]
         return pd.DataFrame({"text": [d[0] for d in done], "words": [d[1] for d in done]})
 
-    touched = filtered(docs, "doc_id", bits)
+    touched = filtered(docs, id_hash(), bits)
     touched = touched.join(spans, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left")
     touched = touched.withColumn("_done", F.when(F.col("_spans").isNotNull(), apply("text", "_spans")))
     words = F.coalesce(F.col("_done.words"), F.lit(0)).cast("bigint")
@@ -167,4 +172,4 @@ def dedup(docs: DataFrame, counted: str | None = "removed_words", within: bool =
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         new["n_chars"] = F.when(words > 0, F.char_length(F.col("_done.text")).cast(kind)).otherwise(F.col("n_chars"))
-    return shaped(touched, new).unionByName(shaped(filtered(docs, "doc_id", bits, inside=False), {"": F.lit(0).cast("bigint")}))
+    return shaped(touched, new).unionByName(shaped(filtered(docs, id_hash(), bits, inside=False), {"": F.lit(0).cast("bigint")}))
