@@ -27,8 +27,8 @@ from vellumark.llm.components import components
 from vellumark.llm.scan import filtered, id_hash, in_slices, key_filter, may_contain, mix, shingles, string_array, without_removed
 from vellumark.session import stored
 
-LATE_TOKENS = 100_000  # shingles known as frequent; they only move to the end of the orders
-LATE_COUNT = 4  # texts of one batch that make a shingle worth counting
+LATE_TOKENS = 300_000  # shingles known as frequent; they only move to the end of the orders
+LATE_COUNT = 3  # texts of one batch that make a shingle worth counting
 SALTS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
 
 
@@ -37,14 +37,20 @@ def _frequent(docs: DataFrame, size: int, lower: bool) -> tuple[np.ndarray, np.n
 
     def count(batches):
         for batch in batches:
-            for made, _ in in_slices(string_array(batch.column("text")), lambda a: shingles(a, size, lower)):
-                made, times = np.unique(made, return_counts=True)
+            sets = [made for made, _ in in_slices(string_array(batch.column("text")), lambda a: shingles(a, size, lower))]
+            if sets:
+                made, times = np.unique(np.concatenate(sets), return_counts=True)
                 many = times >= LATE_COUNT
                 yield pa.RecordBatch.from_arrays([pa.array(made[many].view(np.int64)), pa.array(times[many])], names=["token", "n"])
 
+    def packed(batches):
+        for batch in batches:
+            made = batch.column("token").to_numpy(zero_copy_only=False).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], names=["tokens"])
+
     found = docs.select("text").mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
-    rows = found.orderBy(F.desc("n"), "token").limit(LATE_TOKENS).toPandas()
-    tokens = rows["token"].to_numpy(dtype=np.int64).view(np.uint64)
+    rows = found.orderBy(F.desc("n"), "token").limit(LATE_TOKENS).mapInArrow(packed, "tokens binary").collect()
+    tokens = np.frombuffer(b"".join(r["tokens"] for r in rows), np.int64).view(np.uint64)
     place = np.arange(len(tokens))[::-1]  # the most frequent one last
     order = np.argsort(tokens)
     return tokens[order], place[order]
@@ -184,12 +190,12 @@ def link_documents(docs: DataFrame, size: int = 5, percent: int = 80, lower: boo
     copies = stored(copies.distinct().join(firsts, "doc_id", "left_anti"), "copies")
     single = without_removed(docs.where(F.col("doc_id").isNotNull()), copies)  # a document of each class
     sets = stored(document_prefixes(single, size, percent, lower), "prefixes")
-    postings = sets.select("doc_id", F.explode("p1").alias("token"))
-    buckets = postings.groupBy("token").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last")).where("head < last")
-    buckets = stored(buckets.select("token", "head"), "buckets")
+    postings = sets.select(F.struct("doc_id", "n").alias("at"), F.explode("p1").alias("token"))
+    buckets = postings.groupBy("token").agg(F.min("at").alias("head"), F.max("at.doc_id").alias("last")).where("head.doc_id < last")
+    buckets = stored(buckets.select("token", F.col("head.doc_id").alias("head"), F.col("head.n").alias("head_n")), "buckets")
     shared = _shared_postings(sets, key_filter(buckets, F.col("token")))
     shared = stored(shared.join(buckets, "token"), "postings")
-    pairs = shared.where("head != doc_id").select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
+    pairs = shared.where((F.col("head") != F.col("doc_id")) & _sizes_fit(F.col("n"), F.col("head_n"), percent)).select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
     pairs = stored(pairs, "pairs")
     links = stored(_linked(pairs, single, sets, size, percent, lower), "links")
     found = components(links)
