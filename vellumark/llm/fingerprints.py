@@ -3,7 +3,7 @@
 The shingle hashes of a text fall into BINS bins by their upper bits, each bin
 keeps its smallest hash, an empty bin takes the value of the first filled one
 on its own fixed tour of the bins (optimal densification), and BITS low bits of
-every bin are packed into a hex string. Two fingerprints' likeness is the share
+every bin's value, hashed once more with the bin, are packed into a hex string. Two fingerprints' likeness is the share
 of equal bins, corrected for the 2**-BITS of them that agree by chance.
 """
 
@@ -74,16 +74,16 @@ def bin_values(df: DataFrame, hashes: str, out: str) -> DataFrame:
         ),
     )
     low = lambda x: x.bitwiseAND(F.lit(mask))
-    df = df.withColumn(own, F.transform(first, lambda x: F.when(low(x) != mask, x.bitwiseAND((1 << BITS) - 1).cast("int"))))
+    df = df.withColumn(own, F.transform(first, lambda x: F.when(low(x) != mask, x)))
     df = df.withColumn(
         full, F.filter(F.transform(own, lambda v, i: F.when(v.isNotNull(), i)), lambda i: i.isNotNull())
     )
 
     def filled(stop: Column, b: Column) -> Column:
-        near = F.array_min(
-            F.transform(full, lambda j: F.get(F.get(_table(ranks), b), j) * (1 << BITS) + F.get(own, j))
-        ).bitwiseAND((1 << BITS) - 1)
-        return F.coalesce(F.get(own, b), *[F.get(own, F.get(stop, F.lit(k))) for k in range(PROBES)], near)
+        ranked = F.transform(full, lambda j: F.struct(F.get(F.get(_table(ranks), b), j).alias("r"), F.get(own, j).alias("v")))
+        value = F.coalesce(F.get(own, b), *[F.get(own, F.get(stop, F.lit(k))) for k in range(PROBES)], F.array_min(ranked)["v"])
+        # hashed with the bin, so that one value in many bins meets another one's bits by chance in each on its own
+        return F.xxhash64(value, b.cast("bigint")).bitwiseAND(F.lit((1 << BITS) - 1)).cast("int")
 
     dense = F.transform(_table(stops), filled)
     return df.withColumn(out, F.when(F.size(full) > 0, dense)).drop(sorted_, first, own, full)

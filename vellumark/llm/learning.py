@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def fold(doc_id: str | Column, modulus: int) -> Column:
@@ -33,18 +34,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: in
 
 def fit_in_one_task(rows: DataFrame, fit: Callable[[pa.Table], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
     """Arrays that `fit` makes of rows whose number the caller has bounded. No rows: fit gets an empty table."""
-    names = rows.columns
+    none = to_arrow_schema(rows.schema).empty_table()
 
     def run(batches):
         held = [b for b in batches if b.num_rows]
-        table = pa.Table.from_batches(held) if held else pa.table({c: [] for c in names})
+        table = pa.Table.from_batches(held) if held else none
         out = io.BytesIO()
         np.savez(out, **fit(table))
         yield pa.RecordBatch.from_pydict({"model": [out.getvalue()]}, pa.schema([("model", pa.binary())]))
 
     model = rows.repartition(1).mapInArrow(run, "model binary").first()
     if model is None:  # no partition at all
-        return fit(pa.table({c: [] for c in names}))
+        return fit(none)
     return dict(np.load(io.BytesIO(model["model"])))
 
 
