@@ -52,14 +52,15 @@ def join_unique(
     A `right` below the broadcast threshold is broadcast. Beyond it, rows of a
     hot key get one of `salts` salts and the matching right rows are repeated
     once per salt, so a hot key is spread over many tasks. The set of hot keys
-    has at most HOT_SHARE rows, hence the broadcast. Null keys do not match, as
+    found here has at most HOT_SHARE rows, hence the broadcast; a set passed as
+    `hot` must be as small, and no key of it is left out. Null keys do not match, as
     in a plain join. Finding the hot keys reads `left` once more; where `left`
     is itself a long chain, pass those of its source as `hot`.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if how in ("left", "inner", "left_anti", "left_semi") and fits_broadcast(right):
         return left.join(F.broadcast(right), keys, how)
-    found = hot_keys(left, keys) if hot is None else hot.select(*keys).limit(HOT_SHARE)
+    found = hot_keys(left, keys) if hot is None else hot.select(*keys).distinct()
     hot = F.broadcast(found.withColumn("_hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
     null_key = F.lit(False)

@@ -171,11 +171,12 @@ def prepare_documents(
     version: str,
     previous: str | None = None,
     strategy: str = "heading",
-    documents: int = sources.FILES_PER_RUN,
+    documents: int | None = None,
 ) -> DataFrame:
-    """The next text files of a folder as embedded chunks in a new version of the collection."""
-    listing = sources.intake(sources.list_files(spark, folder), "name", documents)
-    texts = sources.document_kinds(listing).filter("kind = 'text'").drop("kind")
+    """The text files of a folder, or the first `documents` of them, as embedded chunks in a new version of the collection."""
+    texts = sources.document_kinds(sources.list_files(spark, folder)).filter("kind = 'text'").drop("kind")
+    if documents is not None:
+        texts = sources.intake(texts, "name", documents)
     chunks = text_chunks.chunks(sources.read_texts(texts), strategy, key="name")
     embedded = vectors.embed(stored(chunks, "chunks"))
     return vectors.upsert_points(vectors.points(embedded, "name", "chunk_no"), collection, version, previous)
@@ -186,17 +187,19 @@ def enrich_documents(
     folder: str,
     out: str,
     gazetteer: DataFrame,
-    documents: int = sources.FILES_PER_RUN,
+    documents: int | None = None,
     mark: bool = True,
 ) -> DataFrame:
-    """Enrich the heads of the next unprocessed files, append the rows, mark the files as processed."""
-    listing = stored(
-        sources.intake(sources.unprocessed(sources.list_files(spark, folder)), "name", documents), "chosen"
-    )
-    heads = sources.read_texts(listing).select(
-        F.col("name").alias("filename"), sources.text_head(F.col("text")).alias("text")
-    )
-    found = enrichment.enrich(stored(heads, "heads"), gazetteer, min_documents=1)
+    """Enrich the whole texts of the unprocessed files, append the rows, mark the files as processed.
+
+    `documents` bounds one run; as files are marked, the next run goes on after them.
+    """
+    listing = sources.unprocessed(sources.list_files(spark, folder))
+    if documents is not None:
+        listing = sources.intake(listing, "name", documents)
+    listing = stored(listing, "chosen")
+    texts = sources.read_texts(listing).select(F.col("name").alias("filename"), "text")
+    found = enrichment.enrich(stored(texts, "texts"), gazetteer, min_documents=1)
     appended = tables.append_enrichment(found, out)
     if mark:
         sources.mark_processed(listing)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +14,6 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-_local_root: str | None = None
-
 
 def build_session(app: str = "vellumark", cores: int | str = "*", **extra: str) -> SparkSession:
     """Local session with the settings the library is tested with."""
@@ -27,16 +24,13 @@ def build_session(app: str = "vellumark", cores: int | str = "*", **extra: str)
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach; the cluster names it in spark.checkpoint.dir."""
-    global _local_root
+    """Folder every executor can reach; the cluster names it in spark.checkpoint.dir. In local mode, one in the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return qualified(spark, root)
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    if _local_root is None:
-        _local_root = qualified(spark, tempfile.mkdtemp(prefix="vellumark-"))
-    return _local_root
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_vellumark"
+    return qualified(spark, root)
 
 
 def qualified(spark: SparkSession, path: str) -> str:
