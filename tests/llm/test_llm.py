@@ -121,9 +121,8 @@ def shingle_set(text, size, lower=True):
     return {tuple(w[k : k + size]) for k in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} if w else set()
 
 
-@pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80)])
-def test_jaccard(docs, empty, rows, size, percent):
-    sets = [(k, shingle_set(t, size)) for k, t, _, _ in rows]
+def smallest_reachable(sets, percent):
+    """The function that finds a document's component, from all pairs of (doc_id, set)."""
     root = {k: k for k, _ in sets if k is not None}
 
     def find(k):
@@ -133,6 +132,13 @@ def test_jaccard(docs, empty, rows, size, percent):
         if a is not None and b is not None and x and y and 100 * len(x & y) >= percent * len(x | y):
             a, b = sorted((find(a), find(b)))
             root[b] = a
+    return find
+
+
+@pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80)])
+def test_jaccard(docs, empty, rows, size, percent):
+    sets = [(k, shingle_set(t, size)) for k, t, _, _ in rows]
+    find = smallest_reachable(sets, percent)
     made = jaccard.link_documents(docs, size, percent).collect()
     assert len(made) == len(rows)
     for r in made:
@@ -142,6 +148,32 @@ def test_jaccard(docs, empty, rows, size, percent):
     assert jaccard.link_documents(empty, size, percent).count() == 0
 
 
+@pytest.mark.parametrize("words", [90, 1500])
+def test_jaccard_of_a_group_about_the_bound(spark, words):
+    draw = np.random.default_rng(words)
+    base, rows = prose(7, words).split(), []
+    for k in range(70):  # likenesses to either side of 0.9, in buckets of more than FEW_SETS sets
+        text = list(base)
+        for at in draw.choice(words, int(words * draw.uniform(0, 0.04)), replace=False):
+            text[at] = f"new{k}x{at}"
+        rows.append((k * 3, " ".join(text)))
+    find = smallest_reachable([(k, shingle_set(t, 3)) for k, t in rows], 90)
+    made = jaccard.link_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 90).collect()
+    assert {r["doc_id"]: r["component_id"] for r in made} == {k: find(k) for k, _ in rows}
+    assert len({find(k) for k, _ in rows}) > jaccard.FEW_SETS
+
+
+def test_sketches_never_differ_more_than_sets():
+    draw = np.random.default_rng(3)
+    a = np.unique(draw.integers(0, 2**63, 900, dtype=np.uint64))
+    b = np.unique(np.concatenate([a[:800], draw.integers(0, 2**63, 70, dtype=np.uint64)]))
+    made = jaccard._sketches(np.concatenate([a, b, a]), np.cumsum([0, len(a), len(b), len(a)]))
+    longs = np.array([column.to_numpy() for column in made])
+    differ = [sum(int(x).bit_count() for x in (longs[:, 0] ^ longs[:, k]).view(np.uint64)) for k in (1, 2)]
+    apart = len(np.setxor1d(a, b))
+    assert differ[1] == 0 and 0 < differ[0] <= apart and (apart - differ[0]) % 2 == 0
+
+
 def test_one_of_each_group(docs, rows):
     kept = jaccard.one_of_each_group(docs)
     ids = [r["doc_id"] for r in kept.collect()]

@@ -5,13 +5,17 @@ have a Jaccard index of t or more, they share a token among the first
 n - ceil(t n) + 1 and m - ceil(t m) + 1 of them, under any order of all tokens.
 Both orders put frequent shingles last and go by a hash otherwise, each its own.
 A pair is a candidate if its prefixes meet under the first order and under the
-second; candidates are verified on the whole sets.
+second; candidates are verified on the whole sets. Between the two orders a
+third filter, exact like them, compares parity sketches: bit i of a set's sketch
+is the parity of its tokens that fall on i, so two sketches never differ in more
+bits than the sets in tokens.
 
 What is asked for is the components of the links, so a bucket (the sets with one
 prefix token) is worked off in two steps that never write down all its pairs:
 first every set of a bucket is compared with the bucket's smallest document,
 and links found that way are joined to components; then, only where a bucket
-still holds more than one component, its sets are compared across components.
+still holds more than one component, its sets are compared across components,
+in buckets of many sets by their sketches, before a pair is written.
 """
 
 from __future__ import annotations
@@ -29,6 +33,9 @@ from vellumark.session import stored
 
 LATE_TOKENS = 300_000  # shingles known as frequent; they only move to the end of the orders
 LATE_COUNT = 3  # texts of one batch that make a shingle worth counting
+SKETCH = 16  # longs of a parity sketch; larger sets are told apart less often, and then verified
+BITS = [f"b{i}" for i in range(SKETCH)]
+FEW_SETS = 16  # buckets of more sets carry sketches into their join, so that pairs are compared before they are made
 SALTS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
 
 
@@ -75,6 +82,16 @@ def _prefixes(
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(chosen.view(np.int64)))
 
 
+def _sketches(made: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
+    """Parity of the tokens on each of 64 * SKETCH bits, as SKETCH columns."""
+    n = len(bounds) - 1
+    of = np.repeat(np.arange(n), np.diff(bounds))
+    longs = np.zeros(n * SKETCH, np.uint64)
+    word = ((made >> np.uint64(6)) % np.uint64(SKETCH)).astype(np.int64)
+    np.bitwise_xor.at(longs, of * SKETCH + word, np.uint64(1) << (made & np.uint64(63)))
+    return [pa.array(np.ascontiguousarray(column).view(np.int64)) for column in longs.reshape(n, SKETCH).T]
+
+
 def _map_parts(docs: DataFrame, schema: str, work) -> DataFrame:
     """`work` makes columns of each slice of texts; doc_id goes along."""
     names = [field.split()[0] for field in schema.split(", ")]
@@ -104,14 +121,16 @@ def document_keys(docs: DataFrame, size: int, lower: bool) -> DataFrame:
 
 
 def document_prefixes(docs: DataFrame, size: int, percent: int, lower: bool) -> DataFrame:
-    """doc_id, n and the set's prefixes p1, p2 under both orders."""
+    """doc_id, n, the set's prefixes p1, p2 under both orders, and its sketch."""
     late = docs.sparkSession.sparkContext.broadcast(_frequent(docs, size, lower))  # at most LATE_TOKENS
 
     def work(texts):
         made, bounds = shingles(texts, size, lower)
-        return [pa.array(np.diff(bounds)), *(_prefixes(made, bounds, percent, late.value, s) for s in SALTS)]
+        prefixes = [_prefixes(made, bounds, percent, late.value, s) for s in SALTS]
+        return [pa.array(np.diff(bounds)), *prefixes, *_sketches(made, bounds)]
 
-    return _map_parts(docs, "doc_id bigint, n bigint, p1 array<bigint>, p2 array<bigint>", work)
+    sketch = ", ".join(f"{b} bigint" for b in BITS)
+    return _map_parts(docs, f"doc_id bigint, n bigint, p1 array<bigint>, p2 array<bigint>, {sketch}", work)
 
 
 def _whole_sets(docs: DataFrame, bits: np.ndarray, size: int, lower: bool) -> DataFrame:
@@ -157,6 +176,20 @@ def _sizes_fit(n: Column, m: Column, percent: int) -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
+def _sketches_fit(percent: int) -> Column:
+    """False only if the sketches of sides a and b differ in more bits than linked sets of their sizes can in tokens."""
+    differ = sum(F.bit_count(F.col(f"{b}_a").bitwiseXOR(F.col(f"{b}_b"))) for b in BITS)
+    return (100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
+
+
+def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sketches fit."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+    known = filtered(sets.select("doc_id", "n", *BITS), id_hash(), key_filter(ids, id_hash()))
+    a, b = (known.select(F.col("doc_id").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("n", *BITS)]) for k in "ab")
+    return stored(pairs.join(a, "a").join(b, "b").where(_sketches_fit(percent)).select("a", "b"), "near")
+
+
 def _linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, size: int, percent: int, lower: bool) -> DataFrame:
     """The pairs (a, b) of fitting sizes that meet under the second order too and whose whole sets are alike."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
@@ -172,6 +205,12 @@ def _linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, size: int, perce
     return pairs.join(a, "a").join(b, "b").where(alike).select("a", "b")
 
 
+def _across(rest: DataFrame, columns: list[str]) -> DataFrame:
+    """Pairs (a, b) of sets with a common token and different components, and n and `columns` of both."""
+    x, y = (rest.select("token", F.col("doc_id").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("n", "component", *columns)]) for k in "ab")
+    return x.join(y, "token").where((F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")))
+
+
 def link_documents(docs: DataFrame, size: int = 5, percent: int = 80, lower: bool = True) -> DataFrame:
     """doc_id, n_shingles, component_id of every row: the smallest doc_id reachable by links, itself included.
 
@@ -197,21 +236,19 @@ def link_documents(docs: DataFrame, size: int = 5, percent: int = 80, lower: boo
     shared = stored(shared.join(buckets, "token"), "postings")
     pairs = shared.where((F.col("head") != F.col("doc_id")) & _sizes_fit(F.col("n"), F.col("head_n"), percent)).select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
     pairs = stored(pairs, "pairs")
-    links = stored(_linked(pairs, single, sets, size, percent, lower), "links")
+    links = stored(_linked(_near(pairs, sets, percent), single, sets, size, percent, lower), "links")
     found = components(links)
     placed = shared.select("token", "doc_id", "n").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     placed = stored(placed.withColumn("component", F.coalesce("component", "doc_id")), "placed")
-    mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    rest = stored(placed.join(mixed.select("token"), "token", "left_semi"), "mixed")
-    x, y = (rest.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("doc_id", "n", "component")]) for k in "ab")
-    across = x.join(y, "token").where(
-        (F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("component_a") != F.col("component_b"))
-        & _sizes_fit(F.col("n_a"), F.col("n_b"), percent)
-    )
-    across = across.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
+    mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("sets"))
+    rest = stored(placed.join(mixed.where("low < high").select("token", "sets"), "token"), "mixed")
+    sketched = rest.where(F.col("sets") > FEW_SETS).join(sets.select("doc_id", *BITS), "doc_id")
+    across = _across(rest.where(F.col("sets") <= FEW_SETS), []).where(_sizes_fit(F.col("n_a"), F.col("n_b"), percent))
+    many = _across(stored(sketched, "sketched"), BITS).where(_sizes_fit(F.col("n_a"), F.col("n_b"), percent) & _sketches_fit(percent))
+    across = across.select("a", "b").unionByName(many.select("a", "b")).distinct()
     across = stored(across.join(pairs, ["a", "b"], "left_anti"), "pairs")
     if across.take(1):
-        more = stored(_linked(across, single, sets, size, percent, lower), "links")
+        more = stored(_linked(_near(across, sets, percent), single, sets, size, percent, lower), "links")
         found = components(links.unionByName(more)) if more.take(1) else found
     rows = keys.join(classes, "key", "left").join(found, F.col("first") == F.col("id"), "left")
     return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "first", "doc_id").alias("component_id"))
