@@ -101,8 +101,8 @@ def test_report_metadata(spark, tmp_path):
     assert complete["creator"] == 100.0 and set(complete) == {"document_type", "creator", "retention_policy"}
     months = json.loads(spark.read.text(summary.analyses.monthly_growth).first()[0])
     assert months[0] == {"month": "2000-01", "new_docs": 6, "cumulative_total": 6}
-    labels = json.loads(spark.read.text(summary.analyses.sensitivity_label_recommendations).first()[0])
-    assert set(labels) == {r[0] for r in rows if r[4] is None}
+    labels = [json.loads(r[0]) for r in spark.read.text(summary.analyses.sensitivity_label_recommendations).collect()]
+    assert {r["filename"] for r in labels} == {r[0] for r in rows if r[4] is None}
     status = json.loads(spark.read.text(summary.analyses.document_status).first()[0])
     assert status == {"labels": ["final"], "counts": [120], "percentages": [100.0]}
 

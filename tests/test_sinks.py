@@ -131,7 +131,10 @@ def test_reports(spark, tmp_path):
     assert tables.report_document(small, "records").first()[0] == '[{"label":null,"count":2},{"label":"x","count":1}]'
     assert tables.report_document(small.filter("count = 1"), "mapping").first()[0] == '{"x":1}'
     assert tables.report_document(small.filter("count = 1"), "object").first()[0] == '{"label":"x","count":1}'
-    assert tables.report_document(small, limit=1).count() == 2
+    for n in (9_999, 10_001):  # one form, whatever the length
+        long = spark.range(n).selectExpr("id", "id * 2 AS double")
+        assert tables.report_document(long, "records").count() == 1
+        assert tables.report_document(long, "object").count() == n
     summary = tables.write_reports({"one": tables.report_document(small)}, str(tmp_path), "2025-01-01T00:00:00").first()
     assert summary.analyses.one.endswith("/one")
     assert not tables.dump_csv(spark.range(0), str(tmp_path / "none"))

@@ -158,8 +158,8 @@ def report_metadata(documents: DataFrame, out: str, as_of: str, key: str = "file
         "document_status": tables.shares_document(aggregates.shares(documents, "document_status")),
         "sensitivity_labels": tables.shares_document(by_label),
         "retention_policies": tables.shares_document(aggregates.shares(documents, "retention_policies")),
-        "outlier_documents": tables.report_document(unusual, "records"),
-        "sensitivity_label_recommendations": tables.report_document(suggested, "mapping"),
+        "outlier_documents": tables.report_document(unusual, "object"),
+        "sensitivity_label_recommendations": tables.report_document(suggested, "object"),
     }
     return tables.write_reports(reports, out, as_of)
 

@@ -16,7 +16,6 @@ from vellumark.functions.formats import DESCRIPTOR_NAME, PAYLOAD_NAME
 from vellumark.operators.skew import join_unique
 from vellumark.sources.filesystem import open_file_system, publish
 
-ZIP_LIMIT = 2 * 1024**3
 _STAMP = (1980, 1, 1, 0, 0, 0)  # fixed, so equal content gives an equal zip
 _BLOCK = 1 << 20
 PACKAGE_ROW = "package_id bigint, path string, files int, bytes bigint, sha string, error string"
@@ -37,7 +36,7 @@ class _Digest:
         self.out.flush()
 
 
-def _write_package(package, folder: str, holding: str, limit: int) -> dict:
+def _write_package(package, folder: str, holding: str, limit: int | None) -> dict:
     """Write one zip; attachments are streamed from where they lie."""
     row = {"package_id": package.package_id, "path": None, "files": 0, "bytes": 0, "sha": None, "error": None}
     if package.payload is None:
@@ -47,7 +46,7 @@ def _write_package(package, folder: str, holding: str, limit: int) -> dict:
     absent = sorted(a["name"] for a in package.files if a["path"] is None)
     if absent:
         return {**row, "error": "missing attachment: " + ", ".join(absent)}
-    if total > limit:
+    if limit is not None and total > limit:
         return {**row, "error": f"{total} bytes exceed the limit of {limit}"}
     token = uuid.UUID(hashlib.sha256(package.payload.encode()).hexdigest()[:32])
     system, root = open_file_system(folder)
@@ -62,6 +61,7 @@ def _write_package(package, folder: str, holding: str, limit: int) -> dict:
             for a in sorted(package.files, key=lambda a: a["name"]):
                 info = zipfile.ZipInfo(a["name"], _STAMP)
                 info.compress_type = zipfile.ZIP_DEFLATED
+                info.file_size = int(a["size"] or 0)  # tells the writer which entries need 64-bit sizes
                 source, path = open_file_system(a["path"])
                 with source.open_input_stream(path) as data, z.open(info, "w") as entry:
                     shutil.copyfileobj(data, entry, _BLOCK)
@@ -70,11 +70,11 @@ def _write_package(package, folder: str, holding: str, limit: int) -> dict:
     return row
 
 
-def write_packages(packages: DataFrame, folder: str, holding: str, limit: int = ZIP_LIMIT) -> DataFrame:
+def write_packages(packages: DataFrame, folder: str, holding: str, limit: int | None = None) -> DataFrame:
     """Write a zip per row of (package_id, payload, descriptor, files).
 
     `files` is an array of (name, path, size). A package with a missing
-    attachment, or one that is too large, gives a row with an error and no zip.
+    attachment, or one of more bytes than `limit`, gives a row with an error and no zip.
     Names derive from the content, so running again replaces a zip by itself.
     """
 

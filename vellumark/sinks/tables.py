@@ -104,21 +104,17 @@ def dump_csv(df: DataFrame, path: str) -> bool:
     return True
 
 
-REPORT_LIMIT = 10_000
-
-
-def report_document(
-    df: DataFrame, form: str = "lists", order_by: Sequence[Column] = (), limit: int = REPORT_LIMIT
-) -> DataFrame:
-    """`report`: the rows of a small result as one JSON text.
-
-    lists: an object with a list per column; records: a list of objects;
-    object: the only row; mapping: from the first column to the second. Rows go
-    by `order_by`, else by their columns. The number of rows is checked first,
-    and a longer result stays a JSON object per row.
+def report_document(df: DataFrame, form: str = "lists", order_by: Sequence[Column] = ()) -> DataFrame:
+    """`report`: the rows of a result as JSON, in the form the caller names, however many they are.
+
+    object: a JSON object per row, for results of any length. The others make
+    one JSON text of all rows, for results that are short by their meaning:
+    lists, an object with a list per column; records, a list of objects;
+    mapping, from the first column to the second. Their rows go by `order_by`,
+    else by their columns.
     """
     keep_nulls = {"ignoreNullFields": "false"}
-    if form == "object" or df.limit(limit + 1).count() > limit:
+    if form == "object":
         return df.select(F.to_json(F.struct(*df.columns), keep_nulls).alias("report"))
     row = F.struct(*df.columns)
     order = F.struct(*order_by) if order_by else row
