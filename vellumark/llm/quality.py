@@ -79,14 +79,45 @@ def _margins(of: np.ndarray, where: np.ndarray, n: int, ratios: np.ndarray, weig
     return np.bincount(of, scaled * weights[where], n) / np.maximum(norm, 1e-9)
 
 
+class TextSets:
+    """Buckets of many texts at two bytes each, and where each text's begin; nothing wider is held for all texts."""
+
+    def __init__(self, array: pa.StringArray):
+        parts, counts = [np.zeros(0, np.uint16)], [np.zeros(0, np.int64)]
+        for at in range(0, len(array), _BLOCK_TEXTS):
+            of, where = indicators(array.slice(at, _BLOCK_TEXTS))
+            parts.append(where.astype(np.uint16))
+            counts.append(np.bincount(of, minlength=min(_BLOCK_TEXTS, len(array) - at)))
+        self.where = np.concatenate(parts)
+        self.bounds = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+
+    def __len__(self) -> int:
+        return len(self.bounds) - 1
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.where[self.bounds[i] : self.bounds[i + 1]]
+
+    def counts(self, chosen: np.ndarray) -> np.ndarray:
+        """How many of the chosen texts have each bucket."""
+        total = np.zeros(BUCKETS, np.int64)
+        for i in np.flatnonzero(chosen).tolist():
+            total[self[i]] += 1  # a text has a bucket once
+        return total
+
+    def norms(self, ratios: np.ndarray) -> np.ndarray:
+        square = ratios * ratios
+        return np.maximum(np.sqrt([square[self[i]].sum() for i in range(len(self))]), 1e-9)
+
+
 def dual_coordinate_descent(
-    of: np.ndarray, where: np.ndarray, values: np.ndarray, signs: np.ndarray, cost: float = COST, epochs: int = EPOCHS
+    sets: TextSets, rows: np.ndarray, ratios: np.ndarray, signs: np.ndarray, cost: float = COST, epochs: int = EPOCHS
 ) -> np.ndarray:
-    """Weights of the L2-regularised hinge loss; one dual variable in [0, cost] a row, rare class weighted up."""
-    n = len(signs)
-    bounds = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=n))])
-    rows = [(where[a:b], values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-    square = [float(v @ v) for _, v in rows]
+    """Weights of the L2-regularised hinge loss; one dual variable in [0, cost] a row, rare class weighted up.
+
+    A row's values are the ratios of its buckets, brought to length one when the row is visited.
+    """
+    n = len(rows)
+    norms = sets.norms(ratios)[rows]
     share = np.where(signs > 0, (signs > 0).mean(), (signs < 0).mean())
     most = cost * np.minimum(10.0, 0.5 / np.maximum(share, 1e-6))
     alpha, weights = np.zeros(n), np.zeros(BUCKETS + 1)
@@ -94,9 +125,10 @@ def dual_coordinate_descent(
     for _ in range(epochs):
         moved = 0.0
         for i in random.permutation(n).tolist():
-            at, x = rows[i]
+            at = sets[rows[i]]
+            x = ratios[at] / norms[i]
             slope = signs[i] * (float(weights[at] @ x) + weights[-1]) - 1
-            new = min(max(alpha[i] - slope / (square[i] + 1), 0.0), most[i])
+            new = min(max(alpha[i] - slope / (float(x @ x) + 1), 0.0), most[i])
             if new != alpha[i]:
                 step = (new - alpha[i]) * signs[i]
                 weights[at] += step * x
@@ -114,24 +146,18 @@ def fit(texts: pa.Table) -> dict[str, np.ndarray]:
     blank = {"ratios": np.zeros(BUCKETS), "weights": np.zeros(BUCKETS + 1), "ab": platt(np.zeros(len(labels)), labels)}
     if len(np.unique(labels)) < 2:
         return blank
-    array = string_array(texts.column("text"))
+    sets = TextSets(string_array(texts.column("text")))
     order = np.argsort([hash(d) & 0xFFFF for d in texts.column("doc_id").to_pylist()], kind="stable")
-    of, where = indicators(array)
     learn = np.zeros(len(labels), bool)
     learn[order[: len(order) - len(order) // 5]] = True
     if len(np.unique(labels[learn])) < 2 or learn.all():
         learn[:] = True
-    counts = [SMOOTHING + np.bincount(where[learn[of] & (labels[of] == y)], minlength=BUCKETS) for y in (1, 0)]
+    counts = [SMOOTHING + sets.counts(learn & (labels == y)) for y in (1, 0)]
     ratios = np.log(counts[0] / counts[0].sum()) - np.log(counts[1] / counts[1].sum())
-    own = learn[of]
-    place = np.cumsum(learn) - 1
-    values = ratios[where]
-    norm = np.sqrt(np.bincount(of, values * values, len(labels)))
-    weights = dual_coordinate_descent(
-        place[of[own]], where[own], values[own] / np.maximum(norm[of[own]], 1e-9), np.where(labels[learn] > 0, 1.0, -1.0)
-    )
+    weights = dual_coordinate_descent(sets, np.flatnonzero(learn), ratios, np.where(labels[learn] > 0, 1.0, -1.0))
+    scaled = ratios * weights[:-1]
+    margins = np.array([scaled[sets[i]].sum() for i in range(len(sets))]) / sets.norms(ratios) + weights[-1]
     rest = ~learn if not learn.all() else learn
-    margins = _margins(of, where, len(labels), ratios, weights) + weights[-1]
     return {"ratios": ratios, "weights": weights, "ab": platt(margins[rest], labels[rest].astype(float))}
 
 
