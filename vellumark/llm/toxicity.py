@@ -40,10 +40,24 @@ def term_counts(array: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return of[at], terms[at], np.diff(np.append(at, len(of)))
 
 
-def _all_term_counts(array: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    parts = [(o + a, t, c) for a, b in slices(array) for o, t, c in [term_counts(array.slice(a, b - a))]]
-    if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+def document_counts(array: pa.StringArray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct terms ascending, texts that have each, and those of label 1; added up slice by slice."""
+    distinct, df, df1 = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
+    for at, end in slices(array):
+        of, terms, _ = term_counts(array.slice(at, end - at))
+        seen, ones = np.append(df, np.ones(len(of))), np.append(df1, labels[of + at])
+        distinct, code = np.unique(np.append(distinct, terms), return_inverse=True)
+        df, df1 = np.bincount(code, seen, len(distinct)), np.bincount(code, ones, len(distinct))
+    return distinct, df, df1
+
+
+def known_terms(array: pa.StringArray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, place in `chosen` (ascending) and count of every chosen term of every text, by text and term."""
+    parts = [(np.zeros(0, np.int64),) * 3]
+    for at, end in slices(array):
+        of, terms, counts = term_counts(array.slice(at, end - at))
+        own = np.flatnonzero(np.isin(terms, chosen))
+        parts.append((of[own] + at, np.searchsorted(chosen, terms[own]), counts[own]))
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
@@ -105,22 +119,16 @@ def fit(texts: pa.Table) -> dict[str, np.ndarray]:
     # examples with like terms stand together if they have like labels and ids follow; the order is by id, for repeatability
     order = np.lexsort((texts.column("doc_id").to_numpy(), labels)) if len(labels) else np.zeros(0, np.int64)
     array, labels = array.take(pa.array(order)), labels[order]
-    of, terms, counts = _all_term_counts(array)
-    distinct, code = np.unique(terms, return_inverse=True)
+    distinct, df, df1 = document_counts(array, labels)
     n, n1 = len(labels), int(labels.sum())
-    df = np.bincount(code, minlength=len(distinct)).astype(float)
-    df1 = np.bincount(code, labels[of].astype(float), len(distinct))
     with np.errstate(divide="ignore", invalid="ignore"):
         cross = df1 * (n - n1 - (df - df1)) - (df - df1) * (n1 - df1)
         chi2 = np.nan_to_num(n * cross**2 / (df * (n - df) * n1 * (n - n1)))
     chosen = np.flatnonzero((df >= MIN_DOCUMENTS) & (chi2 >= MIN_CHI2) & (cross > 0))
     chosen = np.sort(chosen[np.lexsort((distinct[chosen], -chi2[chosen]))[:TERMS]])
     idf = np.log((1 + n) / (1 + df[chosen])) + 1
-    place = np.full(len(distinct), -1, np.int64)
-    place[chosen] = np.arange(len(chosen))
-    own = place[code] >= 0
-    of, term = of[own], place[code[own]]
-    weight = (1 + np.log(counts[own])) * idf[term]
+    of, term, counts = known_terms(array, distinct[chosen])
+    weight = (1 + np.log(counts)) * idf[term]
     norm = np.sqrt(np.bincount(of, weight * weight, n))
     weight = weight / norm[of] if len(of) else weight
     prior = (n1 + 0.5) / (n + 1)
