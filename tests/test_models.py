@@ -1,9 +1,11 @@
 import random
+import xml.etree.ElementTree as ET
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from vellumark.operators import aggregates, label_suggestions, lookups, outliers, quality, schema_docs
+from vellumark.operators import aggregates, attachments, label_suggestions, lookups, outliers, quality, schema_docs
 from vellumark.operators.inference import infer_json, infer_xsd
 from vellumark.sources.documents import read_metadata_json
 
@@ -171,6 +173,29 @@ def test_xsd_accepts_and_rejects_records(spark, tmp_path):
     assert [r.valid for r in got.orderBy("n").collect()] == [True, False, False]
 
 
+def test_payloads_fit_their_xsd(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1, "high", "a & b", "x"), (2, None, "", "y")], "n int, `order priority` string, type string, plain string"
+    )
+    columns = ["order priority", "type", "plain"]
+    files = spark.createDataFrame([], "n int, slot int, name string, mimetype string, size long, checksum string")
+    xml = attachments.record_fragments(df, "n", columns, files, "/in")
+    parsed = [[e.tag for e in ET.fromstring(r.xml)] for r in xml.collect()]
+    assert parsed == [["order_priority", "type_field", "plain", "Attachments"]] * 2
+    types = {c: "xs:string" for c in parsed[0][:3]}
+    xsd = quality.write_record_xsd(spark, types, str(tmp_path / "x"))
+    bare = xml.withColumn("xml", F.replace("xml", F.lit("<Attachments />"), F.lit("")))
+    schema = ", ".join(f"{c} string" for c in types)
+    assert all(r.valid for r in quality.validate_records(bare, "xml", xsd, schema).collect())
+    listed = spark.createDataFrame(
+        [("t", i, c, "xs:string") for i, c in enumerate(parsed[0][:3])], "table_name string, ordinal int, name string, type string"
+    )
+    spaced = listed.withColumn("name", F.replace("name", F.lit("_p"), F.lit(" p")))
+    made = schema_docs.xsd_from_catalogue(spaced, "Cards").first().xsd
+    names = [e.get("name") for e in ET.fromstring(made.encode()).iter() if e.get("type") == "xs:string"]
+    assert names == parsed[0][:3]
+
+
 def test_xsd_from_types(spark):
     xsd = schema_docs.xsd_from_catalogue(infer_xsd(table(spark), "t"), "Cards").first().xsd
     assert '<xs:element name="type_field" type="xs:string"/>' in xsd and xsd.count('name="Attachments"') == 1

@@ -6,6 +6,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+from vellumark.operators.aggregates import delivery_totals
 from vellumark.operators.inference import infer_relational
 from vellumark.operators.row_numbers import assign_chunks
 from vellumark.session import new_folder
@@ -86,6 +87,29 @@ def test_ledger_is_resumable(spark, tmp_path):
     assert ledger.latest_status(again).filter("status = 201").agg(F.sum("rows")).first()[0] == 400
 
 
+def test_totals_follow_the_content(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    first = chunk_documents(spark.range(50).selectExpr("id", "id * 7 AS v"), "S", "T", [F.col("id")], 10)
+    ledger.deliver(first, path, accepting)
+    changed = chunk_documents(spark.range(32).selectExpr("id", "id * 9 AS v"), "S", "T", [F.col("id")], 10)
+    entries = ledger.deliver(changed, path, unreachable)
+    assert tuple(delivery_totals(entries, first).first()) == (50, 50, 0)
+    assert tuple(delivery_totals(entries, changed).first()) == (32, 0, 32)
+    assert tuple(delivery_totals(entries).first()) == (82, 50, 32)
+    assert {r.status for r in ledger.latest_status(entries, changed).collect()} == {0}
+    assert ledger.latest_status(entries, changed).count() == 4
+
+
+def test_streams_without_files(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    stream = csv_stream(spark, str(folder), ["a", "b"])
+    taken = take_files(stream, str(tmp_path / "c1"), str(tmp_path / "out"))
+    assert taken.count() == 0 and taken.columns == ["a", "b", "_file", "batch_id"]
+    out = export_stream(stream, str(tmp_path / "c2"), str(tmp_path / "ledger"), accepting, "S", "T")
+    assert out.count() == 0
+
+
 def test_metrics_are_unique(spark, tmp_path):
     totals = spark.createDataFrame([(10, 8, 2)], "rows_in_chunks long, rows_delivered long, rows_failed long")
     run = ledger.run_metrics(totals, "d", "r1", "2025-07-09 10:00:00+00")

@@ -132,6 +132,46 @@ def test_personal_data(spark):
     }
 
 
+def test_personal_data_layouts(spark):
+    found = {
+        "call 555-123-4567 or (555) 123-4567.": {("phone", "555-123-4567"), ("phone", "(555) 123-4567")},
+        "Berlin +49 30 1234567, Paris +33 1 23 45 67 89": {("phone", "+49 30 1234567"), ("phone", "+33 1 23 45 67 89")},
+        "host 192.168.1.254 but not 999.999.999.999 or 1.2.3.4567": {("ipv4", "192.168.1.254")},
+        "4111-1111-1111-1111 x4111111111111111x": {("card", "4111-1111-1111-1111")},
+        "order 0123-45-67890 of 2020-01-02": set(),
+        "IBAN DE89370400440532013000, GB29 NWBK 6016 1331 9268 19": {
+            ("iban", "DE89370400440532013000"), ("iban", "GB29 NWBK 6016 1331 9268 19"),
+        },
+        "": set(),
+    }
+    df = spark.createDataFrame([(t, t) for t in found], "doc_id string, text string")
+    got = {t: set() for t in found}
+    for r in enrichment.personal_data(df).collect():
+        got[r.doc_id].add((r.kind, r.value))
+    assert got == found
+
+
+def test_entities_of_several_words(spark):
+    text = "Anna Bell of Bell Trading Company flew from New York to York, then St. Louis. New\nYork; NewYork, New, York."
+    df = spark.createDataFrame([(1, text), (2, ""), (3, None)], "doc_id int, text string")
+    listed = spark.createDataFrame([("New York",), ("York",), ("York",), ("St. Louis",), (None,), ("",)], "name string")
+    got = {(r.doc_id, r.kind, r.value): r.occurrences for r in enrichment.entities(df, listed).collect()}
+    assert {k[1:]: n for k, n in got.items() if k[1] == "place"} == {
+        ("place", "New York"): 2, ("place", "York"): 4, ("place", "St. Louis"): 1,
+    }
+    assert got[(1, "person", "Anna Bell")] == 1 and got[(1, "organisation", "Bell Trading Company")] == 1
+    assert {k[0] for k in got} == {1}
+    assert enrichment.entities(df, listed.limit(0)).filter("kind = 'place'").count() == 0
+
+
+def test_alternates_of_asked_terms(spark):
+    texts = ["the big dog ran", "the large dog ran", "the huge dog ran"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    asked = spark.createDataFrame([("big",), ("big",), ("none",)], "term string")
+    every = enrichment.alternates(df).filter("term = 'big'").collect()
+    assert len(every) == 2 and sorted(enrichment.alternates(df, asked=asked).collect()) == sorted(every)
+
+
 def test_intent_keywords_summary(spark):
     docs = [(1, "Please use this. You must run it. Nothing else."), (2, "xyz."), (3, "The report shows a total result.")]
     df = spark.createDataFrame(docs, "doc_id int, text string")

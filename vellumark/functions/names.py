@@ -31,6 +31,12 @@ def reserved_suffix(col: Column) -> Column:
     return F.when(F.lower(col).isin(reserved), F.concat(col, F.lit("_field"))).otherwise(col)
 
 
+def record_element(name: str) -> str:
+    """Column name as the element of a record: as the XSD names it, reserved names with `_field`."""
+    plain = element_name(name)
+    return plain + "_field" if plain.lower() in {n.lower() for n in RESERVED_NAMES} else plain
+
+
 def base_name(col: Column) -> Column:
     """Last component of a `/` separated path."""
     return F.substring_index(col, "/", -1)

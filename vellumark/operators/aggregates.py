@@ -90,11 +90,20 @@ def record_counts(tables: Mapping[str, DataFrame], chunk_rows: int) -> DataFrame
     return reduce(DataFrame.unionByName, counted).withColumn("chunk_count", chunks)
 
 
-def delivery_totals(ledger: DataFrame) -> DataFrame:
-    """Rows attempted, delivered and failed; a chunk counts once, by its best entry."""
-    per_chunk = ledger.groupBy("batch_id", "chunk_id").agg(
+def delivery_totals(ledger: DataFrame, documents: DataFrame | None = None, batch_id: int = 0) -> DataFrame:
+    """Rows attempted, delivered and failed; a content of a chunk counts once, by its best entry.
+
+    With `documents` only the contents of that run count: neither what an
+    earlier run sent under the same number nor chunks it had beyond them. A
+    document without an entry has failed.
+    """
+    content = ["batch_id", "chunk_id", "sha"]
+    per_chunk = ledger.groupBy(*content).agg(
         F.max("rows").alias("rows"), F.max(F.col("status") == 201).alias("delivered")
     )
+    if documents is not None:
+        own = documents.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "chunk_id", "sha", "rows")
+        per_chunk = own.join(per_chunk.drop("rows"), content, "left").fillna(False, ["delivered"])
     rows = F.col("rows")
     return per_chunk.agg(
         F.coalesce(F.sum(rows), F.lit(0)).alias("rows_in_chunks"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellumark.functions.formats import DESCRIPTOR_SPACE
-from vellumark.functions.names import base_name, schema_urn, schema_urn_text
+from vellumark.functions.names import base_name, record_element, schema_urn, schema_urn_text
 from vellumark.functions.values import media_type, stripped
 from vellumark.functions.xml import element, ordered_text, wrapped
 from vellumark.operators.packing import record_size
@@ -90,7 +90,9 @@ def record_fragments(
     attached = matched.groupBy(record).agg(slots.alias("_files"))
     inner = F.array_join(F.transform("_files", lambda a: attachment_xml(a, folder)), "")
     block = F.when(inner != "", wrapped("Attachments", inner)).otherwise(F.lit("<Attachments />"))
-    meta = [element(c, stripped(F.col("`" + c + "`").cast("string"))) for c in meta_columns]
+    meta = [
+        element(record_element(c), stripped(F.col("`" + c.replace("`", "``") + "`").cast("string"))) for c in meta_columns
+    ]
     return df.join(attached, record, "left").select(
         record, wrapped(child, *meta, F.coalesce(block, F.lit("<Attachments />"))).alias("xml")
     )

@@ -20,14 +20,27 @@ from vellumark.session import stored
 TERM = r"\p{L}+"
 DAY_PATTERN = r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
 NAME_PATTERN = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)+"
-WORD_PATTERN = r"[\p{L}0-9_]+"
+TOKEN_PATTERN = r"[\p{L}0-9_]+|[^\p{L}0-9_ \t\n\x0B\f\r]"  # a word or one other sign
+# Last words of an organisation's name.
+ORGANISATION_WORDS = (
+    "Agency", "Association", "Bank", "Company", "Corp", "Corporation", "Desk", "Foundation", "Group", "Inc", "Institute",
+    "Limited", "Ltd", "Ministry", "Office", "University",
+)
+# What may stand before and after a number or a code: no letter, digit or underscore of ASCII.
+_BEFORE, _AFTER = "(?<![0-9A-Za-z_])", "(?![0-9A-Za-z_])"
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 # Personal data by kind.
 PII_PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "phone": r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}",
-    "ipv4": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
-    "card": r"[0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}",
-    "national_id": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+    "phone": (
+        rf"\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)|[0-9]{{1,4}})(?:[ .-]?[0-9]{{2,4}}){{2,5}}{_AFTER}"
+        rf"|\([0-9]{{3}}\) ?[0-9]{{3}}[ .-][0-9]{{4}}{_AFTER}"
+        rf"|{_BEFORE}[0-9]{{3}}[ .-][0-9]{{3}}[ .-][0-9]{{4}}{_AFTER}"
+    ),
+    "ipv4": rf"{_BEFORE}{_OCTET}(?:\.{_OCTET}){{3}}{_AFTER}",
+    "card": rf"{_BEFORE}(?:[0-9]{{13,19}}|[0-9]{{4}}(?:[ -][0-9]{{4}}){{3}}){_AFTER}",
+    "national_id": rf"{_BEFORE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_AFTER}",
+    "iban": rf"{_BEFORE}[A-Z]{{2}}[0-9]{{2}}(?:[0-9A-Z]{{11,30}}|(?: [0-9A-Z]{{4}}){{3,7}}(?: [0-9A-Z]{{1,3}})?){_AFTER}",
 }
 # Words that point to a purpose.
 INTENT_CUES = {
@@ -132,18 +145,60 @@ def _matches(text: Column, kind: str, pattern: str) -> Column:
     return F.transform(found, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
 
 
+def _tokens(text: Column) -> Column:
+    """Words and other signs, each with a space after it."""
+    found = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
+    return F.transform(found, lambda t: F.concat(t, F.lit(" ")))
+
+
+def places(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, kind `place`, value, occurrences: listed names of any number of words, wherever their words follow each other.
+
+    A text gives, once for each distinct one, the runs of as many tokens as the
+    longest name has; a run meets the names that begin with its first token.
+    """
+    known = gazetteer.filter(F.col("name").rlike(TOKEN_PATTERN))
+    names = stored(known.select("name", _tokens(F.col("name")).alias("t")).distinct(), "names")
+    longest = names.agg(F.max(F.size("t"))).first()[0] or 1
+    listed = names.groupBy(F.get("t", F.lit(0)).alias("first")).agg(
+        F.collect_list(F.struct("name", F.array_join("t", "").alias("tokens"))).alias("names")
+    )
+
+    def runs(t: Column) -> Column:
+        return F.transform(
+            t, lambda x, i: F.struct(x.alias("first"), F.array_join(F.slice(t, i + 1, longest), "").alias("run"))
+        )
+
+    counted = df.select(key, F.explode(_counted(let(_tokens(F.col(text)), runs))).alias("c"))
+    met = join_unique(
+        counted.select(key, "c.term.first", "c.term.run", "c.n"), stored(listed, "places"), "first", "inner"
+    )
+    named = met.select(
+        key, "n", F.explode(F.filter("names", lambda x: F.startswith(F.col("run"), x["tokens"]))).alias("x")
+    )
+    return named.groupBy(key, F.lit("place").alias("kind"), F.col("x.name").alias("value")).agg(
+        F.sum("n").alias("occurrences")
+    )
+
+
 def entities(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, kind, value, occurrences: dates, capitalised names, and listed places."""
+    """key, kind, value, occurrences: dates, capitalised names, and listed places.
+
+    A name of several capitalised words is an organisation if its last word is
+    one of ORGANISATION_WORDS, else a person. Only places are joined.
+    """
     body = F.col(text)
     found = F.concat(
         _matches(body, "date", DAY_PATTERN),
-        _matches(body, "name", NAME_PATTERN),
-        _matches(body, "place", WORD_PATTERN),
+        F.transform(
+            F.regexp_extract_all(body, F.lit(NAME_PATTERN), F.lit(0)),
+            lambda v: F.struct(
+                F.when(F.substring_index(v, " ", -1).isin(*ORGANISATION_WORDS), "organisation").otherwise("person").alias("kind"),
+                v.alias("value"),
+            ),
+        ),
     )
-    listed = gazetteer.select(F.col("name").alias("value")).distinct().withColumn("_listed", F.lit(True))
-    known = join_unique(_counted_rows(df, key, found), listed, "value", "left")
-    kept = known.filter((F.col("kind") != "place") | F.col("_listed"))
-    return kept.select(key, "kind", "value", "occurrences")
+    return _counted_rows(df, key, found).unionByName(places(df, gazetteer, key, text))
 
 
 def luhn_valid(number: Column) -> Column:
@@ -188,9 +243,9 @@ def intents(
 
 
 def alternates(
-    df: DataFrame, key: str = "doc_id", text: str = "text", fillers: int = 6, top: int = 5
+    df: DataFrame, key: str = "doc_id", text: str = "text", fillers: int = 6, top: int = 5, asked: DataFrame | None = None
 ) -> DataFrame:
-    """term, rank, alternate, score: terms used in the same places.
+    """term, rank, alternate, score: terms used in the same places; of the terms of `asked` only, if it is given.
 
     A place is the pair of neighbouring terms; its usual terms are the
     `fillers` most frequent ones. A term scores with an alternate the smaller
@@ -222,6 +277,8 @@ def alternates(
     )
     # A place with one term offers no alternate.
     usual = stored(usual.filter(F.size("usual") > 1), "usual")
+    if asked is not None:
+        used = used.join(asked.select("term").distinct(), "term", "left_semi")
     met = (
         join_unique(used, usual, "place", "inner")
         .select("term", "n", F.explode("usual").alias("u"))
@@ -239,8 +296,8 @@ def synonyms(
     df: DataFrame, key: str = "doc_id", text: str = "text", fillers: int = 6, top: int = 5
 ) -> DataFrame:
     """key, term, rank, alternate, score for the keywords of each document."""
-    asked = keywords(df, key, text).select(key, "term")
-    found = alternates(df, key, text, fillers, top)
+    asked = stored(keywords(df, key, text).select(key, "term"), "keywords")
+    found = alternates(df, key, text, fillers, top, asked)
     lists = found.groupBy("term").agg(
         F.sort_array(F.collect_list(F.struct("rank", "alternate", "score"))).alias("a")
     )

@@ -18,7 +18,7 @@ from vellumark.functions.formats import (
     XSD_HEAD,
     XSD_TAIL,
 )
-from vellumark.functions.names import schema_urn_text
+from vellumark.functions.names import element_name_col, schema_urn_text
 from vellumark.functions.values import XSD_NUMBERS
 from vellumark.functions.xml import element, escape_text, ordered_text, wrapped
 from vellumark.session import stored
@@ -220,7 +220,7 @@ _CLOSE_FIELDS = ("    </xs:sequence>", "  </xs:complexType>", "</xs:element>")
 def _field_xsd(depth: int, children: Column) -> Column:
     """XSD text of one row of `json_schema_rows`; children is the text of what it contains."""
     pad = 14 + 6 * depth
-    name = escape_text(F.col("name"))
+    name = escape_text(element_name_col(F.col("name")))
     plain = F.concat(F.lit('<xs:element name="'), name, F.lit('" type="'), F.col("xsd_type"))
     start = F.concat(F.lit('<xs:element name="'), name, F.lit('">'))
     attributes = F.array_join(
@@ -292,7 +292,8 @@ def xsd_from_catalogue(catalogue: DataFrame, holding: str, root: str = "Records"
     line = _lines(
         14,
         F.concat(
-            F.lit('<xs:element name="'), escape_text(F.col("name")), F.lit('" type="'), F.col("type"), F.lit('"/>')
+            F.lit('<xs:element name="'), escape_text(element_name_col(F.col("name"))), F.lit('" type="'), F.col("type"),
+            F.lit('"/>'),
         ),
     )
     text = F.when(F.col("type") == "attachment", F.lit(XSD_ATTACHMENTS)).otherwise(line)

@@ -52,9 +52,9 @@ def archive_table(
     rows = read_csv_strings(spark, csv, multi_line, with_order=True)
     documents = stored(chunk_documents(rows, schema, table, None, chunk_rows), "chunk-documents")
     ledger = ledgers.deliver(documents, f"{work}/ledger", transport)
-    totals = aggregates.delivery_totals(ledger)
+    totals = aggregates.delivery_totals(ledger, documents)
     run = ledgers.run_metrics(totals, dag_id, run_id, execution_date)
-    return ledgers.latest_status(ledger), ledgers.append_metrics(run, f"{work}/metrics")
+    return ledgers.latest_status(ledger, documents), ledgers.append_metrics(run, f"{work}/metrics")
 
 
 def describe_folder(

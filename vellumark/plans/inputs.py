@@ -269,5 +269,10 @@ def order_notes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gazetteer(spark: SparkSession, sf: str) -> DataFrame:
-    nations = table(spark, sf, "nation").select(F.col("n_name").alias("name"))
-    return nations.union(table(spark, sf, "region").select("r_name"))
+    nations, regions = table(spark, sf, "nation"), table(spark, sf, "region")
+    areas = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey"))
+    return (
+        nations.select(F.col("n_name").alias("name"))
+        .union(regions.select("r_name"))
+        .union(areas.select(F.concat_ws(" in ", "n_name", "r_name")))
+    )

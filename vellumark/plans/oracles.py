@@ -612,7 +612,7 @@ _NESTED = """\
 
 
 def xsd_text(catalogue_name: str, type_expr: str, attachment: str, is_attachment: str) -> str:
-    line = f"""CASE WHEN {is_attachment} THEN {quoted(attachment)} ELSE '{' ' * 14}<xs:element name="' || name
+    line = f"""CASE WHEN {is_attachment} THEN {quoted(attachment)} ELSE '{' ' * 14}<xs:element name="' || replace(name, ' ', '_')
   || '" type="' || {type_expr} || '"/>' || chr(10) END"""
     return f"""SELECT table_name, {quoted(_HEAD)} || string_agg({line}, '' ORDER BY ordinal) || {quoted(XSD_TAIL)} AS xsd
 FROM {catalogue_name} GROUP BY table_name"""
@@ -624,7 +624,7 @@ ORACLES["doc_xsd"] = f"""SELECT *, 'types' AS origin FROM (WITH {XSD_CATALOGUE}
 UNION ALL SELECT *, 'json' AS origin FROM (WITH {JSON_CATALOGUE}
   {xsd_text('catalogue', _JSON_XSD, _NESTED, "name = 'attachment'")})"""
 ORACLES["doc_xsd_columns"] = f"""WITH {XSD_CATALOGUE} SELECT table_name, ordinal,
-  CASE WHEN type = 'attachment' THEN 'Attachments' ELSE name END AS name,
+  CASE WHEN type = 'attachment' THEN 'Attachments' ELSE replace(name, ' ', '_') END AS name,
   CASE WHEN type = 'attachment' THEN 'object' ELSE type END AS xsd_type,
   CASE WHEN type = 'attachment' THEN 'object' WHEN type IN ('xs:long', 'xs:decimal') THEN 'number' ELSE 'string' END
     AS json_type,
@@ -737,23 +737,40 @@ scored AS (SELECT doc_id, pos, round(sum(n * idf), 6) AS score FROM
 best AS (SELECT doc_id, pos FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) AS r
   FROM scored) WHERE r <= 5)
 SELECT doc_id, string_agg(sentence, ' ' ORDER BY pos) AS summary FROM best JOIN each USING (doc_id, pos) GROUP BY doc_id"""
+_DAY = r"\d{4}-\d\d-\d\d|\d{1,2}/\d{1,2}/\d{4}"
+_CAPITALISED = r"\p{Lu}\p{Ll}+( \p{Lu}\p{Ll}+)+"
+_WORD_OR_SIGN = r"[\pL0-9_]+|[^\pL0-9_ \t\n\v\f\r]"
+_ORGANISATION = (
+    " (Agency|Association|Bank|Company|Corp|Corporation|Desk|Foundation|Group|Inc|Institute|Limited|Ltd|Ministry|Office|University)$"
+)
 ORACLES["enr_entities"] = f"""WITH notes AS (SELECT -doc_id - 1 AS doc_id, text FROM documents UNION ALL
   SELECT o_orderkey, 'Order of ' || c_name || ' from ' || n_name || ' in ' || r_name || ', placed '
     || strftime(o_orderdate, '%Y-%m-%d') || ' by Export Desk.'
   FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
   JOIN region ON r_regionkey = n_regionkey),
-found AS (SELECT doc_id, 'date' AS kind, unnest(regexp_extract_all(text, '{enrichment.DAY_PATTERN}')) AS value FROM notes
-  UNION ALL SELECT doc_id, 'name', unnest(regexp_extract_all(text, '{enrichment.NAME_PATTERN}')) FROM notes
-  UNION ALL SELECT doc_id, 'place', unnest(regexp_extract_all(text, '{enrichment.WORD_PATTERN}')) FROM notes)
-SELECT doc_id, kind, value, count(*) AS occurrences FROM found
-WHERE kind <> 'place' OR value IN (SELECT n_name FROM nation UNION ALL SELECT r_name FROM region)
-GROUP BY doc_id, kind, value"""
+found AS (SELECT doc_id, 'date' AS kind, unnest(regexp_extract_all(text, '{_DAY}')) AS value FROM notes
+  UNION ALL SELECT doc_id, CASE WHEN regexp_matches(value, '{_ORGANISATION}') THEN 'organisation' ELSE 'person' END, value
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{_CAPITALISED}')) AS value FROM notes)
+  UNION ALL SELECT doc_id, 'place', listed.name FROM (SELECT doc_id, unnest(list_transform(range(1, len(t) + 1), lambda i: t[i:i + 5])) AS run
+    FROM (SELECT doc_id, regexp_extract_all(text, '{_WORD_OR_SIGN}') AS t FROM notes))
+  JOIN (SELECT name, regexp_extract_all(name, '{_WORD_OR_SIGN}') AS t FROM (SELECT n_name AS name FROM nation UNION
+    SELECT r_name FROM region UNION SELECT n_name || ' in ' || r_name FROM nation JOIN region ON n_regionkey = r_regionkey)) listed
+  ON run[1] = listed.t[1] AND run[1:len(listed.t)] = listed.t)
+SELECT doc_id, kind, value, count(*) AS occurrences FROM found GROUP BY doc_id, kind, value"""
+_PERSONAL = {
+    "email": r"[0-9a-zA-Z.%_+-]+@[0-9a-zA-Z-]+(\.[0-9a-zA-Z-]+)*\.[a-zA-Z][a-zA-Z]+",
+    "phone": r"\+\d{1,3}[ .-]?(\(\d{1,4}\)|\d{1,4})([ .-]?\d{2,4}){2,5}\b|\(\d{3}\) ?\d{3}[ .-]\d{4}\b|\b\d{3}[ .-]\d{3}[ .-]\d{4}\b",
+    "ipv4": r"\b(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(\.(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)){3}\b",
+    "card": r"\b(\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4})\b",
+    "national_id": r"\b\d{3}-\d\d-\d{4}\b",
+    "iban": r"\b[A-Z]{2}\d\d([0-9A-Z]{11,30}|( [0-9A-Z]{4}){3,7}( [0-9A-Z]{1,3})?)\b",
+}
 _DIGITS = "string_split(reverse(regexp_replace(value, '[^0-9]', '', 'g')), '')"
 _LUHN = f"""list_sum(list_transform({_DIGITS}, lambda d, i: CASE WHEN i % 2 = 1 THEN CAST(d AS INTEGER)
   WHEN CAST(d AS INTEGER) > 4 THEN CAST(d AS INTEGER) * 2 - 9 ELSE CAST(d AS INTEGER) * 2 END)) % 10 = 0"""
 ORACLES["enr_pii"] = "WITH found AS (" + " UNION ALL ".join(
     f"SELECT doc_id, '{kind}' AS kind, unnest(regexp_extract_all(text, '{pattern}')) AS value FROM documents"
-    for kind, pattern in enrichment.PII_PATTERNS.items()
+    for kind, pattern in _PERSONAL.items()
 ) + f""") SELECT doc_id, kind, value, count(*) AS occurrences FROM found
 WHERE CASE WHEN kind = 'card' THEN {_LUHN} ELSE true END GROUP BY doc_id, kind, value"""
 ORACLES["enr_intent"] = f"WITH {INTENTS} SELECT doc_id, intent, score FROM intents"

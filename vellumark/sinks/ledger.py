@@ -75,8 +75,11 @@ def deliver(
     return spark.read.schema(LEDGER).parquet(ledger_path)
 
 
-def latest_status(ledger: DataFrame) -> DataFrame:
-    """One row per chunk: its accepted entry if there is one, else the last try."""
+def latest_status(ledger: DataFrame, documents: DataFrame | None = None, batch_id: int = 0) -> DataFrame:
+    """One row per chunk: its accepted entry if there is one, else the last try; with `documents`, of their contents only."""
+    if documents is not None:
+        own = documents.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "chunk_id", "sha")
+        ledger = ledger.join(own, ["batch_id", "chunk_id", "sha"], "left_semi")
     best = F.max(F.struct((F.col("status") == DELIVERED).alias("ok"), "status", "attempt", "rows", "bytes", "sha"))
     return ledger.groupBy("batch_id", "chunk_id").agg(best.alias("b")).select(
         "batch_id", "chunk_id", "b.rows", "b.bytes", "b.sha", "b.status", "b.attempt"

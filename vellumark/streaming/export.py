@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellumark.operators.row_numbers import CHUNK_ROWS
-from vellumark.sinks.ledger import LEDGER, Transport, deliver
+from vellumark.sinks.ledger import LEDGER, Transport, deliver, read_or_empty
 from vellumark.sinks.xml_chunks import chunk_documents
 from vellumark.streaming.intake import run_available
 
@@ -32,4 +32,4 @@ def export_stream(
         deliver(documents, ledger_path, transport, batch_id)
 
     run_available(stream, checkpoint, each)
-    return stream.sparkSession.read.schema(LEDGER).parquet(ledger_path)
+    return read_or_empty(stream.sparkSession, ledger_path, LEDGER)

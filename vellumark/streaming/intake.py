@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import IntegerType, StringType, StructType
+from pyspark.sql.utils import AnalysisException
 
 FILES_PER_TRIGGER = 10
 
@@ -52,11 +53,17 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
 def take_files(stream: DataFrame, checkpoint: str, out: str) -> DataFrame:
     """Append the rows of new files to a table; running again adds only what is new.
 
-    A batch repeated after a failure overwrites its own folder.
+    A batch repeated after a failure overwrites its own folder. While no file
+    was found, the table is empty.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.drop("_block").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     run_available(stream, checkpoint, each)
-    return stream.sparkSession.read.parquet(out)
+    try:
+        return stream.sparkSession.read.parquet(out)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return stream.sparkSession.createDataFrame([], stream.drop("_block").schema.add("batch_id", IntegerType()))
