@@ -82,6 +82,22 @@ def test_build_packages(spark, tmp_path):
     assert [r.error for r in run("zips2")][-1] == "missing attachment: gone.txt"
 
 
+def test_packages_of_unfit_records(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "f.txt").write_text("x")
+    rows = [["Customer ID", "type", "Attachment"]] + [[i if i != 4 else "four", "t", "f.txt"] for i in range(6)]
+    path = write_rows(tmp_path / "r.csv", rows)
+    def run(out, types):
+        made = flows.build_packages(
+            spark, path, str(tmp_path / "in"), str(tmp_path / out), "Cards", "App", "2025-07-09T12:00:00", records=2, types=types
+        )
+        return [(r.files, r.error) for r in made.orderBy("package_id").collect()]
+    assert run("all", {"Customer ID": "xs:string", "type": "xs:string"}) == [(3, None)] * 3
+    assert run("some", {"Customer ID": "xs:long", "type": "xs:string"}) == [
+        (3, None), (3, None), (0, "1 records do not fit the XSD"),
+    ]
+
+
 def test_report_metadata(spark, tmp_path):
     rnd = random.Random(4)
     rows = [

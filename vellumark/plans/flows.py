@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumark.functions.names import attachment_columns, name_parts_text, ten_digit_id
+from vellumark.functions.names import attachment_columns, name_parts_text, record_element, ten_digit_id
 from vellumark.operators import (
     aggregates,
     enrichment,
     label_suggestions,
     outliers,
     packing,
+    quality,
     schema_docs,
     text_chunks,
     vectors,
@@ -19,7 +22,7 @@ from vellumark.operators import (
 from vellumark.operators import attachments as att
 from vellumark.operators.inference import catalogue, infer_json, infer_relational, infer_xsd, mark_attachments
 from vellumark.operators.row_numbers import CHUNK_ROWS, number_rows
-from vellumark.session import stored
+from vellumark.session import new_folder, stored
 from vellumark.sinks import ledger as ledgers
 from vellumark.sinks import packages, tables
 from vellumark.sinks.xml_chunks import chunk_documents
@@ -87,6 +90,20 @@ def describe_folder(
     return {"catalogue": relational, **written}
 
 
+def _with_unfit_records(
+    described: DataFrame, fragments: DataFrame, packed: DataFrame, record: str, types: Mapping[str, str], child: str
+) -> DataFrame:
+    """Set `fault` of the packages that have a record which the XSD of `types` refuses."""
+    named = {record_element(c): kind for c, kind in types.items()}
+    folder = new_folder(fragments.sparkSession, "record-xsd")
+    xsd = quality.write_record_xsd(fragments.sparkSession, {**named, "Attachments": "xs:anyType"}, folder, child)
+    schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in named)
+    unfit = quality.validate_records(fragments, "xml", xsd, schema).filter("not valid")
+    counts = unfit.join(packed.select(record, "package_id"), record).groupBy("package_id").agg(F.count("*").alias("_unfit"))
+    text = F.concat(F.col("_unfit").cast("string"), F.lit(" records do not fit the XSD"))
+    return described.join(counts, "package_id", "left").withColumn("fault", F.coalesce("fault", text)).drop("_unfit")
+
+
 def build_packages(
     spark: SparkSession,
     csv: str,
@@ -99,8 +116,14 @@ def build_packages(
     max_kb: int = packing.PACKAGE_KB,
     child: str = "Record",
     root: str = "Records",
+    types: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """CSV records and their attachments to zip packages; a row, with an error if there is one, per package."""
+    """CSV records and their attachments to zip packages; a row, with an error if there is one, per package.
+
+    A package whose payload does not hold its number of records is an error.
+    With `types`, the XSD type of every metadata column in order, so is one
+    with a record that does not fit them.
+    """
     record = "_position"
     rows = stored(number_rows(read_csv_strings(spark, csv, with_order=True), name=record), "records")
     columns = [c for c in rows.columns if c != record]
@@ -124,6 +147,10 @@ def build_packages(
         "descriptor",
         att.descriptor_xml(F.lit(holding), package, F.lit(application), F.lit(timestamp), F.col("aiu_count")),
     )
+    miscounted = att.counted_records(F.col("payload"), child) != F.col("aiu_count")
+    described = described.withColumn("fault", F.when(miscounted, "the payload's record count differs"))
+    if types is not None:
+        described = _with_unfit_records(described, fragments, packed, record, types, child)
     whole = packed.select("package_id").distinct().join(described, "package_id", "left")
     with_files = packages.with_package_files(whole, att.package_files(matched, packed, record), files)
     return stored(packages.write_packages(with_files, out, holding), "packages")

@@ -41,6 +41,8 @@ def _write_package(package, folder: str, holding: str, limit: int | None) -> dic
     row = {"package_id": package.package_id, "path": None, "files": 0, "bytes": 0, "sha": None, "error": None}
     if package.payload is None:
         return {**row, "error": "no records"}
+    if package.fault:
+        return {**row, "error": package.fault}
     texts = [(PAYLOAD_NAME, package.payload), (DESCRIPTOR_NAME, package.descriptor)]
     total = sum(len(t.encode()) for _, t in texts) + sum(int(a["size"] or 0) for a in package.files)
     absent = sorted(a["name"] for a in package.files if a["path"] is None)
@@ -71,10 +73,11 @@ def _write_package(package, folder: str, holding: str, limit: int | None) -> dic
 
 
 def write_packages(packages: DataFrame, folder: str, holding: str, limit: int | None = None) -> DataFrame:
-    """Write a zip per row of (package_id, payload, descriptor, files).
+    """Write a zip per row of (package_id, payload, descriptor, files) and perhaps `fault`.
 
-    `files` is an array of (name, path, size). A package with a missing
-    attachment, or one of more bytes than `limit`, gives a row with an error and no zip.
+    `files` is an array of (name, path, size). A package with a fault or a
+    missing attachment, or one of more bytes than `limit`, gives a row with an
+    error and no zip.
     Names derive from the content, so running again replaces a zip by itself.
     """
 
@@ -83,7 +86,8 @@ def write_packages(packages: DataFrame, folder: str, holding: str, limit: int |
             rows = [_write_package(p, folder, holding, limit) for p in pdf.itertuples(index=False)]
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in PACKAGE_ROW.split(", ")])
 
-    chosen = packages.select("package_id", "payload", "descriptor", "files")
+    fault = F.col("fault") if "fault" in packages.columns else F.lit(None).cast("string").alias("fault")
+    chosen = packages.select("package_id", "payload", "descriptor", "files", fault)
     return chosen.mapInPandas(run, PACKAGE_ROW)
 
 
