@@ -53,4 +53,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of `stored` that nothing reads any more: what was made of them must itself be stored."""
+    for table in tables:
+        spark = table.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
