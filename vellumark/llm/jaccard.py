@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from vellumark.llm.components import components
 from vellumark.llm.scan import filtered, id_hash, in_slices, key_filter, may_contain, mix, shingles, string_array, without_removed
-from vellumark.session import stored
+from vellumark.session import discard, stored
 
 LATE_TOKENS = 300_000  # shingles known as frequent; they only move to the end of the orders
 LATE_COUNT = 3  # texts of one batch that make a shingle worth counting
@@ -190,19 +190,26 @@ def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(pairs.join(a, "a").join(b, "b").where(_sketches_fit(percent)).select("a", "b"), "near")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, size: int, percent: int, lower: bool) -> DataFrame:
-    """The pairs (a, b) of fitting sizes that meet under the second order too and whose whole sets are alike."""
+def _linked(near: DataFrame, docs: DataFrame, sets: DataFrame, size: int, percent: int, lower: bool) -> DataFrame:
+    """The pairs (a, b) of fitting sizes that meet under the second order too and whose whole sets are alike.
+
+    Written down; `near` is discarded.
+    """
+    pairs = near
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
     second = filtered(sets.select("doc_id", "n", "p2"), id_hash(), key_filter(ids, id_hash()))
     a, b = (second.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("p2").alias(f"p{c}")) for c in "ab")
     meet = _sizes_fit(F.col("na"), F.col("nb"), percent) & F.arrays_overlap("pa", "pb")
     pairs = stored(pairs.join(a, "a").join(b, "b").where(meet).select("a", "b").distinct(), "candidates")
+    discard(near)
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
     whole = stored(_whole_sets(docs, key_filter(ids, id_hash()), size, lower), "sets")
     a, b = (whole.select(F.col("doc_id").alias(c), F.col("tokens").alias(f"s{c}")) for c in "ab")
     common = F.size(F.array_intersect("sa", "sb"))
     alike = 100 * common >= percent * (F.size("sa") + F.size("sb") - common)
-    return pairs.join(a, "a").join(b, "b").where(alike).select("a", "b")
+    links = stored(pairs.join(a, "a").join(b, "b").where(alike).select("a", "b"), "links")
+    discard(pairs, whole)
+    return links
 
 
 def _across(rest: DataFrame, columns: list[str]) -> DataFrame:
@@ -234,22 +241,28 @@ def link_documents(docs: DataFrame, size: int = 5, percent: int = 80, lower: boo
     buckets = stored(buckets.select("token", F.col("head.doc_id").alias("head"), F.col("head.n").alias("head_n")), "buckets")
     shared = _shared_postings(sets, key_filter(buckets, F.col("token")))
     shared = stored(shared.join(buckets, "token"), "postings")
+    discard(buckets)
     pairs = shared.where((F.col("head") != F.col("doc_id")) & _sizes_fit(F.col("n"), F.col("head_n"), percent)).select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
     pairs = stored(pairs, "pairs")
-    links = stored(_linked(_near(pairs, sets, percent), single, sets, size, percent, lower), "links")
+    links = _linked(_near(pairs, sets, percent), single, sets, size, percent, lower)
     found = components(links)
     placed = shared.select("token", "doc_id", "n").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     placed = stored(placed.withColumn("component", F.coalesce("component", "doc_id")), "placed")
+    discard(shared)
     mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("sets"))
     rest = stored(placed.join(mixed.where("low < high").select("token", "sets"), "token"), "mixed")
+    discard(placed)
     sketched = rest.where(F.col("sets") > FEW_SETS).join(sets.select("doc_id", *BITS), "doc_id")
     across = _across(rest.where(F.col("sets") <= FEW_SETS), []).where(_sizes_fit(F.col("n_a"), F.col("n_b"), percent))
-    many = _across(stored(sketched, "sketched"), BITS).where(_sizes_fit(F.col("n_a"), F.col("n_b"), percent) & _sketches_fit(percent))
+    sketched = stored(sketched, "sketched")
+    many = _across(sketched, BITS).where(_sizes_fit(F.col("n_a"), F.col("n_b"), percent) & _sketches_fit(percent))
     across = across.select("a", "b").unionByName(many.select("a", "b")).distinct()
     across = stored(across.join(pairs, ["a", "b"], "left_anti"), "pairs")
+    discard(rest, sketched, pairs)
     if across.take(1):
-        more = stored(_linked(_near(across, sets, percent), single, sets, size, percent, lower), "links")
+        more = _linked(_near(across, sets, percent), single, sets, size, percent, lower)
         found = components(links.unionByName(more)) if more.take(1) else found
+    discard(sets, copies, across)
     rows = keys.join(classes, "key", "left").join(found, F.col("first") == F.col("id"), "left")
     return rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "first", "doc_id").alias("component_id"))
 
