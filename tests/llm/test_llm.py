@@ -342,3 +342,34 @@ def test_key_filter_keeps_all(spark):
     every = spark.range(20_000).withColumnRenamed("id", "doc_id")
     hit = {r[0] for r in scan.filtered(every, scan.id_hash(), bits).collect()}
     assert set(range(0, 5000, 7)) <= hit and len(hit) < 1000
+
+
+def test_a_copy_of_an_example_is_its_nearest(spark):
+    texts = [f"{prose(k, 60)} only{k}word" for k in range(60)]
+    labels = spark.createDataFrame([(k, 1, int(k % 10 == 0)) for k in range(60)], "doc_id bigint, quality int, toxic int")
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    model = toxicity.train(docs, labels)
+    learnt = [int(i) for i in model["ids"]]
+    asked = [(1000 + k, texts[k]) for k in learnt] + [(2000, f"only{learnt[0]}word unheard")]
+    made = {r["doc_id"]: r["evidence"] for r in toxicity.score(spark.createDataFrame(asked, docs.schema), model).collect()}
+    for k in learnt:
+        assert made[1000 + k][0]["doc_id"] == k and made[1000 + k][0]["cosine"] == pytest.approx(1, abs=1e-6)
+    assert [e["doc_id"] for e in made[2000]] == learnt[:1] and made[2000][0]["cosine"] < 0.9
+
+
+def test_index_of_frequent_and_rare_terms_is_exact():
+    draw = np.random.default_rng(19)
+    n, terms = 700, 200
+    dense = draw.random((n, terms)) * (draw.random((n, terms)) < np.where(np.arange(terms) < 30, 0.6, 0.03))
+    dense[400:420] = dense[399]
+    dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-9)
+    example, term = np.nonzero(dense)
+    index = toxicity.BlockMaxIndex(term, example, dense[example, term], terms, n)
+    assert index.table.shape == (n, 30)
+    for i in range(380, 420):
+        t = np.flatnonzero(dense[i])
+        near, cosine = index.nearest(t, dense[i, t], 10, i)
+        every = np.round(dense @ dense[i], 12)
+        every[i] = 0
+        want = np.lexsort((np.arange(n), -every))[:10]
+        assert near.tolist() == want.tolist() and np.allclose(cosine, every[want])

@@ -1,21 +1,24 @@
-"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index."""
+"""Toxicity by the nearest labelled examples: exact TF-IDF cosine over all their terms, by a block-max inverted index."""
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellumark.llm.learning import fit_in_one_task, fold, labelled_sample, logistic, platt
+from vellumark.llm.learning import fit_in_one_task, fold, labelled_sample, logistic
 from vellumark.llm.scan import in_slices, slices, span_hashes, string_array, text_bytes, word_spans
 
 FIT_ROWS = 16_000  # at most so many labelled documents become examples
-TERMS = 4096  # at most so many terms, those that tell the labels apart best
-MIN_DOCUMENTS = 6  # examples that a term needs
+MIN_DOCUMENTS = 6  # examples that a term needs to tell the labels apart
 MIN_CHI2 = 40.0
 NEIGHBOURS = 15
 BLOCK = 64  # examples of one index block
+FREQUENT = 8  # a term of more than 1/FREQUENT of the examples is frequent
+SLACK = 1e-5  # more than single precision can be wrong by
 EVIDENCE = 5
 ACCEPT = 0.7
 PRIOR_WEIGHT = 0.5
@@ -51,58 +54,89 @@ def document_counts(array: pa.StringArray, labels: np.ndarray) -> tuple[np.ndarr
     return distinct, df, df1
 
 
-def known_terms(array: pa.StringArray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text, place in `chosen` (ascending) and count of every chosen term of every text, by text and term."""
-    parts = [(np.zeros(0, np.int64),) * 3]
+def known_terms(array: pa.StringArray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, place in `known` (ascending, every term is in it) and count of every term of every text, by text and term."""
+    parts = [(np.zeros(0, np.int32),) * 3]
     for at, end in slices(array):
         of, terms, counts = term_counts(array.slice(at, end - at))
-        own = np.flatnonzero(np.isin(terms, chosen))
-        parts.append((of[own] + at, np.searchsorted(chosen, terms[own]), counts[own]))
+        parts.append(tuple(x.astype(np.int32) for x in (of + at, np.searchsorted(known, terms), counts)))
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
+def runs(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, ... of runs, one run after another."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - counts), counts)
+
+
 class BlockMaxIndex:
-    """Postings by term, and for every term and block of examples the largest weight.
+    """Weights of all terms of all examples: lists by term for rare terms, a table for frequent ones.
 
-    A query's product with a block's largest weights bounds the cosine of every
-    example in it. Blocks are opened from the largest bound down, until no
-    unopened block can reach the k-th best cosine: the result is exact.
+    The sums over rare terms are made for every example. What the frequent
+    terms can add is bounded by the product with the largest weights of an
+    example's block, and by the product of lengths. Only examples whose bound
+    reaches the k-th best cosine are looked at further, and the cosines given
+    are added up anew in double precision: the result is exact.
     """
 
     def __init__(self, term: np.ndarray, example: np.ndarray, weight: np.ndarray, terms: int, examples: int):
-        self.examples, self.blocks = examples, -(-examples // BLOCK)
-        block = example // BLOCK
-        order = np.lexsort((example, term, block))
-        self.example, self.weight, self.term = example[order], weight[order], term[order]
-        self.cell = np.searchsorted(block[order] * terms + self.term, np.arange(self.blocks * terms + 1))
-        self.terms = terms
-        self.most = np.zeros((terms, self.blocks), np.float64)
-        np.maximum.at(self.most, (term, block), weight)
+        self.examples = examples
+        if len(example) and (np.diff(example) < 0).any():
+            order = np.argsort(example, kind="stable")
+            term, example, weight = term[order], example[order], weight[order]
+        self.term, self.weight = term, weight
+        self.bounds = np.searchsorted(example, np.arange(examples + 1))
+        df = np.bincount(term, minlength=terms)
+        frequent = np.flatnonzero(df * FREQUENT > examples)
+        self.row = np.full(terms, -1, np.int32)
+        self.row[frequent] = np.arange(len(frequent))
+        row = self.row[term]
+        rare = np.flatnonzero(row < 0)
+        rare = rare[np.argsort(term[rare], kind="stable")]
+        self.starts = np.concatenate([[0], np.cumsum(np.where(self.row < 0, df, 0))])
+        self.rare_example, self.rare_weight = example[rare].astype(np.int32), weight[rare]
+        own = np.flatnonzero(row >= 0)
+        self.table = np.zeros((examples, len(frequent)), np.float32)
+        self.table[example[own], row[own]] = weight[own]
+        self.length = np.sqrt(np.einsum("ij,ij->i", self.table, self.table))
+        firsts = np.arange(0, examples, BLOCK)
+        self.most = np.maximum.reduceat(self.table, firsts, axis=0) if examples else self.table
+        self.asked = np.zeros(terms)
+
+    def cosines(self, terms: np.ndarray, weights: np.ndarray, examples: np.ndarray) -> np.ndarray:
+        """Products with some examples, each added up in the order of the example's terms."""
+        self.asked[terms] = weights
+        counts = self.bounds[examples + 1] - self.bounds[examples]
+        at = runs(self.bounds[examples], counts)
+        sums = np.bincount(np.repeat(np.arange(len(examples)), counts), self.asked[self.term[at]] * self.weight[at], len(examples))
+        self.asked[terms] = 0
+        return sums
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Examples with the k largest cosines above 0, best first, ties by example; `without` is left out."""
-        bound = weights @ self.most[terms]
-        order = np.argsort(-bound, kind="stable")
-        best, cosine = np.zeros(0, np.int64), np.zeros(0)
-        for b in order.tolist():
-            if bound[b] <= 0 or len(best) >= k and bound[b] < cosine[-1] - 1e-12:
-                break
-            local = np.zeros(BLOCK)
-            cells = b * self.terms + terms
-            for at, end, w in zip(self.cell[cells].tolist(), self.cell[cells + 1].tolist(), weights.tolist(), strict=True):
-                local[self.example[at:end] - b * BLOCK] += w * self.weight[at:end]
-            found = np.flatnonzero(local > 0)
-            found = found[found + b * BLOCK != without]
-            best = np.concatenate([best, found + b * BLOCK])
-            cosine = np.concatenate([cosine, local[found]])
-            if len(best) > k:
-                first = np.lexsort((best, -np.round(cosine, 12)))[:k]
-                best, cosine = best[first], cosine[first]
-            elif len(best) == k:
-                first = np.lexsort((best, -np.round(cosine, 12)))
-                best, cosine = best[first], cosine[first]
-        first = np.lexsort((best, -np.round(cosine, 12)))
-        return best[first], cosine[first]
+        if not self.examples:
+            return np.zeros(0, np.int64), np.zeros(0)
+        row = self.row[terms]
+        t, w = terms[row < 0], weights[row < 0]
+        counts = self.starts[t + 1] - self.starts[t]
+        at = runs(self.starts[t], counts)
+        sums = np.bincount(self.rare_example[at], np.repeat(w, counts) * self.rare_weight[at], self.examples)
+        wide = np.zeros(self.table.shape[1], np.float32)
+        wide[row[row >= 0]] = weights[row >= 0]
+        more = np.minimum(np.repeat(self.most @ wide, BLOCK)[: self.examples], self.length * np.sqrt(wide @ wide))
+        bound = sums + more
+        if without >= 0:
+            sums[without] = bound[without] = -2.0
+        some = np.argpartition(-bound, 4 * k)[: 4 * k] if len(bound) > 4 * k else np.arange(len(bound))
+        seen = sums[some] + self.table[some] @ wide
+        least = np.partition(seen, -k)[-k] if len(seen) >= k else 0.0
+        some = np.flatnonzero((bound > 0) & (bound >= least - 2 * SLACK))
+        seen = sums[some] + self.table[some] @ wide
+        least = np.partition(seen, -k)[-k] if len(seen) >= k else 0.0
+        some = some[(seen > 0) & (seen >= least - 2 * SLACK)]
+        cosine = self.cosines(terms, weights, some)
+        first = np.lexsort((some, -np.round(cosine, 12)))[:k]
+        return some[first], cosine[first]
 
 
 def vote(labels: np.ndarray, cosine: np.ndarray, prior: float) -> float:
@@ -112,8 +146,28 @@ def vote(labels: np.ndarray, cosine: np.ndarray, prior: float) -> float:
     return float(np.log(share / (1 - share)))
 
 
+def calibrate(votes: np.ndarray, labels: np.ndarray, rounds: int = 50) -> np.ndarray:
+    """Weights of the votes and a constant for the logistic score, with smoothed targets."""
+    n1 = float(labels.sum())
+    n0 = len(labels) - n1
+    out = np.append(np.zeros(votes.shape[1]), np.log((n1 + 1) / (n0 + 1)))
+    if not n1 or not n0:
+        return out
+    target = np.where(labels > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    x = np.column_stack([votes, np.ones(len(votes))])
+    for _ in range(rounds):
+        p = logistic(x @ out)
+        slope = x.T @ (p - target) + 1e-6 * out
+        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(len(out))
+        step = np.linalg.solve(curve, slope)
+        out = out - step * min(1.0, 5.0 / max(1e-9, np.abs(step).max()))
+        if np.abs(step).max() < 1e-8:
+            break
+    return out
+
+
 def fit(texts: pa.Table) -> dict[str, np.ndarray]:
-    """Terms with their idf, the examples' weighted terms, and the calibration, learnt with each example left out."""
+    """All terms with their idf, the examples' weighted terms, and the calibration, learnt with each example left out."""
     array = string_array(texts.column("text"))
     labels = texts.column("label").to_numpy().astype(np.int64)
     # examples with like terms stand together if they have like labels and ids follow; the order is by id, for repeatability
@@ -124,27 +178,23 @@ def fit(texts: pa.Table) -> dict[str, np.ndarray]:
     with np.errstate(divide="ignore", invalid="ignore"):
         cross = df1 * (n - n1 - (df - df1)) - (df - df1) * (n1 - df1)
         chi2 = np.nan_to_num(n * cross**2 / (df * (n - df) * n1 * (n - n1)))
-    chosen = np.flatnonzero((df >= MIN_DOCUMENTS) & (chi2 >= MIN_CHI2) & (cross > 0))
-    chosen = np.sort(chosen[np.lexsort((distinct[chosen], -chi2[chosen]))[:TERMS]])
-    idf = np.log((1 + n) / (1 + df[chosen])) + 1
-    of, term, counts = known_terms(array, distinct[chosen])
+    idf = np.log((1 + n) / (1 + df)) + 1
+    of, term, counts = known_terms(array, distinct)
     weight = (1 + np.log(counts)) * idf[term]
-    norm = np.sqrt(np.bincount(of, weight * weight, n))
-    weight = weight / norm[of] if len(of) else weight
+    weight = (weight / np.sqrt(np.bincount(of, weight * weight, n))[of]).astype(np.float32)
+    bounds = np.searchsorted(of, np.arange(n + 1))
     prior = (n1 + 0.5) / (n + 1)
-    blank = np.bincount(of, minlength=n) == 0
+    blank = np.diff(bounds) == 0
     model = {
-        "terms": distinct[chosen], "idf": idf, "term": term, "example": of, "weight": weight, "labels": labels,
+        "terms": distinct, "idf": idf, "unknown": np.array([np.log(1 + n) + 1]), "term": term, "bounds": bounds, "weight": weight,
+        "tells": np.flatnonzero((df >= MIN_DOCUMENTS) & (chi2 >= MIN_CHI2) & (cross > 0)), "labels": labels,
         "ids": texts.column("doc_id").to_numpy()[order], "prior": np.array([prior]),
-        "blank": np.array([(labels[blank].sum() + 0.5) / (blank.sum() + 1)]),
+        "blank": np.array([(labels[blank].sum() + prior) / (blank.sum() + 1)]),
     }
-    index = BlockMaxIndex(term, of, weight, max(1, len(chosen)), n)
-    bounds = np.searchsorted(of, np.arange(n + 1))
-    odds, asked = [], np.flatnonzero(~blank)
-    for i in asked.tolist():
-        near, cosine = index.nearest(term[bounds[i] : bounds[i + 1]], weight[bounds[i] : bounds[i + 1]], NEIGHBOURS, i)
-        odds.append(vote(labels[near], cosine, prior))
-    model["ab"] = platt(np.array(odds), labels[asked].astype(float)) if len(asked) else np.array([0.0, 0.0])
+    scorer = Scorer(model)
+    asked = np.flatnonzero(~blank)
+    votes = [scorer.votes(term[a:b], weight[a:b].astype(float), i)[0] for i in asked.tolist() for a, b in [bounds[i : i + 2]]]
+    model["ab"] = calibrate(np.array(votes).reshape(-1, 2), labels[asked])
     return model
 
 
@@ -153,39 +203,64 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int =
 
 
 class Scorer:
+    """Two votes: of the nearest examples by all terms, and of those nearest by the terms that tell the labels apart."""
+
     def __init__(self, model: dict[str, np.ndarray]):
-        self.model = model
-        self.index = BlockMaxIndex(
-            model["term"], model["example"], model["weight"], max(1, len(model["terms"])), len(model["labels"])
-        )
+        self.model, self.labels, self.prior = model, model["labels"], float(model["prior"][0])
+        terms, n = len(model["terms"]), len(self.labels)
+        example = np.repeat(np.arange(n, dtype=np.int32), np.diff(model["bounds"]))
+        self.index = BlockMaxIndex(model["term"], example, model["weight"], terms, n)
+        self.tell = np.full(terms, -1, np.int32)
+        self.tell[model["tells"]] = np.arange(len(model["tells"]))
+        own = np.flatnonzero(self.tell[model["term"]] >= 0)
+        example, weight = example[own], model["weight"][own].astype(float)
+        length = np.sqrt(np.bincount(example, weight * weight, n))
+        self.telling = BlockMaxIndex(self.tell[model["term"][own]], example, weight / length[example], len(model["tells"]), n)
+        mute = length == 0
+        share = (self.labels[mute].sum() + self.prior) / (mute.sum() + 1)
+        self.mute = float(np.log(share / (1 - share)))
         self.known: dict[bytes, tuple[float, np.ndarray, np.ndarray]] = {}
 
-    def one(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    def votes(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[list[float], np.ndarray, np.ndarray]:
+        """Log odds of both votes, nearest examples and cosines of a text with such terms; `without` is left out."""
+        near, cosine = self.index.nearest(terms, weights, NEIGHBOURS, without)
+        own = self.tell[terms] >= 0
+        told = self.mute
+        if own.any():
+            telling = weights[own] / np.sqrt(weights[own] @ weights[own])
+            by, likeness = self.telling.nearest(self.tell[terms[own]], telling, NEIGHBOURS, without)
+            told = vote(self.labels[by], likeness, self.prior)
+        return [vote(self.labels[near], cosine, self.prior), told], near, cosine
+
+    def one(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         """Score, nearest examples and cosines of a text with such terms; texts with the same are answered at once."""
-        key = terms.tobytes() + b"|" + counts.tobytes()
+        key = hashlib.blake2b(terms.tobytes() + weights.tobytes(), digest_size=16).digest()
         if (found := self.known.get(key)) is None:
-            weights = (1 + np.log(counts)) * self.model["idf"][terms]
-            near, cosine = self.index.nearest(terms, weights / np.sqrt(weights @ weights), NEIGHBOURS)
-            a, b = self.model["ab"]
-            odds = vote(self.model["labels"][near], cosine, float(self.model["prior"][0]))
-            found = float(logistic(np.array(a * odds + b))), near[:EVIDENCE], cosine[:EVIDENCE]
+            votes, near, cosine = self.votes(terms, weights)
+            odds = np.append(votes, 1.0) @ self.model["ab"]
+            found = float(logistic(odds)), near[:EVIDENCE], cosine[:EVIDENCE]
             if len(self.known) < 100_000:
                 self.known[key] = found
         return found
 
     def texts(self, array: pa.StringArray) -> tuple[np.ndarray, list[list[dict]]]:
+        known = self.model["terms"]
         of, terms, counts = term_counts(array)
-        at = np.searchsorted(self.model["terms"], terms)
-        at = np.minimum(at, max(0, len(self.model["terms"]) - 1))
-        hit = self.model["terms"][at] == terms if len(self.model["terms"]) else np.zeros(len(terms), bool)
-        of, terms, counts = of[hit], at[hit], counts[hit]
+        at = np.minimum(np.searchsorted(known, terms), max(0, len(known) - 1))
+        hit = known[at] == terms if len(known) else np.zeros(len(terms), bool)
+        # a term that no example has makes a text longer, so less like any example
+        weights = 1 + np.log(counts)
+        weights[hit] *= self.model["idf"][at[hit]]
+        weights[~hit] *= self.model["unknown"][0]
+        weights /= np.sqrt(np.bincount(of, weights * weights, len(array)))[of]
+        of, terms, weights = of[hit], at[hit], weights[hit]
         bounds = np.searchsorted(of, np.arange(len(array) + 1))
         scores, evidence = np.full(len(array), self.model["blank"][0]), [[] for _ in range(len(array))]
         for i in np.flatnonzero(np.diff(bounds)).tolist():
             a, b = bounds[i], bounds[i + 1]
-            scores[i], near, cosine = self.one(terms[a:b], counts[a:b])
+            scores[i], near, cosine = self.one(terms[a:b], weights[a:b])
             evidence[i] = [
-                {"doc_id": int(self.model["ids"][e]), "label": int(self.model["labels"][e]), "cosine": float(c)}
+                {"doc_id": int(self.model["ids"][e]), "label": int(self.labels[e]), "cosine": float(c)}
                 for e, c in zip(near, cosine, strict=True)
             ]
         return scores, evidence
@@ -197,12 +272,12 @@ EVIDENCE_TYPE = "array<struct<doc_id: bigint, label: int, cosine: double>>"
 def score(docs: DataFrame, model: dict[str, np.ndarray], keep: list[str] | None = None) -> DataFrame:
     """Add `score` (0 to 1, higher: label 1 likelier) and `evidence`, the nearest examples, to the columns `keep` (doc_id).
 
-    The score depends on the text alone. A text without any of the index's
-    terms (an empty or null one too) has no neighbours and gets the share of
-    label 1 among examples without terms.
+    The score depends on the text alone. A text without any term that an
+    example has (an empty or null one too) has no neighbours and gets the share
+    of label 1 among examples without terms, drawn towards that among all.
     """
     keep = keep or ["doc_id"]
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by FIT_ROWS and TERMS
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the terms of FIT_ROWS examples
 
     def run(batches):
         scorer = Scorer(shared.value)
