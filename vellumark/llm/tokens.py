@@ -26,8 +26,10 @@ class WordEncoder:
 
     Exact for a tokenizer that drops white space: no token of such a vocabulary
     reaches over ASCII white space, so the ids of a text are those of its words
-    in order. The library encodes each word; `ascii_lower` folds A-Z first,
-    which the tokenizer does itself, unless a special token's text is near.
+    in order. The library encodes each word; A-Z of words that are ASCII
+    throughout is folded first, which the tokenizer does itself, unless a
+    special token's text is near. Other words go to the library as they are: it
+    composes letters before it folds them.
     """
 
     def __init__(self, path: str):
@@ -74,12 +76,12 @@ class WordEncoder:
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and where each text's begin."""
         texts = string_array(texts)
-        low = pc.ascii_lower(texts)
-        if any(pc.any(pc.match_substring(low, t)).as_py() for t in self.special):
-            low = texts
-        lists = pc.ascii_split_whitespace(low)
+        lists = pc.ascii_split_whitespace(texts)
         words, bounds = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
         bounds = bounds - bounds[0]
+        low = pc.ascii_lower(texts)
+        if not any(pc.any(pc.match_substring(low, t)).as_py() for t in self.special):
+            words = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words)
         coded = words.dictionary_encode()
         if isinstance(coded, pa.ChunkedArray):
             coded = coded.combine_chunks()
