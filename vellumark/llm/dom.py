@@ -10,10 +10,15 @@ import numpy as np
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style template noscript iframe svg title object textarea select math canvas".split())
-INLINE = frozenset(
-    "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split()
+HIDDEN = frozenset("script style template title textarea iframe".split())  # their contents are no text of the page
+INLINE = frozenset(  # phrasing content, that of formulas and drawings included
+    "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var "
+    "noscript object canvas select optgroup option math semantics annotation annotation-xml mi mn mo ms mtext mspace mrow mfrac msqrt mroot "
+    "mstyle merror mpadded mphantom msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mtd svg g defs desc "
+    "symbol use path rect circle ellipse line polyline polygon text tspan textpath marker pattern clippath mask lineargradient radialgradient "
+    "stop filter foreignobject".split()
 )
+_SPACED = frozenset("option optgroup mtr mtd text desc annotation".split())  # parts that no white space needs to part
 CLOSES = {  # an element whose begin tag ends an open one of these, up to the border
     "li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -35,6 +40,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([\w-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
 _WORD = re.compile(r"[a-z]+")
+_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I | re.A) for name in HIDDEN}
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
@@ -61,7 +67,6 @@ def parse(source: str) -> Page:
     elements, texts, tags, inputs = [root], [], [0], [0]
     stack: list[tuple[str, int]] = [("#root", 0)]
     block, links, at = 0, 0, 0
-    lower = None
 
     def say(text: str) -> None:
         if text.strip():
@@ -97,9 +102,8 @@ def parse(source: str) -> Page:
             inputs[stack[-1][1]] += 1
         if name in HIDDEN:
             if not m.group(3).rstrip().endswith("/"):
-                lower = lower or source.lower()
-                end = lower.find("</" + name, at)
-                at = len(source) if end < 0 else source.find(">", end) + 1 or len(source)
+                end = _END[name].search(source, at)
+                at = len(source) if end is None else source.find(">", end.end()) + 1 or len(source)
             continue
         if name in VOID:
             if name in ("br", "hr", "img"):
@@ -116,6 +120,8 @@ def parse(source: str) -> Page:
                 elif stack[k][0] in border or not ends and stack[k][0] in P_STAYS_IN:
                     break
         if name in INLINE:
+            if name in _SPACED:
+                say(" ")
             stack.append((name, stack[-1][1]))
             links += name == "a"
             continue

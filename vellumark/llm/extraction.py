@@ -20,11 +20,13 @@ TREES = 60
 TREE_DEPTH = 4
 BINS = 32
 RATE = 0.25
+MARKED = r"<(article|main)\b[^>]*>\s*(?!\s|</\1>)(.*?)</\1>"  # an article or main element that is not empty
 SCHEMA = "page_id bigint, url string, text string, n_chars bigint"
 
 # Training pages. No page comes with the truth, so the teacher is what a page itself marks as <article> or <main>.
 # Its paragraphs are put into other page skeletons among what else pages carry, with and without telling tags and
-# words, so that the trees learn more than the one tag. Only paragraphs of the main text have data-main.
+# words, so that the trees learn more than the one tag. Only paragraphs of the main text have data-main. If no page
+# marks one, the paragraphs are made too, of the pages' words.
 
 _WRAPPERS = (
     ("<article>", "</article>"), ("<main>", "</main>"), ('<div class="content">', "</div>"), ('<div id="main-content">', "</div>"),
@@ -128,9 +130,11 @@ class _Maker:
 
 def training_rows(sources: list[str | None], seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Features of the elements of made pages, and whether main text stands in them."""
-    found = [m.group(2) for s in sources if (m := re.search(r"<(article|main)\b[^>]*>(.*?)</\1>", s or "", re.S | re.I))]
-    words = [w for f in found[:200] for w in re.sub(r"<[^>]*>|&\w*;?", " ", f).split()[:60]]
+    found = [m.group(2) for s in sources if (m := re.search(MARKED, s or "", re.S | re.I))]
+    words = [w for f in (found or sources)[:200] for w in re.sub(r"<[^>]*>|&\w*;?", " ", f or "").split()[:60]]
     maker = _Maker(words, seed)
+    if not found:
+        found = [f"<h1>{maker.some(1, 6)}</h1>" + "".join(f"<p>{maker.some(8, 60)}</p>" for _ in range(2 + i % 6)) for i in range(len(sources))]
     rows, truth = [np.zeros((0, FEATURES))], [np.zeros(0, bool)]
     for body in found:
         paragraphs = [p for p in re.split(r"(?=<(?:p|h[1-6]|ul|ol|blockquote|pre|table|div)\b)", body) if p.strip()]
@@ -238,7 +242,10 @@ def main_text(page: Page, kept: np.ndarray) -> str:
 
 
 def train(pages: DataFrame, limit: int = FIT_PAGES) -> dict[str, np.ndarray]:
-    chosen = pages.where(F.col("html").isNotNull()).orderBy(F.xxhash64("page_id"), "page_id").select("html").limit(limit)
+    """Trees from at most `limit` pages: those that mark their main text, and others only if there are fewer."""
+    marks = F.col("html").rlike("(?isU)" + MARKED)
+    known = pages.where(F.col("html").isNotNull())
+    chosen = known.orderBy(F.desc(marks), F.xxhash64("page_id"), "page_id").select("html").limit(limit)
 
     def fit(table: pa.Table) -> dict[str, np.ndarray]:
         return grow_trees(*training_rows(sorted(table.column("html").to_pylist())))
@@ -250,8 +257,7 @@ def extract(pages: DataFrame, model: dict[str, np.ndarray] | None = None, limit:
     """page_id, url, text, n_chars (code points) of every page.
 
     A null or empty html, and a page of which nothing counts as main text, give
-    the empty text. Repeated rows stay; other columns are not read. Without a
-    page that marks its article, no text is main text.
+    the empty text. Repeated rows stay; other columns are not read.
     """
     model = model or train(pages, limit)
     shared = pages.sparkSession.sparkContext.broadcast(model)  # TREES trees of fixed depth
