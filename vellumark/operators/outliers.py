@@ -21,6 +21,7 @@ CONTAMINATION = 0.05
 TREES = 100
 SAMPLE = 256
 SEED = 42
+BUCKETS = 4096  # combinations are counted in so many buckets
 _EULER = 0.5772156649015329
 
 
@@ -107,23 +108,29 @@ _TREE = "tree int, feature array<int>, value array<string>, no array<int>, yes a
 
 
 def grow_forest(
-    filled: DataFrame, key: str, features: Sequence[str], trees: int = TREES, sample: int = SAMPLE, seed: int = SEED
+    combinations: DataFrame, features: Sequence[str], trees: int = TREES, sample: int = SAMPLE, seed: int = SEED
 ) -> DataFrame:
-    """Trees over samples of at most `sample` rows each, drawn by hash.
+    """Trees over `sample` rows each, drawn anew for every tree from all rows, none twice.
 
-    The pool of all samples is the trees * sample rows of lowest hash. Rows far
-    above that are dropped first by their hash, so that about four times the
-    pool reaches the final sort, however many rows there are.
+    Rows are numbered by bucket and combination, as often as a combination
+    occurs; a tree draws numbers. The driver sees the buckets' row counts and
+    the trees * sample numbers drawn, however many rows there are.
     """
-    need = trees * sample
-    unit = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 11) / F.lit(float(1 << 53))
-    fraction = filled.agg(F.lit(4.0 * need) / F.greatest(F.count("*"), F.lit(1))).scalar()
-    drawn = filled.select(*features, unit.alias("h")).filter(F.col("h") < fraction)
-    pool = drawn.orderBy("h", *features).limit(need)
-    each = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    turn = Window.partitionBy("tree").orderBy(F.xxhash64("h", "tree"), "h", *features)
-    sampled = each.withColumn("r", F.row_number().over(turn)).filter(F.col("r") <= sample)
-    names = list(features)
+    spark, names = combinations.sparkSession, list(features)
+    placed = combinations.withColumn("bucket", F.pmod(F.xxhash64(*names), F.lit(BUCKETS)).cast("int"))
+    counts = np.zeros(BUCKETS, np.int64)
+    for bucket, n in placed.groupBy("bucket").agg(F.sum("n")).collect():
+        counts[bucket] = n
+    ends = np.cumsum(counts)
+    total, drawn = int(ends[-1]), []
+    for tree in range(trees if total else 0):
+        at = np.sort(np.random.default_rng([seed, tree, 1]).choice(total, min(sample, total), replace=False))
+        bucket = np.searchsorted(ends, at, "right")
+        drawn += [(tree, *x) for x in zip(bucket.tolist(), (at - (ends - counts)[bucket]).tolist(), at.tolist())]
+    asked = F.broadcast(spark.createDataFrame(drawn, "tree int, bucket int, place bigint, r bigint"))
+    upto = F.sum("n").over(Window.partitionBy("bucket").orderBy(*names).rowsBetween(Window.unboundedPreceding, 0))
+    inside = (F.col("place") < F.col("upto")) & (F.col("place") >= F.col("upto") - F.col("n"))
+    sampled = placed.withColumn("upto", upto).join(asked, "bucket").where(inside).select("tree", "r", *names)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("r")
@@ -148,11 +155,15 @@ def forest_outliers(
     sample: int = SAMPLE,
     seed: int = SEED,
 ) -> DataFrame:
-    """Documents an isolation forest over one-hot features sets apart, with `score`."""
+    """Documents an isolation forest over one-hot features sets apart, with `score`.
+
+    The forest depends on the features alone; `key` only names the documents.
+    """
     filled, combinations = _combinations(df, features)
+    combinations = stored(combinations, "combinations")
     names = list(features)
     # The forest has trees * (2 * sample) nodes at most, whatever the data.
-    forest = [r.asDict() for r in grow_forest(filled, key, names, trees, sample, seed).orderBy("tree").collect()]
+    forest = [r.asDict() for r in grow_forest(combinations, names, trees, sample, seed).orderBy("tree").collect()]
     rows_used = min(sample, combinations.agg(F.sum("n")).first()[0] or 0)
     usual = _mean_path(rows_used) or 1.0
 
