@@ -244,8 +244,8 @@ def main_text(page: Page, kept: np.ndarray) -> str:
 def train(pages: DataFrame, limit: int = FIT_PAGES) -> dict[str, np.ndarray]:
     """Trees from at most `limit` pages: those that mark their main text, and others only if there are fewer."""
     marks = F.col("html").rlike("(?isU)" + MARKED)
-    known = pages.where(F.col("html").isNotNull())
-    chosen = known.orderBy(F.desc(marks), F.xxhash64("page_id"), "page_id").select("html").limit(limit)
+    known = pages.where(F.col("html").isNotNull()).select("page_id", "html", marks.alias("_marks"))
+    chosen = known.orderBy(F.desc("_marks"), F.xxhash64("page_id"), "page_id").select("html").limit(limit)
 
     def fit(table: pa.Table) -> dict[str, np.ndarray]:
         return grow_trees(*training_rows(sorted(table.column("html").to_pylist())))
