@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellumark.functions.values import let
 from vellumark.functions.xml import ordered_text
 from vellumark.operators.skew import join_unique
-from vellumark.operators.text_chunks import fit_vocabulary, sentences
+from vellumark.operators.text_chunks import sentences
+from vellumark.operators.topics import strongest_terms, topic_model
 from vellumark.session import stored
 
 # What counts as a term, a date, a spanning name.
@@ -322,19 +321,13 @@ def topics(
     """
     tokens = df.select(key, terms(F.col(text)).alias("all"))
     kept = StopWordsRemover(inputCol="all", outputCol="words").transform(tokens)
-    vocabulary = fit_vocabulary(kept, min_documents)
-    if vocabulary is None:
+    rows = stored(kept.select(key, "words", F.monotonically_increasing_id().alias("_row")), "topic-rows")
+    model = topic_model(rows, "words", k, iterations, seed, min_documents)
+    if model is None:
         return df.select(key, F.lit(None).cast("int").alias("topic"), F.lit("").alias("label"))
-    # The model draws its batches by place, so rows are put in a fixed one.
-    counted = stored(vocabulary.transform(kept).select(key, "features").sortWithinPartitions(key), "topic-terms")
-    model = LDA(k=k, seed=seed, maxIter=iterations).fit(counted)
-    labels = [
-        " ".join(vocabulary.vocabulary[i] for i in row["termIndices"]) for row in model.describeTopics(3).collect()
-    ]
-    scored = model.transform(counted).withColumn("p", vector_to_array("topicDistribution"))
-    topic = (F.array_position("p", F.array_max("p")) - 1).cast("int")
-    named = F.array(*[F.lit(x) for x in labels])
-    return scored.select(key, topic.alias("topic")).withColumn("label", F.get(named, F.col("topic")))
+    named = F.array(*[F.lit(x) for x in strongest_terms(model[1], k)])
+    scored = join_unique(rows.select(key, "_row"), model[0], "_row")
+    return scored.select(key, F.coalesce("topic", F.lit(0)).alias("topic")).withColumn("label", F.get(named, F.col("topic")))
 
 
 def _listed(found: DataFrame, key: str, column: str, order: Column, entry: Column, sep: str) -> DataFrame:

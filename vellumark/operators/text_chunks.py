@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, RegexTokenizer, StopWordsRemover
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import RegexTokenizer, StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellumark.functions.values import let, stripped
 from vellumark.functions.xml import ordered_text
+from vellumark.operators.skew import join_unique
+from vellumark.operators.topics import topic_model
 from vellumark.session import stored
 
 WORDS = 500
@@ -86,17 +86,6 @@ def chunks(df: DataFrame, strategy: str = "paragraph", key: str = "doc_id", text
     return df.select(key, F.posexplode(cut(F.col(text))).alias("chunk_no", "text"))
 
 
-def fit_vocabulary(df: DataFrame, min_documents: int = 1) -> CountVectorizerModel | None:
-    """Term counts over the column `words` into `features`; None where no term is left to count."""
-    if df.filter(F.size("words") > 0).isEmpty():
-        return None
-    model = CountVectorizer(inputCol="words", outputCol="features", minDF=float(min_documents)).fit(df)
-    if not model.vocabulary:
-        return None
-    # Fitting leaves equally frequent terms in any order; in name order a rerun gives the same model.
-    return CountVectorizerModel.from_vocabulary(sorted(model.vocabulary), inputCol="words", outputCol="features")
-
-
 def semantic(
     df: DataFrame, key: str = "doc_id", text: str = "text", topics: int = 3, iterations: int = 10, seed: int = 42
 ) -> DataFrame:
@@ -109,16 +98,13 @@ def semantic(
     )
     words_of = RegexTokenizer(inputCol="text", outputCol="all", pattern=r"(?U)\W+", minTokenLength=2)
     kept = StopWordsRemover(inputCol="all", outputCol="words").transform(words_of.transform(paragraphs))
-    vocabulary = fit_vocabulary(kept)
-    if vocabulary is None:
-        scored, topic = paragraphs, F.lit(1)
+    placed = kept.select(key, "at", "text", "words", F.monotonically_increasing_id().alias("_row"))
+    placed = stored(placed, "paragraphs")
+    model = topic_model(placed, "words", topics, iterations, seed)
+    if model is None:
+        scored, topic = paragraphs, F.lit(0)
     else:
-        counted = vocabulary.transform(kept).select(key, "at", "text", "features")
-        # The model draws its batches by place, so rows are put in a fixed one.
-        counted = stored(counted.sortWithinPartitions(key, "at"), "paragraphs")
-        model = LDA(k=topics, seed=seed, maxIter=iterations).fit(counted)
-        scored = model.transform(counted).withColumn("p", vector_to_array("topicDistribution"))
-        topic = F.array_position(F.col("p"), F.array_max("p"))
+        scored, topic = join_unique(placed, model[0], "_row"), F.coalesce("topic", F.lit(0))
     grouped = scored.groupBy(key, topic.alias("topic")).agg(
         F.min("at").alias("first"), ordered_text(F.col("at"), F.col("text"), "\n\n").alias("text")
     )
