@@ -4,7 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellumark.llm import chunked_bpe, extraction, fingerprints, jaccard, packing, quality, rans, rules, substrings, toxicity
+from vellumark.llm import (
+    chunked_bpe,
+    extraction,
+    fill_middle,
+    fingerprints,
+    jaccard,
+    packing,
+    quality,
+    rans,
+    repair,
+    rules,
+    substrings,
+    topk,
+    toxicity,
+)
+from vellumark.llm.oracles import ORACLES as ORACLES
 from vellumark.llm.scan import table
 
 
@@ -48,6 +63,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read_token_digests(rans.write_token_files(table(spark, sf_dir, "documents")))
 
 
+def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest_of_hundredths(table(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.transform_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_toxicity": op2_toxicity,
@@ -59,6 +86,7 @@ QUERIES = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_quality": op9_quality,
     "op10_token_files": op10_token_files,
+    "op11_exact_topk": op11_exact_topk,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_conversation_repair": op13_conversation_repair,
 }
-
-ORACLES: dict[str, str] = {}
