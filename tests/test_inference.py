@@ -2,7 +2,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from vellumark.functions import kinds
-from vellumark.operators.inference import infer_json, infer_relational, infer_xsd
+from vellumark.operators.inference import (
+    FLAVOURS,
+    infer_json,
+    infer_relational,
+    infer_xsd,
+    merged_states,
+    type_states,
+)
 from vellumark.sources.csv_tables import read_csv_folder, read_csv_strings, valid_rows
 
 DATES = """2020-01|12:30|10/2025|1-1-1|2020-01-01|2020-1-1|01/02/2020|13/02/2020|1/2/20|31/12/99|2020/01/02|2020/1
@@ -71,3 +78,36 @@ def test_csv_edge_rows(spark, tmp_path):
     assert valid_rows(tables["S_T"]).count() == 4
     assert [r.type for r in infer_relational(tables["S_EMPTY"], "e").collect()] == ["INT", "INT"]
     assert {r.record_count for r in infer_relational(tables["S_T"], "t").collect()} == {5}
+
+
+def test_states_of_new_files_merge(spark, tmp_path):
+    one, two = tmp_path / "one", tmp_path / "two"
+    for folder in (one, two):
+        folder.mkdir()
+    (one / "a.csv").write_text("id,day,mix,mail\n1,2020-01-01,5,\n2,,6,x@y.org\n")
+    (two / "b.csv").write_text('id,day,mix,mail\n3,later,"open\nline",\n4,2020-01-02,2020-01-01,1.5\n')
+    whole = tmp_path / "whole"
+    whole.mkdir()
+    for f in (one / "a.csv", two / "b.csv"):
+        (whole / f.name).write_text(f.read_text())
+
+    def states(folder):
+        return type_states(read_csv_strings(spark, str(folder), with_order=True), "t")
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    merged = merged_states(states(one), states(two))
+    for name, flavour in FLAVOURS.items():
+        assert rows(flavour(merged)) == rows(flavour(states(whole))), name
+    assert [r.type for r in FLAVOURS["strict"](merged).orderBy("ordinal").collect()] == ["INT", "DATE", "VARCHAR", "VARCHAR"]
+    again = merged_states(merged, states(two))  # a file counts once
+    assert rows(FLAVOURS["json"](again)) == rows(FLAVOURS["json"](merged))
+
+
+def test_states_of_no_rows_and_of_one_flavour(spark):
+    none = values(spark)
+    for flavour in FLAVOURS.values():
+        assert [(r.name, r.record_count) for r in flavour(type_states(none, "t", ["n"])).collect()] == [("v", 0)]
+    df = values(spark, "2020-01-01T10:00:00Z")
+    assert FLAVOURS["json"](type_states(df, "t", ["n"], ["json"])).first().type == "date-time"

@@ -20,7 +20,13 @@ from vellumark.operators import (
     vectors,
 )
 from vellumark.operators import attachments as att
-from vellumark.operators.inference import catalogue, infer_json, infer_relational, infer_xsd, mark_attachments
+from vellumark.operators.inference import (
+    json_catalogue,
+    mark_attachments,
+    relational_catalogue,
+    table_states,
+    xsd_catalogue,
+)
 from vellumark.operators.row_numbers import CHUNK_ROWS, number_rows
 from vellumark.session import new_folder, stored
 from vellumark.sinks import ledger as ledgers
@@ -74,15 +80,16 @@ def describe_folder(
 ) -> dict[str, DataFrame]:
     """Types of all CSV tables of a folder as metadata JSON and XML, JSON schemas and XSDs."""
     read = read_csv_folder(spark, folder, with_order=True)
-    relational = stored(catalogue(read, lambda df, name: infer_relational(df, name, strict)), "catalogue")
-    as_json = stored(mark_attachments(catalogue(read, infer_json), read, attachment_column), "catalogue")
+    states = table_states(read)
+    relational = stored(relational_catalogue(states, strict), "catalogue")
+    as_json = stored(mark_attachments(json_catalogue(states), read, attachment_column), "catalogue")
     json_schemas = stored(schema_docs.json_schemas(as_json), "json-schemas")
     made = {
         "metadata_json": schema_docs.metadata_json(relational, application, schema, default_schema, locale),
         "metadata_xml": schema_docs.metadata_xml(relational, schema, default_schema, locale),
         "json_schemas": json_schemas,
         "xsd_from_json": schema_docs.xsd_from_json_schemas(json_schemas, holding),
-        "xsd": schema_docs.xsd_from_catalogue(catalogue(read, infer_xsd), holding),
+        "xsd": schema_docs.xsd_from_catalogue(xsd_catalogue(states), holding),
     }
     for name, df in made.items():
         df.write.mode("overwrite").json(f"{out}/{name}")

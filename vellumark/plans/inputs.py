@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vellumark.functions.names import ten_digit_id
 from vellumark.operators import attachments as att
 from vellumark.operators import packing
-from vellumark.operators.inference import catalogue, infer_json, infer_relational, infer_xsd
+from vellumark.operators.inference import FLAVOURS, table_states
 from vellumark.operators.skew import balanced, join_unique
 from vellumark.session import new_folder, stored
 from vellumark.sinks.xml_chunks import chunk_documents
@@ -120,18 +120,10 @@ def csv_folder(spark: SparkSession, sf: str) -> str:
     return folder
 
 
-FLAVOURS = {
-    "relational": infer_relational,
-    "strict": lambda df, name: infer_relational(df, name, strict=True),
-    "json": infer_json,
-    "xsd": infer_xsd,
-}
-
-
 def csv_catalogues(spark: SparkSession, sf: str, *flavours: str) -> list[DataFrame]:
-    """Catalogues of one exported folder, one per flavour of types."""
-    tables = read_csv_folder(spark, csv_folder(spark, sf), with_order=True)
-    return [stored(catalogue(tables, FLAVOURS[f]), "catalogue") for f in flavours]
+    """Catalogues of one exported folder, one per flavour of types, from one pass."""
+    states = table_states(read_csv_folder(spark, csv_folder(spark, sf), with_order=True), flavours)
+    return [FLAVOURS[f](states) for f in flavours]
 
 
 def csv_catalogue(spark: SparkSession, sf: str, flavour: str) -> DataFrame:

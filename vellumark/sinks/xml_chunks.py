@@ -9,13 +9,41 @@ from pyspark.sql import functions as F
 
 from vellumark.functions.names import element_name, with_element_names
 from vellumark.functions.xml import element, ordered_text, wrapped
-from vellumark.operators.row_numbers import CHUNK_ROWS, SOURCE_ORDER, assign_chunks
+from vellumark.operators.row_numbers import CHUNK_ROWS, SOURCE_ORDER, chunk_of, number_rows
+
 
 def row_xml(columns: list[str]) -> Column:
     """One ROW element; missing values give empty elements."""
     return wrapped("ROW", *[element(element_name(c), F.col("`" + c.replace("`", "``") + "`")) for c in columns])
 
 
+def rendered(df: DataFrame) -> DataFrame:
+    """`row`, each row as an element, beside the columns that hold the order of the source."""
+    return df.select(row_xml([c for c in df.columns if c not in SOURCE_ORDER]).alias("row"), *SOURCE_ORDER)
+
+
+def documents_of(
+    numbered: DataFrame, schema: str, table: str, chunk_rows: int = CHUNK_ROWS, first_chunk: int = 0
+) -> DataFrame:
+    """chunk_id, rows, bytes, sha, payload of rendered rows (position, row); chunks count from `first_chunk`."""
+    chunks = numbered.withColumn("chunk_id", chunk_of(F.col("position"), chunk_rows) + first_chunk)
+    documents = chunks.groupBy("chunk_id").agg(
+        F.count("*").alias("rows"),
+        F.concat(
+            F.lit(f"<{schema}><{table}>"),
+            ordered_text(F.col("position"), F.col("row")),
+            F.lit(f"</{table}></{schema}>"),
+        ).alias("payload"),
+    )
+    return documents.select(
+        "chunk_id",
+        "rows",
+        F.octet_length("payload").cast("bigint").alias("bytes"),
+        F.sha2("payload", 256).alias("sha"),
+        "payload",
+    )
+
+
 def chunk_documents(
     df: DataFrame,
     schema: str,
@@ -29,27 +57,13 @@ def chunk_documents(
     `order_by` they keep the order of their source. A task holds one chunk at a
     time, whose length is the chunk size.
     """
-    row = row_xml([c for c in df.columns if c not in SOURCE_ORDER]).alias("row")
     if order_by:
         keys = [f"k{i}" for i in range(len(order_by))]
-        rendered = df.select(row, *[c.alias(k) for c, k in zip(order_by, keys)])
+        row = row_xml([c for c in df.columns if c not in SOURCE_ORDER]).alias("row")
+        rows = df.select(row, *[c.alias(k) for c, k in zip(order_by, keys)])
     else:
-        keys, rendered = None, df.select(row, *SOURCE_ORDER)
-    documents = assign_chunks(rendered, keys, chunk_rows).groupBy("chunk_id").agg(
-        F.count("*").alias("rows"),
-        F.concat(
-            F.lit(f"<{schema}><{table}>"),
-            ordered_text(F.col("position"), F.col("row")),
-            F.lit(f"</{table}></{schema}>"),
-        ).alias("payload"),
-    )
-    return documents.select(
-        "chunk_id",
-        "rows",
-        F.octet_length("payload").cast("bigint").alias("bytes"),
-        F.sha2("payload", 256).alias("sha"),
-        "payload",
-    )
+        keys, rows = None, rendered(df)
+    return documents_of(number_rows(rows, keys), schema, table, chunk_rows)
 
 
 def write_rows_xml(df: DataFrame, path: str, schema: str, table: str) -> str:

@@ -2,25 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from vellumark.operators.row_numbers import SOURCE_ORDER
+from vellumark.sources import csv_records
+
+_DIALECT = {"header": "true", "escape": '"', "enforceSchema": "true"}
+
 
-_DIALECT = {"header": "true", "escape": '"', "multiLine": "true"}
+def _reader(spark: SparkSession, columns: Sequence[str] | None, multi_line: bool) -> DataFrameReader:
+    options = {**_DIALECT, "multiLine": str(multi_line).lower()}
+    reader = spark.read.options(**options)
+    return reader if columns is None else reader.schema(StructType([StructField(c, StringType()) for c in columns]))
 
 
 def read_csv_strings(
-    spark: SparkSession, path: str, multi_line: bool = True, with_order: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    multi_line: bool = True,
+    with_order: bool = False,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rows of a CSV file or folder as strings; short rows end in nulls, extra cells are dropped.
-
-    Line breaks inside quotes need `multi_line`, which reads each file in one
-    task; pass False for large files without them and they are split.
-    `with_order` adds the columns that hold the order of the source.
+    """Rows of CSV files or a folder as strings; short rows end in nulls, extra cells are dropped.
+
+    Files are split, whatever their size, and line breaks inside quotes are
+    kept: one pass finds whether any record spans lines. If none does, Spark's
+    reader splits at line breaks; else records are cut by `csv_records` and
+    stored. `multi_line=False` promises that there are none and saves the pass.
+    `columns` are the names of the header, which is read where they are not
+    given. `with_order` adds the columns that hold the order of the source.
     """
-    options = {**_DIALECT, "multiLine": str(multi_line).lower()}
-    df = spark.read.options(**options).csv(path, inferSchema=False)
+    columns = columns or _reader(spark, None, multi_line).csv(path).columns
+    if multi_line:
+        read = csv_records.lines(spark, path)
+        if csv_records.spans_lines(read):
+            records = csv_records.whole_records(read)
+            parsed = records.select(csv_records.cells(F.col("record"), len(columns)).alias("c"), *SOURCE_ORDER)
+            values = [F.col(f"c.c{i}").alias(c) for i, c in enumerate(columns)]
+            return parsed.select(*values, *(SOURCE_ORDER if with_order else ()))
+    df = _reader(spark, columns, False).csv(path)
     if not with_order:
         return df
     values = [(F.col("_metadata.file_path")), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
