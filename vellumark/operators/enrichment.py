@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellumark.functions.values import let
 from vellumark.functions.xml import ordered_text
-from vellumark.operators.skew import join_unique
+from vellumark.operators.dictionary import Automaton
+from vellumark.operators.skew import fits_broadcast, join_unique
 from vellumark.operators.text_chunks import sentences
 from vellumark.operators.topics import strongest_terms, topic_model
 from vellumark.session import stored
@@ -153,11 +155,40 @@ def _tokens(text: Column) -> Column:
 def places(df: DataFrame, gazetteer: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, kind `place`, value, occurrences: listed names of any number of words, wherever their words follow each other.
 
-    A text gives, once for each distinct one, the runs of as many tokens as the
-    longest name has; a run meets the names that begin with its first token.
+    A gazetteer below the broadcast threshold becomes an automaton that every
+    task runs once over its texts. A larger one is joined: a text gives, once
+    for each distinct one, the runs of as many tokens as the longest name has;
+    a run meets the names that begin with its first token.
     """
-    known = gazetteer.filter(F.col("name").rlike(TOKEN_PATTERN))
-    names = stored(known.select("name", _tokens(F.col("name")).alias("t")).distinct(), "names")
+    names = stored(gazetteer.select("name").where(F.col("name").rlike(TOKEN_PATTERN)).distinct(), "names")
+    if fits_broadcast(names):
+        return _automaton_places(df, names, key, text)
+    return _joined_places(df, names, key, text)
+
+
+def _automaton_places(df: DataFrame, names: DataFrame, key: str, text: str) -> DataFrame:
+    spark = df.sparkSession
+    shared = spark.sparkContext.broadcast(Automaton(r["name"] for r in names.collect()))  # below the broadcast threshold
+    kind = df.schema[key].dataType.simpleString()
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = shared.value
+        for batch in batches:
+            rows, values, counts = [], [], []
+            for i, body in enumerate(batch.column("text").to_pylist()):
+                for name, n in automaton.count(body or "").items():
+                    rows.append(i)
+                    values.append(automaton.names[name])
+                    counts.append(n)
+            keys = batch.column("key").take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([keys, pa.array(values, pa.string()), pa.array(counts, pa.int64())], names=["key", "value", "occurrences"])
+
+    found = df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(find, f"key {kind}, value string, occurrences bigint")
+    return found.groupBy(F.col("key").alias(key), F.lit("place").alias("kind"), "value").agg(F.sum("occurrences").alias("occurrences"))
+
+
+def _joined_places(df: DataFrame, names: DataFrame, key: str, text: str) -> DataFrame:
+    names = names.select("name", _tokens(F.col("name")).alias("t"))
     longest = names.agg(F.max(F.size("t"))).first()[0] or 1
     listed = names.groupBy(F.get("t", F.lit(0)).alias("first")).agg(
         F.collect_list(F.struct("name", F.array_join("t", "").alias("tokens"))).alias("names")
