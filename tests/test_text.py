@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vellumark.functions import values
 from vellumark.operators import enrichment, text_chunks, vectors
+from vellumark.operators.label_suggestions import suggest_labels
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -217,5 +218,24 @@ def test_texts_without_terms(spark):
     assert [(r.topic, r.label) for r in enrichment.topics(df).collect()] == [(None, "")] * 2
     assert [(r.doc_id, r.text) for r in text_chunks.chunks(df, "semantic").collect()] == [(1, "the and\n\nof")]
     unshared = spark.createDataFrame([(1, "alpha"), (2, "beta")], "doc_id int, text string")
-    assert enrichment.topics(unshared).filter("topic IS NULL").count() == 2
+    assert enrichment.topics(unshared).filter("topic IS NULL").count() == 0  # all terms count, unshared ones too
     assert enrichment.keywords(df.filter("doc_id = 2")).count() == 0
+
+
+def test_null_texts_and_texts_without_terms(spark):
+    rows = [(0, None), (1, ""), (2, "12 34"), (3, "please run the ship to the harbour"), (4, "flour and yeast in the oven"), (5, "lonely")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    topics = {r.doc_id: (r.topic, r.label) for r in enrichment.topics(df, k=2).collect()}
+    assert [topics[i] for i in range(3)] == [(None, "")] * 3
+    assert all(topics[i][0] in (0, 1) and topics[i][1] for i in (3, 4, 5))  # a single unshared word counts, too
+    intents = {r.doc_id: (r.intent, r.score) for r in enrichment.intents(df).collect()}
+    assert intents[0] == intents[1] == ("unknown", 0) and intents[3] == ("instruction", 2)
+    embedded = {r.doc_id: r.vector for r in vectors.embed(df).collect()}
+    assert set(embedded[0]) == set(embedded[1]) == {0.0} and any(embedded[3])
+    assert vectors.embed(df).columns == ["doc_id", "text", "vector"]
+
+
+def test_suggestions_from_few_labels(spark):
+    rows = [(1, "a", "public"), (2, "b", "internal"), (3, "a", None), (4, "c", None)]
+    df = spark.createDataFrame(rows, "doc_id int, modifier string, sensitivity_labels string")
+    assert sorted(map(tuple, suggest_labels(df, "doc_id").collect())) == [(3, "internal"), (4, "internal")]

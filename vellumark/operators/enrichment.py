@@ -256,8 +256,8 @@ def intents(
     text: str = "text",
     cues: Mapping[str, Sequence[str]] = INTENT_CUES,
 ) -> DataFrame:
-    """key, intent, score: the purpose with most cue words, equal ones by name. Map-only."""
-    counted = df.withColumn("_t", terms(F.col(text)))
+    """key, intent, score: the purpose with most cue words, equal ones by name; a null text has none. Map-only."""
+    counted = df.withColumn("_t", terms(F.coalesce(F.col(text), F.lit(""))))
 
     def score(name: str, words: Sequence[str]) -> Column:
         hits = F.size(F.filter("_t", lambda t: t.isin(*words)))
@@ -344,13 +344,15 @@ def topics(
     k: int = 10,
     iterations: int = 10,
     seed: int = 42,
-    min_documents: int = 2,
+    min_documents: int = 1,
 ) -> DataFrame:
     """key, topic, label: the main topic of each document, named by its three strongest terms.
 
-    The model counts terms of at least `min_documents` documents.
+    The model counts terms of at least `min_documents` documents, by default
+    all. A text without counted terms, a null one too, has no topic (null) and
+    an empty label.
     """
-    tokens = df.select(key, terms(F.col(text)).alias("all"))
+    tokens = df.select(key, terms(F.coalesce(F.col(text), F.lit(""))).alias("all"))
     kept = StopWordsRemover(inputCol="all", outputCol="words").transform(tokens)
     rows = stored(kept.select(key, "words", F.monotonically_increasing_id().alias("_row")), "topic-rows")
     model = topic_model(rows, "words", k, iterations, seed, min_documents)
@@ -358,7 +360,7 @@ def topics(
         return df.select(key, F.lit(None).cast("int").alias("topic"), F.lit("").alias("label"))
     named = F.array(*[F.lit(x) for x in strongest_terms(model[1], k)])
     scored = join_unique(rows.select(key, "_row"), model[0], "_row")
-    return scored.select(key, F.coalesce("topic", F.lit(0)).alias("topic")).withColumn("label", F.get(named, F.col("topic")))
+    return scored.select(key, "topic").withColumn("label", F.coalesce(F.get(named, F.col("topic")), F.lit("")))
 
 
 def _listed(found: DataFrame, key: str, column: str, order: Column, entry: Column, sep: str) -> DataFrame:
@@ -367,14 +369,14 @@ def _listed(found: DataFrame, key: str, column: str, order: Column, entry: Colum
 
 
 def enrich(
-    df: DataFrame, gazetteer: DataFrame, key: str = "filename", text: str = "text", min_documents: int = 2
+    df: DataFrame, gazetteer: DataFrame, key: str = "filename", text: str = "text"
 ) -> DataFrame:
     """One row per document with all enrichments as texts, "" where nothing was found."""
     kind_value = F.concat_ws(": ", "kind", "value")
     parts = [
         summaries(df, key, text),
         _listed(keywords(df, key, text), key, "keywords", F.col("rank"), F.col("term"), ", "),
-        topics(df, key, text, min_documents=min_documents).select(key, F.col("label").alias("topic")),
+        topics(df, key, text).select(key, F.col("label").alias("topic")),
         _listed(entities(df, gazetteer, key, text), key, "named_entities", kind_value, kind_value, "; "),
         _listed(personal_data(df, key, text), key, "pii_entities", kind_value, kind_value, "; "),
         intents(df, key, text).select(key, "intent"),

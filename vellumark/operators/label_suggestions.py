@@ -20,8 +20,8 @@ def suggest_labels(
     any other at 1, equal distances go by key. So the k neighbours depend on
     the modifier alone and are found once per modifier, from its first k
     labelled documents and the first k of all. The suggestion is the most
-    frequent of their labels, the smallest of equally frequent ones. Without any
-    labelled document there are no suggestions.
+    frequent of their labels, the smallest of equally frequent ones. Of fewer
+    than k labelled documents all count; without any there are no suggestions.
     """
     labelled = df.dropna(subset=[label, modifier]).select(
         F.col(key).alias("_id"), F.col(label).alias("_label"), F.col(modifier).alias("_by")
@@ -32,8 +32,6 @@ def suggest_labels(
     overall = [(r["_id"], r["_label"], r["_by"]) for r in labelled.orderBy("_id").limit(k).collect()]
     if not overall:
         return df.limit(0).select(key, F.lit(None).cast("string").alias("suggestion"))
-    if len(overall) < k:
-        raise ValueError(f"{k} labelled documents are needed, found {len(overall)}")
     candidates = df.filter(F.col(label).isNull() & F.col(modifier).isNotNull()).select(
         key, F.col(modifier).alias("_by")
     )

@@ -25,13 +25,14 @@ POINTS = "id string, vector array<float>, text string, source_file string"
 
 
 def embed(chunks: DataFrame, text: str = "text", dimensions: int = DIMENSIONS) -> DataFrame:
-    """Add `vector`: normalised hashed TF-IDF. Fitting is one pass, the rest map-only."""
-    tokens = RegexTokenizer(inputCol=text, outputCol="_words", pattern=r"(?U)\W+").transform(chunks)
+    """Add `vector`: normalised hashed TF-IDF, zeros for an empty or null text. Fitting is one pass, the rest map-only."""
+    filled = chunks.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+    tokens = RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"(?U)\W+").transform(filled)
     counted = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dimensions).transform(tokens)
     weighted = IDF(inputCol="_tf", outputCol="_idf").fit(counted).transform(counted)
     unit = Normalizer(inputCol="_idf", outputCol="_unit").transform(weighted)
     vector = vector_to_array("_unit", "float32")
-    return unit.withColumn("vector", vector).drop("_words", "_tf", "_idf", "_unit")
+    return unit.withColumn("vector", vector).drop("_text", "_words", "_tf", "_idf", "_unit")
 
 
 def embed_with(

@@ -233,7 +233,7 @@ def enrich_documents(
         listing = sources.intake(listing, "name", documents)
     listing = stored(listing, "chosen")
     texts = sources.read_texts(listing).select(F.col("name").alias("filename"), "text")
-    found = enrichment.enrich(stored(texts, "texts"), gazetteer, min_documents=1)
+    found = enrichment.enrich(stored(texts, "texts"), gazetteer)
     appended = tables.append_enrichment(found, out)
     if mark:
         sources.mark_processed(listing)

@@ -113,6 +113,12 @@ def orders_csv(spark: SparkSession, sf: str) -> str:
     return write_in_order(orders_text(spark, sf), "o_orderkey", new_folder(spark, "orders-csv"))
 
 
+def write_broken_zips(spark: SparkSession, sf: str, folder: str) -> None:
+    """A file per region that is named like a package but is none."""
+    name = F.concat(F.lit("broken_"), F.col("r_regionkey").cast("string"), F.lit(".zip"))
+    write_named_texts(table(spark, sf, "region").select(name.alias("name"), F.concat(F.lit("PK"), "r_name").alias("text")), folder)
+
+
 def csv_folder(spark: SparkSession, sf: str) -> str:
     folder = new_folder(spark, "csv-folder")
     for name, (df, key) in export_tables(spark, sf).items():

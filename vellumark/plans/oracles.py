@@ -268,7 +268,7 @@ ORACLES["src_jdbc_documents"] = "SELECT doc_id, lang, source, n_chars, sha256(te
 ORACLES["src_json_metadata"] = f"""WITH {LAX} SELECT '{APPLICATION}' AS application_name, 'SAP' AS schema_name,
   table_name, ordinal, name, type, type_length, record_count FROM catalogue"""
 ORACLES["src_zip_check"] = f"""WITH RECURSIVE {PACKED} SELECT count(DISTINCT package_id) AS valid_zips,
-  CAST(0 AS BIGINT) AS broken_zips, true AS newest_is_valid FROM packed"""
+  (SELECT count(*) FROM region) AS broken_zips, true AS newest_is_valid FROM packed"""
 ORACLES["src_json_config"] = (
     "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"
 )

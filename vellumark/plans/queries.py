@@ -127,11 +127,12 @@ def src_json_metadata(spark, sf):
 
 @query
 def src_zip_check(spark, sf):
-    """Valid and broken packages of a folder, and whether the newest one is valid."""
+    """Valid and broken packages of a folder, and whether the newest valid one is found though broken ones are newer."""
     docs, refs = inputs.package_documents(spark, sf)
     found = files.list_files(spark, inputs.stage_documents(spark, sf))
     folder = new_folder(spark, "zips")
     stored(packages.write_packages(packages.with_package_files(docs, refs, found), folder, inputs.HOLDING), "written")
+    inputs.write_broken_zips(spark, sf, folder)
     checked = stored(files.check_zips(files.list_files(spark, folder)), "checked")
     newest = files.newest_valid_zip(checked)
     return checked.agg(
@@ -290,7 +291,10 @@ def sink_upsert(spark, sf):
 def sink_replace_load(spark, sf):
     root = new_folder(spark, "load")
     names_ = ("customer", "orders")
-    old = {n: table(spark, sf, n).filter(F.lit(False)) for n in names_}
+    old = {  # other keys, which must all be gone
+        "customer": table(spark, sf, "customer").withColumn("c_custkey", -F.col("c_custkey")),
+        "orders": table(spark, sf, "orders").withColumn("o_orderkey", -F.col("o_orderkey")),
+    }
     tables.replace_load(old, root)
     tables.replace_load({n: table(spark, sf, n) for n in names_}, root)
     customers = tables.read_loaded(spark, root, "customer").select(F.col("c_custkey").alias("key"))
