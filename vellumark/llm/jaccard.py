@@ -28,11 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellumark.llm.components import components
-from vellumark.llm.scan import filtered, id_hash, in_slices, key_filter, may_contain, mix, shingles, string_array, without_removed
+from vellumark.llm.scan import bounded_batches, filtered, id_hash, in_slices, key_filter, may_contain, mix, shingles, string_array, without_removed
 from vellumark.session import discard, stored
 
 LATE_TOKENS = 300_000  # shingles known as frequent; they only move to the end of the orders
-LATE_COUNT = 3  # texts of one batch that make a shingle worth counting
+LATE_COUNT = 3  # texts counted together that make a shingle worth counting
+COUNTED_TOKENS = 3 << 20  # shingles that a task counts together, whatever the batches and texts
 SKETCH = 16  # longs of a parity sketch; larger sets are told apart less often, and then verified
 BITS = [f"b{i}" for i in range(SKETCH)]
 FEW_SETS = 16  # buckets of more sets carry sketches into their join, so that pairs are compared before they are made
@@ -42,13 +43,22 @@ SALTS = (np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F))
 def _frequent(docs: DataFrame, size: int, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     """Shingles found in many texts, ascending, and their place by frequency; at most LATE_TOKENS."""
 
+    def counted(sets):
+        made, times = np.unique(np.concatenate(sets), return_counts=True)
+        many = times >= LATE_COUNT
+        return pa.RecordBatch.from_arrays([pa.array(made[many].view(np.int64)), pa.array(times[many])], names=["token", "n"])
+
     def count(batches):
+        sets, held = [], 0
         for batch in batches:
-            sets = [made for made, _ in in_slices(string_array(batch.column("text")), lambda a: shingles(a, size, lower))]
-            if sets:
-                made, times = np.unique(np.concatenate(sets), return_counts=True)
-                many = times >= LATE_COUNT
-                yield pa.RecordBatch.from_arrays([pa.array(made[many].view(np.int64)), pa.array(times[many])], names=["token", "n"])
+            for made, _ in in_slices(string_array(batch.column("text")), lambda a: shingles(a, size, lower)):
+                sets.append(made)
+                held += len(made)
+                if held >= COUNTED_TOKENS:
+                    yield counted(sets)
+                    sets, held = [], 0
+        if sets:
+            yield counted(sets)
 
     def packed(batches):
         for batch in batches:
@@ -227,6 +237,7 @@ def link_documents(docs: DataFrame, size: int = 5, percent: int = 80, lower: boo
     are one document. A row without doc_id gets its twin's component, or null,
     and links nothing. An empty table gives no rows; other columns are not read.
     """
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     keys = stored(document_keys(docs, size, lower), "keys")
     known = keys.where(F.col("key").isNotNull() & F.col("doc_id").isNotNull())

@@ -21,19 +21,21 @@ def fold(doc_id: str | Column, modulus: int) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: int, held_out: int, limit: int) -> DataFrame:
     """doc_id, label, text of at most `limit` labelled documents outside the fold `held_out`, chosen by a hash.
 
-    A document labelled more than once has its largest label. The chosen ids
-    are at most `limit` rows, so every task may have them.
+    A document labelled more than once has its largest label, one with several
+    rows its smallest text. The chosen ids are at most `limit` rows, so every
+    task may have them.
     """
-    rows = labels.select("doc_id", F.col(column).cast("int").alias("label")).where(
+    rows = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(column).cast("int").alias("label")).where(
         F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & (fold("doc_id", modulus) != held_out)
     )
     chosen = rows.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    texts = docs.select("doc_id", "text")
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text"))
 
 
 def fit_in_one_task(rows: DataFrame, fit: Callable[[pa.Table], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
-    """Arrays that `fit` makes of rows whose number the caller has bounded. No rows: fit gets an empty table."""
+    """Arrays that `fit` makes of rows (by doc_id) whose number the caller has bounded. No rows: fit gets an empty table."""
     none = to_arrow_schema(rows.schema).empty_table()
 
     def run(batches):
@@ -43,7 +45,7 @@ def fit_in_one_task(rows: DataFrame, fit: Callable[[pa.Table], dict[str, np.ndar
         np.savez(out, **fit(table))
         yield pa.RecordBatch.from_pydict({"model": [out.getvalue()]}, pa.schema([("model", pa.binary())]))
 
-    model = rows.repartition(1).mapInArrow(run, "model binary").first()
+    model = rows.repartition(1).sortWithinPartitions("doc_id").mapInArrow(run, "model binary").first()
     if model is None:  # no partition at all
         return fit(none)
     return dict(np.load(io.BytesIO(model["model"])))

@@ -6,9 +6,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vellumark.llm.learning import fit_in_one_task, fold, labelled_sample, logistic, platt
-from vellumark.llm.scan import in_slices, mix, slices, span_hashes, string_array, text_bytes, windows, word_spans
+from vellumark.llm.scan import flat_rows, map_rows, mix, slices, span_hashes, string_array, text_bytes, windows, word_spans
 
 FIT_ROWS = 12_000  # at most so many labelled documents are fitted
 BUCKETS = 1 << 16  # half for runs of three bytes, half for runs of word shapes
@@ -167,31 +168,31 @@ def train(
     return fit_in_one_task(labelled_sample(docs, labels, "quality", modulus, held_out, limit), fit)
 
 
+def _scored(docs: DataFrame, model: dict[str, np.ndarray], keep: list[str]) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers, whatever the input
+
+    def work(part):
+        ratios, weights, (a, b) = (shared.value[k] for k in ("ratios", "weights", "ab"))
+        of, where = indicators(part)
+        margins = _margins(of, where, len(part), ratios, weights) + weights[-1]
+        return [pa.array(logistic(a * margins + b))]
+
+    return map_rows(docs, keep, StructType().add("score", "double"), work)
+
+
 def score(docs: DataFrame, model: dict[str, np.ndarray], keep: list[str] | None = None) -> DataFrame:
     """Add `score` (0 to 1, higher: label 1 likelier) to the columns `keep` (doc_id) of every row.
 
     The score depends on the text alone; a null text is an empty one. Without
-    labels of both kinds in the sample the score is their smoothed share.
+    labels of both kinds in the sample the score is their smoothed share. A
+    column `score` among those kept gives way.
     """
-    keep = keep or ["doc_id"]
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers, whatever the input
+    return flat_rows(_scored(docs, model, keep or ["doc_id"]), "score")
 
-    def run(batches):
-        ratios, weights, (a, b) = (shared.value[k] for k in ("ratios", "weights", "ab"))
-        for batch in batches:
-            at = 0
-            for part in in_slices(string_array(batch.column("_text")), lambda x: x):
-                of, where = indicators(part)
-                margins = _margins(of, where, len(part), ratios, weights) + weights[-1]
-                rows = batch.slice(at, len(part))
-                yield pa.RecordBatch.from_arrays(
-                    [*(rows.column(c) for c in keep), pa.array(logistic(a * margins + b))], names=[*keep, "score"]
-                )
-                at += len(part)
-
-    source = docs.select(*keep, F.col("text").alias("_text"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
-    return source.mapInArrow(run, ", ".join([*fields, "score double"]))
+
+def accepted(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
+    """The rows whose score is ACCEPT or more, as they are, whatever their columns are called."""
+    return flat_rows(_scored(docs, model, docs.columns).where(F.col("score") >= ACCEPT).select("row"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> DataFrame:

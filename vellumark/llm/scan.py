@@ -6,11 +6,11 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 SLICE_BYTES = 1 << 20  # texts are scanned in slices of about this size
 
@@ -24,7 +24,13 @@ _POWERS = np.ones(1, np.uint64)
 _INVERSE = np.ones(1, np.uint64)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on a batch that goes to Python has a bounded number of bytes, not only of rows; texts can be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 * SLICE_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -168,6 +174,35 @@ def in_slices(array: pa.StringArray, work: Callable[[pa.StringArray], object]) -
         yield work(array.slice(at, end - at))
 
 
+def map_rows(
+    docs: DataFrame, keep: list[str], added: StructType, work: Callable[[pa.StringArray], list[pa.Array]]
+) -> DataFrame:
+    """`row`, a struct of the columns `keep`, and the columns `added` that `work` makes of each slice of whole texts.
+
+    As the row is one struct, its columns may have any names.
+    """
+
+    def run(batches):
+        for batch in batches:
+            at = 0
+            for made, n in in_slices(string_array(batch.column("text")), lambda part: (work(part), len(part))):
+                yield pa.RecordBatch.from_arrays([batch.column("row").slice(at, n), *made], names=["row", *added.names])
+                at += n
+
+    source = docs.select(F.struct(*[F.col(_quoted(c)).alias(c) for c in keep]).alias("row"), F.col("text").cast("string").alias("text"))
+    return source.mapInArrow(run, StructType([source.schema["row"], *added.fields]))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def flat_rows(mapped: DataFrame, *added: str) -> DataFrame:
+    """The columns of `row`, then those `added`, which take the place of columns of the same name."""
+    kept = [c for c in mapped.schema["row"].dataType.names if c not in added]
+    return mapped.select(*[F.col(f"row.{_quoted(c)}").alias(c) for c in kept], *added)
+
+
 # Membership filters: a fixed number of bits, so they can go to every task whatever the table's size. Beyond their
 # capacity they only let more rows through. Keys are 64-bit hashes; two runs of 26 bits of each name two places.
 
@@ -205,19 +240,19 @@ def may_contain(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def filtered(df: DataFrame, hashed: Column, bits: np.ndarray, inside: bool = True) -> DataFrame:
-    """Rows whose hash may be in the filter, or those where it is not. Python sees the hashes only."""
-    shared = df.sparkSession.sparkContext.broadcast(bits)
-
-    @F.pandas_udf("boolean")
-    def hit(keys: pd.Series) -> pd.Series:
-        found = may_contain(shared.value, keys.to_numpy(dtype=np.int64).view(np.uint64))
-        return pd.Series(found if inside else ~found)
-
-    return df.where(hit(hashed))
+    """Rows whose hash may be in the filter, or those where it is not. The filter is one array value, so no Python runs."""
+    table = df.sparkSession.createDataFrame(pa.table({"bits": pa.array([bits], pa.list_(pa.int64()))}))
+    words = table.select("bits").scalar()
+    hit = F.lit(True)
+    for word, bit in _filter_places(hashed):
+        hit = hit & (F.call_function("shiftrightunsigned", F.get(words, word), bit).bitwiseAND(F.lit(1)) == 1)
+    hit = F.coalesce(hit, F.lit(False))
+    return df.where(hit if inside else ~hit)
 
 
 def id_hash(column: str = "doc_id") -> Column:
-    return F.xxhash64(column)
+    """Hash of an integer id, the same whatever its width."""
+    return F.xxhash64(F.col(column).cast("bigint"))
 
 
 def without_removed(docs: DataFrame, removed: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from vellumark.llm.chunked_bpe import _GEAR
 from vellumark.llm.scan import (
-    _SPACE, filtered, id_hash, in_slices, key_filter, may_contain, run_hashes, span_hashes, string_array, text_bytes, word_spans,
+    _SPACE, _quoted, bounded_batches, filtered, id_hash, in_slices, key_filter, may_contain, run_hashes, span_hashes, string_array, text_bytes, word_spans,
 )
 from vellumark.session import stored
 
@@ -145,31 +145,38 @@ def _words(body: bytes) -> list[bytes]:
 def dedup(docs: DataFrame, counted: str | None = "removed_words", within: bool = False) -> DataFrame:
     """All columns and rows, `text` without repeated passages, `n_chars` (if there is one) as it is then.
 
-    `counted` names a further column, the words cut out; `within` also cuts what
-    a text has said itself before. Null texts stay null;
-    rows without doc_id stay as they are; rows with the same doc_id are one
-    document and not compared with each other. An empty table gives no rows.
+    `counted` names a further column, the words cut out, which takes the place
+    of one of that name; `within` also cuts what a text has said itself before.
+    Null texts stay null; rows without doc_id stay as they are; rows with the
+    same doc_id are one document and not compared with each other. Other columns
+    may have any names. An empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     spans = marked_runs(docs, within).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))  # of one text
-    spans = stored(spans, "spans").withColumnsRenamed({"doc_id": "_id", "text_key": "_key", "spans": "_spans"})
-    bits = key_filter(spans, id_hash("_id"))
+    spans = stored(spans, "spans").withColumnsRenamed({"doc_id": "of_id", "text_key": "of_text"})
+    bits = key_filter(spans, id_hash("of_id"))
 
     @F.pandas_udf("text string, words bigint")
     def apply(text: pd.Series, found: pd.Series) -> pd.DataFrame:
         done = [cut_out(t, s) if t is not None and s is not None else (t, 0) for t, s in zip(text, found, strict=True)]
         return pd.DataFrame({"text": [d[0] for d in done], "words": [d[1] for d in done]})
 
-    touched = filtered(docs, id_hash(), bits)
-    touched = touched.join(spans, (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left")
-    touched = touched.withColumn("_done", F.when(F.col("_spans").isNotNull(), apply("text", "_spans")))
-    words = F.coalesce(F.col("_done.words"), F.lit(0)).cast("bigint")
-    text = F.when(F.col("_done").isNotNull(), F.col("_done.text")).otherwise(F.col("text"))
-
-    def shaped(df: DataFrame, new: dict) -> DataFrame:
-        return df.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns], *([new[""].alias(counted)] if counted else []))
-
-    new = {"text": text, "": words}
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        new["n_chars"] = F.when(words > 0, F.char_length(F.col("_done.text")).cast(kind)).otherwise(F.col("n_chars"))
-    return shaped(touched, new).unionByName(shaped(filtered(docs, id_hash(), bits, inside=False), {"": F.lit(0).cast("bigint")}))
+    every = docs.select(F.struct(*[F.col(_quoted(c)).alias(c) for c in docs.columns]).alias("row"), F.col("doc_id").cast("bigint").alias("id"), "text")
+    near = filtered(every, id_hash("id"), bits)
+    near = near.join(spans, (F.col("id") == F.col("of_id")) & (F.xxhash64("text") == F.col("of_text")), "left")
+    near = near.select("row", "spans", apply("text", "spans").alias("done"))
+    changed = F.when(F.col("spans").isNotNull(), F.col("done.text"))
+    near = near.select("row", changed.alias("new"), F.col("done.words").alias("words"))
+    clear = filtered(every, id_hash("id"), bits, inside=False)
+    made = near.unionByName(clear.select("row", F.lit(None).cast("string").alias("new"), F.lit(0).cast("bigint").alias("words")))
+
+    def value(c: str):
+        own = F.col(f"row.{_quoted(c)}")
+        if c == "text":
+            own = F.coalesce("new", own)
+        elif c == "n_chars":
+            own = F.when(F.col("words") > 0, F.char_length("new").cast(docs.schema[c].dataType)).otherwise(own)
+        return own.alias(c)
+
+    kept = [value(c) for c in docs.columns if c != counted]
+    return made.select(*kept, *([F.col("words").alias(counted)] if counted else []))

@@ -8,9 +8,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from vellumark.llm.learning import fit_in_one_task, fold, labelled_sample, logistic
-from vellumark.llm.scan import in_slices, slices, span_hashes, string_array, text_bytes, word_spans
+from vellumark.llm.scan import flat_rows, map_rows, slices, span_hashes, string_array, text_bytes, word_spans
 
 FIT_ROWS = 16_000  # at most so many labelled documents become examples
 MIN_DOCUMENTS = 6  # examples that a term needs to tell the labels apart
@@ -269,33 +270,35 @@ class Scorer:
 EVIDENCE_TYPE = "array<struct<doc_id: bigint, label: int, cosine: double>>"
 
 
+def _scored(docs: DataFrame, model: dict[str, np.ndarray], keep: list[str]) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the terms of FIT_ROWS examples
+    held: dict[int, Scorer] = {}
+    kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
+
+    def work(part):
+        if not held:
+            held[0] = Scorer(shared.value)  # one for the task
+        scores, evidence = held[0].texts(part)
+        return [pa.array(scores), pa.array(evidence, kind)]
+
+    added = StructType.fromDDL(f"score double, evidence {EVIDENCE_TYPE}")
+    return map_rows(docs, keep, added, work)
+
+
 def score(docs: DataFrame, model: dict[str, np.ndarray], keep: list[str] | None = None) -> DataFrame:
     """Add `score` (0 to 1, higher: label 1 likelier) and `evidence`, the nearest examples, to the columns `keep` (doc_id).
 
     The score depends on the text alone. A text without any term that an
     example has (an empty or null one too) has no neighbours and gets the share
     of label 1 among examples without terms, drawn towards that among all.
+    Columns `score` and `evidence` among those kept give way.
     """
-    keep = keep or ["doc_id"]
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # the terms of FIT_ROWS examples
+    return flat_rows(_scored(docs, model, keep or ["doc_id"]), "score", "evidence")
+
 
-    def run(batches):
-        scorer = Scorer(shared.value)
-        kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
-        for batch in batches:
-            at = 0
-            for part in in_slices(string_array(batch.column("_text")), lambda x: x):
-                scores, evidence = scorer.texts(part)
-                rows = batch.slice(at, len(part))
-                yield pa.RecordBatch.from_arrays(
-                    [*(rows.column(c) for c in keep), pa.array(scores), pa.array(evidence, kind)],
-                    names=[*keep, "score", "evidence"],
-                )
-                at += len(part)
-
-    source = docs.select(*keep, F.col("text").alias("_text"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
-    return source.mapInArrow(run, ", ".join([*fields, "score double", f"evidence {EVIDENCE_TYPE}"]))
+def clean(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
+    """The rows whose score is below ACCEPT, as they are, whatever their columns are called."""
+    return flat_rows(_scored(docs, model, docs.columns).where(F.col("score") < ACCEPT).select("row"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> DataFrame:
