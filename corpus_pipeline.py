@@ -12,13 +12,13 @@ from vellumark.session import stored
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: documents of low quality go."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, docs.columns).where(f"score >= {quality.ACCEPT}").select(*docs.columns)
+    return quality.accepted(docs, model)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Toxicity: documents that are likely toxic go."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, docs.columns).where(f"score < {toxicity.ACCEPT}").select(*docs.columns)
+    return toxicity.clean(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
