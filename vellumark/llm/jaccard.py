@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellumark.llm.components import components
-from vellumark.llm.scan import bounded_batches, filtered, id_hash, in_slices, key_filter, may_contain, mix, shingles, string_array, without_removed
+from vellumark.llm.scan import KeyFilter, bounded_batches, filtered, id_hash, in_slices, key_filter, mix, shingles, string_array, without_removed
 from vellumark.session import discard, stored
 
 LATE_TOKENS = 300_000  # shingles known as frequent; they only move to the end of the orders
@@ -143,14 +143,12 @@ def document_prefixes(docs: DataFrame, size: int, percent: int, lower: bool) ->
     return _map_parts(docs, f"doc_id bigint, n bigint, p1 array<bigint>, p2 array<bigint>, {sketch}", work)
 
 
-def _whole_sets(docs: DataFrame, bits: np.ndarray, size: int, lower: bool) -> DataFrame:
+def _whole_sets(docs: DataFrame, keys: KeyFilter, size: int, lower: bool) -> DataFrame:
     """doc_id and tokens of the documents that may be in the filter."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    docs = filtered(docs.select("doc_id", "text"), id_hash(), keys)
 
     def run(batches):
         for batch in batches:
-            hit = may_contain(shared.value, batch.column("id_hash").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
-            batch = batch.filter(pa.array(hit))
             at = 0
             for part in in_slices(string_array(batch.column("text")), lambda a: a):
                 made, bounds = shingles(part, size, lower)
@@ -161,25 +159,12 @@ def _whole_sets(docs: DataFrame, bits: np.ndarray, size: int, lower: bool) -> Da
                 )
                 at += len(part)
 
-    return docs.select("doc_id", id_hash().alias("id_hash"), "text").mapInArrow(run, "doc_id bigint, tokens array<bigint>")
+    return docs.mapInArrow(run, "doc_id bigint, tokens array<bigint>")
 
 
-def _shared_postings(sets: DataFrame, bits: np.ndarray) -> DataFrame:
+def _shared_postings(sets: DataFrame, keys: KeyFilter) -> DataFrame:
     """token, doc_id, n of the first order's prefix tokens that may be in the filter."""
-    shared = sets.sparkSession.sparkContext.broadcast(bits)
-
-    def run(batches):
-        for batch in batches:
-            lists = batch.column("p1")
-            tokens = lists.flatten().to_numpy(zero_copy_only=False)
-            of = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            hit = may_contain(shared.value, tokens.view(np.uint64))
-            rows = pa.array(of[hit])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(tokens[hit]), batch.column("doc_id").take(rows), batch.column("n").take(rows)], names=["token", "doc_id", "n"]
-            )
-
-    return sets.select("doc_id", "n", "p1").mapInArrow(run, "token bigint, doc_id bigint, n bigint")
+    return filtered(sets.select(F.explode("p1").alias("token"), "doc_id", "n"), F.col("token"), keys)
 
 
 def _sizes_fit(n: Column, m: Column, percent: int) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -12,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from vellumark.session import stored
+
 SLICE_BYTES = 1 << 20  # texts are scanned in slices of about this size
 
 _SPACE = np.zeros(256, bool)
@@ -214,20 +217,32 @@ def _filter_places(key: Column) -> list[tuple[Column, Column]]:
     return [(F.shiftrightunsigned(k, 6).bitwiseAND(F.lit(FILTER_WORDS - 1)).cast("int"), k.bitwiseAND(F.lit(63)).cast("int")) for k in runs]
 
 
-def key_filter(keys: DataFrame, hashed: Column) -> np.ndarray:
-    """Bits of all values of `hashed`, a 64-bit hash; the driver gets FILTER_WORDS longs, packed, however many keys there are."""
-    def packed(batches):
-        for batch in batches:
-            made = [batch.column(c).to_numpy(zero_copy_only=False).tobytes() for c in ("w", "bits")]
-            yield pa.RecordBatch.from_arrays([pa.array([m], pa.binary()) for m in made], names=["w", "bits"])
+class KeyFilter:
+    """Words of a filter that are not zero (w, bits), a stored table of at most FILTER_WORDS rows."""
+
+    def __init__(self, words: DataFrame):
+        self.words = words
+
+    def array(self) -> np.ndarray:
+        """All FILTER_WORDS longs, for tasks in Python; they come to the driver packed, however many keys there are."""
+
+        def packed(batches):
+            for batch in batches:
+                made = [batch.column(c).to_numpy(zero_copy_only=False).tobytes() for c in ("w", "bits")]
+                yield pa.RecordBatch.from_arrays([pa.array([m], pa.binary()) for m in made], names=["w", "bits"])
 
+        out = np.zeros(FILTER_WORDS, np.int64)
+        for row in self.words.mapInArrow(packed, "w binary, bits binary").collect():
+            out[np.frombuffer(row["w"], np.int32)] = np.frombuffer(row["bits"], np.int64)
+        return out
+
+
+def key_filter(keys: DataFrame, hashed: Column) -> KeyFilter:
+    """Filter of all values of `hashed`, a 64-bit hash."""
     places = F.explode(F.array(*[F.struct(w.alias("w"), b.alias("b")) for w, b in _filter_places(F.col("_hash"))]))
     words = keys.select(hashed.alias("_hash")).where("_hash is not null").select(places.alias("p"))
     words = words.groupBy(F.col("p.w").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, p.b)")).alias("bits"))
-    out = np.zeros(FILTER_WORDS, np.int64)
-    for row in words.mapInArrow(packed, "w binary, bits binary").collect():
-        out[np.frombuffer(row["w"], np.int32)] = np.frombuffer(row["bits"], np.int64)
-    return out
+    return KeyFilter(stored(words, "filter"))
 
 
 def may_contain(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -239,15 +254,19 @@ def may_contain(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return hit
 
 
-def filtered(df: DataFrame, hashed: Column, bits: np.ndarray, inside: bool = True) -> DataFrame:
-    """Rows whose hash may be in the filter, or those where it is not. The filter is one array value, so no Python runs."""
-    table = df.sparkSession.createDataFrame(pa.table({"bits": pa.array([bits], pa.list_(pa.int64()))}))
-    words = table.select("bits").scalar()
-    hit = F.lit(True)
+def filtered(df: DataFrame, hashed: Column, keys: KeyFilter, inside: bool = True) -> DataFrame:
+    """Rows whose hash may be in the filter, or those where it is not.
+
+    Two look-ups in the filter's words, which have a bounded size and are
+    broadcast; rows are not shuffled and no Python runs.
+    """
+    out, hit = df, F.lit(True)
     for word, bit in _filter_places(hashed):
-        hit = hit & (F.call_function("shiftrightunsigned", F.get(words, word), bit).bitwiseAND(F.lit(1)) == 1)
+        w, bits = (f"_{name}_{uuid.uuid4().hex}" for name in ("w", "bits"))
+        out = out.join(F.broadcast(keys.words.select(F.col("w").alias(w), F.col("bits").alias(bits))), word == F.col(w), "left")
+        hit = hit & (F.call_function("shiftrightunsigned", F.col(bits), bit).bitwiseAND(F.lit(1)) == 1)
     hit = F.coalesce(hit, F.lit(False))
-    return df.where(hit if inside else ~hit)
+    return out.where(hit if inside else ~hit).select(*[F.col(_quoted(c)) for c in df.columns])
 
 
 def id_hash(column: str = "doc_id") -> Column:

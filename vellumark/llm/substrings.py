@@ -111,7 +111,7 @@ def marked_runs(docs: DataFrame, within: bool = False) -> DataFrame:
     """
     firsts = document_runs(docs).groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     firsts = stored(firsts.where("first < last").select("digest", "first"), "repeated-runs")
-    every = document_runs(docs, key_filter(firsts, F.col("digest")), within)
+    every = document_runs(docs, key_filter(firsts, F.col("digest")).array(), within)
     place = ["doc_id", "text_key", "begin", "end"]
     mine = every.join(firsts, "digest").where(F.col("doc_id") > F.col("first")).select(*place)
     return mine.unionByName(every.where("again").select(*place)) if within else mine
