@@ -304,7 +304,7 @@ def test_block_max_index_is_exact():
         t = np.sort(draw.choice(terms, 6, replace=False))
         q = draw.random(6)
         q /= np.linalg.norm(q)
-        near, cosine = index.nearest(t, q, 10)
+        ((near, cosine),) = index.nearest([(t, q)], 10)
         every = np.round(dense[:, t] @ q, 12)
         want = [i for i in np.lexsort((np.arange(n), -every)) if every[i] > 0][:10]
         assert near.tolist() == want and np.allclose(cosine, every[want])
@@ -368,8 +368,24 @@ def test_index_of_frequent_and_rare_terms_is_exact():
     assert index.table.shape == (n, 30)
     for i in range(380, 420):
         t = np.flatnonzero(dense[i])
-        near, cosine = index.nearest(t, dense[i, t], 10, i)
+        ((near, cosine),) = index.nearest([(t, dense[i, t])], 10, [i])
         every = np.round(dense @ dense[i], 12)
         every[i] = 0
         want = np.lexsort((np.arange(n), -every))[:10]
         assert near.tolist() == want.tolist() and np.allclose(cosine, every[want])
+
+
+def test_small_samples_still_tell_labels_apart(spark):
+    """286 examples with 33 of label 1: most held-out documents of that label are caught, no other is."""
+    sf = "/root/testdata/sf0.01"
+    docs, marks = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    made = toxicity.classify(docs, marks).where("held_out").join(marks, "doc_id").select("toxic", "predicted").collect()
+    toxic = [r["predicted"] for r in made if r["toxic"] == 1]
+    assert sum(toxic) >= 0.7 * len(toxic) and not any(r["predicted"] for r in made if r["toxic"] == 0)
+
+
+def test_calibration_adds_votes_up_without_evidence():
+    votes = np.array([[2.0, 1.0], [-2.0, -1.0]])
+    a, b, c = toxicity.calibrate(votes, np.array([1, 0]))
+    assert a > 0.9 and b > 0.9 and abs(c) < 0.1
+    assert toxicity.calibrate(votes, np.array([1, 1])).tolist()[:2] == [0.0, 0.0]

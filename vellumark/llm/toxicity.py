@@ -21,8 +21,11 @@ BLOCK = 64  # examples of one index block
 FREQUENT = 8  # a term of more than 1/FREQUENT of the examples is frequent
 SLACK = 1e-5  # more than single precision can be wrong by
 EVIDENCE = 5
+TOGETHER = 32  # texts that are answered together
+KNOWN_ANSWERS = 50_000  # answers that a task remembers
 ACCEPT = 0.7
 PRIOR_WEIGHT = 0.5
+DRAWN = 30  # examples' worth of evidence for adding up the votes as they are
 
 _GAPS = np.ones(256, bool)  # a term is a run of letters, digits and bytes beyond ASCII, A-Z folded
 for _a, _b in (("0", "9"), ("A", "Z"), ("a", "z")):
@@ -64,12 +67,6 @@ def known_terms(array: pa.StringArray, known: np.ndarray) -> tuple[np.ndarray, n
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def runs(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The places begin, begin + 1, ... of runs, one run after another."""
-    ends = np.cumsum(counts)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - counts), counts)
-
-
 class BlockMaxIndex:
     """Weights of all terms of all examples: lists by term for rare terms, a table for frequent ones.
 
@@ -85,8 +82,6 @@ class BlockMaxIndex:
         if len(example) and (np.diff(example) < 0).any():
             order = np.argsort(example, kind="stable")
             term, example, weight = term[order], example[order], weight[order]
-        self.term, self.weight = term, weight
-        self.bounds = np.searchsorted(example, np.arange(examples + 1))
         df = np.bincount(term, minlength=terms)
         frequent = np.flatnonzero(df * FREQUENT > examples)
         self.row = np.full(terms, -1, np.int32)
@@ -95,49 +90,66 @@ class BlockMaxIndex:
         rare = np.flatnonzero(row < 0)
         rare = rare[np.argsort(term[rare], kind="stable")]
         self.starts = np.concatenate([[0], np.cumsum(np.where(self.row < 0, df, 0))])
-        self.rare_example, self.rare_weight = example[rare].astype(np.int32), weight[rare]
+        self.rare_example, self.rare_weight = example[rare].astype(np.intp), weight[rare]  # as bincount takes them
         own = np.flatnonzero(row >= 0)
-        self.table = np.zeros((examples, len(frequent)), np.float32)
-        self.table[example[own], row[own]] = weight[own]
+        self.full = np.zeros((examples, len(frequent)), weight.dtype)
+        self.full[example[own], row[own]] = weight[own]
+        self.table = self.full.astype(np.float32, copy=False)
         self.length = np.sqrt(np.einsum("ij,ij->i", self.table, self.table))
         firsts = np.arange(0, examples, BLOCK)
         self.most = np.maximum.reduceat(self.table, firsts, axis=0) if examples else self.table
-        self.asked = np.zeros(terms)
-
-    def cosines(self, terms: np.ndarray, weights: np.ndarray, examples: np.ndarray) -> np.ndarray:
-        """Products with some examples, each added up in the order of the example's terms."""
-        self.asked[terms] = weights
-        counts = self.bounds[examples + 1] - self.bounds[examples]
-        at = runs(self.bounds[examples], counts)
-        sums = np.bincount(np.repeat(np.arange(len(examples)), counts), self.asked[self.term[at]] * self.weight[at], len(examples))
-        self.asked[terms] = 0
-        return sums
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Examples with the k largest cosines above 0, best first, ties by example; `without` is left out."""
-        if not self.examples:
-            return np.zeros(0, np.int64), np.zeros(0)
-        row = self.row[terms]
-        t, w = terms[row < 0], weights[row < 0]
-        counts = self.starts[t + 1] - self.starts[t]
-        at = runs(self.starts[t], counts)
-        sums = np.bincount(self.rare_example[at], np.repeat(w, counts) * self.rare_weight[at], self.examples)
-        wide = np.zeros(self.table.shape[1], np.float32)
-        wide[row[row >= 0]] = weights[row >= 0]
-        more = np.minimum(np.repeat(self.most @ wide, BLOCK)[: self.examples], self.length * np.sqrt(wide @ wide))
+        self.firsts = firsts
+
+    def _rare(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Sums over rare terms, for every example."""
+        lists = [slice(a, b) for a, b in zip(self.starts[terms].tolist(), self.starts[terms + 1].tolist(), strict=True)]
+        if not lists:
+            return np.zeros(self.examples)
+        add = np.concatenate([self.rare_weight[x] for x in lists]) * np.repeat(weights, self.starts[terms + 1] - self.starts[terms])
+        return np.bincount(np.concatenate([self.rare_example[x] for x in lists]), add, self.examples)
+
+    def nearest(
+        self, asked: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text (terms, weights) the examples with the k largest cosines above 0, best first, ties by example.
+
+        The texts are few and answered together: what they may need of the
+        table is one matrix product. `without` leaves one example out of each.
+        """
+        n, none = self.examples, (np.zeros(0, np.int64), np.zeros(0))
+        if not n or not asked:
+            return [none] * len(asked)
+        sums, wide = np.zeros((len(asked), n)), np.zeros((len(asked), self.table.shape[1]))
+        for i, (terms, weights) in enumerate(asked):
+            row = self.row[terms]
+            sums[i] = self._rare(terms[row < 0], weights[row < 0])
+            wide[i, row[row >= 0]] = weights[row >= 0]
+        narrow = wide.astype(np.float32)
+        more = np.repeat(narrow @ self.most.T, BLOCK, axis=1)[:, :n]
+        np.minimum(more, np.sqrt(np.einsum("ij,ij->i", narrow, narrow))[:, None] * self.length, out=more)
         bound = sums + more
-        if without >= 0:
-            sums[without] = bound[without] = -2.0
-        some = np.argpartition(-bound, 4 * k)[: 4 * k] if len(bound) > 4 * k else np.arange(len(bound))
-        seen = sums[some] + self.table[some] @ wide
-        least = np.partition(seen, -k)[-k] if len(seen) >= k else 0.0
-        some = np.flatnonzero((bound > 0) & (bound >= least - 2 * SLACK))
-        seen = sums[some] + self.table[some] @ wide
-        least = np.partition(seen, -k)[-k] if len(seen) >= k else 0.0
-        some = some[(seen > 0) & (seen >= least - 2 * SLACK)]
-        cosine = self.cosines(terms, weights, some)
-        first = np.lexsort((some, -np.round(cosine, 12)))[:k]
-        return some[first], cosine[first]
+        if without is not None:
+            sums[np.arange(len(asked)), without] = bound[np.arange(len(asked)), without] = -2.0
+        need = bound > 0
+        for i in range(len(asked)):  # a first guess of the k-th best
+            some = np.argpartition(-bound[i], 4 * k)[: 4 * k] if n > 4 * k else np.arange(n)
+            seen = sums[i, some] + self.table[some] @ narrow[i]
+            if len(seen) >= k:
+                need[i] &= bound[i] >= np.partition(seen, -k)[-k] - 2 * SLACK
+        blocks = np.logical_or.reduceat(need.any(axis=0), self.firsts)
+        rows = np.flatnonzero(np.repeat(blocks, BLOCK)[:n])
+        table = self.table if len(rows) == n else self.table[rows]
+        seen = sums[:, rows] + narrow @ table.T
+        out = []
+        for i in range(len(asked)):
+            mine = np.flatnonzero(need[i, rows])
+            own = seen[i, mine]
+            least = np.partition(own, -k)[-k] if len(own) >= k else 0.0
+            some = rows[mine[(own > 0) & (own >= least - 2 * SLACK)]]
+            cosine = sums[i, some] + self.full[some] @ wide[i]  # in double precision
+            first = np.lexsort((some, -np.round(cosine, 12)))[:k]
+            out.append((some[first], cosine[first]))
+        return out
 
 
 def vote(labels: np.ndarray, cosine: np.ndarray, prior: float) -> float:
@@ -148,18 +160,27 @@ def vote(labels: np.ndarray, cosine: np.ndarray, prior: float) -> float:
 
 
 def calibrate(votes: np.ndarray, labels: np.ndarray, rounds: int = 50) -> np.ndarray:
-    """Weights of the votes and a constant for the logistic score, with smoothed targets."""
+    """Weights of the votes and a constant for the logistic score, with smoothed targets.
+
+    Votes are log odds that each hold the share of label 1 once, so without
+    anything learnt they add up, less that share once. The fit starts there and
+    is drawn there as by DRAWN examples' worth of evidence, which decides on
+    small samples only.
+    """
     n1 = float(labels.sum())
     n0 = len(labels) - n1
-    out = np.append(np.zeros(votes.shape[1]), np.log((n1 + 1) / (n0 + 1)))
+    base = np.log((n1 + 1) / (n0 + 1))
+    start = np.append(np.ones(votes.shape[1]), -(votes.shape[1] - 1) * base)
     if not n1 or not n0:
-        return out
+        return np.append(np.zeros(votes.shape[1]), base)
     target = np.where(labels > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     x = np.column_stack([votes, np.ones(len(votes))])
+    pull = DRAWN * np.mean(x * x, axis=0) * 0.25
+    out = start
     for _ in range(rounds):
         p = logistic(x @ out)
-        slope = x.T @ (p - target) + 1e-6 * out
-        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(len(out))
+        slope = x.T @ (p - target) + pull * (out - start)
+        curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag(pull + 1e-6)
         step = np.linalg.solve(curve, slope)
         out = out - step * min(1.0, 5.0 / max(1e-9, np.abs(step).max()))
         if np.abs(step).max() < 1e-8:
@@ -194,7 +215,11 @@ def fit(texts: pa.Table) -> dict[str, np.ndarray]:
     }
     scorer = Scorer(model)
     asked = np.flatnonzero(~blank)
-    votes = [scorer.votes(term[a:b], weight[a:b].astype(float), i)[0] for i in asked.tolist() for a, b in [bounds[i : i + 2]]]
+    votes = []
+    for at in range(0, len(asked), TOGETHER):
+        some = asked[at : at + TOGETHER].tolist()
+        texts_ = [(term[bounds[i] : bounds[i + 1]], weight[bounds[i] : bounds[i + 1]].astype(float)) for i in some]
+        votes += [v for v, _, _ in scorer.votes(texts_, some)]
     model["ab"] = calibrate(np.array(votes).reshape(-1, 2), labels[asked])
     return model
 
@@ -222,27 +247,36 @@ class Scorer:
         self.mute = float(np.log(share / (1 - share)))
         self.known: dict[bytes, tuple[float, np.ndarray, np.ndarray]] = {}
 
-    def votes(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[list[float], np.ndarray, np.ndarray]:
-        """Log odds of both votes, nearest examples and cosines of a text with such terms; `without` is left out."""
-        near, cosine = self.index.nearest(terms, weights, NEIGHBOURS, without)
-        own = self.tell[terms] >= 0
-        told = self.mute
-        if own.any():
-            telling = weights[own] / np.sqrt(weights[own] @ weights[own])
-            by, likeness = self.telling.nearest(self.tell[terms[own]], telling, NEIGHBOURS, without)
-            told = vote(self.labels[by], likeness, self.prior)
-        return [vote(self.labels[near], cosine, self.prior), told], near, cosine
-
-    def one(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """Score, nearest examples and cosines of a text with such terms; texts with the same are answered at once."""
-        key = hashlib.blake2b(terms.tobytes() + weights.tobytes(), digest_size=16).digest()
-        if (found := self.known.get(key)) is None:
-            votes, near, cosine = self.votes(terms, weights)
-            odds = np.append(votes, 1.0) @ self.model["ab"]
-            found = float(logistic(odds)), near[:EVIDENCE], cosine[:EVIDENCE]
-            if len(self.known) < 100_000:
-                self.known[key] = found
-        return found
+    def votes(
+        self, asked: list[tuple[np.ndarray, np.ndarray]], without: list[int] | None = None
+    ) -> list[tuple[list[float], np.ndarray, np.ndarray]]:
+        """Log odds of both votes, nearest examples and cosines of texts (terms, weights); `without` leaves one out of each."""
+        near = self.index.nearest(asked, NEIGHBOURS, without)
+        telling, which = [], []
+        for i, (terms, weights) in enumerate(asked):
+            own = self.tell[terms] >= 0
+            if own.any():
+                telling.append((self.tell[terms[own]], weights[own] / np.sqrt(weights[own] @ weights[own])))
+                which.append(i)
+        told = [self.mute] * len(asked)
+        left = None if without is None else [without[i] for i in which]
+        for i, (by, likeness) in zip(which, self.telling.nearest(telling, NEIGHBOURS, left), strict=True):
+            told[i] = vote(self.labels[by], likeness, self.prior)
+        return [([vote(self.labels[e], c, self.prior), t], e, c) for (e, c), t in zip(near, told, strict=True)]
+
+    def answers(self, asked: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """Score, nearest examples and cosines of texts with such terms; texts with the same are answered once."""
+        keys = [hashlib.blake2b(t.tobytes() + w.tobytes(), digest_size=16).digest() for t, w in asked]
+        if len(self.known) > KNOWN_ANSWERS:
+            self.known.clear()
+        new = {key: i for i, key in enumerate(keys) if key not in self.known}
+        order = sorted(new.values())
+        for at in range(0, len(order), TOGETHER):
+            some = order[at : at + TOGETHER]
+            for i, (votes, near, cosine) in zip(some, self.votes([asked[i] for i in some]), strict=True):
+                odds = float(np.append(votes, 1.0) @ self.model["ab"])
+                self.known[keys[i]] = float(logistic(odds)), near[:EVIDENCE], cosine[:EVIDENCE]
+        return [self.known[key] for key in keys]
 
     def texts(self, array: pa.StringArray) -> tuple[np.ndarray, list[list[dict]]]:
         known = self.model["terms"]
@@ -257,9 +291,10 @@ class Scorer:
         of, terms, weights = of[hit], at[hit], weights[hit]
         bounds = np.searchsorted(of, np.arange(len(array) + 1))
         scores, evidence = np.full(len(array), self.model["blank"][0]), [[] for _ in range(len(array))]
-        for i in np.flatnonzero(np.diff(bounds)).tolist():
-            a, b = bounds[i], bounds[i + 1]
-            scores[i], near, cosine = self.one(terms[a:b], weights[a:b])
+        asked = np.flatnonzero(np.diff(bounds)).tolist()
+        found = self.answers([(terms[bounds[i] : bounds[i + 1]], weights[bounds[i] : bounds[i + 1]]) for i in asked])
+        for i, (value, near, cosine) in zip(asked, found, strict=True):
+            scores[i] = value
             evidence[i] = [
                 {"doc_id": int(self.model["ids"][e]), "label": int(self.labels[e]), "cosine": float(c)}
                 for e, c in zip(near, cosine, strict=True)
