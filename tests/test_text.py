@@ -239,3 +239,19 @@ def test_suggestions_from_few_labels(spark):
     rows = [(1, "a", "public"), (2, "b", "internal"), (3, "a", None), (4, "c", None)]
     df = spark.createDataFrame(rows, "doc_id int, modifier string, sensitivity_labels string")
     assert sorted(map(tuple, suggest_labels(df, "doc_id").collect())) == [(3, "internal"), (4, "internal")]
+
+
+def test_every_usual_term_of_a_place_counts(spark):
+    """Eight equally frequent terms of one place are all alternates of each other; in a place where anything fits, none is."""
+    eight = [f"the {c * 3} dog ran" for c in "abcdefgh"]
+    many = [f"of {a}{b}x him" for a in "abcdefgh" for b in "abcdefgh"]
+    df = spark.createDataFrame(list(enumerate([*eight, *many])), "doc_id int, text string")
+    for parts in (1, 4):
+        found = enrichment.alternates(df.repartition(parts), top=100).collect()
+        assert len(found) == 8 * 7 and {r.score for r in found} == {1}
+
+
+def test_a_rare_term_meets_the_one_usual_term(spark):
+    texts = ["a big dog"] * 20 + ["a huge dog"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    assert [tuple(r) for r in enrichment.alternates(df).collect()] == [("huge", 1, "big", 1)]

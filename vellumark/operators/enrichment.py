@@ -52,6 +52,7 @@ INTENT_CUES = {
     "report": ("report", "summary", "result", "total", "for"),
 }
 NO_INTENT = "unknown"
+USUAL_SHARE = 8  # a term of one in so many uses of a place is usual there
 
 
 def terms(text: Column) -> Column:
@@ -273,15 +274,16 @@ def intents(
 
 
 def alternates(
-    df: DataFrame, key: str = "doc_id", text: str = "text", fillers: int = 6, top: int = 5, asked: DataFrame | None = None
+    df: DataFrame, key: str = "doc_id", text: str = "text", share: int = USUAL_SHARE, top: int = 5, asked: DataFrame | None = None
 ) -> DataFrame:
     """term, rank, alternate, score: terms used in the same places; of the terms of `asked` only, if it is given.
 
-    A place is the pair of neighbouring terms; its usual terms are the
-    `fillers` most frequent ones. A term scores with an alternate the smaller
-    of their counts, summed over the places that the term occurs in and the
-    alternate is usual in. Each (place, term) meets a fixed number of usual
-    terms, so the join is linear in its input.
+    A place is the pair of neighbouring terms; a term is usual there if it
+    makes up at least one in `share` of the place's uses, whatever their
+    number. A term scores with an alternate the smaller of their counts, summed
+    over the places that the term occurs in and the alternate is usual in. By
+    its definition a place has at most `share` usual terms, none where any term
+    fits, so each (place, term) meets a bounded number of them.
     """
 
     def triples(t: Column) -> Column:
@@ -298,15 +300,15 @@ def alternates(
         .agg(F.count("*").alias("n")),
         "places",
     )
-    by_count = Window.partitionBy("place").orderBy(F.desc("n"), "term")
+    uses = F.sum("n").over(Window.partitionBy("place"))
     usual = (
-        used.withColumn("r", F.row_number().over(by_count))
-        .filter(F.col("r") <= fillers)
+        used.withColumn("uses", uses)
+        .filter(F.col("n") * share >= F.col("uses"))
         .groupBy("place")
-        .agg(F.collect_list(F.struct(F.col("term").alias("alternate"), F.col("n").alias("m"))).alias("usual"))
+        .agg(F.collect_list(F.struct(F.col("term").alias("alternate"), F.col("n").alias("m"))).alias("usual"), F.max("uses").alias("uses"))
     )
     # A place with one term offers no alternate.
-    usual = stored(usual.filter(F.size("usual") > 1), "usual")
+    usual = stored(usual.filter(F.col("usual")[0]["m"] < F.col("uses")).drop("uses"), "usual")
     if asked is not None:
         used = used.join(asked.select("term").distinct(), "term", "left_semi")
     met = (
@@ -323,11 +325,11 @@ def alternates(
 
 
 def synonyms(
-    df: DataFrame, key: str = "doc_id", text: str = "text", fillers: int = 6, top: int = 5
+    df: DataFrame, key: str = "doc_id", text: str = "text", share: int = USUAL_SHARE, top: int = 5
 ) -> DataFrame:
     """key, term, rank, alternate, score for the keywords of each document."""
     asked = stored(keywords(df, key, text).select(key, "term"), "keywords")
-    found = alternates(df, key, text, fillers, top, asked)
+    found = alternates(df, key, text, share, top, asked)
     lists = found.groupBy("term").agg(
         F.sort_array(F.collect_list(F.struct("rank", "alternate", "score"))).alias("a")
     )
