@@ -5,11 +5,12 @@ Both score the distinct combinations of values, not the documents.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellumark.functions.values import fill_unknown
@@ -21,7 +22,6 @@ CONTAMINATION = 0.05
 TREES = 100
 SAMPLE = 256
 SEED = 42
-BUCKETS = 4096  # combinations are counted in so many buckets
 _EULER = 0.5772156649015329
 
 
@@ -64,28 +64,33 @@ def _mean_path(n: int) -> float:
     return 1.0 if n == 2 else 2.0 * (np.log(n - 1.0) + _EULER) - 2.0 * (n - 1.0) / n
 
 
-def _grow(rows: np.ndarray, rng: np.random.Generator, depth: int, limit: int, nodes: list) -> int:
+def _digest(*parts: object) -> str:
+    return hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()
+
+
+def _grow(rows: np.ndarray, weights: np.ndarray, name: tuple, path: str, limit: int, nodes: list) -> int:
     """Add the node of these rows, return its number.
 
     A split asks whether one feature has one value: a random cut of a one-hot
-    column. Node: (feature, value, node if not, node if so, depth at a leaf).
+    column. Of all cuts that part the node's rows the one of the smallest
+    digest is taken. Node: (feature, value, node if not, node if so, depth at a leaf).
     """
-    at = len(nodes)
-    nodes.append((-1, "", -1, -1, depth + _mean_path(len(rows))))
-    if depth >= limit or len(rows) <= 1:
+    at, count = len(nodes), int(weights.sum())
+    nodes.append((-1, "", -1, -1, len(path) + _mean_path(count)))
+    if len(path) >= limit or count <= 1:
         return at
     choices = []
     for f in range(rows.shape[1]):
         values = np.unique(rows[:, f])
         if len(values) > 1:
-            choices += [(f, v) for v in values]
+            choices += [(_digest(*name, path, f, v), f, v) for v in values.tolist()]
     if not choices:
         return at
-    feature, value = choices[rng.integers(len(choices))]
+    _, feature, value = min(choices)
     match = rows[:, feature] == value
-    no = _grow(rows[~match], rng, depth + 1, limit, nodes)
-    yes = _grow(rows[match], rng, depth + 1, limit, nodes)
-    nodes[at] = (int(feature), str(value), no, yes, 0.0)
+    no = _grow(rows[~match], weights[~match], name, path + "0", limit, nodes)
+    yes = _grow(rows[match], weights[match], name, path + "1", limit, nodes)
+    nodes[at] = (feature, value, no, yes, 0.0)
     return at
 
 
@@ -107,43 +112,43 @@ def _depths(rows: np.ndarray, tree: dict) -> np.ndarray:
 _TREE = "tree int, feature array<int>, value array<string>, no array<int>, yes array<int>, depth array<double>"
 
 
-def grow_forest(
+def drawn_rows(
     combinations: DataFrame, features: Sequence[str], trees: int = TREES, sample: int = SAMPLE, seed: int = SEED
 ) -> DataFrame:
-    """Trees over `sample` rows each, drawn anew for every tree from all rows, none twice.
+    """tree, the features, w: how many rows of each combination a tree draws, about `sample` of all rows together.
 
-    Rows are numbered by bucket and combination, as often as a combination
-    occurs; a tree draws numbers. The driver sees the buckets' row counts and
-    the trees * sample numbers drawn, however many rows there are.
+    A combination's share of the sample is rounded up or down by a digest of
+    tree and combination, so a rare one is in few trees. Each combination is
+    looked at by itself, whatever its number of rows.
     """
-    spark, names = combinations.sparkSession, list(features)
-    placed = combinations.withColumn("bucket", F.pmod(F.xxhash64(*names), F.lit(BUCKETS)).cast("int"))
-    counts = np.zeros(BUCKETS, np.int64)
-    for bucket, n in placed.groupBy("bucket").agg(F.sum("n")).collect():
-        counts[bucket] = n
-    ends = np.cumsum(counts)
-    total, drawn = int(ends[-1]), []
-    for tree in range(trees if total else 0):
-        at = np.sort(np.random.default_rng([seed, tree, 1]).choice(total, min(sample, total), replace=False))
-        bucket = np.searchsorted(ends, at, "right")
-        drawn += [(tree, *x) for x in zip(bucket.tolist(), (at - (ends - counts)[bucket]).tolist(), at.tolist())]
-    asked = F.broadcast(spark.createDataFrame(drawn, "tree int, bucket int, place bigint, r bigint"))
-    upto = F.sum("n").over(Window.partitionBy("bucket").orderBy(*names).rowsBetween(Window.unboundedPreceding, 0))
-    inside = (F.col("place") < F.col("upto")) & (F.col("place") >= F.col("upto") - F.col("n"))
-    sampled = placed.withColumn("upto", upto).join(asked, "bucket").where(inside).select("tree", "r", *names)
+    names = list(features)
+    total = combinations.agg(F.sum("n")).scalar()
+    share = F.col("n") * F.least(F.lit(sample), total) / total
+    text = F.concat_ws("|", F.lit(str(seed)), F.col("tree").cast("string"), *names)
+    chance = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    every = combinations.withColumn("share", share).withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    w = F.floor("share") + (chance < F.col("share") - F.floor("share")).cast("bigint")
+    return every.select("tree", *names, w.alias("w")).where("w > 0")
+
+
+def grow_forest(
+    combinations: DataFrame, features: Sequence[str], trees: int = TREES, sample: int = SAMPLE, seed: int = SEED
+) -> DataFrame:
+    """Trees over the rows that each draws; a tree is the work of one task and has `sample` rows or so."""
+    names = list(features)
+    rows = combinations.agg(F.sum("n")).first()[0] or 0
+    limit = int(np.ceil(np.log2(max(min(sample, rows), 2))))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("r")
         tree = int(pdf["tree"].iloc[0])
         nodes: list = []
-        limit = int(np.ceil(np.log2(max(len(pdf), 2))))
-        _grow(pdf[names].to_numpy(dtype=str), np.random.default_rng([seed, tree]), 0, limit, nodes)
+        _grow(pdf[names].to_numpy(dtype=str), pdf["w"].to_numpy(), (seed, tree), "", limit, nodes)
         feature, value, no, yes, depth = (list(c) for c in zip(*nodes))
         return pd.DataFrame(
             {"tree": [tree], "feature": [feature], "value": [value], "no": [no], "yes": [yes], "depth": [depth]}
         )
 
-    return sampled.groupBy("tree").applyInPandas(grow, _TREE)
+    return drawn_rows(combinations, names, trees, sample, seed).groupBy("tree").applyInPandas(grow, _TREE)
 
 
 def forest_outliers(
@@ -158,6 +163,8 @@ def forest_outliers(
     """Documents an isolation forest over one-hot features sets apart, with `score`.
 
     The forest depends on the features alone; `key` only names the documents.
+    Draws and splits go by digests, so it is the same on any partitioning and
+    SQL can restate it.
     """
     filled, combinations = _combinations(df, features)
     combinations = stored(combinations, "combinations")

@@ -791,6 +791,51 @@ _RARITY = " + ".join(f"(-ln(count(*) OVER (PARTITION BY {c}) / CAST(count(*) OVE
 ORACLES["ml_rarity_outliers"] = f"""WITH {META}, filled AS (SELECT doc_id, filename, creator, {_FILLED} FROM meta),
 scored AS (SELECT doc_id, filename, creator, round({_RARITY}, 6) AS score FROM filled)
 SELECT doc_id, filename, creator, score FROM scored WHERE score > (SELECT quantile_cont(score, 0.95) FROM scored)"""
+_FOREST_TREES, _FOREST_SAMPLE, _FOREST_LIMIT = 100, 256, 8
+_MEAN_PATH = """CASE WHEN {0} <= 1 THEN 0.0 WHEN {0} = 2 THEN 1.0
+  ELSE 2.0 * (ln({0} - 1.0) + 0.5772156649015329) - 2.0 * ({0} - 1.0) / {0} END"""
+
+
+def _forest() -> str:
+    """The trees level by level: rows keep their node's path until it is a leaf."""
+    shown = " UNION ALL ".join(f"SELECT tree, node, {i} AS f, {c} AS value FROM open" for i, c in enumerate(_RARE))
+    match = "CASE pick.f " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(_RARE)) + " END = pick.value"
+    columns = ", ".join(f"l.{c}" for c in _RARE)
+    levels = []
+    for k in range(_FOREST_LIMIT):
+        source = f"level{k}"
+        levels.append(f"""level{k + 1} AS (
+  WITH size AS (SELECT tree, node, CAST(sum(w) AS BIGINT) AS size FROM {source} WHERE leaf IS NULL GROUP BY tree, node),
+  open AS (SELECT * FROM {source} WHERE leaf IS NULL AND w > 0),
+  shown AS (SELECT DISTINCT tree, node, f, value FROM ({shown})),
+  cuts AS (SELECT *, md5('42|' || tree || '|' || node || '|' || f || '|' || value) AS digest FROM shown
+    WHERE (tree, node, f) IN (SELECT (tree, node, f) FROM shown GROUP BY tree, node, f HAVING count(*) > 1)),
+  pick AS (SELECT tree, node, arg_min(f, digest) AS f, arg_min(value, digest) AS value FROM cuts
+    WHERE (tree, node) IN (SELECT (tree, node) FROM size WHERE size > 1) GROUP BY tree, node)
+  SELECT l.tree, {columns}, l.n, l.w,
+    CASE WHEN l.leaf IS NULL AND pick.f IS NOT NULL THEN l.node || CASE WHEN {match} THEN '1' ELSE '0' END ELSE l.node END AS node,
+    CASE WHEN l.leaf IS NOT NULL THEN l.leaf WHEN pick.f IS NULL THEN {k} + {_MEAN_PATH.format("size.size")} END AS leaf
+  FROM {source} l LEFT JOIN size USING (tree, node) LEFT JOIN pick USING (tree, node))""")
+    return ",\n".join(levels)
+
+
+ORACLES["ml_outliers"] = f"""WITH {META}, filled AS (SELECT doc_id, filename, creator, {_FILLED} FROM meta),
+combos AS (SELECT {", ".join(_RARE)}, count(*) AS n FROM filled GROUP BY ALL),
+whole AS (SELECT CAST(sum(n) AS BIGINT) AS total FROM combos),
+shares AS (SELECT combos.*, tree, n * least({_FOREST_SAMPLE}, total) / total AS share,
+    CAST('0x' || md5('42|' || tree || '|' || {" || '|' || ".join(_RARE)})[1:8] AS BIGINT) / 4294967296.0 AS chance
+  FROM combos, whole, (SELECT unnest(range({_FOREST_TREES})) AS tree)),
+level0 AS (SELECT tree, {", ".join(_RARE)}, n,
+    CAST(floor(share) AS BIGINT) + CASE WHEN chance < share - floor(share) THEN 1 ELSE 0 END AS w,
+    '' AS node, CAST(NULL AS DOUBLE) AS leaf FROM shares),
+{_forest()},
+ends AS (SELECT l.*, coalesce(leaf, {_FOREST_LIMIT} + {_MEAN_PATH.format("size")}) AS depth FROM level{_FOREST_LIMIT} l
+  LEFT JOIN (SELECT tree, node, CAST(sum(w) AS BIGINT) AS size FROM level{_FOREST_LIMIT} WHERE leaf IS NULL GROUP BY tree, node) USING (tree, node)),
+usual AS (SELECT {_MEAN_PATH.format("drawn")} AS usual FROM (SELECT least({_FOREST_SAMPLE}, total) AS drawn FROM whole)),
+scored AS (SELECT {", ".join(_RARE)}, round(pow(2.0, -(sum(depth) / {_FOREST_TREES}) / (SELECT usual FROM usual)), 6) AS score
+  FROM ends GROUP BY ALL),
+every AS (SELECT doc_id, filename, creator, score FROM filled JOIN scored USING ({", ".join(_RARE)}))
+SELECT doc_id, filename, creator, score FROM every WHERE score > (SELECT quantile_cont(score, 0.95) FROM every)"""
 ORACLES["ml_knn_label"] = f"""WITH {META},
 lab AS (SELECT doc_id, sensitivity_labels AS v, modifier AS m FROM meta
   WHERE sensitivity_labels IS NOT NULL AND modifier IS NOT NULL),
