@@ -65,6 +65,27 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), lambda v: body(v)), 1)
 
 
+def counted(found: Column) -> Column:
+    """Array of (term, n) of an array of terms: equal ones are neighbours once sorted."""
+
+    def runs(t: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(0), F.size(t) - 1), lambda i: (i == 0) | (F.get(t, i) != F.get(t, i - 1))
+        )
+        return let(
+            starts,
+            lambda s: F.transform(
+                s,
+                lambda i, k: F.struct(
+                    F.get(t, i).alias("term"),
+                    (F.coalesce(F.get(s, k + 1), F.size(t)) - i).cast("bigint").alias("n"),
+                ),
+            ),
+        )
+
+    return let(F.sort_array(found), lambda t: F.when(F.size(t) > 0, runs(t)))
+
+
 def literal_map(entries: dict[str, str | None]) -> Column:
     """Small fixed lookup as a map literal: no join, no shuffle."""
     return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])

@@ -9,7 +9,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellumark.functions.values import let
+from vellumark.functions.values import counted, let
 from vellumark.functions.xml import ordered_text
 from vellumark.operators.dictionary import Automaton
 from vellumark.operators.skew import fits_broadcast, join_unique
@@ -59,30 +59,9 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
-def _counted(found: Column) -> Column:
-    """Array of (term, n) of an array of terms: equal ones are neighbours once sorted."""
-
-    def runs(t: Column) -> Column:
-        starts = F.filter(
-            F.sequence(F.lit(0), F.size(t) - 1), lambda i: (i == 0) | (F.get(t, i) != F.get(t, i - 1))
-        )
-        return let(
-            starts,
-            lambda s: F.transform(
-                s,
-                lambda i, k: F.struct(
-                    F.get(t, i).alias("term"),
-                    (F.coalesce(F.get(s, k + 1), F.size(t)) - i).cast("bigint").alias("n"),
-                ),
-            ),
-        )
-
-    return let(F.sort_array(found), lambda t: F.when(F.size(t) > 0, runs(t)))
-
-
 def term_counts(df: DataFrame, key: Sequence[str], text: str = "text") -> DataFrame:
     """key, term, n, one row per key and term. Counted within each row, so nothing is shuffled."""
-    return df.select(*key, F.explode(_counted(terms(F.col(text)))).alias("t")).select(*key, "t.term", "t.n")
+    return df.select(*key, F.explode(counted(terms(F.col(text)))).alias("t")).select(*key, "t.term", "t.n")
 
 
 def inverse_frequency(counts: DataFrame, total: Column) -> DataFrame:
@@ -136,7 +115,7 @@ def summaries(df: DataFrame, key: str = "doc_id", text: str = "text", top: int =
 
 def _counted_rows(df: DataFrame, key: str, found: Column) -> DataFrame:
     """key, kind, value, occurrences of an array of (kind, value), counted within the row."""
-    return df.select(key, F.explode(_counted(found)).alias("c")).select(
+    return df.select(key, F.explode(counted(found)).alias("c")).select(
         key, "c.term.kind", "c.term.value", F.col("c.n").alias("occurrences")
     )
 
@@ -200,9 +179,9 @@ def _joined_places(df: DataFrame, names: DataFrame, key: str, text: str) -> Data
             t, lambda x, i: F.struct(x.alias("first"), F.array_join(F.slice(t, i + 1, longest), "").alias("run"))
         )
 
-    counted = df.select(key, F.explode(_counted(let(_tokens(F.col(text)), runs))).alias("c"))
+    found = df.select(key, F.explode(counted(let(_tokens(F.col(text)), runs))).alias("c"))
     met = join_unique(
-        counted.select(key, "c.term.first", "c.term.run", "c.n"), stored(listed, "places"), "first", "inner"
+        found.select(key, "c.term.first", "c.term.run", "c.n"), stored(listed, "places"), "first", "inner"
     )
     named = met.select(
         key, "n", F.explode(F.filter("names", lambda x: F.startswith(F.col("run"), x["tokens"]))).alias("x")

@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import IDF, HashingTF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellumark.functions.names import uuid_shaped
+from vellumark.functions.values import counted, let
 from vellumark.session import stored
 from vellumark.sinks.collections import write_version
 
 DIMENSIONS = 256
+WORD = r"[\p{L}\p{N}_]+"
 QUERY_BLOCK = 256  # query vectors a task answers at a time
 POINT_BLOCK = 1 << 14  # points of a block
 LEAST_BLOCK = 1 << 10  # fewer points are not split any further
@@ -24,15 +25,34 @@ LSH_BITS = 8
 POINTS = "id string, vector array<float>, text string, source_file string"
 
 
+def _bucket(word: Column, dimensions: int) -> Column:
+    """Dimension of a word, by 32 bits of its MD5, which other engines have, too."""
+    return F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint") % dimensions
+
+
 def embed(chunks: DataFrame, text: str = "text", dimensions: int = DIMENSIONS) -> DataFrame:
-    """Add `vector`: normalised hashed TF-IDF, zeros for an empty or null text. Fitting is one pass, the rest map-only."""
-    filled = chunks.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    tokens = RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"(?U)\W+").transform(filled)
-    counted = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dimensions).transform(tokens)
-    weighted = IDF(inputCol="_tf", outputCol="_idf").fit(counted).transform(counted)
-    unit = Normalizer(inputCol="_idf", outputCol="_unit").transform(weighted)
-    vector = vector_to_array("_unit", "float32")
-    return unit.withColumn("vector", vector).drop("_text", "_words", "_tf", "_idf", "_unit")
+    """Add `vector`: normalised hashed TF-IDF with 6 digits, zeros for an empty or null text.
+
+    One pass counts the texts that have each dimension; the rest is map-only
+    and runs on columns alone.
+    """
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(WORD), F.lit(0))
+    counts = counted(F.transform(words, lambda w: _bucket(w, dimensions)))
+    rows = chunks.select(F.explode(counts).alias("c")).groupBy("c.term").agg(F.count("*").alias("df"))
+    seen = {r["term"]: r["df"] for r in rows.collect()}  # a row per dimension
+    texts = chunks.count()
+    idf = F.array(*[F.lit(math.log((texts + 1) / (seen.get(d, 0) + 1))) for d in range(dimensions)])
+    found = F.map_from_entries(F.coalesce(counts, F.array().cast("array<struct<term: bigint, n: bigint>>")))
+    weighed = let(found, lambda m: F.transform(
+        F.sequence(F.lit(0), F.lit(dimensions - 1)),
+        lambda d: F.coalesce(m[d.cast("bigint")], F.lit(0)) * F.get(idf, d),
+    ))
+    length = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+    unit = let(
+        weighed,
+        lambda v: let(length(v), lambda n: F.transform(v, lambda x: F.round(F.when(n > 0, x / n).otherwise(0.0), 6).cast("float"))),
+    )
+    return chunks.withColumn("vector", unit)
 
 
 def embed_with(

@@ -701,6 +701,16 @@ SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i, j) - 1 AS
 
 # Vectors
 
+ORACLES["vec_embed"] = f"""WITH chunks AS ({ORACLES["chunk_fixed"]}),
+words AS (SELECT doc_id, chunk_no, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+')) AS word FROM chunks),
+counts AS (SELECT doc_id, chunk_no, CAST('0x' || md5(word)[1:8] AS BIGINT) % 256 AS d, count(*) AS n FROM words GROUP BY ALL),
+seen AS (SELECT d, ln(((SELECT count(*) FROM chunks) + 1) / (count(*) + 1)) AS idf FROM counts GROUP BY d),
+weighed AS (SELECT doc_id, chunk_no, d, n * idf AS w FROM counts JOIN seen USING (d)),
+every AS (SELECT doc_id, chunk_no, d, coalesce(w, 0.0) AS w FROM (SELECT doc_id, chunk_no, unnest(range(256)) AS d FROM chunks)
+  LEFT JOIN weighed USING (doc_id, chunk_no, d)),
+units AS (SELECT doc_id, chunk_no, list(w ORDER BY d) AS v, sqrt(sum(w * w ORDER BY d)) AS length FROM every GROUP BY doc_id, chunk_no)
+SELECT doc_id, chunk_no, array_to_string(list_transform(v,
+  lambda x: CAST(round(round(CASE WHEN length > 0 THEN x / length ELSE 0.0 END, 6) * 1000000) AS BIGINT)), ',') AS vector FROM units"""
 ORACLES["vec_points"] = points("('chunk ' || vec_id)")
 ORACLES["vec_quantize_int8"] = """WITH r AS (SELECT min(x) AS low, max(x) AS high FROM
   (SELECT CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)),

@@ -816,7 +816,8 @@ def chunk_semantic(spark, sf):
 @query
 def vec_embed(spark, sf):
     chunks = text_chunks.chunks(inputs.texts(spark, sf), "fixed")
-    return vectors.embed(chunks).select("doc_id", "chunk_no", "vector")
+    millionths = F.transform("vector", lambda x: F.round(x.cast("double") * 1_000_000).cast("bigint").cast("string"))
+    return vectors.embed(chunks).select("doc_id", "chunk_no", F.array_join(millionths, ",").alias("vector"))
 
 
 @query
