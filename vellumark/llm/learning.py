@@ -35,7 +35,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, modulus: in
 
 
 def fit_in_one_task(rows: DataFrame, fit: Callable[[pa.Table], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
-    """Arrays that `fit` makes of rows (by doc_id) whose number the caller has bounded. No rows: fit gets an empty table."""
+    """Arrays that `fit` makes of rows (by their first column) whose number the caller has bounded. No rows: fit gets an empty table."""
     none = to_arrow_schema(rows.schema).empty_table()
 
     def run(batches):
@@ -45,7 +45,8 @@ def fit_in_one_task(rows: DataFrame, fit: Callable[[pa.Table], dict[str, np.ndar
         np.savez(out, **fit(table))
         yield pa.RecordBatch.from_pydict({"model": [out.getvalue()]}, pa.schema([("model", pa.binary())]))
 
-    model = rows.repartition(1).sortWithinPartitions("doc_id").mapInArrow(run, "model binary").first()
+    ordered = rows.repartition(1).sortWithinPartitions(rows.columns[0])
+    model = ordered.mapInArrow(run, "model binary").first()
     if model is None:  # no partition at all
         return fit(none)
     return dict(np.load(io.BytesIO(model["model"])))
