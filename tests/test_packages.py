@@ -153,3 +153,18 @@ def test_text_heads(spark, tmp_path):
     got = {r["name"]: r.head for r in read_text_heads(spark, str(tmp_path)).collect()}
     assert got == {"a.txt": "", "b.txt": "".join(f"line {i}\n" for i in range(50)), "e f.txt": "one\ntwo"}
     assert [r["name"] for r in read_text_heads(spark, str(tmp_path), 1).collect()] == ["a.txt"]
+
+
+def test_referenced_files_are_found_without_a_listing(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "b").mkdir()
+    for n in range(30):
+        (tmp_path / ("a" if n % 2 else "b") / f"f{n}.txt").write_text("x" * n)
+    listed = sources.list_files(spark, str(tmp_path / "a"), str(tmp_path / "b"))
+    assert listed.count() == 30
+    paths = [(r["path"],) for r in listed.select("path").collect()]
+    refs = spark.createDataFrame([*paths, *paths, (str(tmp_path / "a" / "gone.txt"),), (str(tmp_path / "a"),), (None,)], "path string")
+    found = sources.stat_files(refs)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, listed.collect()))
+    assert sources.attachments(found).count() == 30
+    assert sources.stat_files(refs.limit(0)).count() == 0

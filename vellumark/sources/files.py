@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from vellumark.functions.values import media_type
 from vellumark.session import stored
-from vellumark.sources.filesystem import list_folder, open_file_system, publish
+from vellumark.sources.filesystem import list_folder, open_file_system, publish, stat_paths
 
 HEAD_LINES = 50
 FILES_PER_RUN = 10
@@ -57,7 +57,8 @@ def list_files(spark: SparkSession, *folders: str) -> DataFrame:
     Unlike Spark's file sources this keeps empty files. The listing is written
     down, so that every later step sees the same files.
     """
-    wanted = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(len(folders), "folder")
+    numbered = spark.createDataFrame(list(enumerate(folders)), "n int, folder string")
+    wanted = numbered.repartitionById(len(folders), F.col("n")).select("folder")  # no two folders in one task
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -67,6 +68,21 @@ def list_files(spark: SparkSession, *folders: str) -> DataFrame:
     return stored(wanted.mapInPandas(run, LISTING), "listing")
 
 
+def stat_files(references: DataFrame, column: str = "path") -> DataFrame:
+    """A listing of the files that rows refer to, each once; those that are not there are left out.
+
+    For collections too large for one listing: every task asks for its own
+    paths, so nothing is listed and the work spreads with the references.
+    """
+    paths = references.select(F.col(column).alias("path")).where("path is not null").distinct()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield stat_paths(pdf["path"].tolist())
+
+    return stored(paths.mapInPandas(run, LISTING), "listing")
+
+
 def spread(files: DataFrame) -> DataFrame:
     """A listing over as many tasks as its bytes and number of files ask for."""
     whole = files.agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).first()

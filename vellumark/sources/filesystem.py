@@ -39,11 +39,27 @@ def list_folder(uri: str) -> Iterator[pd.DataFrame]:
     ]
     for at in range(0, len(found), LISTING_BATCH):
         some = found[at : at + LISTING_BATCH]
-        yield pd.DataFrame(
-            {
-                "name": [f.base_name for f in some],
-                "path": [prefix + f.path for f in some],
-                "size": [f.size for f in some],
-                "modified": pd.to_datetime([f.mtime_ns // 1000 for f in some], unit="us", utc=True).as_unit("us"),
-            }
-        )
+        yield _rows([prefix + f.path for f in some], some)
+
+
+def _rows(paths: list[str], found: list[fs.FileInfo]) -> pd.DataFrame:
+    return pd.DataFrame(
+        {
+            "name": [f.base_name for f in found],
+            "path": paths,
+            "size": pd.Series([f.size for f in found], dtype="int64"),
+            "modified": pd.to_datetime([f.mtime_ns // 1000 for f in found], unit="us", utc=True).as_unit("us"),
+        }
+    )
+
+
+def stat_paths(paths: list[str]) -> pd.DataFrame:
+    """name, path, size, modified of the paths that are files."""
+    kept, infos = [], []
+    for path in paths:
+        system, inner = open_file_system(path)
+        info = system.get_file_info(inner)
+        if info.type == fs.FileType.File:
+            kept.append(path)
+            infos.append(info)
+    return _rows(kept, infos)
