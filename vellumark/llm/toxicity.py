@@ -18,6 +18,7 @@ MIN_DOCUMENTS = 6  # examples that a term needs to tell the labels apart
 MIN_CHI2 = 40.0
 NEIGHBOURS = 15
 BLOCK = 64  # examples of one index block
+SEEDS = 3  # blocks of the largest bounds, which are looked at first
 FREQUENT = 8  # a term of more than 1/FREQUENT of the examples is frequent
 SLACK = 1e-5  # more than single precision can be wrong by
 EVIDENCE = 5
@@ -71,10 +72,10 @@ class BlockMaxIndex:
     """Weights of all terms of all examples: lists by term for rare terms, a table for frequent ones.
 
     The sums over rare terms are made for every example. What the frequent
-    terms can add is bounded by the product with the largest weights of an
-    example's block, and by the product of lengths. Only examples whose bound
-    reaches the k-th best cosine are looked at further, and the cosines given
-    are added up anew in double precision: the result is exact.
+    terms can add in a block of examples is bounded by the product with the
+    block's largest weights, and by the product of lengths. Only blocks whose
+    bound reaches the k-th best cosine are looked at further, and the cosines
+    given are added up in double precision: the result is exact.
     """
 
     def __init__(self, term: np.ndarray, example: np.ndarray, weight: np.ndarray, terms: int, examples: int):
@@ -99,6 +100,7 @@ class BlockMaxIndex:
         firsts = np.arange(0, examples, BLOCK)
         self.most = np.maximum.reduceat(self.table, firsts, axis=0) if examples else self.table
         self.firsts = firsts
+        self.longest = np.maximum.reduceat(self.length, firsts) if examples else self.length
 
     def _rare(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Sums over rare terms, for every example."""
@@ -125,27 +127,26 @@ class BlockMaxIndex:
             sums[i] = self._rare(terms[row < 0], weights[row < 0])
             wide[i, row[row >= 0]] = weights[row >= 0]
         narrow = wide.astype(np.float32)
-        more = np.repeat(narrow @ self.most.T, BLOCK, axis=1)[:, :n]
-        np.minimum(more, np.sqrt(np.einsum("ij,ij->i", narrow, narrow))[:, None] * self.length, out=more)
-        bound = sums + more
         if without is not None:
-            sums[np.arange(len(asked)), without] = bound[np.arange(len(asked)), without] = -2.0
-        need = bound > 0
-        for i in range(len(asked)):  # a first guess of the k-th best
-            some = np.argpartition(-bound[i], 4 * k)[: 4 * k] if n > 4 * k else np.arange(n)
+            sums[np.arange(len(asked)), without] = -2.0
+        length = np.sqrt(np.einsum("ij,ij->i", narrow, narrow))[:, None]
+        bound = np.maximum.reduceat(sums, self.firsts, axis=1) + np.minimum(narrow @ self.most.T, length * self.longest)
+        need = np.zeros(len(self.firsts), bool)
+        for i in range(len(asked)):  # against a first guess of the k-th best
+            some = (self.firsts[np.argsort(-bound[i])[:SEEDS], None] + np.arange(BLOCK)).ravel()
+            some = some[some < n]
             seen = sums[i, some] + self.table[some] @ narrow[i]
-            if len(seen) >= k:
-                need[i] &= bound[i] >= np.partition(seen, -k)[-k] - 2 * SLACK
-        blocks = np.logical_or.reduceat(need.any(axis=0), self.firsts)
-        rows = np.flatnonzero(np.repeat(blocks, BLOCK)[:n])
-        table = self.table if len(rows) == n else self.table[rows]
-        seen = sums[:, rows] + narrow @ table.T
+            least = np.partition(seen, -k)[-k] if len(seen) >= k else 0.0
+            need |= bound[i] >= max(least - 2 * SLACK, SLACK * 1e-6)
+        every = need.all()
+        rows = None if every else np.flatnonzero(np.repeat(need, BLOCK)[:n])
+        seen = (sums if every else sums[:, rows]) + narrow @ (self.table if every else self.table[rows]).T
         out = []
-        for i in range(len(asked)):
-            mine = np.flatnonzero(need[i, rows])
-            own = seen[i, mine]
-            least = np.partition(own, -k)[-k] if len(own) >= k else 0.0
-            some = rows[mine[(own > 0) & (own >= least - 2 * SLACK)]]
+        for i, own in enumerate(seen):
+            least = np.partition(own, len(own) - k)[len(own) - k] if len(own) >= k else 0.0
+            some = np.flatnonzero(own >= max(least - 2 * SLACK, 0.0))
+            some = some[own[some] > 0]
+            some = some if every else rows[some]
             cosine = sums[i, some] + self.full[some] @ wide[i]  # in double precision
             first = np.lexsort((some, -np.round(cosine, 12)))[:k]
             out.append((some[first], cosine[first]))
