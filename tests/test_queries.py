@@ -16,7 +16,7 @@ from vellumark.plans.queries import QUERIES  # noqa: E402
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
-MODELS = {"chunk_semantic", "vec_embed", "enr_topic", "ml_outliers"}
+MODELS = {"chunk_semantic", "enr_topic"}
 
 
 @pytest.fixture(scope="module")
