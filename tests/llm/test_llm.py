@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 
-from vellumark.llm import chunked_bpe, components, extraction, fingerprints, jaccard, packing, quality, rans, rules, scan, substrings, tokens, toxicity
+from vellumark.llm import chunked_bpe, components, extraction, fingerprints, jaccard, learning, packing, quality, rans, rules, scan, substrings, tokens, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ODD = ["", "  \n ", "a", "It's DON'T <|endoftext|> x<|EndOfText|>", "İ É é ﬁ 12 x\x0by", "w " * 4000, "é" * 3000, "one two three four five six"]
@@ -349,7 +349,7 @@ def test_a_copy_of_an_example_is_its_nearest(spark):
     labels = spark.createDataFrame([(k, 1, int(k % 10 == 0)) for k in range(60)], "doc_id bigint, quality int, toxic int")
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
     model = toxicity.train(docs, labels)
-    learnt = [int(i) for i in model["ids"]]
+    learnt = [int(i) for i in learning.load_arrays(model)["ids"]]
     asked = [(1000 + k, texts[k]) for k in learnt] + [(2000, f"only{learnt[0]}word unheard")]
     made = {r["doc_id"]: r["evidence"] for r in toxicity.score(spark.createDataFrame(asked, docs.schema), model).collect()}
     for k in learnt:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -11,6 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from vellumark.session import new_folder
+from vellumark.sources.filesystem import open_file_system
+
 
 def fold(doc_id: str | Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo `modulus`."""
@@ -52,6 +56,42 @@ def fit_in_one_task(rows: DataFrame, fit: Callable[[pa.Table], dict[str, np.ndar
     return dict(np.load(io.BytesIO(model["model"])))
 
 
+def fit_to_file(rows: DataFrame, fit: Callable[[pa.Table], dict[str, np.ndarray]]) -> str:
+    """As `fit_in_one_task`, but the arrays stay in the shared folder; returns the file's path, which tasks open themselves.
+
+    For models that are too large to pass through the driver. A repeated task
+    writes a file of its own.
+    """
+    none = to_arrow_schema(rows.schema).empty_table()
+    folder = new_folder(rows.sparkSession, "model")
+
+    def run(batches):
+        held = [b for b in batches if b.num_rows]
+        path = save_arrays(fit(pa.Table.from_batches(held) if held else none), folder)
+        yield pa.RecordBatch.from_pydict({"path": [path]}, pa.schema([("path", pa.string())]))
+
+    ordered = rows.repartition(1).sortWithinPartitions(rows.columns[0])
+    made = ordered.mapInArrow(run, "path string").first()
+    return save_arrays(fit(none), folder) if made is None else made["path"]
+
+
+def save_arrays(arrays: dict[str, np.ndarray], folder: str) -> str:
+    system, root = open_file_system(folder)
+    system.create_dir(root, recursive=True)
+    name = f"{uuid.uuid4().hex}.npz"
+    with system.open_output_stream(f"{root}/{name}") as out:
+        body = io.BytesIO()
+        np.savez(body, **arrays)
+        out.write(body.getbuffer())
+    return f"{folder}/{name}"
+
+
+def load_arrays(path: str) -> dict[str, np.ndarray]:
+    system, inner = open_file_system(path)
+    with system.open_input_stream(inner) as data:
+        return dict(np.load(io.BytesIO(data.read())))
+
+
 def platt(margins: np.ndarray, labels: np.ndarray, rounds: int = 50) -> np.ndarray:
     """a, b of the calibrated score 1 / (1 + exp(-(a m + b))), with smoothed targets."""
     n1 = float(labels.sum())

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from vellumark.llm.learning import fit_in_one_task, fold, labelled_sample, logistic
+from vellumark.llm.learning import fit_to_file, fold, labelled_sample, load_arrays, logistic
 from vellumark.llm.scan import flat_rows, map_rows, slices, span_hashes, string_array, text_bytes, word_spans
 
 FIT_ROWS = 16_000  # at most so many labelled documents become examples
@@ -225,8 +225,9 @@ def fit(texts: pa.Table) -> dict[str, np.ndarray]:
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1, limit: int = FIT_ROWS) -> dict[str, np.ndarray]:
-    return fit_in_one_task(labelled_sample(docs, labels, "toxic", modulus, held_out, limit), fit)
+def train(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1, limit: int = FIT_ROWS) -> str:
+    """Path of the model in the shared folder: all terms of at most `limit` examples do not pass through the driver."""
+    return fit_to_file(labelled_sample(docs, labels, "toxic", modulus, held_out, limit), fit)
 
 
 class Scorer:
@@ -306,14 +307,13 @@ class Scorer:
 EVIDENCE_TYPE = "array<struct<doc_id: bigint, label: int, cosine: double>>"
 
 
-def _scored(docs: DataFrame, model: dict[str, np.ndarray], keep: list[str]) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # the terms of FIT_ROWS examples
+def _scored(docs: DataFrame, model: str, keep: list[str]) -> DataFrame:
     held: dict[int, Scorer] = {}
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
 
     def work(part):
         if not held:
-            held[0] = Scorer(shared.value)  # one for the task
+            held[0] = Scorer(load_arrays(model))  # one for the task
         scores, evidence = held[0].texts(part)
         return [pa.array(scores), pa.array(evidence, kind)]
 
@@ -321,7 +321,7 @@ def _scored(docs: DataFrame, model: dict[str, np.ndarray], keep: list[str]) -> D
     return map_rows(docs, keep, added, work)
 
 
-def score(docs: DataFrame, model: dict[str, np.ndarray], keep: list[str] | None = None) -> DataFrame:
+def score(docs: DataFrame, model: str, keep: list[str] | None = None) -> DataFrame:
     """Add `score` (0 to 1, higher: label 1 likelier) and `evidence`, the nearest examples, to the columns `keep` (doc_id).
 
     The score depends on the text alone. A text without any term that an
@@ -332,7 +332,7 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], keep: list[str] | None
     return flat_rows(_scored(docs, model, keep or ["doc_id"]), "score", "evidence")
 
 
-def clean(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
+def clean(docs: DataFrame, model: str) -> DataFrame:
     """The rows whose score is below ACCEPT, as they are, whatever their columns are called."""
     return flat_rows(_scored(docs, model, docs.columns).where(F.col("score") < ACCEPT).select("row"))
 
