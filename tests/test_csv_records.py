@@ -114,3 +114,12 @@ def test_starts_of_blocks_without_broadcast(spark, tmp_path, small_blocks):
         same_in_order(spark, path)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_lone_carriage_returns(spark, tmp_path, small_blocks):
+    ends = tmp_path / "cr.csv"
+    ends.write_bytes(b'a,b\r1,"x"\r2,y\r')
+    inside = tmp_path / "in.csv"
+    inside.write_bytes(b'a,b\n1,"x\ry"\n2,"z\nw"\n')
+    for path in (ends, inside):
+        same_in_order(spark, str(path))

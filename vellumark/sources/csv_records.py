@@ -95,10 +95,11 @@ def _block_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["key", "block", "does"])
 
 
-def spans_lines(read: DataFrame) -> bool:
-    """Does any line leave quotes open, or hold a break that other readers take for a line's end?"""
+def breaks(read: DataFrame) -> tuple[bool, bool]:
+    """Does any line leave quotes open? Does any hold a lone carriage return, which may end a line by itself?"""
     lone = F.instr(F.rtrim(F.col("line"), F.lit("\r")), "\r") > 0
-    return bool(read.agg(F.max((F.col("does") % 2 == 1) | lone)).first()[0])
+    opened, alone = read.agg(F.max(F.col("does") % 2 == 1), F.max(lone)).first()
+    return bool(opened), bool(alone)
 
 
 def block_maps(read: DataFrame) -> DataFrame:

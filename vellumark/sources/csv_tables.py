@@ -32,19 +32,22 @@ def read_csv_strings(
     Files are split, whatever their size, and line breaks inside quotes are
     kept: one pass finds whether any record spans lines. If none does, Spark's
     reader splits at line breaks; else records are cut by `csv_records` and
-    stored. `multi_line=False` promises that there are none and saves the pass.
+    stored. Only files with lone carriage returns, which may be line ends of
+    their own kind, are read one a task. `multi_line=False` promises that there are none and saves the pass.
     `columns` are the names of the header, which is read where they are not
     given. `with_order` adds the columns that hold the order of the source.
     """
     columns = columns or _reader(spark, None, multi_line).csv(path).columns
+    whole_files = False
     if multi_line:
         read = csv_records.lines(spark, path)
-        if csv_records.spans_lines(read):
+        opened, whole_files = csv_records.breaks(read)
+        if opened and not whole_files:
             records = csv_records.whole_records(read)
             parsed = records.select(csv_records.cells(F.col("record"), len(columns)).alias("c"), *SOURCE_ORDER)
             values = [F.col(f"c.c{i}").alias(c) for i, c in enumerate(columns)]
             return parsed.select(*values, *(SOURCE_ORDER if with_order else ()))
-    df = _reader(spark, columns, False).csv(path)
+    df = _reader(spark, columns, whole_files).csv(path)
     if not with_order:
         return df
     values = [(F.col("_metadata.file_path")), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
