@@ -24,6 +24,12 @@ def build_session(app: str = "vellumark", cores: int | str = "*", **extra: str)
     return builder.getOrCreate()
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on a batch that goes to Python has a bounded number of bytes, not only of rows, also in a session of others."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(key, SETTINGS[key])
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach; the cluster names it in spark.checkpoint.dir. In local mode, one in the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None)
