@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from vellumark.functions.values import counted, let
 from vellumark.functions.xml import ordered_text
 from vellumark.operators.dictionary import Automaton
+from vellumark.operators.pairings import all_alternates
 from vellumark.operators.skew import fits_broadcast, join_unique
 from vellumark.operators.text_chunks import sentences
 from vellumark.operators.topics import strongest_terms, topic_model
@@ -253,10 +254,12 @@ def intents(
 
 
 def alternates(
-    df: DataFrame, key: str = "doc_id", text: str = "text", share: int = USUAL_SHARE, top: int = 5, asked: DataFrame | None = None
+    df: DataFrame, key: str = "doc_id", text: str = "text", share: int | None = USUAL_SHARE, top: int = 5, asked: DataFrame | None = None
 ) -> DataFrame:
     """term, rank, alternate, score: terms used in the same places; of the terms of `asked` only, if it is given.
 
+    Without a `share`, every term of a place is an alternate of all others there.
+
     A place is the pair of neighbouring terms; a term is usual there if it
     makes up at least one in `share` of the place's uses, whatever their
     number. A term scores with an alternate the smaller of their counts, summed
@@ -279,6 +282,8 @@ def alternates(
         .agg(F.count("*").alias("n")),
         "places",
     )
+    if share is None:
+        return all_alternates(used, asked, top)
     uses = F.sum("n").over(Window.partitionBy("place"))
     usual = (
         used.withColumn("uses", uses)
@@ -304,9 +309,9 @@ def alternates(
 
 
 def synonyms(
-    df: DataFrame, key: str = "doc_id", text: str = "text", share: int = USUAL_SHARE, top: int = 5
+    df: DataFrame, key: str = "doc_id", text: str = "text", share: int | None = None, top: int = 5
 ) -> DataFrame:
-    """key, term, rank, alternate, score for the keywords of each document."""
+    """key, term, rank, alternate, score for the keywords of each document; all terms of a place are alternates, unless there is a `share`."""
     asked = stored(keywords(df, key, text).select(key, "term"), "keywords")
     found = alternates(df, key, text, share, top, asked)
     lists = found.groupBy("term").agg(

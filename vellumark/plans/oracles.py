@@ -788,8 +788,7 @@ ORACLES["enr_synonyms"] = f"""WITH {KEYWORDS},
 toks AS (SELECT {_TERMS} AS t FROM documents),
 used AS (SELECT place, term, count(*) AS n FROM (SELECT t[i - 1] || ' ' || t[i + 1] AS place, t[i] AS term
   FROM (SELECT t, unnest(range(2, len(t))) AS i FROM toks)) GROUP BY ALL),
-usual AS (SELECT place, term AS alternate, n AS m FROM (SELECT *, sum(n) OVER (PARTITION BY place) AS uses
-  FROM used) WHERE n * 8 >= uses),
+usual AS (SELECT place, term AS alternate, n AS m FROM used),
 met AS (SELECT term, alternate, CAST(sum(least(n, m)) AS BIGINT) AS score FROM used JOIN usual USING (place)
   WHERE term <> alternate GROUP BY term, alternate),
 best AS (SELECT term, alternate, score, CAST(r AS INTEGER) AS rank FROM (SELECT *, row_number() OVER
