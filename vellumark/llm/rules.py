@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellumark.llm.learning import fit_in_one_task, labelled_sample
-from vellumark.llm.scan import _SPACE, in_slices, per_text, slices, span_hashes, string_array, text_bytes, windows, word_spans
+from vellumark.llm.scan import _SPACE, in_slices, per_text, span_hashes, string_array, text_bytes, windows, word_spans
+from vellumark.session import stored
 
-FIT_ROWS = 12_000  # at most so many labelled documents are fitted
 TREES = 100
 TREE_ROWS = 256
 DEPTH = 8
@@ -121,36 +122,52 @@ def features(s: dict[str, np.ndarray] | pd.DataFrame) -> np.ndarray:
     return np.stack(rates, axis=1)
 
 
-def grow(rows: np.ndarray, good: np.ndarray, seed: int = 3) -> dict[str, np.ndarray]:
-    """TREES trees of random splits, each on TREE_ROWS rows drawn without replacement; nodes in heap order.
+def _draws(ids: np.ndarray, tree: int) -> np.ndarray:
+    """A number between 0 and 1 for each id, by SplitMix64 of id and tree."""
+    with np.errstate(over="ignore"):
+        x = ids.astype(np.uint64) + np.uint64(tree + 1) * np.uint64(0x9E3779B97F4A7C15)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 0x9E3779B97F4A7C15)):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+        x ^= x >> np.uint64(29)
+    return ((x >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)
+
+
+def drawn(ids: np.ndarray, good: np.ndarray, counts: tuple[int, int], tree: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and keys of the TREE_ROWS rows of least key, the draw of a tree without replacement; merges over parts.
 
-    Rows labelled bad are drawn less often, BAD_SHARE of a tree's rows on the
-    whole: as the few among many they are what a forest sets apart.
+    `counts` are all good and all bad labelled rows. Rows labelled bad are drawn
+    less often, BAD_SHARE of a tree's rows on the whole: as the few among many
+    they are what a forest sets apart.
     """
+    weight = np.where(good, (1 - BAD_SHARE) / counts[0], BAD_SHARE / counts[1])
+    key = -np.log(_draws(ids, tree)) / weight
+    best = np.lexsort((ids, key))[:TREE_ROWS] if len(key) <= 2 * TREE_ROWS else np.argpartition(key, TREE_ROWS)[:TREE_ROWS]
+    return best, key[best]
+
+
+def grow(rows: np.ndarray, seed: int) -> dict[str, np.ndarray]:
+    """A tree of random splits on its drawn rows; nodes in heap order."""
     random = np.random.default_rng(seed)
-    chance = np.where(good, (1 - BAD_SHARE) / max(1, good.sum()), BAD_SHARE / max(1, (~good).sum()))
-    chance /= chance.sum()
     size = (1 << (DEPTH + 1)) - 1
-    feature = np.full((TREES, size), -1, np.int64)
-    split = np.zeros((TREES, size))
-    length = np.zeros((TREES, size))
-    for t in range(TREES):
-        held = {0: random.choice(len(rows), min(TREE_ROWS, len(rows)), replace=False, p=chance)}
-        for node in range(size):
-            if (own := held.pop(node, None)) is None:
-                continue
-            depth = (node + 1).bit_length() - 1
-            low, high = rows[own].min(axis=0), rows[own].max(axis=0)
-            able = np.flatnonzero(high > low)
-            if depth == DEPTH or len(own) < 2 or not len(able):
-                length[t, node] = depth + _mean_path(len(own))
-                continue
-            f = int(random.choice(able))
-            at = random.uniform(low[f], high[f])
-            feature[t, node], split[t, node] = f, at
-            left = rows[own, f] <= at
-            held[2 * node + 1], held[2 * node + 2] = own[left], own[~left]
-    return {"feature": feature, "split": split, "length": length, "rows": np.array([min(TREE_ROWS, len(rows))])}
+    feature = np.full(size, -1, np.int64)
+    split = np.zeros(size)
+    length = np.zeros(size)
+    held = {0: np.arange(len(rows))}
+    for node in range(size):
+        if (own := held.pop(node, None)) is None:
+            continue
+        depth = (node + 1).bit_length() - 1
+        low, high = rows[own].min(axis=0), rows[own].max(axis=0)
+        able = np.flatnonzero(high > low)
+        if depth == DEPTH or len(own) < 2 or not len(able):
+            length[node] = depth + _mean_path(len(own))
+            continue
+        f = int(random.choice(able))
+        at = random.uniform(low[f], high[f])
+        feature[node], split[node] = f, at
+        left = rows[own, f] <= at
+        held[2 * node + 1], held[2 * node + 2] = own[left], own[~left]
+    return {"feature": feature, "split": split, "length": length}
 
 
 def _mean_path(n: int) -> float:
@@ -173,52 +190,102 @@ def anomaly(model: dict[str, np.ndarray], rows: np.ndarray) -> np.ndarray:
     return 2.0 ** (-total / len(model["feature"]) / max(_mean_path(int(model["rows"][0])), 1e-9))
 
 
-def fit(table: pa.Table) -> dict[str, np.ndarray]:
-    """The forest over the labelled rows, and the threshold.
+def labelled_statistics(made: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, label and statistics of every labelled document with enough words.
+
+    A document labelled more than once has its largest label, one with several rows its smallest statistics.
+    """
+    rows = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("label"))
+    rows = rows.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label"))
+    names = [*BASE, *EXTRA]
+    once = made.groupBy("doc_id").agg(F.min(F.struct(*names)).alias("s")).select("doc_id", "s.*")
+    return once.where(F.col("n_words") >= MIN_WORDS).join(rows, "doc_id").select("doc_id", "label", *names)
+
+
+def forest(rows: DataFrame, counts: tuple[int, int]) -> dict[str, np.ndarray]:
+    """TREES trees, each on TREE_ROWS rows drawn of all `rows`: tasks keep the least keys of their part, a tree grows in a task."""
+    names = [*BASE, *EXTRA]
+    kept = ["doc_id", *names]
+    schema = ", ".join(["tree int", "key double", *(f"{c} bigint" for c in kept)])
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: list[pd.DataFrame | None] = [None] * TREES
+        for pdf in batches:
+            ids, good = pdf["doc_id"].to_numpy(), pdf["label"].to_numpy() == 1
+            for t in range(TREES):
+                at, key = drawn(ids, good, counts, t)
+                some = pdf.iloc[at][kept].assign(key=key)
+                both = some if best[t] is None else pd.concat([best[t], some])
+                best[t] = both.sort_values(["key", "doc_id"])[:TREE_ROWS]
+        for t, some in enumerate(best):
+            if some is not None:
+                yield some.assign(tree=t)[["tree", "key", *kept]]
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        tree = int(pdf["tree"].iloc[0])
+        own = pdf.sort_values(["key", "doc_id"])[:TREE_ROWS]
+        return pd.DataFrame({"tree": [tree], **{k: [v.tobytes()] for k, v in grow(features(own), tree).items()}})
+
+    grown = rows.mapInPandas(draw, schema).groupBy("tree").applyInPandas(one, "tree int, feature binary, split binary, length binary")
+    trees = sorted(grown.collect(), key=lambda r: r["tree"])  # TREES trees of fixed depth
+    read = {c: np.stack([np.frombuffer(r[c], kind) for r in trees]) for c, kind in (("feature", np.int64), ("split", float), ("length", float))}
+    return read | {"rows": np.array([min(TREE_ROWS, sum(counts))])}
+
 
-    The threshold on the anomaly is the one that tells the labels apart best
-    (the sum of both classes' right shares), but never one that loses more than
-    1 - GOOD_KEPT of the good documents. Without bad documents, nothing is rejected.
+STEPS = 4096  # parts of the anomaly's range, whose counts pass through the driver
+
+
+def threshold(scored: DataFrame) -> float:
+    """The threshold on `anomaly` that tells all `label`s apart best (the sum of both classes' right shares).
+
+    But never one that loses more than 1 - GOOD_KEPT of the good documents. Counts below a value are those of the parts
+    before its own, summed by the driver, and those within its part.
     """
-    array = string_array(table.column("text"))
-    made = [statistics(array.slice(a, b - a)) for a, b in slices(array)]
-    frame = pd.DataFrame({c: np.concatenate([m[c] for m in made]) if made else [] for c in (*BASE, *EXTRA)})
-    frame = frame.assign(label=table.column("label").to_pylist(), doc_id=table.column("doc_id").to_pylist())
-    frame = frame[frame["n_words"] >= MIN_WORDS] if len(frame) else frame
-    if len(frame) < 2 or frame["label"].nunique() < 2:
-        empty = np.zeros((0, 1))
-        return {"feature": empty.astype(np.int64), "split": empty, "length": empty, "rows": np.array([2]), "threshold": np.array([2.0])}
-    frame = frame.sort_values("doc_id", kind="stable")
-    rows, good = features(frame), frame["label"].to_numpy() == 1
-    model = grow(rows, good)
-    a = np.round(anomaly(model, rows), 9)
-    steps = np.unique(a)
-    kept_good = np.searchsorted(np.sort(a[good]), steps, "right") / good.sum()
-    kept_bad = np.searchsorted(np.sort(a[~good]), steps, "right") / (~good).sum()
-    value = np.where(kept_good >= GOOD_KEPT, kept_good - kept_bad, -2)
-    best = int(np.argmax(value))
-    above = steps[best + 1] if best + 1 < len(steps) else steps[best] + 1
-    return model | {"threshold": np.array([(steps[best] + above) / 2])}
-
-
-def apply_rules(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> DataFrame:
+    each = scored.groupBy("anomaly").agg(F.count_if(F.col("label") == 1).alias("good"), F.count_if(F.col("label") == 0).alias("bad"))
+    each = stored(each.withColumn("part", F.floor(F.col("anomaly") * STEPS)), "anomalies")
+    parts = each.groupBy("part").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).orderBy("part").collect()
+    good, bad = (sum(p[c] for p in parts) for c in ("good", "bad"))
+    before, g, b = [], 0, 0
+    for p in parts:
+        before.append((p["part"], g, b))
+        g, b = g + p["good"], b + p["bad"]
+    known = F.broadcast(scored.sparkSession.createDataFrame(before, "part bigint, g bigint, b bigint"))
+    upto = Window.partitionBy("part").orderBy("anomaly").rowsBetween(Window.unboundedPreceding, 0)
+    kept_good = (F.col("g") + F.sum("good").over(upto)) / F.lit(good)
+    kept_bad = (F.col("b") + F.sum("bad").over(upto)) / F.lit(bad)
+    steps = each.join(known, "part").select("anomaly", kept_good.alias("kept_good"), kept_bad.alias("kept_bad"))
+    value = F.when(F.col("kept_good") >= GOOD_KEPT, F.col("kept_good") - F.col("kept_bad")).otherwise(F.lit(-2.0))
+    best = -steps.agg(F.max(F.struct(value.alias("v"), (-F.col("anomaly")).alias("a"))).alias("m")).first()["m"]["a"]
+    above = each.where(F.col("anomaly") > best).agg(F.min("anomaly")).first()[0]
+    return (best + (best + 1 if above is None else above)) / 2
+
+
+def apply_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, base statistics, base_failed, kept and `anomaly` of every document.
 
     Empty and null texts have no words and fail the base rules. An empty table
-    gives no rows; without usable labels only the base rules reject.
+    gives no rows; without usable labels only the base rules reject. Trees are
+    drawn of all labelled documents, and all of them set the threshold.
     """
-    made = document_statistics(docs)
-    model = fit_in_one_task(labelled_sample(docs, labels, "quality", 1, -1, limit), fit)  # no fold is left out
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # TREES trees of fixed depth
+    made = stored(document_statistics(docs), "statistics")
+    rows = stored(labelled_statistics(made, labels), "labelled-statistics")
+    counts = tuple(rows.agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).first())
+    if min(counts):
+        model = forest(rows, counts)
+    else:
+        none = np.zeros((0, 1))
+        model = {"feature": none.astype(np.int64), "split": none, "length": none, "rows": np.array([2])}
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def of(*columns):
         frame = pd.DataFrame({c: x for c, x in zip([*BASE, *EXTRA], columns, strict=True)})
         return pd.Series(np.round(anomaly(shared.value, features(frame)), 9))
 
+    score = of(*[*BASE, *EXTRA])
+    limit = threshold(rows.select("label", score.alias("anomaly"))) if min(counts) else 2.0
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    scored = made.withColumn("base_failed", failed).withColumn("anomaly", of(*[*BASE, *EXTRA]))
-    limit_ = float(model["threshold"][0])
+    scored = made.withColumn("base_failed", failed).withColumn("anomaly", score)
     return scored.select(
-        "doc_id", *BASE, "base_failed", (~F.col("base_failed") & (F.col("anomaly") <= limit_)).alias("kept"), "anomaly"
+        "doc_id", *BASE, "base_failed", (~F.col("base_failed") & (F.col("anomaly") <= limit)).alias("kept"), "anomaly"
     )
