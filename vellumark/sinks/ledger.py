@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from vellumark.session import bounded_batches
+
 DELIVERED = 201
 NO_ANSWER = 0  # status of a transport that raised
 ATTEMPTS = 3  # one delivery and two retries
@@ -60,6 +62,7 @@ def attempt_delivery(documents: DataFrame, transport: Transport, attempts: int =
                 status=[s for s, _ in outcomes], attempt=[a for _, a in outcomes]
             )
 
+    bounded_batches(documents.sparkSession)  # payloads are long, a batch of 10,000 of them would fill a task
     sent = documents.select("batch_id", "chunk_id", "rows", "bytes", "sha", "payload")
     return sent.mapInPandas(send, LEDGER)
 
