@@ -11,11 +11,11 @@ from vellumark.functions.names import ten_digit_id
 from vellumark.operators import attachments as att
 from vellumark.operators import packing
 from vellumark.operators.inference import FLAVOURS, table_states
-from vellumark.operators.skew import balanced, join_unique
+from vellumark.operators.skew import balanced, join_unique, plan_bytes
 from vellumark.session import new_folder, stored
 from vellumark.sinks.xml_chunks import chunk_documents
 from vellumark.sources.csv_tables import read_csv_folder, write_csv
-from vellumark.sources.files import write_named_texts
+from vellumark.sources.files import write_named_texts, write_spread_texts
 
 CHUNK = 1000
 PACKAGE_ROWS = 20
@@ -24,6 +24,7 @@ HOLDING = "DocumentHolding"
 APPLICATION = "DocumentArchive"
 STAMP = "2025-07-09T12:00:00"
 FOLDER = "/archive/in"
+FOLDER_BYTES = 16 << 20  # of the documents table for each folder that holds its files
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -186,14 +187,15 @@ def attached_files(spark: SparkSession, sf: str, absent_lang: str | None = None)
 
 def stage_documents(
     spark: SparkSession, sf: str, text: Column | None = None, name: Column | None = None
-) -> str:
-    """Every document as a file of its own."""
+) -> list[str]:
+    """Every document as a file of its own; the folders that hold them."""
     docs = texts(spark, sf)
     named = docs.select(
         (file_name(F.col("doc_id")) if name is None else name).alias("name"),
         (F.col("text") if text is None else text).alias("text"),
     )
-    return write_named_texts(named, new_folder(spark, "documents"))
+    pieces = max(spark.sparkContext.defaultParallelism, plan_bytes(table(spark, sf, "documents")) // FOLDER_BYTES)
+    return write_spread_texts(named, new_folder(spark, "documents"), pieces)
 
 
 def packed_records(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:

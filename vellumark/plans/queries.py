@@ -100,15 +100,15 @@ def src_limit_intake(spark, sf):
 
 @query
 def src_attachments(spark, sf):
-    found = files.attachments(files.list_files(spark, inputs.stage_documents(spark, sf)))
+    found = files.attachments(files.list_files(spark, *inputs.stage_documents(spark, sf)))
     return found.select("name", "size", "checksum", "content_name", "mimetype")
 
 
 @query
 def src_doc_kind(spark, sf):
     magic = F.when(F.col("lang") == "de", "%PDF-1.7 ").when(F.col("lang") == "fr", "GIF89a ").otherwise("")
-    folder = inputs.stage_documents(spark, sf, text=F.concat(magic, "text"))
-    return files.document_kinds(files.list_files(spark, folder)).select("name", "kind")
+    folders = inputs.stage_documents(spark, sf, text=F.concat(magic, "text"))
+    return files.document_kinds(files.list_files(spark, *folders)).select("name", "kind")
 
 
 @query
@@ -129,7 +129,7 @@ def src_json_metadata(spark, sf):
 def src_zip_check(spark, sf):
     """Valid and broken packages of a folder, and whether the newest valid one is found though broken ones are newer."""
     docs, refs = inputs.package_documents(spark, sf)
-    found = files.list_files(spark, inputs.stage_documents(spark, sf))
+    found = files.list_files(spark, *inputs.stage_documents(spark, sf))
     folder = new_folder(spark, "zips")
     stored(packages.write_packages(packages.with_package_files(docs, refs, found), folder, inputs.HOLDING), "written")
     inputs.write_broken_zips(spark, sf, folder)
@@ -257,7 +257,7 @@ def sink_vector_upsert(spark, sf):
 @query
 def sink_package_zip(spark, sf):
     docs, refs = inputs.package_documents(spark, sf)
-    found = files.list_files(spark, inputs.stage_documents(spark, sf))
+    found = files.list_files(spark, *inputs.stage_documents(spark, sf))
     with_files = packages.with_package_files(docs, refs, found)
     written = packages.write_packages(with_files, new_folder(spark, "zips"), inputs.HOLDING)
     return stored(written, "written").select("package_id", "files", "error")

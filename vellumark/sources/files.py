@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vellumark.functions.values import media_type
-from vellumark.session import stored
+from vellumark.session import bounded_batches, stored
 from vellumark.sources.filesystem import list_folder, open_file_system, publish, stat_paths
 
 HEAD_LINES = 50
@@ -48,6 +48,32 @@ def write_named_texts(df: DataFrame, folder: str) -> str:
     return folder
 
 
+def write_spread_texts(df: DataFrame, folder: str, folders: int) -> list[str]:
+    """One text file per row of (name, text), over `folders` folders by the name; returns those that hold any.
+
+    Tasks hardly meet in a folder, and each folder is listed by a task of its own.
+    """
+    bounded_batches(df.sparkSession)
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, root = open_file_system(folder)
+        used: set[str] = set()
+        for pdf in batches:
+            for name, text in zip(pdf["name"], pdf["text"]):
+                own = f"{zlib.crc32(str(name).encode()) % folders:06d}"
+                if own not in used:
+                    system.create_dir(f"{root}/{own}", recursive=True)
+                    used.add(own)
+                part = f"{root}/{own}/_{uuid.uuid4().hex}"  # hidden until it is complete
+                with system.open_output_stream(part) as out:
+                    out.write(text.encode())
+                publish(system, part, f"{root}/{own}/{name}")
+        yield pd.DataFrame({"folder": sorted(used)}, dtype=object)
+
+    written = df.select("name", "text").mapInPandas(write, "folder string").distinct().collect()  # at most `folders` rows
+    return sorted(f"{folder}/{r['folder']}" for r in written)
+
+
 LISTING = "name string, path string, size bigint, modified timestamp"
 
 
@@ -58,7 +84,7 @@ def list_files(spark: SparkSession, *folders: str) -> DataFrame:
     down, so that every later step sees the same files.
     """
     numbered = spark.createDataFrame(list(enumerate(folders)), "n int, folder string")
-    wanted = numbered.repartitionById(len(folders), F.col("n")).select("folder")  # no two folders in one task
+    wanted = numbered.repartitionById(max(len(folders), 1), F.col("n")).select("folder")  # no two folders in one task
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -145,9 +171,10 @@ def intake(df: DataFrame, order_by: str, files: int = FILES_PER_RUN) -> DataFram
     return df.orderBy(order_by).limit(files)
 
 
-def read_text_heads(spark: SparkSession, folder: str, files: int = FILES_PER_RUN) -> DataFrame:
-    """name, head of the next unprocessed files; only those files are read."""
-    chosen = intake(unprocessed(list_files(spark, folder)), "name", files)
+def read_text_heads(spark: SparkSession, folder: str | list[str], files: int = FILES_PER_RUN) -> DataFrame:
+    """name, head of the next unprocessed files of one folder or several; only those files are read."""
+    folders = [folder] if isinstance(folder, str) else folder
+    chosen = intake(unprocessed(list_files(spark, *folders)), "name", files)
     return read_texts(chosen).select("name", text_head(F.col("text")).alias("head"))
 
 
