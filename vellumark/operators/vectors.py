@@ -8,12 +8,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellumark.functions.names import uuid_shaped
-from vellumark.functions.values import counted, let
-from vellumark.session import stored
+from vellumark.session import bounded_batches, stored
 from vellumark.sinks.collections import write_version
 
 DIMENSIONS = 256
@@ -33,26 +33,28 @@ def _bucket(word: Column, dimensions: int) -> Column:
 def embed(chunks: DataFrame, text: str = "text", dimensions: int = DIMENSIONS) -> DataFrame:
     """Add `vector`: normalised hashed TF-IDF with 6 digits, zeros for an empty or null text.
 
-    One pass counts the texts that have each dimension; the rest is map-only
-    and runs on columns alone.
+    One pass counts the texts that have each dimension; the rest is map-only.
+    Words become dimensions in columns, a batch of texts is weighed as one matrix.
     """
+    bounded_batches(chunks.sparkSession)
     words = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(WORD), F.lit(0))
-    counts = counted(F.transform(words, lambda w: _bucket(w, dimensions)))
-    rows = chunks.select(F.explode(counts).alias("c")).groupBy("c.term").agg(F.count("*").alias("df"))
+    found = F.transform(words, lambda w: _bucket(w, dimensions))
+    rows = chunks.select(F.explode(F.array_distinct(found)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     seen = {r["term"]: r["df"] for r in rows.collect()}  # a row per dimension
     texts = chunks.count()
-    idf = F.array(*[F.lit(math.log((texts + 1) / (seen.get(d, 0) + 1))) for d in range(dimensions)])
-    found = F.map_from_entries(F.coalesce(counts, F.array().cast("array<struct<term: bigint, n: bigint>>")))
-    weighed = let(found, lambda m: F.transform(
-        F.sequence(F.lit(0), F.lit(dimensions - 1)),
-        lambda d: F.coalesce(m[d.cast("bigint")], F.lit(0)) * F.get(idf, d),
-    ))
-    length = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
-    unit = let(
-        weighed,
-        lambda v: let(length(v), lambda n: F.transform(v, lambda x: F.round(F.when(n > 0, x / n).otherwise(0.0), 6).cast("float"))),
-    )
-    return chunks.withColumn("vector", unit)
+    idf = np.array([math.log((texts + 1) / (seen.get(d, 0) + 1)) for d in range(dimensions)])
+
+    @F.arrow_udf("array<double>")
+    def unit(buckets: pa.Array) -> pa.Array:
+        of = np.repeat(np.arange(len(buckets)), pc.list_value_length(buckets).to_numpy(zero_copy_only=False))
+        counts = np.bincount(of * dimensions + buckets.flatten().to_numpy(), minlength=len(buckets) * dimensions)
+        weighed = counts.reshape(len(buckets), dimensions) * idf
+        length = np.sqrt(np.cumsum(weighed * weighed, axis=1)[:, -1:])  # in the order of the dimensions
+        made = np.divide(weighed, length, out=np.zeros_like(weighed), where=length > 0)
+        ends = np.arange(len(buckets) + 1, dtype=np.int32) * np.int32(dimensions)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(made.ravel()))
+
+    return chunks.withColumn("vector", F.transform(unit(found), lambda x: F.round(x, 6).cast("float")))
 
 
 def embed_with(
