@@ -57,3 +57,43 @@ def test_a_round_shuffles_terms_by_block(spark):
     df = spark.createDataFrame([(i, ["x", "y", "z"]) for i in range(100)], "_row long, words array<string>").coalesce(1)
     terms, blocks = term_blocks.term_blocks(df, "words", ["_row"])
     assert terms.count() == 3 and blocks.count() == 1
+
+
+def test_keywords_of_many_equal_scores(spark):
+    """Candidates hold every term that may be chosen: equal scores go by term, rows of one key are ranked together."""
+    words = ["".join(random.Random(i).choices("abcdefgh", k=6)) for i in range(60)]
+    rows = [(1, " ".join(words[:40])), (1, " ".join(words[20:])), (2, " ".join(words[:5] * 2)), (3, None), (None, words[0])]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    scored = {}
+    texts = [t.split() for _, t in rows if t]
+    for k, t in rows:
+        for w in set((t or "").split()):
+            idf = math.log(len(texts) / sum(w in x for x in texts))
+            scored.setdefault(k, []).append((-round(t.split().count(w) * idf, 6), w))
+    wanted = {(k, r, w, -s) for k, x in scored.items() for r, (s, w) in enumerate(sorted(x)[:10], 1)}
+    got = [tuple(r) for r in enrichment.keywords(df).collect()]
+    assert {(k, r, w, round(s, 6)) for k, r, w, s in got} == wanted
+
+
+def test_deliveries_are_sent_in_bounded_batches(spark, tmp_path):
+    from vellumark.sinks import ledger
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(1 << 30))
+    try:
+        docs = spark.range(6).select(F.col("id").alias("chunk_id"), F.lit(1).cast("bigint").alias("rows"), F.lit(1).cast("bigint").alias("bytes"), F.col("id").cast("string").alias("sha"), F.repeat(F.lit("x"), 3 << 20).alias("payload"))
+        out = ledger.deliver(docs.coalesce(1), str(tmp_path / "ledger"), lambda payload, attempt: 201)
+        assert out.count() == 6 and spark.conf.get(key) == "4m"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_staged_texts_lie_in_several_folders(spark, tmp_path):
+    from vellumark.sources import files
+
+    df = spark.range(200).select(F.concat(F.lit("f"), F.col("id") % 100, F.lit(".txt")).alias("name"), F.lit("x").alias("text"))
+    folders = files.write_spread_texts(df.repartition(5), str(tmp_path / "many"), 9)
+    assert 1 < len(folders) <= 9
+    assert sorted(r["name"] for r in files.list_files(spark, *folders).collect()) == sorted(f"f{i}.txt" for i in range(100))
+    assert [r["name"] for r in files.read_text_heads(spark, folders, 2).collect()] == ["f0.txt", "f1.txt"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +15,7 @@ from vellumark.functions.xml import ordered_text
 from vellumark.operators.dictionary import Automaton
 from vellumark.operators.pairings import all_alternates
 from vellumark.operators.skew import fits_broadcast, join_unique
+from vellumark.operators.term_blocks import Cells, inverse_frequency, per_block, term_blocks
 from vellumark.operators.text_chunks import sentences
 from vellumark.operators.topics import strongest_terms, topic_model
 from vellumark.session import stored
@@ -60,46 +62,60 @@ def terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
-def term_counts(df: DataFrame, key: Sequence[str], text: str = "text") -> DataFrame:
-    """key, term, n, one row per key and term. Counted within each row, so nothing is shuffled."""
-    return df.select(*key, F.explode(counted(terms(F.col(text)))).alias("t")).select(*key, "t.term", "t.n")
-
-
-def inverse_frequency(counts: DataFrame, total: Column) -> DataFrame:
-    """term, idf = ln(documents / documents with the term), of rows (document, term).
-
-    Written down, so that its size decides how it is joined.
-    """
-    per_term = counts.groupBy("term").agg(F.count("*").alias("df"))
-    return stored(per_term.select("term", F.log(total / F.col("df")).alias("idf")), "idf")
-
-
-def with_terms(df: DataFrame, text: str = "text") -> Column:
-    """Number of texts that have any term."""
-    return df.agg(F.count_if(F.col(text).rlike(TERM))).scalar()
+def _idf_of(own: pa.Table) -> np.ndarray:
+    """idf by place in the block."""
+    at = own.column("at").to_numpy()
+    idf = np.zeros(int(at.max(initial=-1)) + 1)
+    idf[at] = own.column("idf").to_numpy()
+    return idf
+
+
+def _candidates(own: pa.Table, cells: Cells, top: int) -> pa.Table:
+    """key, term, score of the terms of each text that may be among its `top`: equal scores by term, near ones all."""
+    score = cells.n * _idf_of(own)[cells.at]
+    order = np.lexsort((cells.at, -score, cells.of))
+    of, at, score = cells.of[order], cells.at[order], score[order]
+    index = np.arange(len(of))
+    begin = np.searchsorted(of, of)
+    run = np.ones(len(of), bool)
+    run[1:] = (of[1:] != of[:-1]) | (score[1:] != score[:-1])
+    among_equal = index - np.maximum.accumulate(np.where(run, index, 0))
+    last = np.minimum(begin + top, np.searchsorted(of, of, "right")) - 1
+    kept = (among_equal < top) & (score >= score[last] - 2e-6)  # what rounding to 6 digits can bring together
+    names = np.empty(int(own.column("at").to_numpy().max(initial=-1)) + 1, np.int64)
+    names[own.column("at").to_numpy()] = np.arange(own.num_rows)
+    terms_ = own.column("term").take(pa.array(names[at[kept]]))
+    return pa.table([cells.keys.column(0).take(pa.array(of[kept])), terms_, pa.array(score[kept])], names=["key", "term", "score"])
 
 
 def keywords(df: DataFrame, key: str = "doc_id", text: str = "text", top: int = 10) -> DataFrame:
-    """key, rank, term, score: the terms of highest TF-IDF, equal ones by term."""
-    counts = term_counts(df, [key], text)
-    weighted = join_unique(counts, inverse_frequency(counts, with_terms(df, text)), "term", "inner")
-    score = F.round(F.col("n") * F.col("idf"), 6)
+    """key, rank, term, score: the terms of highest TF-IDF, equal ones by term. Only candidates are shuffled by key."""
+    found, blocks = term_blocks(df.select(key, terms(F.col(text)).alias("_terms")), "_terms", [key])
+    columns = f"key {df.schema[key].dataType.simpleString()}, term string, score double"
+    chosen = per_block(inverse_frequency(found, blocks), blocks, lambda own, cells: _candidates(own, cells, top), columns)
     best = Window.partitionBy(key).orderBy(F.desc("score"), "term")
     return (
-        weighted.select(key, "term", score.alias("score"))
+        chosen.select(F.col("key").alias(key), "term", F.round("score", 6).alias("score"))
         .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= top)
         .select(key, "rank", "term", "score")
     )
 
 
+def _sentence_scores(own: pa.Table, cells: Cells) -> pa.Table:
+    score = np.bincount(cells.of, cells.n * _idf_of(own)[cells.at], len(cells.sizes))
+    some = pa.array(np.flatnonzero(cells.sizes))
+    at = cells.keys.column("part").take(some).cast(pa.int32())
+    return pa.table([cells.keys.column(0).take(some), at, pa.array(score).take(some)], names=["key", "at", "score"])
+
+
 def summaries(df: DataFrame, key: str = "doc_id", text: str = "text", top: int = 5) -> DataFrame:
-    """key, summary: the sentences of highest TF-IDF, in text order."""
-    parts = df.select(key, F.posexplode(sentences(F.col(text))).alias("at", "sentence"))
-    counts = term_counts(parts, [key, "at"], "sentence")
-    idf = inverse_frequency(term_counts(df, [key], text), with_terms(df, text))
-    weighted = join_unique(counts, idf, "term", "inner")
-    scored = weighted.groupBy(key, "at").agg(F.round(F.sum(F.col("n") * F.col("idf")), 6).alias("score"))
+    """key, summary: the sentences of highest TF-IDF, in text order. Of the sentences only scores are shuffled."""
+    parts = df.select(key, F.transform(sentences(F.col(text)), terms).alias("_terms"))
+    found, blocks = term_blocks(parts, "_terms", [key])
+    columns = f"key {df.schema[key].dataType.simpleString()}, at int, score double"
+    each = per_block(inverse_frequency(found, blocks), blocks, _sentence_scores, columns).withColumnRenamed("key", key)
+    scored = each.groupBy(key, "at").agg(F.round(F.sum("score"), 6).alias("score"))
     best = Window.partitionBy(key).orderBy(F.desc("score"), "at")
     chosen = (
         scored.withColumn("rank", F.row_number().over(best))

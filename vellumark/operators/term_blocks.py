@@ -106,7 +106,8 @@ def term_blocks(rows: DataFrame, words: str, keys: list[str]) -> tuple[DataFrame
     chosen = rows.select(*keys, (F.col(words) if nested else F.array(words)).alias("words"))
     columns = "block bigint, at int, term string, rows bigint, n bigint, counted_rows bigint, keys binary, cells binary"
     made = stored(chosen.mapInArrow(run, columns), "term-blocks")
-    blocks = made.where("cells is not null").select("block", "counted_rows", "keys", "cells")
+    again = made.sparkSession.read.schema(made.schema).parquet(made.stored_at)  # of its own, so that the two can meet
+    blocks = again.where("cells is not null").select("block", "counted_rows", "keys", "cells")
     return made.where("cells is null").select("block", "at", "term", "rows", "n"), blocks
 
 
