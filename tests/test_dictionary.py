@@ -1,6 +1,10 @@
 """Listed names by the automaton, against the join and against counting by hand."""
 
 import random
+import re
+import sys
+import time
+import unicodedata
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -26,6 +30,33 @@ def test_tokens_are_those_of_the_pattern(spark):
     assert token_pattern().findall(ODD) == got
 
 
+def test_tokens_of_every_sign():
+    signs = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    word = [c.isascii() and (c.isalnum() or c == "_") or not c.isascii() and unicodedata.category(c).startswith("L") for c in signs]
+    together, joined = token_pattern().findall("".join(signs)), []
+    for c, in_word, before in zip(signs, word, [False, *word]):
+        if in_word and before:
+            joined[-1] += c
+        elif c not in " \t\n\x0b\f\r":
+            joined.append(c)
+    assert together == joined
+    assert token_pattern().findall(" ".join(signs)) == [c for c in signs if c not in " \t\n\x0b\f\r"]
+
+
+def test_tokens_are_cut_about_as_fast_as_plain_words():
+    text = "Ein Wort, zwei Wörter: a place in Île-de-France. " * 2000
+
+    def seconds(pattern):
+        times = []
+        for _ in range(5):
+            begin = time.process_time()
+            pattern.findall(text)
+            times.append(time.process_time() - begin)
+        return min(times)
+
+    assert seconds(token_pattern()) < 4 * seconds(re.compile(r"\w+|[^\w\s]"))
+
+
 def test_automaton_equals_counting():
     draw = random.Random(3)
     words = ["a", "b", "c", "d", "."]
