@@ -1,4 +1,5 @@
 import random
+import time
 import xml.etree.ElementTree as ET
 from collections import Counter
 
@@ -172,6 +173,50 @@ def test_xsd_accepts_and_rejects_records(spark, tmp_path):
     assert [r.valid for r in got.orderBy("n").collect()] == [True, False, False]
 
 
+def test_patterns_say_what_the_validator_says(spark, tmp_path):
+    kinds = {"xs:string": "s", "xs:long": "l", "xs:decimal": "x", "xs:date": "d", "xs:dateTime": "t.0"}
+    usual = {"xs:string": "a", "xs:long": "5", "xs:decimal": "1.5", "xs:date": "2020-01-31", "xs:dateTime": "2020-01-31T10:00:00"}
+    texts = """5|-5|+5|007|5.|.5|.|+|-|5 EUR|1e5|9223372036854775807|9223372036854775808|1 2| 5 |\t5\n|000000000000000000000005|5.50
+2020-02-28|2020-02-29|2021-02-29|2020-04-31|2020-12-31|2020-13-01|2020-00-10|0999-01-01|0000-01-01|12020-01-01|-2020-01-01|2020-01-01Z
+2020-01-01+13:59|2020-01-01+14:00|2020-01-01-14:01|2020-01-01T24:00:00|2020-01-01T23:59:59.123Z|2020-01-01T23:59:60|2020-01-01T23:59:59.
+2020-01-01T10:00:00+02:00|2020-01-01 10:00:00|2020-01-01t10:00:00|2020-1-1|\u0663|5\xa0|a &amp; b|a & b|a &lt; b|a > b|&#53;|&quot;|]]>|<b/>|<!-- 5 -->5
+<![CDATA[5]]>|  |é\U0001d4b3\U0001f642|\x0b|\x01|\x7f|\x85|\ufffe|\r|a\rb|T|Z""".replace("\n", "|").split("|")
+    texts = [t.encode("latin-1", "backslashreplace").decode("unicode_escape") for t in texts] + [""]
+
+    def record(changed, text):
+        fields = {f: usual[k] for k, f in kinds.items()} | {kinds[changed]: text}
+        return "<Record>" + "".join(f"<{f}>{t}</{f}>" for f, t in fields.items()) + "</Record>"
+
+    rows = [record(k, t) for k in kinds for t in texts]
+    good = record("xs:string", "a")
+    rows += [good.replace("<l>5</l>", e) for e in ("<l/>", "<l />", "<l  />", "", "<l a='1'>5</l>", "<l>5</l> ", "<l>5</l><l>5</l>", "<L>5</L>")]
+    rows += [good.replace("<s>a</s>", e) for e in ("<s/>", "<s />", "<s></s>", "<s>a</x>", "text", "<t0>a</t0>")]
+    rows += [good + "\n", " " + good, good + good, '<?xml version="1.0"?>' + good, good.replace("t.0>", "t00>"), good.replace("Record", "Row"), "", None]
+    df = spark.createDataFrame(list(enumerate(rows)), "n int, xml string").repartition(4)
+    xsd = quality.write_record_xsd(spark, {f: k for k, f in kinds.items()}, str(tmp_path / "x"))
+    schema = "s string, l string, x string, d string, `t.0` string"
+    options = {"rowValidationXSDPath": xsd, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    parsed = F.from_xml("xml", f"{schema}, _corrupt string", options)["_corrupt"].isNull()
+    want = {r.n: r.valid for r in df.select("n", parsed.alias("valid")).collect()}
+    got = {r.n: r.valid for r in quality.validate_records(df, "xml", xsd, schema).collect()}
+    assert [(rows[n], got[n]) for n in want if got[n] != want[n]] == []
+    assert 50 < sum(want.values()) < len(rows) - 50
+
+
+def test_plain_records_need_no_validator(spark, tmp_path):
+    xsd = quality.write_record_xsd(spark, {"id": "xs:long", "price": "xs:decimal"}, str(tmp_path / "x"))
+    price = F.concat(F.col("id").cast("string"), F.when(F.col("id") % 2 == 1, ".5").otherwise(" EUR"))
+    xml = F.concat(F.lit("<Record><id>"), F.col("id").cast("string"), F.lit("</id><price>"), price, F.lit("</price></Record>"))
+    checked = quality.validate_records(spark.range(100_000).withColumn("xml", xml), "xml", xsd, "id string, price string")
+    begin = time.monotonic()
+    assert checked.where("valid").count() == 50_000
+    quick = time.monotonic() - begin
+    mended = spark.range(100_000).withColumn("xml", F.concat(F.lit(" "), xml))  # not plain
+    begin = time.monotonic()
+    assert quality.validate_records(mended, "xml", xsd, "id string, price string").where("valid").count() == 50_000
+    assert quick * 2 < time.monotonic() - begin
+
+
 def test_payloads_fit_their_xsd(spark, tmp_path):
     df = spark.createDataFrame(
         [(1, "high", "a & b", "x"), (2, None, "", "y")], "n int, `order priority` string, type string, plain string"
