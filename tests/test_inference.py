@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vellumark.functions import kinds
+from vellumark.functions.values import SPACE
 from vellumark.operators.inference import (
     FLAVOURS,
     infer_json,
@@ -55,6 +56,22 @@ def test_relational(spark, cells, lax, strict):
     assert infer_relational(df, "t", True, ["n"]).first().type == strict
 
 
+def test_a_cell_is_stripped_once(spark):
+    plan = type_states(values(spark, "1", " x "), "t", ["n"])._jdf.queryExecution().executedPlan().toString()
+    assert 1 <= plan.count("trim(") <= 2  # the plan is adaptive and may be shown with the initial one
+
+
+def test_stripped_cells_give_the_same_classes(spark):
+    odd = ["\u2028", "\x85", "12:30\u2028", "\u30002020-01-01", "3-MEDIUM", "5-Jan-2020 10:30 pm", "10:30 PM ", "2020-01-01T10Z", "4-NOT SPECIFIED"]
+    cells = [*DATES.replace("\n", "|").split("|"), *OTHERS.replace("\n", "|").split("|"), *odd, None, "", " ", "+7", " 1_000", "1e-5 ", "inf", "nan ", "a.b"]
+    df = values(spark, *cells).withColumn("t", F.btrim("v", F.lit(SPACE)))
+    text = F.col("t")
+    dated = (F.contains("v", F.lit("-")) | F.contains("v", F.lit("/")) | F.contains("v", F.lit(":"))) & text.rlike(f"^(?:{kinds.DATE})$")
+    pairs = [(f(F.col("v")), f(F.col("v"), text)) for f in (kinds.relational_class, kinds.json_kind, kinds.xsd_kind)]
+    rows = df.select("v", F.coalesce(dated, F.lit(False)).alias("dated"), *[p.eqNullSafe(q).alias(f"same{i}") for i, (p, q) in enumerate(pairs)], pairs[0][0].alias("class")).collect()
+    assert [r.v for r in rows if not (r.same0 and r.same1 and r.same2) or (r["class"] == kinds.DATED) != r.dated] == []
+
+
 def test_json_and_xsd(spark):
     df = spark.createDataFrame(
         [("1", "2020-01-01", "2020-01-01T10:00:00", "", "a.txt"), ("x", "1.5", "2020-01-01", None, None)],

@@ -81,16 +81,20 @@ def _begins(text: Column, signs: str) -> Column:
     return first.between(48, 57) | first.isin(*map(ord, signs))
 
 
-def relational_class(value: Column) -> Column:
-    """ABSENT, DATED, WHOLE, FRACTION, POINTED or TEXT, whatever the strictness."""
-    text = stripped(value)
+def relational_class(value: Column, text: Column | None = None) -> Column:
+    """ABSENT, DATED, WHOLE, FRACTION, POINTED or TEXT, whatever the strictness.
+
+    `text` is the stripped value, if it is a column already: the classes ask for it often, and each time it is stripped anew.
+    """
+    text = stripped(value) if text is None else text
     has_point = F.contains(value, F.lit("."))
     number = F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
     not_finite = _begins(text, "+-iInN") & _full(text, NOT_FINITE)
     parses = (_begins(text, "+-.") & _full(text, NUMBER)) | not_finite
     fraction = not_finite | F.isnan(number) | (F.abs(number) == float("inf")) | (F.rint(number) != number)
     marked = F.contains(value, F.lit("-")) | F.contains(value, F.lit("/")) | F.contains(value, F.lit(":"))
-    dated = marked & _full(text, DATE)
+    last = F.ascii(F.substring(text, -1, 1))  # of a date, in any layout: a digit, the Z of a zone, the M of a half of the day
+    dated = marked & (last.between(48, 57) | last.isin(*map(ord, "ZMm"))) & _full(text, DATE)
     # Whole numbers need no more tests than the first; beyond 300 digits one
     # may leave the range of floating point and then counts as a float.
     whole = _begins(text, "+-") & _full(text, INTEGER)
@@ -115,9 +119,9 @@ def relational_kind(value: Column, strict: bool = False) -> Column:
     return F.get(names, relational_class(value))
 
 
-def json_kind(value: Column) -> Column:
-    """Position in JSON_CLASSES, null for a blank value."""
-    text = stripped(value)
+def json_kind(value: Column, text: Column | None = None) -> Column:
+    """Position in JSON_CLASSES, null for a blank value; `text` as in `relational_class`."""
+    text = stripped(value) if text is None else text
     return (
         F.when(text.isNull() | (text == ""), F.lit(None))
         .when(~_begins(text, "+-"), 3)
@@ -128,10 +132,11 @@ def json_kind(value: Column) -> Column:
     )
 
 
-def xsd_kind(value: Column) -> Column:
-    """Position in XSD_CLASSES, null for a blank value."""
+def xsd_kind(value: Column, text: Column | None = None) -> Column:
+    """Position in XSD_CLASSES, null for a blank value; `text` as in `relational_class`."""
+    text = stripped(value) if text is None else text
     return (
-        F.when(value.isNull() | (stripped(value) == ""), F.lit(None))
+        F.when(value.isNull() | (text == ""), F.lit(None))
         .when(~_begins(value, ""), 4)
         .when((F.octet_length(value) >= 29) & _full(value, XSD_STAMP), 0)
         .when((F.octet_length(value) == 10) & _full(value, ISO_DAY), 1)

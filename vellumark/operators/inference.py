@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vellumark.functions import kinds
 from vellumark.functions.names import attachment_column, reserved_suffix
+from vellumark.functions.values import stripped
 from vellumark.operators.row_numbers import SOURCE_ORDER
 from vellumark.session import stored
 
@@ -29,11 +30,11 @@ def _quoted(name: str) -> Column:
 _JSON, _XSD, _NONE = 8, 64, 7
 
 
-def _code(value: Column, flavours: Collection[str]) -> Column:
-    json = F.coalesce(kinds.json_kind(value), F.lit(_NONE)) if "json" in flavours else F.lit(_NONE)
-    xsd = F.coalesce(kinds.xsd_kind(value), F.lit(_NONE)) if "xsd" in flavours else F.lit(_NONE)
+def _code(value: Column, text: Column, flavours: Collection[str]) -> Column:
+    json = F.coalesce(kinds.json_kind(value, text), F.lit(_NONE)) if "json" in flavours else F.lit(_NONE)
+    xsd = F.coalesce(kinds.xsd_kind(value, text), F.lit(_NONE)) if "xsd" in flavours else F.lit(_NONE)
     relational = {"relational", "strict"} & set(flavours)
-    return (kinds.relational_class(value) if relational else F.lit(kinds.ABSENT)) + json * _JSON + xsd * _XSD
+    return (kinds.relational_class(value, text) if relational else F.lit(kinds.ABSENT)) + json * _JSON + xsd * _XSD
 
 
 def type_states(
@@ -62,7 +63,9 @@ def type_states(
         at = F.struct(*keys) if keys else F.struct(F.lit(0))
         rows = df.select(F.lit("").alias("_file"), at.alias("_at"), cells)
         place, within = ["_file"], None
-    rows = rows.withColumn("code", _code(F.col("cell"), flavours)).drop("cell")
+    # Stripped once, in a projection of its own: the classes ask for it some ten times.
+    rows = rows.withColumn("text", stripped(F.col("cell")))
+    rows = rows.withColumn("code", _code(F.col("cell"), F.col("text"), flavours)).drop("cell", "text")
     kind = F.col("code") % _JSON
     json, xsd = F.floor(F.col("code") / _JSON) % _JSON, F.floor(F.col("code") / _XSD)
 
