@@ -15,7 +15,7 @@ from vellumark.functions.xml import ordered_text
 from vellumark.operators.dictionary import Automaton
 from vellumark.operators.pairings import all_alternates
 from vellumark.operators.skew import fits_broadcast, join_unique
-from vellumark.operators.term_blocks import Cells, inverse_frequency, per_block, term_blocks
+from vellumark.operators.term_blocks import Cells, inverse_frequency, numbered_terms, per_block, term_blocks
 from vellumark.operators.text_chunks import sentences
 from vellumark.operators.topics import strongest_terms, topic_model
 from vellumark.session import stored
@@ -91,8 +91,13 @@ def _candidates(own: pa.Table, cells: Cells, top: int) -> pa.Table:
 def keywords(df: DataFrame, key: str = "doc_id", text: str = "text", top: int = 10) -> DataFrame:
     """key, rank, term, score: the terms of highest TF-IDF, equal ones by term. Only candidates are shuffled by key."""
     found, blocks = term_blocks(df.select(key, terms(F.col(text)).alias("_terms")), "_terms", [key])
-    columns = f"key {df.schema[key].dataType.simpleString()}, term string, score double"
-    chosen = per_block(inverse_frequency(found, blocks), blocks, lambda own, cells: _candidates(own, cells, top), columns)
+    return _best_terms(inverse_frequency(found, blocks), blocks, key, df.schema[key].dataType.simpleString(), top)
+
+
+def _best_terms(weighed: DataFrame, blocks: DataFrame, key: str, kind: str, top: int) -> DataFrame:
+    """key, rank, term, score of weighed terms of blocks (block, at, idf, and term or anything of its order)."""
+    columns = f"key {kind}, term {weighed.schema['term'].dataType.simpleString()}, score double"
+    chosen = per_block(weighed, blocks, lambda own, cells: _candidates(own, cells, top), columns)
     best = Window.partitionBy(key).orderBy(F.desc("score"), "term")
     return (
         chosen.select(F.col("key").alias(key), "term", F.round("score", 6).alias("score"))
@@ -103,7 +108,7 @@ def keywords(df: DataFrame, key: str = "doc_id", text: str = "text", top: int =
 
 
 def _sentence_scores(own: pa.Table, cells: Cells) -> pa.Table:
-    score = np.bincount(cells.of, cells.n * _idf_of(own)[cells.at], len(cells.sizes))
+    score = np.bincount(cells.of, cells.n * _idf_of(own)[cells.at], len(cells.sizes)).astype(np.float64)  # without any cell, too
     some = pa.array(np.flatnonzero(cells.sizes))
     at = cells.keys.column("part").take(some).cast(pa.int32())
     return pa.table([cells.keys.column(0).take(some), at, pa.array(score).take(some)], names=["key", "at", "score"])
@@ -269,6 +274,16 @@ def intents(
     )
 
 
+def _ordered_blocks(df: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    return term_blocks(df.select(key, terms(F.col(text)).alias("_terms")), "_terms", [key], ordered=True)
+
+
+def _named(best: DataFrame, numbered: DataFrame) -> DataFrame:
+    """term, rank, alternate, score and id of all_alternates."""
+    own, others = numbered.select("id", "term"), numbered.select(F.col("id").alias("other"), F.col("term").alias("alternate"))
+    return join_unique(join_unique(best, own, "id", "inner"), others, "other", "inner")
+
+
 def alternates(
     df: DataFrame, key: str = "doc_id", text: str = "text", share: int | None = USUAL_SHARE, top: int = 5, asked: DataFrame | None = None
 ) -> DataFrame:
@@ -284,6 +299,12 @@ def alternates(
     fits, so each (place, term) meets a bounded number of them.
     """
 
+    if share is None:
+        found, blocks = _ordered_blocks(df, key, text)
+        numbered = numbered_terms(found, blocks)
+        ids = None if asked is None else numbered.join(asked.select("term").distinct(), "term", "left_semi").select("id")
+        return _named(all_alternates(found, blocks, numbered, ids, top), numbered).select("term", "rank", "alternate", "score")
+
     def triples(t: Column) -> Column:
         return F.transform(
             F.when(F.size(t) >= 3, F.sequence(F.lit(1), F.size(t) - 2)),
@@ -298,8 +319,6 @@ def alternates(
         .agg(F.count("*").alias("n")),
         "places",
     )
-    if share is None:
-        return all_alternates(used, asked, top)
     uses = F.sum("n").over(Window.partitionBy("place"))
     usual = (
         used.withColumn("uses", uses)
@@ -328,13 +347,22 @@ def synonyms(
     df: DataFrame, key: str = "doc_id", text: str = "text", share: int | None = None, top: int = 5
 ) -> DataFrame:
     """key, term, rank, alternate, score for the keywords of each document; all terms of a place are alternates, unless there is a `share`."""
-    asked = stored(keywords(df, key, text).select(key, "term"), "keywords")
-    found = alternates(df, key, text, share, top, asked)
-    lists = found.groupBy("term").agg(
-        F.sort_array(F.collect_list(F.struct("rank", "alternate", "score"))).alias("a")
+    if share is None:
+        # Words are cut out of the texts once; keywords and alternates are terms' numbers until the end.
+        found, blocks = _ordered_blocks(df, key, text)
+        numbered = numbered_terms(found, blocks)
+        weighed = found.select("block", "at", "term").join(numbered, "term").select("block", "at", F.col("id").alias("term"), "idf")
+        best = _best_terms(weighed, blocks.drop("sequence"), key, df.schema[key].dataType.simpleString(), 10)
+        asked = stored(best.select(key, F.col("term").alias("id")), "keywords")
+        met, by = _named(all_alternates(found, blocks, numbered, asked, top), numbered), "id"
+    else:
+        asked = stored(keywords(df, key, text).select(key, "term"), "keywords")
+        met, by = alternates(df, key, text, share, top, asked), "term"
+    lists = met.groupBy(by).agg(
+        F.first("term").alias("_own"), F.sort_array(F.collect_list(F.struct("rank", "alternate", "score"))).alias("a")
     )
-    met = join_unique(asked, stored(lists, "alternates"), "term", "inner")
-    return met.select(key, "term", F.explode("a").alias("x")).select(
+    met = join_unique(asked, stored(lists, "alternates"), by, "inner")
+    return met.select(key, F.col("_own").alias("term"), F.explode("a").alias("x")).select(
         key, "term", "x.rank", "x.alternate", "x.score"
     )
 

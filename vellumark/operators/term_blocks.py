@@ -16,6 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vellumark.operators.row_numbers import number_rows
 from vellumark.session import bounded_batches, stored
 
 BLOCK_WORDS = 1 << 21
@@ -29,6 +30,7 @@ class Cells:
     sizes: np.ndarray  # terms of each part
     at: np.ndarray
     n: np.ndarray
+    sequence: np.ndarray | None = None  # of each word which term it is, -1 after each part; of ordered blocks
 
     @property
     def of(self) -> np.ndarray:
@@ -47,7 +49,13 @@ def unpacked(body: bytes) -> pa.RecordBatch:
         return stream.read_next_batch()
 
 
-def _block(number: int, rows: pa.Table, keys: list[str]) -> Iterator[pa.RecordBatch]:
+def _sequence(codes: np.ndarray, sizes: np.ndarray) -> bytes:
+    sequence = np.full(len(codes) + len(sizes), -1, np.int32)
+    sequence[np.arange(len(codes)) + np.repeat(np.arange(len(sizes)), sizes)] = codes
+    return sequence.tobytes()
+
+
+def _block(number: int, rows: pa.Table, keys: list[str], ordered: bool) -> Iterator[pa.RecordBatch]:
     """A row per term of the block, then one with its cells."""
     words = rows.column("words").combine_chunks()
     words = pa.concat_arrays(words.chunks) if isinstance(words, pa.ChunkedArray) else words
@@ -65,7 +73,7 @@ def _block(number: int, rows: pa.Table, keys: list[str]) -> Iterator[pa.RecordBa
     part, at = met // wide, met % wide
     row = np.repeat(np.arange(len(parts_of_row)), parts_of_row)
     in_rows = np.unique(row[part] * wide + at) % wide if len(part) else at
-    schema = pa.schema([("block", pa.int64()), ("at", pa.int32()), ("term", pa.string()), ("rows", pa.int64()), ("n", pa.int64()), ("counted_rows", pa.int64()), ("keys", pa.binary()), ("cells", pa.binary())])
+    schema = pa.schema([("block", pa.int64()), ("at", pa.int32()), ("term", pa.string()), ("rows", pa.int64()), ("n", pa.int64()), ("counted_rows", pa.int64()), ("keys", pa.binary()), ("cells", pa.binary()), ("sequence", pa.binary())])
     own = [np.full(len(terms), number), np.arange(len(terms), dtype=np.int32), terms, np.bincount(in_rows, minlength=len(terms)), np.bincount(at, n, len(terms)).astype(np.int64)]
     own = [pa.array(x) if isinstance(x, np.ndarray) else x for x in own]
     table = pa.RecordBatch.from_arrays([*own, *(pa.nulls(len(terms), f.type) for f in list(schema)[5:])], schema=schema)
@@ -78,14 +86,15 @@ def _block(number: int, rows: pa.Table, keys: list[str]) -> Iterator[pa.RecordBa
     of_parts = pa.RecordBatch.from_arrays([*columns, pa.array(place), pa.array(filled)], names=[*keys, "part", "size"])
     cells = pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], names=["at", "n"])
     counted = len(np.unique(row[part]))
-    yield pa.RecordBatch.from_pylist([{"block": number, "counted_rows": counted, "keys": _packed(of_parts), "cells": _packed(cells)}], schema)
+    yield pa.RecordBatch.from_pylist([{"block": number, "counted_rows": counted, "keys": _packed(of_parts), "cells": _packed(cells), "sequence": _sequence(codes, sizes) if ordered else None}], schema)
 
 
-def term_blocks(rows: DataFrame, words: str, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+def term_blocks(rows: DataFrame, words: str, keys: list[str], ordered: bool = False) -> tuple[DataFrame, DataFrame]:
     """(block, at, term, rows, n) for each term of each block, and (block, counted_rows, keys, cells) for each block.
 
     `words` is an array of words, or an array of such arrays, the parts of a
     row; `rows` counts the rows of the block that have the term, `n` its uses.
+    Blocks that are `ordered` have the order of their words, too (`sequence`).
     """
     bounded_batches(rows.sparkSession)
     nested = rows.schema[words].dataType.simpleString().startswith("array<array")
@@ -98,16 +107,16 @@ def term_blocks(rows: DataFrame, words: str, keys: list[str]) -> tuple[DataFrame
             held.append(batch)
             size += len(batch.column("words").flatten().flatten())
             if size >= BLOCK_WORDS:
-                yield from _block(number, pa.Table.from_batches(held), keys)
+                yield from _block(number, pa.Table.from_batches(held), keys, ordered)
                 number, held, size = number + 1, [], 0
         if held:
-            yield from _block(number, pa.Table.from_batches(held), keys)
+            yield from _block(number, pa.Table.from_batches(held), keys, ordered)
 
     chosen = rows.select(*keys, (F.col(words) if nested else F.array(words)).alias("words"))
-    columns = "block bigint, at int, term string, rows bigint, n bigint, counted_rows bigint, keys binary, cells binary"
+    columns = "block bigint, at int, term string, rows bigint, n bigint, counted_rows bigint, keys binary, cells binary, sequence binary"
     made = stored(chosen.mapInArrow(run, columns), "term-blocks")
     again = made.sparkSession.read.schema(made.schema).parquet(made.stored_at)  # of its own, so that the two can meet
-    blocks = again.where("cells is not null").select("block", "counted_rows", "keys", "cells")
+    blocks = again.where("cells is not null").select("block", "counted_rows", "keys", "cells", *(["sequence"] if ordered else []))
     return made.where("cells is null").select("block", "at", "term", "rows", "n"), blocks
 
 
@@ -128,7 +137,8 @@ def per_block(values: DataFrame, blocks: DataFrame, run: Callable[[pa.Table, Cel
 def read_cells(row: dict) -> Cells:
     keys, cells = unpacked(row["keys"]), unpacked(row["cells"])
     sizes = keys.column("size").to_numpy()
-    return Cells(keys.drop_columns(["size"]), sizes, cells.column("at").to_numpy(), cells.column("n").to_numpy())
+    sequence = np.frombuffer(row["sequence"], np.int32) if row.get("sequence") is not None else None
+    return Cells(keys.drop_columns(["size"]), sizes, cells.column("at").to_numpy(), cells.column("n").to_numpy(), sequence)
 
 
 def inverse_frequency(terms: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -137,3 +147,11 @@ def inverse_frequency(terms: DataFrame, blocks: DataFrame) -> DataFrame:
     per_term = terms.groupBy("term").agg(F.sum("rows").alias("df"))
     idf = stored(per_term.select("term", F.log(total / F.col("df")).alias("idf")), "idf")
     return terms.select("block", "at", "term").join(idf, "term")
+
+
+def numbered_terms(terms: DataFrame, blocks: DataFrame) -> DataFrame:
+    """term, id, idf, uses: each term once, ids 0..n-1 in the terms' order."""
+    total = blocks.agg(F.sum("counted_rows")).scalar()
+    per_term = terms.groupBy("term").agg(F.sum("rows").alias("df"), F.sum("n").alias("uses"))
+    found = per_term.select("term", F.log(total / F.col("df")).alias("idf"), "uses")
+    return stored(number_rows(found, ["term"], "ordered-terms", "id"), "numbered-terms")
