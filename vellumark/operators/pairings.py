@@ -104,12 +104,13 @@ class Uses:
     """Uses of asked terms in places that alternates have, by term and the places' sizes, largest first."""
 
     term: np.ndarray
+    place: np.ndarray  # its number in the slice
     first: np.ndarray  # where the place's alternates begin
     size: np.ndarray  # how many they are
     n: np.ndarray
 
     def where(self, kept: np.ndarray) -> Uses:
-        return Uses(self.term[kept], self.first[kept], self.size[kept], self.n[kept])
+        return Uses(self.term[kept], self.place[kept], self.first[kept], self.size[kept], self.n[kept])
 
 
 def _spread(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -155,8 +156,13 @@ def _sums(uses: Uses, own: np.ndarray, most: np.ndarray, offered: tuple[np.ndarr
         k = upto
 
 
+def _begins(term: np.ndarray) -> np.ndarray:
+    """Where the run of each entry begins."""
+    return np.maximum.accumulate(np.where(np.diff(term, prepend=-1) != 0, np.arange(len(term)), 0))
+
+
 def _ranks(term: np.ndarray) -> np.ndarray:
-    return np.arange(len(term)) - np.searchsorted(term, term)
+    return np.arange(len(term)) - _begins(term)
 
 
 def best_of_slice(asked: list[np.ndarray], slices: Iterable[tuple[list[np.ndarray], int]], top: int, id_bits: int) -> tuple[np.ndarray, ...]:
@@ -194,7 +200,7 @@ def best_of_slice(asked: list[np.ndarray], slices: Iterable[tuple[list[np.ndarra
         active, at = active[met], at[met]
         to = np.argsort(at_order[active])
         at, use = at[to], active[to]
-        uses = Uses(term[use], first[at], (ends - first)[at], n[use])
+        uses = Uses(term[use], at, first[at], (ends - first)[at], n[use])
         reach = np.bincount(uses.term, uses.n, len(own)).astype(np.int64)
         uses = uses.where((bound <= reach)[uses.term])
         if not len(uses.term):
@@ -203,8 +209,7 @@ def best_of_slice(asked: list[np.ndarray], slices: Iterable[tuple[list[np.ndarra
         alone = (np.bincount(uses.term, minlength=len(own))[uses.term] == 1) & (uses.n == 1)
         uses.size = np.where(alone, np.minimum(uses.size, top + 1), uses.size)
         till = np.cumsum(uses.n)
-        begin = np.searchsorted(uses.term, uses.term)
-        till = till - (till - uses.n)[begin]  # of the term's uses down to this place
+        till = till - (till - uses.n)[_begins(uses.term)]  # of the term's uses down to this place
 
         many = np.bincount(uses.term, uses.size, len(own)) >= TRIED
         tried = uses.where(((bound == 0) & many)[uses.term] & (2 * till > reach[uses.term]))
@@ -217,7 +222,6 @@ def best_of_slice(asked: list[np.ndarray], slices: Iterable[tuple[list[np.ndarra
         looked_up = uses.where(skipped)
         from_, upto = (np.searchsorted(looked_up.term, np.arange(len(own)), side) for side in ("left", "right"))
         entries = (np.repeat(np.arange(len(first)), ends - first) << id_bits) | alternate
-        number_at = np.cumsum(np.bincount(first, minlength=len(known))) - 1
         found = [best]
         for of, other, score in _sums(uses.where(~skipped), own, total, (alternate, m), id_bits):
             rank = _ranks(of)
@@ -234,7 +238,7 @@ def best_of_slice(asked: list[np.ndarray], slices: Iterable[tuple[list[np.ndarra
                 which = _spread(from_[of[k:e]], lookups[k:e])
                 if len(which):
                     pair = np.repeat(np.arange(k, e), lookups[k:e])
-                    wanted = (number_at[looked_up.first[which]] << id_bits) | other[pair]
+                    wanted = (looked_up.place[which] << id_bits) | other[pair]
                     here = np.minimum(np.searchsorted(entries, wanted), len(entries) - 1)
                     there = entries[here] == wanted
                     score += np.bincount(pair[there], np.minimum(m[here[there]], looked_up.n[which[there]]), len(of)).astype(np.int64)
@@ -285,7 +289,7 @@ def all_alternates(terms: DataFrame, blocks: DataFrame, numbered: DataFrame, ask
         wanted = asked.select("id").distinct().withColumn("asked", F.lit(1))
         marked = marked.join(wanted, "id", "left").withColumn("mark", F.col("mark") + F.coalesce("asked", F.lit(0)))
     of_blocks = terms.select("block", "at", "term").join(marked, "term").select("block", "at", "id", "mark")
-    in_blocks = per_block(of_blocks, blocks, lambda own, cells: block_uses(own, cells, total), "place bigint, id bigint, n bigint, mark int")
+    in_blocks = per_block(of_blocks, blocks.select("block", "sequence"), lambda own, cells: block_uses(own, cells, total), "place bigint, id bigint, n bigint, mark int")
     uses = stored(shared_places(in_blocks), "pairing-uses")
     counts = {r["mark"]: r["n"] for r in uses.groupBy("mark").agg(F.count("*").alias("n")).collect()}
     by_strength: dict[int, int] = {}

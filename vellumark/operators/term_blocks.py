@@ -72,7 +72,10 @@ def _block(number: int, rows: pa.Table, keys: list[str], ordered: bool) -> Itera
     met, n = np.unique(np.repeat(np.arange(len(sizes)), sizes) * wide + codes, return_counts=True)
     part, at = met // wide, met % wide
     row = np.repeat(np.arange(len(parts_of_row)), parts_of_row)
-    in_rows = np.unique(row[part] * wide + at) % wide if len(part) else at
+    in_rows = at  # of a row of one part
+    if len(parts_of_row) and parts_of_row.max() > 1:
+        again = np.sort(row[part] * wide + at)
+        in_rows = again[np.append(True, again[1:] != again[:-1])[: len(again)]] % wide
     schema = pa.schema([("block", pa.int64()), ("at", pa.int32()), ("term", pa.string()), ("rows", pa.int64()), ("n", pa.int64()), ("counted_rows", pa.int64()), ("keys", pa.binary()), ("cells", pa.binary()), ("sequence", pa.binary())])
     own = [np.full(len(terms), number), np.arange(len(terms), dtype=np.int32), terms, np.bincount(in_rows, minlength=len(terms)), np.bincount(at, n, len(terms)).astype(np.int64)]
     own = [pa.array(x) if isinstance(x, np.ndarray) else x for x in own]
@@ -85,7 +88,7 @@ def _block(number: int, rows: pa.Table, keys: list[str], ordered: bool) -> Itera
     filled = np.bincount(part, minlength=len(sizes))
     of_parts = pa.RecordBatch.from_arrays([*columns, pa.array(place), pa.array(filled)], names=[*keys, "part", "size"])
     cells = pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], names=["at", "n"])
-    counted = len(np.unique(row[part]))
+    counted = np.count_nonzero(np.bincount(row[filled > 0]))
     yield pa.RecordBatch.from_pylist([{"block": number, "counted_rows": counted, "keys": _packed(of_parts), "cells": _packed(cells), "sequence": _sequence(codes, sizes) if ordered else None}], schema)
 
 
@@ -135,10 +138,12 @@ def per_block(values: DataFrame, blocks: DataFrame, run: Callable[[pa.Table, Cel
 
 
 def read_cells(row: dict) -> Cells:
+    if "cells" not in row:  # only the order of the words was read
+        none = np.zeros(0, np.int64)
+        return Cells(pa.RecordBatch.from_pydict({}), none, none, none, np.frombuffer(row["sequence"], np.int32))
     keys, cells = unpacked(row["keys"]), unpacked(row["cells"])
     sizes = keys.column("size").to_numpy()
-    sequence = np.frombuffer(row["sequence"], np.int32) if row.get("sequence") is not None else None
-    return Cells(keys.drop_columns(["size"]), sizes, cells.column("at").to_numpy(), cells.column("n").to_numpy(), sequence)
+    return Cells(keys.drop_columns(["size"]), sizes, cells.column("at").to_numpy(), cells.column("n").to_numpy())
 
 
 def inverse_frequency(terms: DataFrame, blocks: DataFrame) -> DataFrame:
