@@ -175,7 +175,7 @@ def read_text_heads(spark: SparkSession, folder: str | list[str], files: int = F
     """name, head of the next unprocessed files of one folder or several; only those files are read."""
     folders = [folder] if isinstance(folder, str) else folder
     chosen = intake(unprocessed(list_files(spark, *folders)), "name", files)
-    return read_texts(chosen).select("name", text_head(F.col("text")).alias("head"))
+    return read_texts(chosen).select("name", text_head(F.col("text")).alias("head")).orderBy("name")
 
 
 def mark_processed(files: DataFrame) -> DataFrame:
